@@ -264,3 +264,21 @@ def end_state(detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         *keys, F.col("l__rts").alias("s_ts"),
         F.when(F.col("l__gap"), F.lit(0.0)).otherwise(F.col("l_value")).alias("s_value"),
         F.col("l_cumulative_sum").alias("s_cum"))
+
+
+def gap_list(readings: DataFrame, ledger: DataFrame | None, spec: Spec,
+             keys: Sequence[str] = ()) -> DataFrame:
+    """G1 for a batch with carry-in: readings whose distance to the previous
+    point (the ledger's newest row for the first one) exceeds 2 * step, with
+    the clock-time band (a, b) their profile is taken over."""
+    from wattline.operators.quality import previous_ts
+    r = readings.select(*keys, "ts", F.lit(1).alias("_o"))
+    if ledger is not None:
+        st = ledger_state(ledger, keys).select(*keys, F.col("s_ts").alias("ts"),
+                                               F.lit(0).alias("_o"))
+        r = r.unionByName(st)
+    p = previous_ts(r, keys, tiebreak=["_o"])
+    thr = 2 * spec.step_ms * 1000
+    return (p.filter((F.col("_o") == 1) & (diff_micros("previous_ts", "ts") > thr))
+            .select(*keys, F.col("ts").alias("gap_ts"), "previous_ts",
+                    tod_us("previous_ts").alias("a"), tod_us("ts").alias("b")))
