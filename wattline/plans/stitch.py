@@ -46,13 +46,13 @@ def halo_lags(df: DataFrame, part: Sequence[str], order: Sequence[str],
             .filter(F.col("_rd") <= depth))
     ws = Window.partitionBy(*part).orderBy(BKT, *order)
     rec = F.struct(*[F.col(c) for c in cols])
-    halo = tail.select(
-        *P, "_rd",
+    # the earliest tail row of each bucket (its predecessor in the tail table
+    # lies in another bucket) carries the rows before the bucket
+    halo = (tail.select(
+        *P, F.lag(BKT).over(ws).alias("_pb"),
         *[F.lag(rec, d).over(ws).alias(f"_h{d}") for d in range(1, depth + 1)])
-    # the earliest tail row of each bucket carries the rows before the bucket
-    first_tail = Window.partitionBy(*P).orderBy(F.col("_rd").desc())
-    halo = (halo.withColumn("_ft", F.row_number().over(first_tail))
-            .filter(F.col("_ft") == 1).drop("_ft", "_rd"))
+        .filter(F.col("_pb").isNull() | (F.col("_pb") != F.col(BKT)))
+        .drop("_pb"))
     out = df.join(halo, P, "left").withColumn("_rn", F.row_number().over(w))
     for c in cols:
         for d in range(1, depth + 1):
