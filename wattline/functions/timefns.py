@@ -32,8 +32,20 @@ def _lit(c) -> Column:
     return F.lit(c) if isinstance(c, int) else as_col(c)
 
 
+_EPOCH_SQL = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def _name(c) -> str | None:
+    """Backquoted column name when ``c`` is a plain name (one py4j call per
+    expression instead of one per function)."""
+    return f"`{c}`" if isinstance(c, str) and "`" not in c else None
+
+
 def micros(ts) -> Column:
     """Microseconds since the epoch of an NTZ timestamp."""
+    n = _name(ts)
+    if n:
+        return F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_SQL}, {n})")
     return F.timestamp_diff("MICROSECOND", _epoch(), as_col(ts))
 
 
@@ -49,6 +61,9 @@ def add_micros(ts, us) -> Column:
 
 def tod_us(ts) -> Column:
     """Time of day in microseconds; stands in for TO_TIME (F2)."""
+    n = _name(ts)
+    if n:
+        return F.expr(f"pmod(timestampdiff(MICROSECOND, {_EPOCH_SQL}, {n}), {DAY_US}L)")
     return F.pmod(micros(ts), F.lit(DAY_US))
 
 
@@ -62,6 +77,9 @@ def parse_tod(text: str) -> int:
 
 def diff_micros(a, b) -> Column:
     """Exact elapsed microseconds from a to b."""
+    na, nb = _name(a), _name(b)
+    if na and nb:
+        return F.expr(f"timestampdiff(MICROSECOND, {na}, {nb})")
     return F.timestamp_diff("MICROSECOND", as_col(a), as_col(b))
 
 

@@ -96,8 +96,8 @@ def ledger_state(ledger: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     last = stitch.last_in_group(
         lg.filter(F.col("ts").isNotNull()), K, ["ts", "cumulative_sum"],
         ["ts", "value", "cumulative_sum"], prefix="s_")
-    return (last.withColumn("s_cum", F.coalesce("s_cumulative_sum", F.lit(0.0)))
-            .drop("s_cumulative_sum"))
+    return last.select(*keys, "s_ts", "s_value",
+                       F.coalesce("s_cumulative_sum", F.lit(0.0)).alias("s_cum"))
 
 
 def integrate(readings: DataFrame, ledger: DataFrame | None = None,
@@ -106,7 +106,8 @@ def integrate(readings: DataFrame, ledger: DataFrame | None = None,
               profile_ledger: DataFrame | None = None,
               late: str = "keep",
               bucket_us: int = 3_600_000_000,
-              bin_us: int = prof.DEFAULT_BIN_US) -> DataFrame:
+              bin_us: int = prof.DEFAULT_BIN_US,
+              materialize=cut) -> DataFrame:
     """Integrate ``readings`` (keys, ts, value) into ledger rows.
 
     ``ledger`` supplies the carry-in state (newest row per series) and the
@@ -115,19 +116,24 @@ def integrate(readings: DataFrame, ledger: DataFrame | None = None,
     value.
     """
     out = integrate_detail(readings, ledger, spec, keys, state, profile_ledger,
-                           late, bucket_us, bin_us)
+                           late, bucket_us, bin_us, materialize)
     return out.select(*keys, *LEDGER_COLS)
 
 
 def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
                      state=None, profile_ledger=None, late="keep",
-                     bucket_us=3_600_000_000, bin_us=prof.DEFAULT_BIN_US) -> DataFrame:
+                     bucket_us=3_600_000_000, bin_us=prof.DEFAULT_BIN_US,
+                     materialize=cut) -> DataFrame:
     """As :func:`integrate`, plus ``_rts`` (reading time), ``_k`` (slot) and
-    ``_gap`` for callers that carry state between batches."""
+    ``_gap`` for callers that carry state between batches.
+
+    ``materialize`` writes the intermediates that are read more than once:
+    a reliable checkpoint by default; a micro-batch job may pass a
+    persist-and-release function instead."""
     if spec.gap_fill and spec.empty_profile == "skip":
         from wattline.operators.skipfill import integrate_skip
         return integrate_skip(readings, ledger, spec, keys, state,
-                              profile_ledger, late, bucket_us, bin_us)
+                              profile_ledger, late, bucket_us, bin_us, materialize)
     keyed = bool(keys)
     r, K = _keys(readings.select(*keys, "ts", "value"), keys)
     r = r.select(*K, "ts", F.coalesce(F.col("value").cast("double"),
@@ -174,11 +180,11 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
             cond = cond & (F.col("s_ts").isNull() | (F.col("ts") > F.col("s_ts")))
         r = r.filter(cond).select(*K, "ts", "value")
 
-    rows = (stitch.with_bucket(r, "ts", bucket_us)
-            .withColumn("_o", F.lit(1)).withColumn("_c0", F.lit(0.0)))
-    seed_rows = (stitch.with_bucket(seeds, "f_ts", bucket_us)
-                 .select(*K, F.col("_seed_ts").alias("ts"), F.col("_seed_v").alias("value"),
-                         stitch.BKT, F.lit(0).alias("_o"), F.col("_seed_c").alias("_c0")))
+    rows = r.select(*K, "ts", "value", stitch.bucket_expr("ts", bucket_us),
+                    F.lit(1).alias("_o"), F.lit(0.0).alias("_c0"))
+    seed_rows = seeds.select(*K, F.col("_seed_ts").alias("ts"), F.col("_seed_v").alias("value"),
+                             stitch.bucket_expr("f_ts", bucket_us),
+                             F.lit(0).alias("_o"), F.col("_seed_c").alias("_c0"))
     allrows = stitch.partition_by_bucket(rows.unionByName(seed_rows), K)
     order = ["_o", "ts", "value"]
     lagged = stitch.halo_lags(allrows, K, order, ["ts", "value", "_o"], depth=2)
@@ -194,17 +200,20 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
         gap = F.lit(False)
         prev_gap = F.lit(False)
     pv = F.when(prev_gap, F.lit(0.0)).otherwise(F.coalesce("_p1_value", F.lit(0.0)))
-    x = (lagged.withColumn("_gap", F.coalesce(gap, F.lit(False)))
-         .withColumn("_delta", delta_s)
-         .withColumn("_integral",
-                     (F.lit(spec.factor) * (F.col("_delta") / F.lit(3600.0)))
-                     * (clamp("value", spec.clamp) + clamp(pv, spec.clamp))))
-    x = x.drop("_p2_value", "_p2__o")
+    cols = {
+        "_gap": F.coalesce(gap, F.lit(False)),
+        "_d_us": d_us,
+        "_delta": delta_s,
+        "_integral": (F.lit(spec.factor) * (delta_s / F.lit(3600.0)))
+        * (clamp("value", spec.clamp) + clamp(pv, spec.clamp)),
+    }
     if spec.gap_fill:
-        x = x.withColumn("a", F.when(F.col("_gap"), tod_us("_p1_ts"))) \
-             .withColumn("b", F.when(F.col("_gap"), tod_us("ts")))
+        cols["a"] = F.when(F.coalesce(gap, F.lit(False)), tod_us("_p1_ts"))
+        cols["b"] = F.when(F.coalesce(gap, F.lit(False)), tod_us("ts"))
+    keep = [*K, stitch.BKT, "ts", "value", "_o", "_c0", "_p1_ts"]
+    x = lagged.select(*keep, *[v.alias(k) for k, v in cols.items()])
     # read three times below (gap list, bucket totals, rows): write it once
-    x = cut(x)
+    x = materialize(x)
 
     if spec.gap_fill:
         if profile_ledger is not None:
@@ -218,19 +227,19 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
             n = F.expr(f"div(_d_us + {step_us - 1}, {step_us})")
         else:
             n = F.expr(f"div(_d_us, {step_us}) + 1")
-        x = (x.withColumn("_d_us", d_us)
-             .withColumn("_ai", F.coalesce("profile", F.lit(0.0))
-                         / ((F.col("_delta") * F.lit(1000.0)) / F.lit(float(spec.step_ms))))
-             .withColumn("_n", F.when(F.col("_gap"), n).otherwise(F.lit(0)).cast("bigint")))
+        ai = F.coalesce("profile", F.lit(0.0)) / \
+            ((F.col("_delta") * F.lit(1000.0)) / F.lit(float(spec.step_ms)))
+        nn = F.when(F.col("_gap"), n).otherwise(F.lit(0)).cast("bigint")
     else:
-        x = x.withColumn("_ai", F.lit(0.0)).withColumn("_n", F.lit(0).cast("bigint"))
-
+        ai = F.lit(0.0)
+        nn = F.lit(0).cast("bigint")
+    x = x.withColumns({"_ai": ai, "_n": nn})
     contrib = (F.when(~is_reading, F.col("_c0"))
                .when(F.col("_gap"), F.col("_n") * F.col("_ai"))
                .otherwise(F.col("_integral")))
     x = x.withColumn("_c", contrib)
     if spec.gap_fill and profile_ledger is not None:
-        x = cut(x)  # the profile join is read twice by the running sum
+        x = materialize(x)  # the profile join is read twice by the running sum
     x = stitch.running_sum(x, K, order, "_c", "_cum").filter(is_reading)
 
     # fill slots: chunks of SLOT_CHUNK first, then the slots of each chunk

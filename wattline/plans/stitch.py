@@ -19,6 +19,10 @@ from wattline.functions.timefns import micros
 BKT = "_bkt"
 
 
+def bucket_expr(ts: str, bucket_us: int, name: str = BKT):
+    return F.floor(micros(ts) / F.lit(bucket_us)).cast("bigint").alias(name)
+
+
 def with_bucket(df: DataFrame, ts: str, bucket_us: int, name: str = BKT) -> DataFrame:
     return df.withColumn(name, F.floor(micros(ts) / F.lit(bucket_us)).cast("bigint"))
 
@@ -53,15 +57,17 @@ def halo_lags(df: DataFrame, part: Sequence[str], order: Sequence[str],
         *[F.lag(rec, d).over(ws).alias(f"_h{d}") for d in range(1, depth + 1)])
         .filter(F.col("_pb").isNull() | (F.col("_pb") != F.col(BKT)))
         .drop("_pb"))
-    out = df.join(halo, P, "left").withColumn("_rn", F.row_number().over(w))
+    out = df.join(halo, P, "left")
+    rn = F.row_number().over(w)
+    lags = {}
     for c in cols:
         for d in range(1, depth + 1):
             expr = F.lag(c, d).over(w)
             for r in range(d, 0, -1):
                 # rows 1..d of the bucket reach back into the halo
-                expr = F.when(F.col("_rn") == r, F.col(f"_h{d - r + 1}")[c]).otherwise(expr)
-            out = out.withColumn(f"_p{d}_{c}", expr)
-    return out.drop("_rn", *[f"_h{d}" for d in range(1, depth + 1)])
+                expr = F.when(rn == r, F.col(f"_h{d - r + 1}")[c]).otherwise(expr)
+            lags[f"_p{d}_{c}"] = expr
+    return out.withColumns(lags).drop(*[f"_h{d}" for d in range(1, depth + 1)])
 
 
 def running_sum(df: DataFrame, part: Sequence[str], order: Sequence[str],
