@@ -285,8 +285,11 @@ def daily_upsert(spark, sf):
 
 
 def _aligned(spark, sf):
+    """Nearest-joined ledgers with sums at micro-kWh precision, so rates on
+    (near-)zero differences do not depend on running-sum rounding noise."""
     p = fx.params(sf)
-    return align.nearest_join(fx.left_ledger(spark, sf), fx.right_ledger(spark, sf), p.tol_s * 1000)
+    return r6(align.nearest_join(fx.left_ledger(spark, sf), fx.right_ledger(spark, sf),
+                                 p.tol_s * 1000))
 
 
 def nearest_join(spark, sf):
