@@ -82,11 +82,14 @@ def test_keyed_equals_per_series(spark):
         assert [m[1] for m in mine] == pytest.approx([e[1] for e in exp], rel=1e-9, abs=1e-9)
 
 
-def test_seeded_scenario(spark):
+@pytest.mark.parametrize("policy", ["skip", "zero"])
+def test_seeded_scenario(spark, policy):
     """Counter ledger on three days 10:43-11:43 at 1 s with a fixed band
-    increment, then one day of readings with the same half hour missing."""
+    increment, then one day of readings with the same half hour missing.
+    Under 'skip' the first reading's gap wraps midnight (no profile), so the
+    next reading gets a negative interval; the 30-minute hole is filled."""
     from pyspark.sql import functions as F
-    spec = integ.FIRST_GAP.with_(empty_profile="zero")
+    spec = integ.FIRST_GAP.with_(empty_profile=policy)
     days = [datetime(2025, 11, d) for d in (1, 2, 3)]
     ledger, cum = [], 0.0
     for d in days:
@@ -104,5 +107,18 @@ def test_seeded_scenario(spark):
             rows.append((t, -1.0))
         t += timedelta(seconds=1)
     assert len(rows) == 1_800
+    exp = fold.integrate(rows, ledger, spec)
+    if policy == "skip":
+        assert exp[0][3] == -59.0                  # reading after the skipped gap
+        assert sum(1 for e in exp if e[4] == 0.0 and e[3] == 1.0) == 1_803   # filled hole
     check(spark, rows, ledger, spec)
     _ = F
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_skip_policy_against_fold(spark, seed):
+    rng = random.Random(seed)
+    spec = integ.FIRST_GAP.with_(step_ms=30_000)
+    rows = series(rng, 150, 30)
+    ledger = ledger_from(rng, spec, 400) if seed != 5 else []
+    check(spark, rows, ledger, spec)

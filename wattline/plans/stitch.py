@@ -103,3 +103,20 @@ def last_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column |
     rec = F.struct(*[F.col(c) for c in cols])
     agg = df.groupBy(*group).agg(F.max_by(rec, ordk).alias("_r"))
     return agg.select(*group, *[F.col("_r")[c].alias(prefix + c) for c in cols])
+
+
+def running_max(df: DataFrame, part: Sequence[str], order: Sequence[str],
+                value: str, out: str) -> DataFrame:
+    """``out`` = max of ``value`` (NULLs ignored; any orderable type, e.g. a
+    struct led by the order key = "last non-null") over all earlier rows of
+    the series and this one, stitched across buckets like running_sum."""
+    P = [*part, BKT]
+    tops = df.groupBy(*P).agg(F.max(value).alias("_m"))
+    ws = (Window.partitionBy(*part).orderBy(BKT)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    prefix = tops.select(*P, F.max("_m").over(ws).alias("_pm"))
+    w = (Window.partitionBy(*P).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (df.join(prefix, P, "left")
+            .withColumn(out, F.greatest(F.col("_pm"), F.max(value).over(w)))
+            .drop("_pm"))

@@ -238,6 +238,14 @@ def integrate_gapfill_le(spark, sf):
     return r6(_gapfill(spark, sf, fx.export_spec(p).with_(slots="le")))
 
 
+def integrate_gapfill_skip(spark, sf):
+    """First gap version: 'skip' policy, '<=' slots, synthetic first row
+    (checked against the sequential fold in tests; no SQL oracle)."""
+    p = fx.params(sf)
+    spec = integ.FIRST_GAP.with_(step_ms=p.step_ms)
+    return r6(integ.integrate(fx.new_day(spark, sf), fx.history(spark, sf), spec))
+
+
 def day_boundary_values(spark, sf):
     return r6(profile.day_bounds_in_band(fx.history(spark, sf), BAND_A, BAND_B))
 
@@ -383,6 +391,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "integrate_production", "integrate_carry_in", "first_row_policy", "late_rows",
         "late_rows_dropped", "gap_flags", "gap_fill_slots", "gap_profile", "band_profile",
         "integrate_gapfill", "integrate_gapfill_production", "integrate_gapfill_le",
+        "integrate_gapfill_skip",
         "day_boundary_values", "daily_bounds", "day_first_last", "daily_energy",
         "hourly_energy", "hourly_energy_map", "daily_summary", "daily_summary_backfill",
         "daily_upsert", "nearest_join", "daily_baseline_shift", "consumption_rate",
