@@ -238,6 +238,19 @@ def integrate_gapfill_le(spark, sf):
     return r6(_gapfill(spark, sf, fx.export_spec(p).with_(slots="le")))
 
 
+def integrate_keyed(spark, sf):
+    """Many series (one per user): history before SPLIT_DAY integrated per
+    series without fill, then the rest of the month integrated per series
+    with gap fill, carry-in and per-series band profiles."""
+    p = fx.params(sf)
+    k = fx.keyed(spark, sf)
+    split = F.lit(fx.SPLIT_DAY).cast("timestamp_ntz")
+    hist = written_table(spark, f"keyed_history_{p.sf}", lambda: integ.integrate(
+        k.filter(F.col("ts") < split), None, fx.history_spec(p), keys=["series"]))
+    return r6(integ.integrate(k.filter(F.col("ts") >= split), hist, fx.export_spec(p),
+                              keys=["series"]))
+
+
 def integrate_gapfill_skip(spark, sf):
     """First gap version: 'skip' policy, '<=' slots, synthetic first row
     (checked against the sequential fold in tests; no SQL oracle)."""
@@ -391,7 +404,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "integrate_production", "integrate_carry_in", "first_row_policy", "late_rows",
         "late_rows_dropped", "gap_flags", "gap_fill_slots", "gap_profile", "band_profile",
         "integrate_gapfill", "integrate_gapfill_production", "integrate_gapfill_le",
-        "integrate_gapfill_skip",
+        "integrate_gapfill_skip", "integrate_keyed",
         "day_boundary_values", "daily_bounds", "day_first_last", "daily_energy",
         "hourly_energy", "hourly_energy_map", "daily_summary", "daily_summary_backfill",
         "daily_upsert", "nearest_join", "daily_baseline_shift", "consumption_rate",
