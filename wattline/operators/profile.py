@@ -102,3 +102,22 @@ def day_bounds_in_band(ledger: DataFrame, a_us: int, b_us: int,
                  F.min_by("cumulative_sum", lo).alias("lower_value"),
                  F.max("ts").alias("upper_bound"),
                  F.max_by("cumulative_sum", lo).alias("upper_value")))
+
+
+def day_bounds_join_form(ledger: DataFrame, a_us: int, b_us: int) -> DataFrame:
+    """J1 in the reference's join form: per-day MIN/MAX ts of the band, joined
+    back to the band rows on (day, ts = bound). Duplicate boundary
+    timestamps multiply rows, as in the reference. The bounds table has one
+    row per day, so the joins never shuffle the detail rows by more than
+    (day, ts)."""
+    rows = (ledger.withColumn("tod", tod_us("ts"))
+            .filter(F.col("tod").between(a_us, b_us))
+            .select(day_of("ts").alias("day"), "ts", "cumulative_sum"))
+    bounds = rows.groupBy("day").agg(F.min("ts").alias("lower_bound"),
+                                     F.max("ts").alias("upper_bound"))
+    lv = rows.select("day", F.col("ts").alias("lower_bound"),
+                     F.col("cumulative_sum").alias("lower_value"))
+    uv = rows.select("day", F.col("ts").alias("upper_bound"),
+                     F.col("cumulative_sum").alias("upper_value"))
+    return (bounds.join(lv, ["day", "lower_bound"]).join(uv, ["day", "upper_bound"])
+            .select("day", "lower_bound", "lower_value", "upper_bound", "upper_value"))

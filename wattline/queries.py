@@ -263,6 +263,10 @@ def day_boundary_values(spark, sf):
     return r6(profile.day_bounds_in_band(fx.history(spark, sf), BAND_A, BAND_B))
 
 
+def day_boundary_values_join(spark, sf):
+    return r6(profile.day_bounds_join_form(fx.history(spark, sf), BAND_A, BAND_B))
+
+
 def daily_bounds(spark, sf):
     return rollup.daily_bounds(fx.history(spark, sf), BAND_A, BAND_B)
 
@@ -291,6 +295,15 @@ def daily_summary(spark, sf):
     return r6(_summary(spark, sf))
 
 
+def daily_summary_status(spark, sf):
+    """J6 with statuses: every date of either ledger, 'ok' or which side is
+    missing (production ledger limited to days up to the 25th so both
+    statuses occur)."""
+    prod = _production_all(spark, sf).filter(
+        F.col("ts") < F.lit("2024-01-26 00:00:00").cast("timestamp_ntz"))
+    return r6(rollup.daily_summary_status(_export_all(spark, sf), prod))
+
+
 def daily_summary_backfill(spark, sf):
     s = _summary(spark, sf)
     return r6(s.filter(F.col("date").between(F.lit("2024-01-05").cast("date"),
@@ -405,8 +418,9 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "late_rows_dropped", "gap_flags", "gap_fill_slots", "gap_profile", "band_profile",
         "integrate_gapfill", "integrate_gapfill_production", "integrate_gapfill_le",
         "integrate_gapfill_skip", "integrate_keyed",
-        "day_boundary_values", "daily_bounds", "day_first_last", "daily_energy",
-        "hourly_energy", "hourly_energy_map", "daily_summary", "daily_summary_backfill",
+        "day_boundary_values", "day_boundary_values_join", "daily_bounds", "day_first_last", "daily_energy",
+        "hourly_energy", "hourly_energy_map", "daily_summary", "daily_summary_status",
+        "daily_summary_backfill",
         "daily_upsert", "nearest_join", "daily_baseline_shift", "consumption_rate",
         "daily_consumption_rate", "weather_explode", "production_weather", "day_ticks",
         "tagged_union", "tagged_union_all_columns", "time_grid", "time_grid_hole",
