@@ -122,3 +122,15 @@ def test_skip_policy_against_fold(spark, seed):
     rows = series(rng, 150, 30)
     ledger = ledger_from(rng, spec, 400) if seed != 5 else []
     check(spark, rows, ledger, spec)
+
+
+def test_large_fill_spread_over_tasks(spark, monkeypatch):
+    """Fill slots cut into small chunks and redistributed (the path taken
+    when a batch's slot total exceeds one task's share) give the same
+    ledger."""
+    monkeypatch.setattr(integ, "SLOT_CHUNK", 7)
+    monkeypatch.setattr(integ, "SLOTS_PER_TASK", 50)
+    rng = random.Random(21)
+    spec = SPECS["export"]
+    rows = series(rng, 80, 30)
+    check(spark, rows, ledger_from(rng, spec, 200), spec)

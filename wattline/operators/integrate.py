@@ -34,6 +34,7 @@ from wattline.plans.materialize import cut
 SERIES = "_series"
 LEDGER_COLS = ["ts", "cumulative_sum", "integral", "delta", "value"]
 SLOT_CHUNK = 4096
+SLOTS_PER_TASK = 2_000_000   # fill slots generated per task
 
 
 @dataclass(frozen=True)
@@ -240,27 +241,48 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
     x = x.withColumn("_c", contrib)
     if spec.gap_fill and profile_ledger is not None:
         x = materialize(x)  # the profile join is read twice by the running sum
+    total = slot_total(x) if spec.gap_fill else 0
     x = stitch.running_sum(x, K, order, "_c", "_cum").filter(is_reading)
 
-    # fill slots: chunks of SLOT_CHUNK first, then the slots of each chunk
+    return emit_slots(x, K, keys, step_us, spec.step_ms, "_p1_ts", total)
+
+
+def emit_slots(x: DataFrame, K, keys, step_us: int, step_ms: int, prev_col: str,
+               total_slots: int) -> DataFrame:
+    """Ledger rows from integrated readings: normal readings as they are, gap
+    readings exploded into fill slots ``prev + k * step``.
+
+    A gap can stand for millions of slots while the readings are few, so the
+    partitioning the readings arrive in says nothing about the output size.
+    Gap rows are cut into chunks of at most SLOT_CHUNK slots; when the slot
+    total (measured by the caller on a materialised frame) exceeds one
+    task's share, the chunk rows are spread over an explicit partition count
+    (AQE does not coalesce it back) before the slots are generated."""
+    g = F.col("_gap")
     x = x.withColumn("_chunk", F.explode(F.sequence(
-        F.lit(0).cast("bigint"),
-        F.expr(f"div(greatest(_n - 1, 0), {SLOT_CHUNK})"))))
+        F.lit(0).cast("bigint"), F.expr(f"div(greatest(_n - 1, 0), {SLOT_CHUNK})"))))
+    if total_slots > SLOTS_PER_TASK:
+        sc = x.sparkSession.sparkContext
+        n_parts = int(min(-(-total_slots // SLOTS_PER_TASK) + 1, sc.defaultParallelism * 4))
+        x = x.repartition(n_parts, *K, "ts", "_chunk")
     x = x.withColumn("_k", F.explode(F.when(
-        F.col("_gap"),
-        F.sequence(F.col("_chunk") * SLOT_CHUNK + 1,
-                   F.least((F.col("_chunk") + 1) * SLOT_CHUNK, F.col("_n"))))
+        g, F.sequence(F.col("_chunk") * SLOT_CHUNK + 1,
+                      F.least((F.col("_chunk") + 1) * SLOT_CHUNK, F.col("_n"))))
         .otherwise(F.array(F.lit(0).cast("bigint")))))
-    g = F.col("_gap")
     return x.select(
         *keys,
-        F.when(g, add_micros("_p1_ts", F.col("_k") * step_us)).otherwise(F.col("ts")).alias("ts"),
+        F.when(g, add_micros(prev_col, F.col("_k") * step_us)).otherwise(F.col("ts")).alias("ts"),
         F.when(g, (F.col("_cum") - F.col("_c")) + F.col("_k") * F.col("_ai"))
          .otherwise(F.col("_cum")).alias("cumulative_sum"),
         F.when(g, F.col("_ai")).otherwise(F.col("_integral")).alias("integral"),
-        F.when(g, F.lit(spec.step_ms / 1000.0)).otherwise(F.col("_delta")).alias("delta"),
+        F.when(g, F.lit(step_ms / 1000.0)).otherwise(F.col("_delta")).alias("delta"),
         F.when(g, F.lit(0.0)).otherwise(F.col("value")).alias("value"),
-        F.col("ts").alias("_rts"), "_k", "_gap", *([] if keys else []))
+        F.col("ts").alias("_rts"), "_k", "_gap")
+
+
+def slot_total(x: DataFrame) -> int:
+    """Fill slots a materialised frame will emit (a cheap aggregate)."""
+    return int(x.filter(F.col("_gap")).agg(F.sum("_n")).first()[0] or 0)
 
 
 def end_state(detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

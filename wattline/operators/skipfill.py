@@ -27,7 +27,8 @@ from wattline.plans import stitch
 
 def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
                    bucket_us, bin_us, materialize) -> DataFrame:
-    from wattline.operators.integrate import _keys, _small, clamp, ledger_state, SLOT_CHUNK
+    from wattline.operators.integrate import (
+        _keys, _small, clamp, emit_slots, ledger_state, slot_total)
     keyed = bool(keys)
     r, K = _keys(readings.select(*keys, "ts", "value"), keys)
     r = r.select(*K, "ts", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"))
@@ -142,20 +143,6 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
                      .when(F.col("_gap"), F.col("_n") * F.col("_ai"))
                      .otherwise(F.col("_integral")))
     y = materialize(y)
+    total = slot_total(y)
     y = stitch.running_sum(y, K, order, "_c", "_cum").filter(is_reading & ~F.col("_skip"))
-    y = y.withColumn("_chunk", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.expr(f"div(greatest(_n - 1, 0), {SLOT_CHUNK})"))))
-    y = y.withColumn("_k", F.explode(F.when(
-        F.col("_gap"), F.sequence(F.col("_chunk") * SLOT_CHUNK + 1,
-                                  F.least((F.col("_chunk") + 1) * SLOT_CHUNK, F.col("_n"))))
-        .otherwise(F.array(F.lit(0).cast("bigint")))))
-    g = F.col("_gap")
-    return y.select(
-        *keys,
-        F.when(g, add_micros("_pt", F.col("_k") * step_us)).otherwise(F.col("ts")).alias("ts"),
-        F.when(g, (F.col("_cum") - F.col("_c")) + F.col("_k") * F.col("_ai"))
-         .otherwise(F.col("_cum")).alias("cumulative_sum"),
-        F.when(g, F.col("_ai")).otherwise(F.col("_integral")).alias("integral"),
-        F.when(g, F.lit(spec.step_ms / 1000.0)).otherwise(F.col("_delta")).alias("delta"),
-        F.when(g, F.lit(0.0)).otherwise(F.col("value")).alias("value"),
-        F.col("ts").alias("_rts"), "_k", "_gap")
+    return emit_slots(y, K, keys, step_us, spec.step_ms, "_pt", total)
