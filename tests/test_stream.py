@@ -68,3 +68,20 @@ def test_multi_day_batch_matches_day_batches(spark):
     got = spark.read.parquet(a.ledger_path).count()
     assert got > r.count() * 0.5
     pytest.importorskip("duckdb")
+
+
+def test_late_rows_dropped_and_counted(spark):
+    p = fx.params(SF)
+    base = scratch_path(spark, f"test-late-{uuid.uuid4().hex[:6]}")
+    job = jobs.IntegrationJob(name="late", spec=fx.export_spec(p), ledger_path=f"{base}/ledger",
+                              marker_path=f"{base}/marker", run_log_path=f"{base}/runs",
+                              state_path=f"{base}/state", late="drop")
+    r = fx.readings(spark, SF)
+    newer = r.filter(F.to_date("ts") == F.lit("2024-01-05").cast("date"))
+    older = r.filter(F.to_date("ts") == F.lit("2024-01-04").cast("date"))
+    job(newer, 0)
+    before = spark.read.parquet(job.ledger_path).count()
+    job(older, 1)          # arrives after a newer batch: every row is late
+    assert spark.read.parquet(job.ledger_path).count() == before
+    m = {x.batch_id: x.late_dropped for x in spark.read.parquet(job.marker_path).collect()}
+    assert m[1] == older.count() and m[0] == 0

@@ -126,9 +126,20 @@ class IntegrationJob:
         written = spark.read.parquet(self.ledger_path).filter(F.col("batch_id") == batch_id)
         self._write_state(spark, written.select(*self.keys, *integ.LEDGER_COLS),
                           committed_state=state0, batch_id=batch_id)
+        late_dropped = 0
+        if self.late == "drop" and state0 is not None:
+            # Rows not newer than the carried state are dropped, and counted
+            K = list(self.keys)
+            if K:
+                late = rows.join(state0.select(*K, "s_ts"), K, "inner")
+            else:   # one series: its state is a single timestamp
+                s_ts = state0.select("s_ts").first()
+                late = rows.withColumn("s_ts", F.lit(s_ts[0] if s_ts else None)
+                                       .cast("timestamp_ntz"))
+            late_dropped = late.filter(F.col("ts") <= F.col("s_ts")).count()
         marker = spark.createDataFrame(
-            [(int(m["row_count"]), m["first_ts"], m["last_ts"])],
-            "row_count bigint, first_ts timestamp_ntz, last_ts timestamp_ntz") \
+            [(int(m["row_count"]), m["first_ts"], m["last_ts"], int(late_dropped))],
+            "row_count bigint, first_ts timestamp_ntz, last_ts timestamp_ntz, late_dropped bigint") \
             .withColumn("processed_at", F.current_timestamp())
         sinks.write_batch_table(marker, self.marker_path, batch_id)
         self.statuses.append("ok")
