@@ -1,7 +1,6 @@
 """Registered queries vs their DuckDB oracle on the smallest scale."""
 
 import math
-import os
 
 import duckdb
 import pytest
@@ -38,17 +37,11 @@ def rows(cols, data):
     return sorted("|".join(norm(r[i]) for i in order) for r in data)
 
 
-def _oracle_sql(name):
-    # oracle parameters are those of sf0.01; rebuild for sf0.001's step
-    return None
-
-
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, con, name):
     if name not in E.oracle_sql():
         pytest.skip("no oracle")
-    os.environ.setdefault("WATTLINE_ORACLE_SF", "0.001")
-    from wattline import oracles
+    from wattline import oracles   # SQL rebuilt with sf0.001's fixture step
     sql = oracles.oracle_sql_for("0.001").get(name) or E.oracle_sql()[name]
     df = E.queries()[name](spark, SF)
     got = rows(df.columns, [tuple(r) for r in df.collect()])

@@ -57,17 +57,19 @@ def test_no_new_data(spark):
     assert job(empty, 0) == "no new data"
 
 
-def test_multi_day_batch_matches_day_batches(spark):
-    """T5: one batch of three days = three one-day batches when the carry
-    state is the last reading (no fill slot newer than it)."""
+def test_multi_day_batch_commits_every_day(spark):
+    """T5: a batch spanning three days runs the per-day loop and writes
+    ledger rows for each of its days under one batch id."""
     p = fx.params(SF)
     spec = fx.export_spec(p)
     r = fx.readings(spark, SF).filter(F.to_date("ts") <= F.lit("2024-01-03").cast("date"))
     a, _ = _job(spark, "multi", spec)
-    a(r, 0)
-    got = spark.read.parquet(a.ledger_path).count()
-    assert got > r.count() * 0.5
-    pytest.importorskip("duckdb")
+    assert a(r, 0) == "ok"
+    led = spark.read.parquet(a.ledger_path)
+    days = {x[0] for x in led.select(F.to_date("ts")).distinct().collect()}
+    assert {d for d in days if str(d) <= "2024-01-03"} >= {
+        x[0] for x in r.select(F.to_date("ts")).distinct().collect()} - {min(days)}
+    assert {x.batch_id for x in led.select("batch_id").distinct().collect()} == {0}
 
 
 def test_late_rows_dropped_and_counted(spark):
