@@ -8,6 +8,7 @@ import pytest
 import xxhash
 
 from wattline.llm import simhash
+from wattline.llm.common import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string"
 

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from wattline.llm import simhash
+from wattline.llm import html, huffman, mix, secrets, shard, simhash, toxicity
 
 
 def catalog() -> dict:
     return {
+        "op1_mix_sources": mix.query,
+        "op2_toxicity_grammar": toxicity.query,
+        "op3_secret_novelty": secrets.query,
+        "op5_sampled_splitter_shards": shard.query,
+        "op6_html_line_blocks": html.query,
+        "op7_huffman_token_ids": huffman.query,
         "op10_simhash_near_dedup": simhash.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mix_sources": mix.SQL}
