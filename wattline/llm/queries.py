@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattline.llm import html, huffman, mix, secrets, shard, simhash, toxicity
+from wattline.llm import decontaminate, html, huffman, mix, secrets, shard, simhash, toxicity
 
 
 def catalog() -> dict:
@@ -10,6 +10,7 @@ def catalog() -> dict:
         "op1_mix_sources": mix.query,
         "op2_toxicity_grammar": toxicity.query,
         "op3_secret_novelty": secrets.query,
+        "op4_decontaminate_qgrams": decontaminate.query,
         "op5_sampled_splitter_shards": shard.query,
         "op6_html_line_blocks": html.query,
         "op7_huffman_token_ids": huffman.query,
