@@ -1,9 +1,10 @@
 """Token-id files: canonical length-limited Huffman codes in checkpointed blocks.
 
-Two passes over the texts: the first counts every id, the second writes each
-document's ids as a bit string under the code of the global counts. Texts are
-cut at spaces and line feeds, which never lie inside a token of this kind of
-tokenizer, and each piece is encoded by the tokenizers library once per task.
+One pass over the texts writes their ids as plain numbers, a second counts
+every id, a third writes each document's ids as a bit string under the code of
+the global counts. Texts are cut at spaces and line feeds, which never lie
+inside a token of this kind of tokenizer; the tokenizers library encodes each
+distinct part of the pieces once per task, as far as the memo reaches.
 
 A file row is a segment: documents in ascending doc_id order, each starting at
 a byte, with the bit offset of every block of BLOCK ids (a block ends with its
@@ -20,24 +21,26 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import shared_dir, table
+from wattline.llm.common import cut, shared_dir, table
 
 END = 1
 LIMIT = 18          # longest code in bits
 BLOCK = 512         # ids between two checkpoints
 SEGMENT = 1 << 19   # bytes of a segment, about
 PART = 2048         # documents of a file part, about
-CHARS = 1 << 21     # characters encoded at once
-MEMO = 400_000      # pieces remembered by a task; a full memo starts anew
+CHARS = 1 << 24     # bytes of text encoded at once
+MEMO = 500_000      # parts of pieces remembered by a task; a full memo starts anew
 
 
 def word_tokenizer() -> str:
@@ -45,58 +48,92 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: A word of Latin letters, each of which the tokenizer keeps in one run, and
+#: punctuation after it; such a piece has the ids of both parts in turn.
+PIECE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
 class Pieces:
-    """Ids of texts, through a memo of the ids of their pieces."""
+    """Ids of texts by the tokenizers library, through a memo of the ids of their parts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = {"": 0}
         self.ids = np.empty(0, np.uint32)
-        self.start = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
-
-    def places(self, pieces: list[str]) -> np.ndarray:
+        self.start, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def learn(self, words: list[str], others: list[str]) -> None:
+        """Memo the ids of parts: words go to the library joined, which is much faster."""
+        ids, size = [self.ids], []
+        for at in range(0, len(words), 20_000):
+            part = words[at:at + 20_000]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            n = np.bincount(np.array(e.word_ids, np.int64))
+            if len(n) == len(part):
+                ids.append(np.array(e.ids, np.uint32))
+                size.append(n)
+            else:
+                self._each(part, ids, size)
+        self._each(others, ids, size)
+        new = np.concatenate([np.empty(0, np.int64), *size])
+        self.index.update(zip(words + others, range(len(self.index), len(self.index) + len(new)), strict=True))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(new) - new])
+        self.size = np.concatenate([self.size, new])
+        self.ids = np.concatenate(ids)
+
+    def _each(self, parts: list[str], ids: list, size: list) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        ids.append(np.fromiter((x for f in found for x in f), np.uint32))
+        size.append(np.fromiter(map(len, found), np.int64, len(found)))
+
+    def parts(self, pieces: list[str]) -> np.ndarray:
+        """Places of two parts for each piece, the second of many empty."""
         if len(self.index) > MEMO:
             self.clear()
-        new = list(set(pieces) - self.index.keys())
-        if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.ids = np.concatenate([self.ids, np.fromiter((x for f in found for x in f), np.uint32, int(size.sum()))])
-        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
-
-    def count(self, texts: list[str], into: np.ndarray) -> None:
-        pieces = [p for t in texts for p in split(t)]
-        seen = np.bincount(self.places(pieces), minlength=len(self.index))
-        into += np.bincount(self.ids, np.repeat(seen, self.size), len(into)).astype(np.int64)
-        into[END] += len(texts)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        heads, tails, words, others = [], [], set(), set()
+        known, match = self.index, PIECE.fullmatch
+        for p in pieces:
+            if m := match(p):
+                head, tail = m[1].lower(), m[2]
+                if head not in known:
+                    words.add(head)
+            else:
+                head, tail = p, ""
+                if head not in known:
+                    others.add(head)
+            if tail and tail not in known:
+                others.add(tail)
+            heads.append(head)
+            tails.append(tail)
+        if words or others:
+            self.learn(sorted(words), sorted(others - words))
+        out = np.empty(2 * len(pieces), np.int64)
+        out[0::2] = np.fromiter(map(known.__getitem__, heads), np.int64, len(pieces))
+        out[1::2] = np.fromiter(map(known.__getitem__, tails), np.int64, len(pieces))
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each document closed by END, and the number of ids of each."""
-        pieces, n = [], []
-        for t in texts:
-            p = split(t)
-            pieces += p
-            n.append(len(p))
-        at = self.places(pieces)
-        size = self.size[at]
-        ends = np.cumsum(size)
-        ids = self.ids[np.arange(int(size.sum())) + np.repeat(self.start[at] - (ends - size), size)]
-        doc_end = np.concatenate([[0], ends])[np.cumsum(n)]
-        return np.insert(ids, doc_end, END), np.diff(doc_end, prepend=0) + 1
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        parts = self.parts(coded.dictionary.to_pylist())
+        ids = ragged(self.ids, self.start[parts], self.size[parts])
+        size = self.size[parts].reshape(-1, 2).sum(axis=1)
+        start = np.cumsum(size) - size
+        at = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(size[at])])[np.cumsum(pc.list_value_length(lists).to_numpy())]
+        return np.insert(ragged(ids, start[at], size[at]), ends, END), np.diff(ends, prepend=0) + 1
 
 
-def split(text: str) -> list[str]:
-    return text.replace("\n", " ").split(" ")
+def ragged(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """values[start:start + size] of all runs, end to end."""
+    ends = np.cumsum(size)
+    return values[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -104,18 +141,15 @@ def pieces_of(path: str) -> Pieces:
     return Pieces(path)
 
 
-def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """(doc ids, texts) of about CHARS characters at a time."""
-    for b in batches:
-        ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-        at = 0
-        while at < len(texts):
-            to, chars = at, 0
-            while to < len(texts) and (to == at or chars + len(texts[to]) <= CHARS):
-                chars += len(texts[to])
-                to += 1
-            yield ids[at:to], texts[at:to]
-            at = to
+def groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about CHARS bytes of text at a time."""
+    size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+    run = np.cumsum(size)
+    at = 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(run, run[at] - size[at] + CHARS, "right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -168,8 +202,8 @@ def decoder(lengths: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
 
 
 def pack(ids: np.ndarray, n: np.ndarray, codes: np.ndarray, lengths: np.ndarray
-         ) -> tuple[bytes, np.ndarray, list[np.ndarray]]:
-    """Bits of all documents, the first byte of each and the end, checkpoints of each."""
+         ) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """Bits of all documents, the first byte of each and the end, all checkpoints and the number of each."""
     size = lengths[ids]
     run = np.concatenate([[0], np.cumsum(size)])
     ends = np.cumsum(n)
@@ -182,8 +216,9 @@ def pack(ids: np.ndarray, n: np.ndarray, codes: np.ndarray, lengths: np.ndarray
     total = int(byte[-1] + 3) // 4 + 2
     out = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), total) + \
         np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), total)
-    marks = [inside[a:b:BLOCK] for a, b in zip(first, ends, strict=True)]
-    return out.astype(np.uint64).astype(">u4").tobytes(), byte, marks
+    blocks = (n + BLOCK - 1) // BLOCK
+    heads = np.repeat(first, blocks) + (np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * BLOCK
+    return out.astype(np.uint64).astype(">u4").tobytes(), byte, inside[heads], blocks
 
 
 def unpack(payload: bytes, marks: np.ndarray, n: np.ndarray, table: tuple) -> np.ndarray:
@@ -210,17 +245,50 @@ def unpack(payload: bytes, marks: np.ndarray, n: np.ndarray, table: tuple) -> np
     return out
 
 
-def count_ids(docs: DataFrame, path: str) -> np.ndarray:
-    """Occurrences of each id over all documents; the vocabulary bounds the result."""
+def tokenized(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n, ids): ids as little-endian numbers of 16 bits, or 32 for a vocabulary beyond."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces_of(path)
-        seen = np.zeros(p.vocabulary, np.int64)
-        for _, texts in groups(batches):
-            p.count(texts, seen)
+        kind = id_type(p.tokenizer.get_vocab_size(with_added_tokens=True))
+        for batch in batches:
+            for b in groups(batch):
+                ids, n = p.encode(b.column(1))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), rows_of(ids.astype(kind), n)], ["doc_id", "n", "ids"])
+
+    return docs.mapInArrow(run, "doc_id long, n int, ids binary")
+
+
+def id_type(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def rows_of(values: np.ndarray, n: np.ndarray) -> pa.Array:
+    """A binary row for each n values."""
+    data = values.tobytes()
+    ends = np.concatenate([[0], np.cumsum(n)]) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+def values_of(column: pa.Array, kind: str) -> np.ndarray:
+    """All values of the binary rows, end to end."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    if not len(column) or offsets[0] == offsets[-1]:
+        return np.empty(0, kind)
+    return np.frombuffer(memoryview(column.buffers()[2])[int(offsets[0]):int(offsets[-1])], kind)
+
+
+def count_ids(tokens: DataFrame, kind: str) -> np.ndarray:
+    """Occurrences of each id over all documents; the vocabulary bounds the result."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1, np.int64)
+        for b in batches:
+            more = np.bincount(values_of(b.column(0), kind), minlength=len(seen))
+            more[:len(seen)] += seen
+            seen = more
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    found = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([END, *(r["id"] for r in found)]) + 1, np.int64)
     for r in found:
         counts[r["id"]] = r["n"]
@@ -231,25 +299,27 @@ def write_ids(docs: DataFrame, tokenizer: str, out: str, limit: int = LIMIT) ->
     """Write the ids of docs (doc_id, text) under ``out`` as code/ and segments/."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    lengths = code_lengths(count_ids(docs, tokenizer), limit)
+    tokens = cut(tokenized(docs, tokenizer), "tokens")
+    kind = id_type(pieces_of(tokenizer).tokenizer.get_vocab_size(with_added_tokens=True))
+    lengths = code_lengths(count_ids(tokens, kind), limit)
     codes = canonical(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id long, length int") \
         .coalesce(1).write.parquet(f"{out}/code")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = pieces_of(tokenizer)
-        for doc_ids, texts in groups(batches):
-            ids, n = p.encode(texts)
-            payload, byte, marks = pack(ids, n, codes, lengths)
+        for b in batches:
+            ids, n = values_of(b.column(2), kind), b.column(1).to_numpy().astype(np.int64)
+            if not len(n):
+                continue
+            payload, byte, marks, blocks = pack(ids, n, codes, lengths)
             yield pa.RecordBatch.from_arrays([
-                pa.array(doc_ids, pa.int64()), pa.array(n, pa.int32()),
-                pa.array([payload[a:b] for a, b in zip(byte[:-1].tolist(), byte[1:].tolist(), strict=True)], pa.binary()),
-                pa.array([m.astype("<i8").tobytes() for m in marks], pa.binary())], ["doc_id", "n", "payload", "marks"])
+                b.column(0), b.column(1), rows_of(np.frombuffer(payload, np.uint8)[:byte[-1]], np.diff(byte)),
+                rows_of(marks.astype("<i8"), blocks)], ["doc_id", "n", "payload", "marks"])
 
     # parts of ascending doc ids from quantiles of the ids alone, so that no text is read for them
-    rows = docs.count()
+    rows = tokens.count()
     parts = max(1, min(rows // PART, 1 << 14))
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 20 * parts + 1000)).first()[0]
+    bounds = tokens.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 20 * parts + 1000)).first()[0]
     bounds = sorted({b for b in bounds or [] if b is not None}) if parts > 1 else []
     from wattline.llm.shard import range_of
     part = F.coalesce(range_of(F.col("doc_id"), bounds), F.lit(0)).cast("int")
@@ -279,7 +349,7 @@ def write_ids(docs: DataFrame, tokenizer: str, out: str, limit: int = LIMIT) ->
         if ids:
             yield close()
 
-    docs.mapInArrow(encode, "doc_id long, n int, payload binary, marks binary").withColumn("part", part) \
+    tokens.mapInArrow(encode, "doc_id long, n int, payload binary, marks binary").withColumn("part", part) \
         .repartition("part").sortWithinPartitions("part", "doc_id", "n", "payload") \
         .mapInArrow(segments, "part int, seg int, doc_ids array<long>, n array<int>, marks binary, payload binary") \
         .write.option("compression", "uncompressed").parquet(f"{out}/segments")
