@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattline.llm import decontaminate, html, huffman, mix, secrets, shard, simhash, toxicity
+from wattline.llm import covertree, decontaminate, html, huffman, mix, secrets, shard, simhash, toxicity
 
 
 def catalog() -> dict:
@@ -14,9 +14,10 @@ def catalog() -> dict:
         "op5_sampled_splitter_shards": shard.query,
         "op6_html_line_blocks": html.query,
         "op7_huffman_token_ids": huffman.query,
+        "op9_cover_tree_top_k": covertree.query,
         "op10_simhash_near_dedup": simhash.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mix.SQL}
+    return {"op1_mix_sources": mix.SQL, "op9_cover_tree_top_k": covertree.SQL}
