@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattline.llm import covertree, decontaminate, html, huffman, mix, secrets, shard, simhash, toxicity
+from wattline.llm import covertree, decontaminate, html, huffman, lines, mix, secrets, shard, simhash, toxicity
 
 
 def catalog() -> dict:
@@ -14,6 +14,7 @@ def catalog() -> dict:
         "op5_sampled_splitter_shards": shard.query,
         "op6_html_line_blocks": html.query,
         "op7_huffman_token_ids": huffman.query,
+        "op8_fuzzy_line_dedup": lines.query,
         "op9_cover_tree_top_k": covertree.query,
         "op10_simhash_near_dedup": simhash.query,
     }
