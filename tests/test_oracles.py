@@ -41,8 +41,7 @@ def rows(cols, data):
 def test_query_matches_oracle(spark, con, name):
     if name not in E.oracle_sql():
         pytest.skip("no oracle")
-    from wattline import oracles   # SQL rebuilt with sf0.001's fixture step
-    sql = oracles.oracle_sql_for("0.001").get(name) or E.oracle_sql()[name]
+    sql = E.oracle_sql()[name]
     df = E.queries()[name](spark, SF)
     got = rows(df.columns, [tuple(r) for r in df.collect()])
     res = con.execute(sql)

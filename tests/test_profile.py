@@ -1,4 +1,4 @@
-"""Binned interval-stabbing band profile vs a brute-force band scan."""
+"""Band profile vs a brute-force band scan."""
 
 import random
 from datetime import datetime, timedelta
@@ -25,7 +25,7 @@ def test_band_profile_brute_force(spark):
         bands.append((a, min(b, 86_399_999_999)))
     ldf = spark.createDataFrame([(t, c) for t, c in ledger], "ts timestamp_ntz, cumulative_sum double")
     gdf = spark.createDataFrame(bands, "a long, b long")
-    got = {(r.a, r.b): (r.days, r.profile) for r in profile.band_profile(gdf, ldf, bin_us=900_000_000).collect()}
+    got = {(r.a, r.b): (r.days, r.profile) for r in profile.band_profile(gdf, ldf).collect()}
     for a, b in bands:
         exp = fold.band_profile(ledger, a, b) if a <= b else None
         if exp is None:

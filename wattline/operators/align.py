@@ -1,54 +1,73 @@
 """Aligning two ledgers in time.
 
-The reference joins on ``ABS(DATEDIFF(ms, a, b)) <= tol``, a theta join that
-Catalyst can only run as a nested loop. Here both sides are cut into
-``tol``-wide time bins, the right side is copied into its neighbour bins
-(-1, 0, +1), and the join is an equi-join on the bin with the exact
-distance test as a residual. The best partner per left timestamp is a
-``min_by`` aggregate, so no left row's candidates are ever sorted as a group.
+The nearest partner of a row is the last one before it or the first one after
+it. So the right side is put among the left rows in time order and a running
+maximum, forward and backward, carries the latest right row along: at most two
+candidates per left row, linear work at any tolerance, and the running maxima
+are stitched across time buckets. Distances count whole milliseconds, so right
+rows of one millisecond are equally near; the earliest stands for them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.timefns import day_of, epoch_millis
+from wattline.functions.timefns import day_of, diff_millis, epoch_millis
+from wattline.plans import stitch
+
+BUCKET_MS = 3_600_000
+
+
+def _carried(rows: DataFrame, K: list[str], back: bool, out: str) -> DataFrame:
+    """``out``: of each row, the right row (ms, ts, sum) last before, or with
+    ``back`` first after it, itself included."""
+    sign = -1 if back else 1
+    rows = rows.withColumn("_t", F.lit(sign) * F.col("_ms")) \
+        .withColumn("_rec", F.when(F.col("_o") == 0, F.struct("_t", "_ts", "_sum"))) \
+        .withColumn(stitch.BKT, F.floor(F.col("_t") / F.lit(BUCKET_MS)).cast("bigint"))
+    return stitch.running_max(stitch.partition_by_bucket(rows, K), K, ["_t", "_o"], "_rec", out) \
+        .drop("_t", "_rec", stitch.BKT)
 
 
 def nearest_join(left: DataFrame, right: DataFrame, tol_ms: int,
-                 start: Column | None = None) -> DataFrame:
+                 start: Column | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """J2 + W7: for every left (export) timestamp the right (production) row
     nearest in time within ``tol_ms`` (ties: earlier right ts, then lower
-    sum). Left rows without a partner are dropped (inner join)."""
-    lf = left.select(F.col("ts").alias("export_ts"),
-                     F.col("cumulative_sum").alias("export_sum"))
+    sum). Left rows without a partner are dropped (inner join). ``start``
+    leaves earlier left rows out; ``keys`` align series by series."""
+    K = list(keys) or ["_series"]
+    if not keys:
+        left, right = (df.withColumn("_series", F.lit(0)) for df in (left, right))
     if start is not None:
-        lf = lf.filter(F.col("export_ts") >= start)
-    lf = lf.withColumn("_lms", epoch_millis("export_ts")) \
-           .withColumn("_bin", F.floor(F.col("_lms") / F.lit(tol_ms)))
-    rt = (right.select(F.col("ts").alias("production_ts"),
-                       F.col("cumulative_sum").alias("production_sum"))
-          .withColumn("_rms", epoch_millis("production_ts"))
-          .withColumn("_bin", F.explode(F.array(
-              *[F.floor(F.col("_rms") / F.lit(tol_ms)) + d for d in (-1, 0, 1)]))))
-    pairs = (lf.join(rt, "_bin")
-             .withColumn("_dist", F.abs(F.col("_rms") - F.col("_lms")))
-             .filter(F.col("_dist") <= tol_ms))
-    best = pairs.groupBy("export_ts").agg(F.min_by(
-        F.struct("export_sum", "production_ts", "production_sum"),
-        F.struct("_dist", "production_ts", "production_sum", "export_sum")).alias("m"))
-    return best.select("export_ts", "m.export_sum", "m.production_ts", "m.production_sum")
-
-
-def baseline_shift(df: DataFrame, ts: str, cols: list[str], suffix: str = "_shift") -> DataFrame:
-    """Per calendar day of ``ts``, each column minus its value at the
-    day's first row. The first row per day is a ``min_by`` aggregate joined
+        left = left.filter(F.col("ts") >= start)
+    lf = left.filter(F.col("ts").isNotNull()).groupBy(*K, "ts").agg(F.min("cumulative_sum").alias("_sum")) \
+        .select(*K, epoch_millis("ts").alias("_ms"), F.lit(1).alias("_o"), F.col("ts").alias("_ts"), "_sum")
+    first = F.min(F.struct("ts", "cumulative_sum")).alias("r")
+    rt = right.filter(F.col("ts").isNotNull()).groupBy(*K, epoch_millis("ts").alias("_ms")).agg(first) \
+        .select(*K, "_ms", F.lit(0).alias("_o"), F.col("r.ts").alias("_ts"), F.col("r.cumulative_sum").alias("_sum"))
+    rows = _carried(_carried(lf.unionByName(rt), K, False, "_before"), K, True, "_after")
+
+    def candidate(c):
+        far = F.abs(diff_millis("_ts", F.col(c)["_ts"]))
+        return F.when(far <= tol_ms, F.struct(far.alias("far"), F.col(c)["_ts"].alias("ts"), F.col(c)["_sum"].alias("sum")))
+    best = rows.filter(F.col("_o") == 1).withColumn("m", F.least(candidate("_before"), candidate("_after"))) \
+        .filter(F.col("m").isNotNull())
+    return best.select(*keys, F.col("_ts").alias("export_ts"), F.col("_sum").alias("export_sum"),
+                       F.col("m.ts").alias("production_ts"), F.col("m.sum").alias("production_sum"))
+
+
+def baseline_shift(df: DataFrame, ts: str, cols: list[str], suffix: str = "_shift",
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """Per calendar day of ``ts`` (and series), each column minus its value
+    at the day's first row. The first row per day is a ``min_by`` aggregate joined
     back (one row per day), not a window over the whole day."""
     d = df.withColumn("_day", day_of(ts))
-    firsts = d.groupBy("_day").agg(*[
+    firsts = d.groupBy(*keys, "_day").agg(*[
         F.min_by(c, F.struct(ts, c)).alias(f"_first_{c}") for c in cols])
-    out = d.join(firsts, "_day", "left")
+    out = d.join(firsts, [*keys, "_day"], "left")
     for c in cols:
         out = out.withColumn(c + suffix, F.col(c) - F.col(f"_first_{c}"))
     return out.drop("_day", *[f"_first_{c}" for c in cols])
@@ -61,9 +80,9 @@ def consumption_rate(aligned: DataFrame) -> DataFrame:
         F.col("production_sum") - F.col("export_sum"), F.col("production_sum")))
 
 
-def daily_consumption_rate(aligned: DataFrame) -> DataFrame:
+def daily_consumption_rate(aligned: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The same rate on day-baseline-shifted sums (0 and +-inf -> NULL)."""
-    s = baseline_shift(aligned, "export_ts", ["export_sum", "production_sum"])
+    s = baseline_shift(aligned, "export_ts", ["export_sum", "production_sum"], keys=keys)
     return s.withColumn("daily_rate", F.try_divide(
         F.col("production_sum_shift") - F.col("export_sum_shift"),
         F.col("production_sum_shift")))

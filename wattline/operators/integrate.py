@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.timefns import (
@@ -34,7 +34,6 @@ from wattline.plans.materialize import cut
 SERIES = "_series"
 LEDGER_COLS = ["ts", "cumulative_sum", "integral", "delta", "value"]
 SLOT_CHUNK = 4096
-SLOTS_PER_TASK = 2_000_000   # fill slots generated per task
 
 
 @dataclass(frozen=True)
@@ -107,7 +106,6 @@ def integrate(readings: DataFrame, ledger: DataFrame | None = None,
               profile_ledger: DataFrame | None = None,
               late: str = "keep",
               bucket_us: int = 3_600_000_000,
-              bin_us: int = prof.DEFAULT_BIN_US,
               materialize=cut) -> DataFrame:
     """Integrate ``readings`` (keys, ts, value) into ledger rows.
 
@@ -117,14 +115,13 @@ def integrate(readings: DataFrame, ledger: DataFrame | None = None,
     value.
     """
     out = integrate_detail(readings, ledger, spec, keys, state, profile_ledger,
-                           late, bucket_us, bin_us, materialize)
+                           late, bucket_us, materialize)
     return out.select(*keys, *LEDGER_COLS)
 
 
 def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
                      state=None, profile_ledger=None, late="keep",
-                     bucket_us=3_600_000_000, bin_us=prof.DEFAULT_BIN_US,
-                     materialize=cut) -> DataFrame:
+                     bucket_us=3_600_000_000, materialize=cut) -> DataFrame:
     """As :func:`integrate`, plus ``_rts`` (reading time), ``_k`` (slot) and
     ``_gap`` for callers that carry state between batches.
 
@@ -134,7 +131,7 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
     if spec.gap_fill and spec.empty_profile == "skip":
         from wattline.operators.skipfill import integrate_skip
         return integrate_skip(readings, ledger, spec, keys, state,
-                              profile_ledger, late, bucket_us, bin_us, materialize)
+                              profile_ledger, late, bucket_us, materialize)
     keyed = bool(keys)
     r, K = _keys(readings.select(*keys, "ts", "value"), keys)
     r = r.select(*K, "ts", F.coalesce(F.col("value").cast("double"),
@@ -170,24 +167,12 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
         F.when(has_state, F.coalesce("s_value", F.lit(0.0))).otherwise(F.lit(0.0)).alias("_seed_v"),
         F.when(has_state, F.col("s_cum")).otherwise(F.lit(0.0)).alias("_seed_c"))
 
-    need_join = spec.first_row == "drop" or late == "drop"
-    if need_join:
-        r = r.join(_small(seeds.select(*K, "f_ts", "s_ts", "_drop_first"), not keyed),
-                   K, "left")
-        cond = F.lit(True)
-        if spec.first_row == "drop":
-            cond = cond & ~(F.col("_drop_first") & (F.col("ts") == F.col("f_ts")))
-        if late == "drop":
-            cond = cond & (F.col("s_ts").isNull() | (F.col("ts") > F.col("s_ts")))
-        r = r.filter(cond).select(*K, "ts", "value")
+    if late == "drop":
+        r = r.join(_small(seeds.select(*K, "s_ts"), not keyed), K, "left") \
+            .filter(F.col("s_ts").isNull() | (F.col("ts") > F.col("s_ts"))).select(*K, "ts", "value")
 
-    rows = r.select(*K, "ts", "value", stitch.bucket_expr("ts", bucket_us),
-                    F.lit(1).alias("_o"), F.lit(0.0).alias("_c0"))
-    seed_rows = seeds.select(*K, F.col("_seed_ts").alias("ts"), F.col("_seed_v").alias("value"),
-                             stitch.bucket_expr("f_ts", bucket_us),
-                             F.lit(0).alias("_o"), F.col("_seed_c").alias("_c0"))
-    allrows = stitch.partition_by_bucket(rows.unionByName(seed_rows), K)
     order = ["_o", "ts", "value"]
+    allrows = with_seeds(r, seeds, K, order, bucket_us, spec.first_row == "drop")
     lagged = stitch.halo_lags(allrows, K, order, ["ts", "value", "_o"], depth=2)
 
     is_reading = F.col("_o") == 1
@@ -220,7 +205,7 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
         if profile_ledger is not None:
             pl, _ = _keys(profile_ledger, keys)
             gaps = x.filter(F.col("_gap")).select(*K, "a", "b")
-            profile = prof.band_profile(gaps, pl, K, bin_us).select(*K, "a", "b", "profile")
+            profile = prof.band_profile(gaps, pl, K).select(*K, "a", "b", "profile")
             x = x.join(profile, [*K, "a", "b"], "left")
         else:
             x = x.withColumn("profile", F.lit(None).cast("double"))
@@ -241,30 +226,46 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
     x = x.withColumn("_c", contrib)
     if spec.gap_fill and profile_ledger is not None:
         x = materialize(x)  # the profile join is read twice by the running sum
-    total = slot_total(x) if spec.gap_fill else 0
     x = stitch.running_sum(x, K, order, "_c", "_cum").filter(is_reading)
 
-    return emit_slots(x, K, keys, step_us, spec.step_ms, "_p1_ts", total)
+    return emit_slots(x, K, keys, step_us, spec.step_ms, "_p1_ts", spec.gap_fill)
+
+
+def with_seeds(r: DataFrame, seeds: DataFrame, K, order, bucket_us: int, drop: bool) -> DataFrame:
+    """Readings and one seed row per series, partitioned by (series, bucket).
+
+    A seed lies in the bucket of the first reading and sorts before it, so the
+    reading that ``first_row='drop'`` skips is the row right after such a
+    seed: one row, also when several share the first timestamp."""
+    rows = r.select(*K, "ts", "value", stitch.bucket_expr("ts", bucket_us),
+                    F.lit(1).alias("_o"), F.lit(0.0).alias("_c0"), F.lit(False).alias("_d"))
+    seed_rows = seeds.select(*K, F.col("_seed_ts").alias("ts"), F.col("_seed_v").alias("value"),
+                             stitch.bucket_expr("f_ts", bucket_us), F.lit(0).alias("_o"),
+                             F.col("_seed_c").alias("_c0"), F.col("_drop_first").alias("_d"))
+    out = stitch.partition_by_bucket(rows.unionByName(seed_rows), K)
+    if drop:
+        w = Window.partitionBy(*K, stitch.BKT).orderBy(*order)
+        out = out.withColumn("_skip", F.coalesce(F.lag("_d").over(w), F.lit(False))).filter(~F.col("_skip"))
+    return out.drop("_d", "_skip")
 
 
 def emit_slots(x: DataFrame, K, keys, step_us: int, step_ms: int, prev_col: str,
-               total_slots: int) -> DataFrame:
+               fill: bool = True) -> DataFrame:
     """Ledger rows from integrated readings: normal readings as they are, gap
     readings exploded into fill slots ``prev + k * step``.
 
     A gap can stand for millions of slots while the readings are few, so the
     partitioning the readings arrive in says nothing about the output size.
-    Gap rows are cut into chunks of at most SLOT_CHUNK slots; when the slot
-    total (measured by the caller on a materialised frame) exceeds one
-    task's share, the chunk rows are spread over an explicit partition count
-    (AQE does not coalesce it back) before the slots are generated."""
+    Gap rows are cut into chunks of at most SLOT_CHUNK slots, and the chunks
+    are spread over spark.sql.shuffle.partitions tasks before the slots are
+    generated; the explicit number keeps AQE from merging them by the size of
+    the chunk rows."""
     g = F.col("_gap")
     x = x.withColumn("_chunk", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.expr(f"div(greatest(_n - 1, 0), {SLOT_CHUNK})"))))
-    if total_slots > SLOTS_PER_TASK:
-        sc = x.sparkSession.sparkContext
-        n_parts = int(min(-(-total_slots // SLOTS_PER_TASK) + 1, sc.defaultParallelism * 4))
-        x = x.repartition(n_parts, *K, "ts", "_chunk")
+    if fill:
+        parts = int(x.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        x = x.repartition(parts, *K, "ts", "_chunk")
     x = x.withColumn("_k", F.explode(F.when(
         g, F.sequence(F.col("_chunk") * SLOT_CHUNK + 1,
                       F.least((F.col("_chunk") + 1) * SLOT_CHUNK, F.col("_n"))))
@@ -280,11 +281,6 @@ def emit_slots(x: DataFrame, K, keys, step_us: int, step_ms: int, prev_col: str,
         F.col("ts").alias("_rts"), "_k", "_gap")
 
 
-def slot_total(x: DataFrame) -> int:
-    """Fill slots a materialised frame will emit (a cheap aggregate)."""
-    return int(x.filter(F.col("_gap")).agg(F.sum("_n")).first()[0] or 0)
-
-
 def end_state(detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """State to carry into the next day/batch: last reading time, its value
     (0 after a gap) and the final running sum, per series."""

@@ -5,83 +5,74 @@ contributes ``cum(last row <= b) - cum(first row >= a)``; the profile is the
 mean over those days (0 days -> no profile). Bands do not wrap midnight: when
 a > b the band is empty.
 
-Rather than pairing each gap with every ledger row in its band (work grows
-with band length x days), each ledger row is turned into two half-open
-intervals of clock time within its day:
-
-* ``upper``: [tod, next tod)  - the row is "last row <= b" iff b falls inside
-  and tod >= a;
-* ``lower``: (prev tod, tod]  - the row is "first row >= a" iff a falls inside
-  and tod <= b.
-
-The intervals of one day tile the day, so a band end stabs exactly one
-interval per day. Intervals are cut into fixed clock bins and equi-joined on
-the bin of the probe point, with the exact test as a residual; the join
-emits about one row per (gap, matching day).
+Every band is asked of every day its series has, which is the size of the
+result. The questions (day + a, day + b) are put among the ledger's rows in
+time order, and a running maximum answers "last row up to here" and, backwards,
+"first row from here on". Work is linear in ledger rows plus answers, no row is
+paired with a band it does not answer, and the running maxima are stitched
+across time buckets, so no day of a series has to fit into one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.timefns import DAY_US, day_of, tod_us
+from wattline.functions.timefns import day_of, from_micros, micros, tod_us
+from wattline.plans import stitch
 
-DEFAULT_BIN_US = 60 * 1_000_000
+BUCKET_US = 3_600_000_000
 
 
-def ledger_points(ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, day, tod, ts, cum) with neighbours in the same day."""
-    K = list(keys)
-    pts = ledger.select(*K, "ts", F.col("cumulative_sum").alias("cum")) \
-        .withColumn("day", day_of("ts")).withColumn("tod", tod_us("ts"))
-    w = Window.partitionBy(*K, "day").orderBy("tod", "cum")
-    return (pts.withColumn("t_prev", F.coalesce(F.lag("tod").over(w), F.lit(-1)))
-               .withColumn("t_next", F.coalesce(F.lead("tod").over(w), F.lit(DAY_US))))
-
+def _nearest_rows(points: DataFrame, asked: DataFrame, K: list[str], back: bool) -> DataFrame:
+    """Per asked (K, day, us): the last row at or before, or with ``back`` the
+    first at or after it, of the same day, as (day, us, at, cum)."""
+    sign = -1 if back else 1
+    rec = F.struct((F.lit(sign) * F.col("us")).alias("t"), (F.lit(sign) * F.col("cum")).alias("c"))
+    rows = points.select(*K, "day", "us", F.lit(0).alias("_o"), rec.alias("rec")).unionByName(
+        asked.select(*K, "day", "us", F.lit(1).alias("_o"), F.lit(None).cast("struct<t:bigint,c:double>").alias("rec")).distinct())
+    rows = rows.withColumn("t", F.lit(sign) * F.col("us")) \
+        .withColumn(stitch.BKT, F.floor(F.col("t") / F.lit(BUCKET_US)).cast("bigint"))
+    part = [*K, "day"]
+    found = stitch.running_max(stitch.partition_by_bucket(rows, part), part, ["t", "_o"], "rec", "best")
+    return found.filter((F.col("_o") == 1) & F.col("best").isNotNull()).select(
+        *part, "us", (F.lit(sign) * F.col("best.t")).alias("at"), (F.lit(sign) * F.col("best.c")).alias("cum"))
 
-def _bins(lo, hi, bin_us: int):
-    return F.explode(F.sequence(F.floor(lo / F.lit(bin_us)).cast("bigint"),
-                                F.floor(hi / F.lit(bin_us)).cast("bigint")))
 
-
-def band_day_diffs(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str] = (),
-                   bin_us: int = DEFAULT_BIN_US) -> DataFrame:
+def band_day_diffs(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Per (keys, a, b, day): lower/upper bound rows of the band on that day.
 
     ``gaps`` has columns keys + ``a``, ``b`` (clock microseconds). Returns
     keys, a, b, day, lower_ts, lower_value, upper_ts, upper_value.
     """
-    K = list(keys)
+    K = list(keys) or ["_series"]
+    if not keys:
+        gaps, ledger = (df.withColumn("_series", F.lit(0)) for df in (gaps, ledger))
     bands = gaps.select(*K, "a", "b").filter(F.col("a") <= F.col("b")).distinct()
-    pts = ledger_points(ledger, K)
-    upper = (pts.filter(F.col("t_next") > F.col("tod"))
-             .withColumn("bin", _bins(F.col("tod"), F.col("t_next") - 1, bin_us)))
-    lower = (pts.filter(F.col("t_prev") < F.col("tod"))
-             .withColumn("bin", _bins(F.col("t_prev") + 1, F.col("tod"), bin_us)))
-    probe_b = bands.withColumn("bin", F.floor(F.col("b") / F.lit(bin_us)).cast("bigint"))
-    probe_a = bands.withColumn("bin", F.floor(F.col("a") / F.lit(bin_us)).cast("bigint"))
-    up = (probe_b.join(upper, [*K, "bin"])
-          .filter((F.col("tod") <= F.col("b")) & (F.col("b") < F.col("t_next"))
-                  & (F.col("tod") >= F.col("a")))
-          .select(*K, "a", "b", "day", F.col("ts").alias("upper_ts"),
-                  F.col("cum").alias("upper_value")))
-    lo = (probe_a.join(lower, [*K, "bin"])
-          .filter((F.col("t_prev") < F.col("a")) & (F.col("a") <= F.col("tod"))
-                  & (F.col("tod") <= F.col("b")))
-          .select(*K, "a", "b", "day", F.col("ts").alias("lower_ts"),
-                  F.col("cum").alias("lower_value")))
-    return lo.join(up, [*K, "a", "b", "day"])
-
-
-def band_profile(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str] = (),
-                 bin_us: int = DEFAULT_BIN_US) -> DataFrame:
+    points = ledger.filter(F.col("ts").isNotNull()).select(
+        *K, day_of("ts").alias("day"), micros("ts").alias("us"), F.col("cumulative_sum").alias("cum"))
+    # days of each series: a short array next to the series' bands
+    days = points.groupBy(*K).agg(F.collect_set("day").alias("days"))
+    midnight = micros(F.col("day").cast("timestamp_ntz"))
+    asked = bands.join(days, K).select(*K, "a", "b", F.explode("days").alias("day")) \
+        .withColumn("_a", midnight + F.col("a")).withColumn("_b", midnight + F.col("b"))
+    lower = _nearest_rows(points, asked.withColumnRenamed("_a", "us"), K, back=True).select(
+        *K, "day", F.col("us").alias("_a"), F.col("at").alias("_lo"), F.col("cum").alias("lower_value"))
+    upper = _nearest_rows(points, asked.withColumnRenamed("_b", "us"), K, back=False).select(
+        *K, "day", F.col("us").alias("_b"), F.col("at").alias("_hi"), F.col("cum").alias("upper_value"))
+    return asked.join(lower, [*K, "day", "_a"]).join(upper, [*K, "day", "_b"]) \
+        .filter((F.col("_lo") <= F.col("_b")) & (F.col("_hi") >= F.col("_a"))) \
+        .select(*keys, "a", "b", "day", from_micros(F.col("_lo")).alias("lower_ts"), "lower_value",
+                from_micros(F.col("_hi")).alias("upper_ts"), "upper_value")
+
+
+def band_profile(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Per (keys, a, b): ``days`` with rows in the band and ``profile`` =
     mean of (upper - lower) over them (A5). Bands without days are absent."""
     K = list(keys)
-    d = band_day_diffs(gaps, ledger, K, bin_us)
+    d = band_day_diffs(gaps, ledger, K)
     return (d.groupBy(*K, "a", "b")
              .agg(F.count(F.lit(1)).alias("days"),
                   F.avg(F.col("upper_value") - F.col("lower_value")).alias("profile")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.timefns import day_of, hour_start
@@ -59,30 +59,42 @@ def hourly_energy_map(ledger: DataFrame) -> DataFrame:
         F.collect_list(F.struct(F.col("h"), F.col("energy"))))).alias("map"))
 
 
+def as_text(entries: str, places: int = 6) -> Column:
+    """A map of hour to energy as text "h=energy" in ascending order of hours."""
+    one = F.transform(F.array_sort(F.map_entries(entries)), lambda e: F.concat_ws(
+        "=", e["key"].cast("string"), F.format_number(e["value"], f"0.{'0' * places}")))
+    return F.array_join(one, ",")
+
+
 def day_ticks(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Distinct days, first timestamp of each, 'dd.MM' label."""
     return (df.groupBy(day_of(ts).alias("day")).agg(F.min(ts).alias("first_ts"))
             .withColumn("label", F.date_format("day", "dd.MM")))
 
 
-def daily_summary(export_ledger: DataFrame, production_ledger: DataFrame) -> DataFrame:
-    """Per date the production and export energy; only
-    dates present in both ledgers (the reference refuses the others)."""
-    e = daily_energy(export_ledger, out="export_sum")
-    p = daily_energy(production_ledger, out="production_sum")
-    return (p.join(e, "day", "inner")
-            .select(F.col("day").alias("date"), "production_sum", "export_sum"))
-
-
-def daily_summary_status(export_ledger: DataFrame, production_ledger: DataFrame) -> DataFrame:
-    """J6 with the reference's statuses for dates missing one side."""
-    e = daily_energy(export_ledger, out="export_sum")
-    p = daily_energy(production_ledger, out="production_sum")
-    j = p.join(e, "day", "full_outer")
-    status = (F.when(F.col("export_sum").isNull(), F.lit("No export data for the day"))
-              .when(F.col("production_sum").isNull(), F.lit("No production data for the day"))
-              .otherwise(F.lit("ok")))
-    return j.select(F.col("day").alias("date"), "production_sum", "export_sum",
+def daily_summary(export_ledger: DataFrame, production_ledger: DataFrame,
+                  keys: Sequence[str] = ()) -> DataFrame:
+    """Per date (and series) the production and export
+    energy; only dates present in both ledgers (the others are refused)."""
+    e = daily_energy(export_ledger, keys, out="export_sum")
+    p = daily_energy(production_ledger, keys, out="production_sum")
+    return (p.join(e, [*keys, "day"], "inner")
+            .select(*keys, F.col("day").alias("date"), "production_sum", "export_sum"))
+
+
+NO_EXPORT, NO_PRODUCTION, OK = "No export data for the day", "No production data for the day", "ok"
+
+
+def daily_summary_status(export_ledger: DataFrame, production_ledger: DataFrame,
+                         keys: Sequence[str] = ()) -> DataFrame:
+    """J6 with a status for dates (of a series) that miss one side."""
+    e = daily_energy(export_ledger, keys, out="export_sum")
+    p = daily_energy(production_ledger, keys, out="production_sum")
+    j = p.join(e, [*keys, "day"], "full_outer")
+    status = (F.when(F.col("export_sum").isNull(), F.lit(NO_EXPORT))
+              .when(F.col("production_sum").isNull(), F.lit(NO_PRODUCTION))
+              .otherwise(F.lit(OK)))
+    return j.select(*keys, F.col("day").alias("date"), "production_sum", "export_sum",
                     status.alias("status"))
 
 

@@ -26,9 +26,9 @@ from wattline.plans import stitch
 
 
 def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
-                   bucket_us, bin_us, materialize) -> DataFrame:
+                   bucket_us, materialize) -> DataFrame:
     from wattline.operators.integrate import (
-        _keys, _small, clamp, emit_slots, ledger_state, slot_total)
+        _keys, _small, clamp, emit_slots, ledger_state, with_seeds)
     keyed = bool(keys)
     r, K = _keys(readings.select(*keys, "ts", "value"), keys)
     r = r.select(*K, "ts", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"))
@@ -58,22 +58,12 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
             add_micros("f_ts", F.lit(-spec.seed_step_ms * 1000))).alias("_seed_ts"),
         F.when(has, F.coalesce("s_value", F.lit(0.0))).otherwise(F.lit(0.0)).alias("_seed_v"),
         F.when(has, F.col("s_cum")).otherwise(F.lit(0.0)).alias("_seed_c"))
-    if spec.first_row == "drop" or late == "drop":
-        r = r.join(_small(seeds.select(*K, "f_ts", "s_ts", "_drop_first"), not keyed), K, "left")
-        cond = F.lit(True)
-        if spec.first_row == "drop":
-            cond = cond & ~(F.col("_drop_first") & (F.col("ts") == F.col("f_ts")))
-        if late == "drop":
-            cond = cond & (F.col("s_ts").isNull() | (F.col("ts") > F.col("s_ts")))
-        r = r.filter(cond).select(*K, "ts", "value")
+    if late == "drop":
+        r = r.join(_small(seeds.select(*K, "s_ts"), not keyed), K, "left") \
+            .filter(F.col("s_ts").isNull() | (F.col("ts") > F.col("s_ts"))).select(*K, "ts", "value")
 
-    rows = r.select(*K, "ts", "value", stitch.bucket_expr("ts", bucket_us),
-                    F.lit(1).alias("_o"), F.lit(0.0).alias("_c0"))
-    seed_rows = seeds.select(*K, F.col("_seed_ts").alias("ts"), F.col("_seed_v").alias("value"),
-                             stitch.bucket_expr("f_ts", bucket_us),
-                             F.lit(0).alias("_o"), F.col("_seed_c").alias("_c0"))
     order = ["_o", "ts", "value"]
-    allrows = stitch.partition_by_bucket(rows.unionByName(seed_rows), K)
+    allrows = with_seeds(r, seeds, K, order, bucket_us, spec.first_row == "drop")
     lagged = stitch.halo_lags(allrows, K, order, ["ts", "value", "_o"], depth=1)
 
     is_reading = F.col("_o") == 1
@@ -93,7 +83,7 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
              .unionByName(cands.select(*K, F.col("_ab").alias("a"), F.col("_b").alias("b"))))
     if profile_ledger is not None:
         pl, _ = _keys(profile_ledger, keys)
-        bp = prof.band_profile(bands, pl, K, bin_us).select(*K, "a", "b", "profile")
+        bp = prof.band_profile(bands, pl, K).select(*K, "a", "b", "profile")
         x = (x.join(bp.select(*K, F.col("a").alias("_aa"), F.col("b").alias("_b"),
                               F.col("profile").alias("_pa")), [*K, "_aa", "_b"], "left")
               .join(bp.select(*K, F.col("a").alias("_ab"), F.col("b").alias("_b"),
@@ -143,6 +133,5 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
                      .when(F.col("_gap"), F.col("_n") * F.col("_ai"))
                      .otherwise(F.col("_integral")))
     y = materialize(y)
-    total = slot_total(y)
     y = stitch.running_sum(y, K, order, "_c", "_cum").filter(is_reading & ~F.col("_skip"))
-    return emit_slots(y, K, keys, step_us, spec.step_ms, "_pt", total)
+    return emit_slots(y, K, keys, step_us, spec.step_ms, "_pt")

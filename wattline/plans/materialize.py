@@ -10,13 +10,14 @@ intermediate tables that several queries share.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from wattline.session import checkpoint_dir, scratch_path
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, ...], str] = {}
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -24,14 +25,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written_table(spark: SparkSession, name: str,
+def version(source: DataFrame) -> str:
+    """Digest of the files that a scan reads: path, length and time of each."""
+    spark = source.sparkSession
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for f in sorted(source.inputFiles()):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        found.append(f"{f} {st.getLen()} {st.getModificationTime()}")
+    return hashlib.sha256("\n".join(found).encode()).hexdigest()
+
+
+def written_table(source: DataFrame, name: str,
                   build: Callable[[], DataFrame]) -> DataFrame:
     """Write ``build()`` once per application as parquet under the shared
-    checkpoint folder and return the table read back."""
-    key = (spark.sparkContext.applicationId, name)
+    checkpoint folder and return the table read back. What is remembered is
+    the exact input (the files that ``source`` scans, their lengths and
+    times) and ``name``, which must spell out all parameters."""
+    spark = source.sparkSession
+    app = spark.sparkContext.applicationId
+    key = (app, version(source), name)
     path = _WRITTEN.get(key)
     if path is None:
-        path = scratch_path(spark, f"tables/{spark.sparkContext.applicationId}/{name}")
+        digest = hashlib.sha256(repr(key).encode()).hexdigest()[:24]
+        path = scratch_path(spark, f"tables/{app}/{digest}")
         build().write.mode("overwrite").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from wattline.functions.timefns import DAY_US, day_of, instant_literal, ntz_literal, parse_tod
 from wattline.operators import align, filters, grid, integrate as integ, lookup, profile, quality, rollup, unions
-from wattline.plans.materialize import written_table
+from wattline.plans.materialize import version, written_table
 from wattline.session import configure, scratch_path
 from wattline.sources import fixtures as fx
 from wattline.sources import tables, weather
@@ -81,20 +81,19 @@ def calendar_day_filter(spark, sf):
 # ---- ledgers used by several keys ----------------------------------------
 
 def _export_all(spark, sf):
-    p = fx.params(sf)
-    return written_table(spark, f"export_all_{p.sf}", lambda: integ.integrate(
-        fx.readings_nulls(spark, sf), None, fx.export_spec(p)))
+    spec = fx.export_spec(fx.params())
+    return written_table(fx.events(spark, sf), f"export {spec}", lambda: integ.integrate(
+        fx.readings_nulls(spark, sf), None, spec))
 
 
 def _production_all(spark, sf):
-    p = fx.params(sf)
-    return written_table(spark, f"production_all_{p.sf}", lambda: integ.integrate(
-        filters.channel_sum(fx.channels(spark, sf)), None, fx.production_spec(p)))
+    spec = fx.production_spec(fx.params())
+    return written_table(fx.events(spark, sf), f"production {spec}", lambda: integ.integrate(
+        filters.channel_sum(fx.channels(spark, sf)), None, spec))
 
 
 def _gapfill(spark, sf, spec=None):
-    p = fx.params(sf)
-    return integ.integrate(fx.new_day(spark, sf), fx.history(spark, sf), spec or fx.export_spec(p))
+    return integ.integrate(fx.new_days(spark, sf), fx.history(spark, sf), spec or fx.export_spec(fx.params()))
 
 
 def anomaly_scan(spark, sf):
@@ -102,7 +101,7 @@ def anomaly_scan(spark, sf):
 
 
 def latest_row(spark, sf):
-    return r6(lookup.latest_row(fx.history(spark, sf)))
+    return r6(lookup.latest_row(fx.whole_ledger(spark, sf)))
 
 
 def latest_n(spark, sf):
@@ -111,11 +110,11 @@ def latest_n(spark, sf):
 
 def nearest_to_instant(spark, sf):
     inst = ntz_literal("2024-01-15 12:00:00")
-    return r6(lookup.nearest_to_instant(fx.history(spark, sf), inst, 30 * 60 * 1000))
+    return r6(lookup.nearest_to_instant(fx.whole_ledger(spark, sf), inst, 30 * 60 * 1000))
 
 
 def ledger_ordered(spark, sf):
-    return r6(lookup.ledger_ordered(fx.history(spark, sf)))
+    return r6(lookup.ledger_ordered(fx.whole_ledger(spark, sf)))
 
 
 def lag_previous(spark, sf):
@@ -129,8 +128,8 @@ def gap_detect(spark, sf):
 
 
 def continuity_check(spark, sf):
-    p = fx.params(sf)
-    return r6(quality.continuity_check(_gapfill(spark, sf), p.gap_s))
+    """On the unfilled ledger, whose holes the check has to find."""
+    return r6(quality.continuity_check(fx.whole_ledger(spark, sf), fx.params().gap_s))
 
 
 def _trapezoid(spark, sf):
@@ -155,12 +154,12 @@ def integrate_production(spark, sf):
 
 
 def integrate_carry_in(spark, sf):
-    return r6(integ.integrate(fx.new_day(spark, sf), fx.history(spark, sf), integ.LEGACY))
+    return r6(integ.integrate(fx.new_days(spark, sf), fx.history(spark, sf), integ.LEGACY))
 
 
 def first_row_policy(spark, sf):
     p = fx.params(sf)
-    nd = fx.new_day(spark, sf)
+    nd = fx.new_days(spark, sf)
     syn = integ.integrate(nd, None, fx.history_spec(p))
     drp = integ.integrate(nd, None, fx.history_spec(p).with_(first_row="drop"))
     return r6(syn.select(F.lit("synthetic").alias("policy"), "*")
@@ -168,8 +167,8 @@ def first_row_policy(spark, sf):
 
 
 def _late_src(spark, sf):
-    return filters.time_range(fx.readings(spark, sf), "2024-01-19 12:00:00",
-                              "2024-01-21 00:00:00", closed=False)
+    """Everything from half a day before the end of the history on."""
+    return fx.readings(spark, sf).filter(F.col("ts") >= F.lit("2024-01-19 12:00:00").cast("timestamp_ntz"))
 
 
 def late_rows(spark, sf):
@@ -205,20 +204,20 @@ def gap_fill_slots(spark, sf):
             .select("gap_ts", "k", add_micros("previous_ts", F.col("k") * step).alias("ts")))
 
 
-def _new_day_gaps(spark, sf):
+def _new_gaps(spark, sf):
     p = fx.params(sf)
-    return integ.gap_list(fx.new_day(spark, sf), fx.history(spark, sf), fx.export_spec(p))
+    return integ.gap_list(fx.new_days(spark, sf), fx.history(spark, sf), fx.export_spec(p))
 
 
 def gap_profile(spark, sf):
-    gaps = _new_day_gaps(spark, sf)
+    gaps = _new_gaps(spark, sf)
     d = profile.band_day_diffs(gaps, fx.history(spark, sf))
     return r6(gaps.join(d, ["a", "b"]).select(
         "gap_ts", "day", (F.col("upper_value") - F.col("lower_value")).alias("energy")))
 
 
 def band_profile(spark, sf):
-    gaps = _new_day_gaps(spark, sf)
+    gaps = _new_gaps(spark, sf)
     bp = profile.band_profile(gaps, fx.history(spark, sf))
     return r6(gaps.join(bp, ["a", "b"]).select("gap_ts", "days", "profile"))
 
@@ -229,7 +228,8 @@ def integrate_gapfill(spark, sf):
 
 def integrate_gapfill_production(spark, sf):
     p = fx.params(sf)
-    ch = filters.calendar_day(filters.channel_sum(fx.channels(spark, sf)), fx.SPLIT_DAY)
+    ch = filters.channel_sum(fx.channels(spark, sf)).filter(
+        F.col("ts") >= F.lit(fx.SPLIT_DAY).cast("timestamp_ntz"))
     return r6(integ.integrate(ch, fx.history(spark, sf), fx.production_spec(p)))
 
 
@@ -245,7 +245,7 @@ def integrate_keyed(spark, sf):
     p = fx.params(sf)
     k = fx.keyed(spark, sf)
     split = F.lit(fx.SPLIT_DAY).cast("timestamp_ntz")
-    hist = written_table(spark, f"keyed_history_{p.sf}", lambda: integ.integrate(
+    hist = written_table(fx.events(spark, sf), f"keyed history {fx.history_spec(p)}", lambda: integ.integrate(
         k.filter(F.col("ts") < split), None, fx.history_spec(p), keys=["series"]))
     return r6(integ.integrate(k.filter(F.col("ts") >= split), hist, fx.export_spec(p),
                               keys=["series"]))
@@ -256,27 +256,27 @@ def integrate_gapfill_skip(spark, sf):
     (checked against the sequential fold in tests; no SQL oracle)."""
     p = fx.params(sf)
     spec = integ.FIRST_GAP.with_(step_ms=p.step_ms)
-    return r6(integ.integrate(fx.new_day(spark, sf), fx.history(spark, sf), spec))
+    return r6(integ.integrate(fx.new_days(spark, sf), fx.history(spark, sf), spec))
 
 
 def day_boundary_values(spark, sf):
-    return r6(profile.day_bounds_in_band(fx.history(spark, sf), BAND_A, BAND_B))
+    return r6(profile.day_bounds_in_band(fx.whole_ledger(spark, sf), BAND_A, BAND_B))
 
 
 def day_boundary_values_join(spark, sf):
-    return r6(profile.day_bounds_join_form(fx.history(spark, sf), BAND_A, BAND_B))
+    return r6(profile.day_bounds_join_form(fx.whole_ledger(spark, sf), BAND_A, BAND_B))
 
 
 def daily_bounds(spark, sf):
-    return rollup.daily_bounds(fx.history(spark, sf), BAND_A, BAND_B)
+    return rollup.daily_bounds(fx.whole_ledger(spark, sf), BAND_A, BAND_B)
 
 
 def day_first_last(spark, sf):
-    return r6(rollup.day_first_last(fx.history(spark, sf), "2024-01-15"))
+    return r6(rollup.day_first_last(fx.whole_ledger(spark, sf), "2024-01-15"))
 
 
 def daily_energy(spark, sf):
-    return r6(rollup.daily_energy(fx.history(spark, sf)))
+    return r6(rollup.daily_energy(fx.whole_ledger(spark, sf)))
 
 
 def hourly_energy(spark, sf):
@@ -343,18 +343,12 @@ def daily_consumption_rate(spark, sf):
 
 
 def _weather_rows(spark, sf):
-    p = fx.params(sf)
-    path = scratch_path(spark, f"weather/{spark.sparkContext.applicationId}/{p.sf}")
-    written_table(spark, f"weather_marker_{p.sf}", lambda: _write_weather(spark, sf, path))
+    ev = fx.events(spark, sf)
+    path = scratch_path(spark, f"weather/{spark.sparkContext.applicationId}/{version(ev)[:24]}")
+    written_table(ev, "weather", lambda: _write_weather(spark, sf, path))
     return weather.explode_hourly(weather.read_weather(spark, path))
 
 
-def _write_weather(spark, sf, path):
-    docs = weather.documents_from_events(fx.events(spark, sf))
-    docs.write.mode("overwrite").text(path)
-    return spark.range(1)
-
-
 def weather_explode(spark, sf):
     return r6(_weather_rows(spark, sf))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,20 +41,17 @@ def get_session(master: str | None = None, app: str = "wattline",
 def configure(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql.") and k not in (
-                "spark.sql.execution.arrow.pyspark.enabled",):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a running session
-                pass
+        if spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` from the session (runtime or launch
-    configuration). Only when it is unset, as in local tests, a scratch
-    folder is created and registered.
+    configuration). Only a local session without it, as in tests, gets a
+    scratch folder; on a cluster a missing setting is an error, since
+    executors would not share the driver's disk.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or \
@@ -64,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = sc.getCheckpointDir()
         if d:
             return d
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="wattline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -73,7 +71,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-    return base.rstrip("/") + "/" + name
+    return checkpoint_dir(spark).rstrip("/") + "/" + name

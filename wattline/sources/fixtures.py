@@ -6,52 +6,36 @@ query can be checked against DuckDB.
 
 from __future__ import annotations
 
-import os
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.functions.timefns import day_of
 from wattline.operators import integrate as integ
 from wattline.plans.materialize import written_table
 from wattline.sources.tables import table
 
-# Per scale factor the reading step, gap threshold (2 x step)
-# and nearest-join tolerance used with the events-derived fixtures.
-SF_PARAMS = {
-    "0.001": (1800, 3600, 600),
-    "0.01": (300, 600, 60),
-    "0.1": (30, 60, 5),
-}
-DEFAULT_SF = "0.01"
-SPLIT_DAY = "2024-01-20"          # history < this day; new_day = this day
+# Fixed values, the same for every folder: reading step, gap threshold
+# (2 x step) and nearest-join tolerance used with the events-derived fixtures.
+STEP_S, GAP_S, TOL_S = 300, 600, 60
+SPLIT_DAY = "2024-01-20"          # history < this day; new_days from this day on
 SUMMARY_OLD_LAST = "2024-01-20"   # old_summary: days <= this, sums zeroed
 SUMMARY_NEW_FIRST = "2024-01-18"  # new_summary: days >= this
 
 
 @dataclass(frozen=True)
 class Params:
-    sf: str
-    step_s: int
-    gap_s: int
-    tol_s: int
+    step_s: int = STEP_S
+    gap_s: int = GAP_S
+    tol_s: int = TOL_S
 
     @property
     def step_ms(self) -> int:
         return self.step_s * 1000
 
 
-def sf_of(sf_dir: str) -> str:
-    m = re.search(r"sf([0-9.]+)", os.path.basename(sf_dir.rstrip("/")))
-    return m.group(1) if m and m.group(1) in SF_PARAMS else DEFAULT_SF
-
-
-def params(sf_dir: str) -> Params:
-    sf = sf_of(sf_dir)
-    step, gap, tol = SF_PARAMS[sf]
-    return Params(sf, step, gap, tol)
+def params(sf_dir: str | None = None) -> Params:
+    return Params()
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,15 +88,23 @@ def history_readings(spark, sf_dir) -> DataFrame:
     return readings(spark, sf_dir).filter(F.col("ts") < F.lit(SPLIT_DAY).cast("timestamp_ntz"))
 
 
-def new_day(spark, sf_dir) -> DataFrame:
-    return readings(spark, sf_dir).filter(day_of("ts") == F.lit(SPLIT_DAY).cast("date"))
+def new_days(spark, sf_dir) -> DataFrame:
+    """All readings from SPLIT_DAY on: what arrives after the history."""
+    return readings(spark, sf_dir).filter(F.col("ts") >= F.lit(SPLIT_DAY).cast("timestamp_ntz"))
 
 
 def history(spark, sf_dir) -> DataFrame:
     """The committed ledger before SPLIT_DAY, written once as a table."""
-    p = params(sf_dir)
-    return written_table(spark, f"history_{p.sf}", lambda: integ.integrate(
-        history_readings(spark, sf_dir), None, history_spec(p)))
+    spec = history_spec(params())
+    return written_table(events(spark, sf_dir), f"history {spec}", lambda: integ.integrate(
+        history_readings(spark, sf_dir), None, spec))
+
+
+def whole_ledger(spark, sf_dir) -> DataFrame:
+    """The ledger of every reading, built as the history is."""
+    spec = history_spec(params())
+    return written_table(events(spark, sf_dir), f"whole {spec}", lambda: integ.integrate(
+        readings(spark, sf_dir), None, spec))
 
 
 # The two meters of the nearest-join fixture: events split by type, so the
@@ -130,17 +122,16 @@ def half(spark, sf_dir, side: int) -> DataFrame:
 
 
 def left_ledger(spark, sf_dir) -> DataFrame:
-    """Export-like ledger of the even readings (nearest-join left side)."""
-    p = params(sf_dir)
-    return written_table(spark, f"left_{p.sf}", lambda: integ.integrate(
-        half(spark, sf_dir, 0), None, history_spec(p)))
+    """Export-like ledger of the LEFT_TYPES readings (nearest-join left side)."""
+    spec = history_spec(params())
+    return written_table(events(spark, sf_dir), f"left {spec}", lambda: integ.integrate(
+        half(spark, sf_dir, 0), None, spec))
 
 
 def right_ledger(spark, sf_dir) -> DataFrame:
-    """Production-like ledger of the odd readings (nearest-join right side)."""
-    p = params(sf_dir)
-    spec = production_spec(p).with_(gap_fill=False)
-    return written_table(spark, f"right_{p.sf}", lambda: integ.integrate(
+    """Production-like ledger of the RIGHT_TYPES readings (nearest-join right side)."""
+    spec = production_spec(params()).with_(gap_fill=False)
+    return written_table(events(spark, sf_dir), f"right {spec}", lambda: integ.integrate(
         half(spark, sf_dir, 1), None, spec))
 
 

@@ -95,7 +95,7 @@ def run_history(spark, sf):
 
 def ledger_append(spark, sf):
     path = _dir(spark, "ledger-append")
-    sinks.write_ledger(fx.history(spark, sf), path)
+    sinks.write_ledger(fx.whole_ledger(spark, sf), path)
     return r6(spark.read.parquet(path).select(*integ.LEDGER_COLS))
 
 
@@ -155,7 +155,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS row_count FROM "
         f"(SELECT ts, (dense_rank() OVER (ORDER BY CAST(ts AS DATE)) - 1) // {MARKER_FILES} AS b FROM events) e "
         "GROUP BY b")
-    q["ledger_append"] = O.ledger_r6(O.HISTORY)
+    q["ledger_append"] = O.ledger_r6(O.WHOLE)
     base = ("SELECT CAST(min(CAST(ts AS DATE)) AS TIMESTAMP) AS ts, 0.0::DOUBLE AS cumulative_sum, "
             "0.0::DOUBLE AS integral, 0.0::DOUBLE AS delta, 0.0::DOUBLE AS value FROM events")
     q["ledger_baseline"] = O.ledger_r6(
