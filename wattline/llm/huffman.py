@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,8 +38,9 @@ LIMIT = 18          # longest code in bits
 BLOCK = 512         # ids between two checkpoints
 SEGMENT = 1 << 19   # bytes of a segment, about
 PART = 2048         # documents of a file part, about
-CHARS = 1 << 24     # bytes of text encoded at once
-MEMO = 500_000      # parts of pieces remembered by a task; a full memo starts anew
+CHARS = 3 << 22     # bytes of text encoded at once
+PACK = 1 << 17      # ids packed at once
+MEMO = 450_000      # parts of pieces remembered by a task; a full memo starts anew
 
 
 def word_tokenizer() -> str:
@@ -50,7 +50,8 @@ def word_tokenizer() -> str:
 
 #: A word of Latin letters, each of which the tokenizer keeps in one run, and
 #: punctuation after it; such a piece has the ids of both parts in turn.
-PIECE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+PIECE = f"^(?P<head>[{LATIN}]+)(?P<tail>[!-&(-/:-@\\[-`{{-~]*)$"
 
 
 class Pieces:
@@ -58,70 +59,62 @@ class Pieces:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model for words that its normalizer would leave as they are
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {"": 0}
+        self.index: dict[str, int] = {}
         self.ids = np.empty(0, np.uint32)
-        self.start, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def learn(self, words: list[str], others: list[str]) -> None:
         """Memo the ids of parts: words go to the library joined, which is much faster."""
         ids, size = [self.ids], []
         for at in range(0, len(words), 20_000):
             part = words[at:at + 20_000]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            n = np.bincount(np.array(e.word_ids, np.int64))
-            if len(n) == len(part):
-                ids.append(np.array(e.ids, np.uint32))
-                size.append(n)
-            else:
-                self._each(part, ids, size)
-        self._each(others, ids, size)
-        new = np.concatenate([np.empty(0, np.int64), *size])
+            e = self.plain.encode(" ".join(part), add_special_tokens=False)
+            ids.append(np.array(e.ids, np.uint32))
+            size.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(part)))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        ids.append(np.fromiter((x for f in found for x in f), np.uint32))
+        size.append(np.fromiter(map(len, found), np.int64, len(found)))
+        new = np.concatenate(size)
         self.index.update(zip(words + others, range(len(self.index), len(self.index) + len(new)), strict=True))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(new) - new])
         self.size = np.concatenate([self.size, new])
         self.ids = np.concatenate(ids)
 
-    def _each(self, parts: list[str], ids: list, size: list) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        ids.append(np.fromiter((x for f in found for x in f), np.uint32))
-        size.append(np.fromiter(map(len, found), np.int64, len(found)))
-
-    def parts(self, pieces: list[str]) -> np.ndarray:
+    def parts(self, pieces: pa.Array) -> np.ndarray:
         """Places of two parts for each piece, the second of many empty."""
         if len(self.index) > MEMO:
             self.clear()
-        heads, tails, words, others = [], [], set(), set()
-        known, match = self.index, PIECE.fullmatch
-        for p in pieces:
-            if m := match(p):
-                head, tail = m[1].lower(), m[2]
-                if head not in known:
-                    words.add(head)
-            else:
-                head, tail = p, ""
-                if head not in known:
-                    others.add(head)
-            if tail and tail not in known:
-                others.add(tail)
-            heads.append(head)
-            tails.append(tail)
-        if words or others:
-            self.learn(sorted(words), sorted(others - words))
-        out = np.empty(2 * len(pieces), np.int64)
-        out[0::2] = np.fromiter(map(known.__getitem__, heads), np.int64, len(pieces))
-        out[1::2] = np.fromiter(map(known.__getitem__, tails), np.int64, len(pieces))
-        return out
+        cut = pc.extract_regex(pieces, PIECE)
+        fits = pc.is_valid(cut)
+        heads = pc.if_else(fits, pc.utf8_lower(pc.struct_field(cut, "head")), pieces)
+        tails = pc.if_else(fits, pc.struct_field(cut, "tail"), "")
+        coded = pa.concat_arrays([heads, tails]).dictionary_encode()
+        first = np.zeros(len(coded.dictionary), bool)
+        indices = coded.indices.to_numpy()
+        first[indices[:len(pieces)][fits.to_numpy(zero_copy_only=False)]] = True   # parts that are words
+        texts = coded.dictionary.to_pylist()
+        known = self.index
+        new = [i for i, t in enumerate(texts) if t not in known]
+        if new:
+            self.learn([texts[i] for i in new if first[i]], [texts[i] for i in new if not first[i]])
+        places = np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))[indices]
+        return np.stack([places[:len(pieces)], places[len(pieces):]], axis=1).reshape(-1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each document closed by END, and the number of ids of each."""
         lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
-        parts = self.parts(coded.dictionary.to_pylist())
+        parts = self.parts(coded.dictionary)
         ids = ragged(self.ids, self.start[parts], self.size[parts])
         size = self.size[parts].reshape(-1, 2).sum(axis=1)
         start = np.cumsum(size) - size
@@ -133,7 +126,11 @@ class Pieces:
 def ragged(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """values[start:start + size] of all runs, end to end."""
     ends = np.cumsum(size)
-    return values[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)]
+    n = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(n, len(values)) < 1 << 31 else np.int64
+    at = np.repeat((start - (ends - size)).astype(kind), size)
+    at += np.arange(n, dtype=kind)
+    return values[at]
 
 
 @functools.lru_cache(maxsize=2)
@@ -204,21 +201,24 @@ def decoder(lengths: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
 def pack(ids: np.ndarray, n: np.ndarray, codes: np.ndarray, lengths: np.ndarray
          ) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """Bits of all documents, the first byte of each and the end, all checkpoints and the number of each."""
-    size = lengths[ids]
-    run = np.concatenate([[0], np.cumsum(size)])
+    size = lengths.astype(np.uint8)[ids]
+    run = np.cumsum(size, dtype=np.int64)
     ends = np.cumsum(n)
     first = ends - n
-    byte = np.concatenate([[0], np.cumsum((run[ends] - run[first] + 7) // 8)])
-    inside = run[:-1] - np.repeat(run[first], n)
-    bit = inside + np.repeat(byte[:-1] * 8, n)
+    begin = run[first] - size[first]
+    byte = np.concatenate([[0], np.cumsum((run[ends - 1] - begin + 7) // 8)])
+    bit = run - size + np.repeat(byte[:-1] * 8 - begin, n)
     word = bit >> 5
-    value = codes[ids] << (64 - (bit & 31) - size).astype(np.uint64)
-    total = int(byte[-1] + 3) // 4 + 2
-    out = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), total) + \
-        np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), total)
+    value = codes[ids] << (64 - size - (bit & 31)).astype(np.uint64)
+    # the bits of a token lie in its word and the next one; tokens of a word are neighbours
+    heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    at = word[heads]
+    out = np.zeros(int(byte[-1] + 3) // 4 + 2, np.uint32)
+    out[at] = np.bitwise_or.reduceat((value >> np.uint64(32)).astype(np.uint32), heads)
+    out[at + 1] |= np.bitwise_or.reduceat(value.astype(np.uint32), heads)
     blocks = (n + BLOCK - 1) // BLOCK
     heads = np.repeat(first, blocks) + (np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * BLOCK
-    return out.astype(np.uint64).astype(">u4").tobytes(), byte, inside[heads], blocks
+    return out.astype(">u4").tobytes(), byte, bit[heads] - np.repeat(byte[:-1] * 8, blocks), blocks
 
 
 def unpack(payload: bytes, marks: np.ndarray, n: np.ndarray, table: tuple) -> np.ndarray:
@@ -262,6 +262,16 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about PACK ids at a time: what the processor's cache holds."""
+    run = np.cumsum(batch.column(1).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(run):
+        to = max(at + 1, int(np.searchsorted(run, (run[at - 1] if at else 0) + PACK, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def rows_of(values: np.ndarray, n: np.ndarray) -> pa.Array:
     """A binary row for each n values."""
     data = values.tobytes()
@@ -307,10 +317,8 @@ def write_ids(docs: DataFrame, tokenizer: str, out: str, limit: int = LIMIT) ->
         .coalesce(1).write.parquet(f"{out}/code")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             ids, n = values_of(b.column(2), kind), b.column(1).to_numpy().astype(np.int64)
-            if not len(n):
-                continue
             payload, byte, marks, blocks = pack(ids, n, codes, lengths)
             yield pa.RecordBatch.from_arrays([
                 b.column(0), b.column(1), rows_of(np.frombuffer(payload, np.uint8)[:byte[-1]], np.diff(byte)),
