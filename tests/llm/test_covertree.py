@@ -33,7 +33,8 @@ def got(df):
 
 
 @pytest.mark.parametrize("dim,kind", [(2, "ties"), (8, "clusters"), (64, "unit")])
-def test_search(spark, dim, kind):
+def test_search(spark, dim, kind, monkeypatch):
+    monkeypatch.setattr(ct.tree, "__defaults__", (None, 16))
     rng = np.random.default_rng(dim)
     x = rng.normal(size=(600, dim))
     if kind == "clusters":
@@ -68,7 +69,7 @@ def test_waves(spark, monkeypatch):
     assert got(ct.top_k(df, df.where("vec_id % 5 = 0"), 3, group=50)) == brute(rows, 3, 5)
 
 
-def test_tree_invariants():
+def test_tree_invariants(leaf=16):
     x = np.random.default_rng(0).normal(size=(900, 3))
 
     def check(n):
@@ -78,8 +79,8 @@ def test_tree_invariants():
             for i, c in enumerate(n.children):
                 check(c)
                 for o in n.children[:i]:
-                    assert np.linalg.norm(c.center - o.center) > n.radius / 2 - 1e-9 or len(n.children) >= ct.LEAF
-    check(ct.tree(x))
+                    assert np.linalg.norm(c.center - o.center) > n.radius / 2 - 1e-9 or len(n.children) >= leaf
+    check(ct.tree(x, leaf=leaf))
 
 
 def test_same_rows_as_sql(spark):

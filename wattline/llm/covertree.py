@@ -40,7 +40,7 @@ SCALE = 256
 GROUP, PIVOTS = 4096, 4096
 #: Queries that one task meets a group with.
 WAVE = 16_384
-LEAF = 64
+LEAF = 256
 SEED = 42
 #: Products below this are exact in double arithmetic.
 EXACT = float(1 << 53)
@@ -124,6 +124,13 @@ class Best:
         return float(np.maximum(own, self.floor[rows]).min())
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, valid: np.ndarray) -> None:
+        valid = valid & (scores >= self.score[rows, -1:])
+        some = np.flatnonzero(valid.any(axis=1))    # queries that gain a result here
+        if not len(some):
+            return
+        rows, scores, valid = rows[some], scores[some], valid[some]
+        use = np.flatnonzero(valid.any(axis=0))
+        scores, valid, ids = scores[:, use], valid[:, use], ids[use]
         low = np.iinfo(np.int64).min
         scores = np.where(valid, scores, low)
         all_s = np.concatenate([self.score[rows], scores], axis=1)
