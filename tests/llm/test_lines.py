@@ -107,3 +107,26 @@ def test_minhash_estimates_jaccard():
     x, y = lines.shingles(a), lines.shingles(b)
     k = lines.band_keys([a, b], bands=2000, rows=1)
     assert abs(np.mean(k[0] == k[1]) - len(x & y) / len(x | y)) < 0.04
+
+
+def test_large_buckets_stream_in_chunks(spark):
+    rng = random.Random(3)
+    rows = [(k, i) for i, k in enumerate(rng.choice([1, 2, 2, 2, 2, 5, 7, 8, 9, 10, 11]) for _ in range(500))] + [(99, 1000)]
+    got = lines.buckets(spark.createDataFrame(rows, "k long, id long"), 20).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.k, []).append(r)
+    assert 99 not in by
+    for k, parts in by.items():
+        assert sorted(i for r in parts for i in r.ids) == sorted(i for x, i in rows if x == k)
+        assert sorted(r.c for r in parts) == list(range(len(parts))) and all(len(r.ids) <= 20 for r in parts)
+        assert all(r.large == (len(parts) > 1) for r in parts)
+
+
+def test_lines_that_share_a_hash_all_stay(odd, monkeypatch):
+    import pyspark.sql.functions as F
+    real = lines.occurrences
+    monkeypatch.setattr(lines, "occurrences", lambda docs: real(docs).withColumn(
+        "id", F.when(F.col("line").startswith("same"), 5).otherwise(F.col("id"))))
+    got = {r.doc_id: r.kept for r in lines.dedup_lines(odd([(1, "same one\nother", "en", "s", 1), (2, "other\nsame two\nlast", "en", "s", 1)])).collect()}
+    assert got == {1: [0, 1], 2: [1, 2]}

@@ -1,15 +1,20 @@
 """Line dedup across documents: fuzzy lines by MinHash.
 
-Equal lines collapse first, by a 128-bit hash of the line. Every distinct line
-gets MinHash values over its shingles of SHINGLE characters (lower case, white
-space runs as one space); BANDS bands of ROWS values bring pairs of similarity
-0.8 together with probability 0.998. Buckets with the same members, which
-near-copies make in most bands, count once. Inside a bucket the exact Jaccard
-similarity of the shingle sets decides on every pair not yet connected;
-buckets over TILE lines are cut into tiles that meet pairwise in separate
+Equal lines collapse first, by a 64-bit hash; lines of different texts that
+share one by chance are found by a second hash and all stay. Every distinct
+line gets MinHash values over its shingles of SHINGLE characters (lower case,
+white space runs as one space); BANDS bands of ROWS values bring pairs of
+similarity 0.8 together with probability 0.995. Band keys are sorted across
+the cluster, and the lines of equal keys stream past as buckets; equal buckets,
+which near-copies make in most bands, count once. Inside a bucket the exact
+Jaccard similarity of the shingle sets decides on every pair not yet connected;
+a bucket over TILE lines is cut into chunks that meet pairwise in separate
 tasks. Verified links go through distributed union-find, and of each component
 the line with the smallest (doc_id, line number) stays.
 
+The distinct lines are written bucketed by their hash, so their texts are not
+shuffled again when the buckets' members are joined to them.
+
 Lines without a character other than white space always stay. A line shorter
 than a shingle is one shingle. Null texts have no lines, an empty text one
 blank line. Rows of equal doc_id and text are one document; a null doc_id
@@ -18,6 +23,7 @@ sorts first. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm.common import components, cut, table, whole_groups
+from wattline.llm.common import components, cut, shared_dir, table, whole_groups
 from wattline.llm.decontaminate import codes_of, grams, normal
 
 SHINGLE = 8
-BANDS, ROWS = 12, 4
+BANDS, ROWS = 10, 4
 SIMILARITY = 0.8
 TILE = 256
 #: Shingles hashed at once.
@@ -104,19 +110,82 @@ def linked(sets: list[frozenset]) -> list[tuple[int, int]]:
     return edges
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """(id, doc_id, line_no, dk, line): the first occurrence of every line that is not blank."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+def occurrences(docs: DataFrame) -> DataFrame:
+    """(id, doc_id, line_no, dk, line) of every line that is not blank."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .select("doc_id", F.xxhash64("text").alias("dk"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")) \
-        .where(F.col("line").rlike(r"\S"))
-    first = F.min(F.struct("doc_id", "line_no", "dk", "line")).alias("x")
-    return rows.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(SEED), "line").alias("h2")).agg(first) \
-        .select(F.monotonically_increasing_id().alias("id"), "x.*")
+        .where(F.col("line").rlike(r"\S")).withColumn("id", F.xxhash64("line"))
+
+
+def distinct_lines(docs: DataFrame) -> DataFrame:
+    """(id, doc_id, line_no, dk, line, clash): the first occurrence of every line."""
+    second = F.xxhash64(F.lit(SEED), "line")
+    return occurrences(docs).groupBy("id").agg(
+        F.min(F.struct("doc_id", "line_no", "dk", "line")).alias("x"), F.min(second).alias("lo"), F.max(second).alias("hi")) \
+        .select("id", "x.*", (F.col("lo") != F.col("hi")).alias("clash"))
+
+
+def bucketed(lines: DataFrame) -> tuple[str, str]:
+    """Write the lines bucketed by id in the shared folder: (table, path)."""
+    spark = lines.sparkSession
+    name = f"wattline_lines_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines.write.bucketBy(n, "id").option("path", path).option("compression", "zstd").saveAsTable(name)
+    return name, path
+
+
+def buckets(placed: DataFrame, tile: int) -> DataFrame:
+    """(k, c, large, ids) from (k, id): lines of equal k, two at least.
+
+    Rows stream by in the order of k; a bucket of over ``tile`` lines leaves in
+    chunks c = 0, 1, ... marked large, so no bucket is held whole.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now, c = np.empty(0, np.int64), None, 0
+        out: list[tuple[int, int, bool, np.ndarray]] = []
+
+        def close():
+            if c or len(held) > 1:
+                out.append((now, c, c > 0, held))
+
+        def batch():
+            rows = pa.RecordBatch.from_arrays([
+                pa.array([k for k, *_ in out], pa.int64()), pa.array([n for _, n, *_ in out], pa.int64()),
+                pa.array([x for *_, x, _ in out], pa.bool_()), pa.array([np.sort(i) for *_, i in out], pa.list_(pa.int64()))],
+                ["k", "c", "large", "ids"])
+            out.clear()
+            return rows
+        for b in batches:
+            k, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
+            if not len(k):
+                continue
+            start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            end = np.append(start[1:], len(k))
+            # singles inside the batch go at once; the first and the last may go on outside
+            more = (end - start > 1) | (start == 0) | (end == len(k))
+            for s, e in zip(start[more].tolist(), end[more].tolist(), strict=True):
+                if k[s] != now:
+                    close()
+                    held, now, c = ids[s:e], int(k[s]), 0
+                else:
+                    held = np.concatenate([held, ids[s:e]])
+                while len(held) > tile:
+                    out.append((now, c, True, held[:tile]))
+                    held, c = held[tile:], c + 1
+            yield batch()
+        close()
+        yield batch()
+
+    return placed.repartition("k").sortWithinPartitions("k").mapInArrow(run, "k long, c long, large boolean, ids array<long>")
 
 
 def kept_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, tile: int = TILE) -> DataFrame:
     """(doc_id, dk, kept): numbers of the lines that stay, blank ones aside; dk is a hash of the text."""
-    lines = cut(distinct_lines(docs), "lines")
+    spark = docs.sparkSession
+    lines = distinct_lines(docs)
+    name, path = bucketed(lines)
+    lines = spark.read.schema(lines.schema).parquet(path)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -124,14 +193,15 @@ def kept_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, tile: int
             ids = np.repeat(b.column(0).to_numpy(), bands)
             yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(ids)], ["k", "id"])
 
-    placed = cut(lines.select("id", "line").mapInArrow(hashed, "k long, id long"), "line-bands")
-    buckets = placed.groupBy("k").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"),
-                                      F.min("id").alias("low")).where("n > 1")
-    buckets = buckets.groupBy("n", "s", "low").agg(F.min("k").alias("k")).select("k", "n")
-    part = F.ceil(F.col("n") / tile)
-    members = placed.join(buckets, "k").select("k", "id", F.pmod(F.xxhash64("id"), part).alias("c"), F.explode(
-        F.sequence(F.lit(0).cast("long"), part - 1)).alias("o")) \
-        .select("id", "k", F.least("c", "o").alias("ti"), F.greatest("c", "o").alias("tj"))
+    placed = lines.where(~F.col("clash")).select("id", "line").mapInArrow(hashed, "k long, id long")
+    met = cut(buckets(placed, tile), "line-buckets")
+    zero = F.lit(0).cast("long")
+    small = met.where(~F.col("large")).groupBy("ids").agg(F.min("k").alias("k")) \
+        .select("k", zero.alias("ti"), zero.alias("tj"), F.explode("ids").alias("id"))
+    large = met.where(F.col("large"))
+    large = large.join(large.groupBy("k").agg(F.max("c").alias("last")), "k") \
+        .select("k", "c", "ids", F.explode(F.sequence(zero, F.col("last"))).alias("o")) \
+        .select("k", F.least("c", "o").alias("ti"), F.greatest("c", "o").alias("tj"), F.explode("ids").alias("id"))
     by = ["k", "ti", "tj"]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,12 +216,18 @@ def kept_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, tile: int
                     b.append(ids[s + j])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    meeting = members.join(lines.select("id", "line"), "id").repartition(*by).sortWithinPartitions(*by)
+    meeting = spark.table(name).select("id", "line").join(small.unionByName(large), "id") \
+        .repartition(*by).sortWithinPartitions(*by)
     roots = components(meeting.mapInArrow(verify, "a long, b long"))
+    spark.sql(f"DROP TABLE {name}")                # the files stay
     place = F.struct("doc_id", "line_no", "dk")
-    low = lines.select("id", place.alias("at")).join(roots.withColumnRenamed("node", "id"), "id", "left") \
-        .groupBy(F.coalesce("root", "id")).agg(F.min("at").alias("at"))
-    return low.groupBy("at.doc_id", "at.dk").agg(F.sort_array(F.collect_list("at.line_no")).alias("kept"))
+    low = lines.where(~F.col("clash")).select("id", place.alias("at")) \
+        .join(roots.withColumnRenamed("node", "id"), "id", "left") \
+        .groupBy(F.coalesce("root", "id")).agg(F.min("at").alias("at")).select("at.*")
+    clash = lines.where("clash").select("id")
+    if not clash.isEmpty():
+        low = low.unionByName(occurrences(docs).join(clash, "id", "left_semi").select(*low.columns).distinct())
+    return low.groupBy("doc_id", "dk").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
