@@ -7,7 +7,7 @@ job would), so the Spark plan can be compared against it on small series.
 from __future__ import annotations
 
 import math
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 
 def _tod(ts):
@@ -32,47 +32,72 @@ def band_profile(ledger, a, b):
     return sum(hi[1] - lo[1] for lo, hi in days.values()) / len(days)
 
 
+class Fold:
+    """State of one series and the rows it has emitted.
+
+    ``step`` takes one reading; ``profile`` holds the ledger rows (ts, sum)
+    that gaps are filled from.
+    """
+
+    def __init__(self, spec, start=None, profile=()):
+        self.spec, self.profile, self.out = spec, list(profile), []
+        self.at, self.value, self.total = start or (None, 0.0, 0.0)
+
+    def counted(self, value):
+        return min(value, 0.0) if self.spec.clamp == "negative" else max(value, 0.0)
+
+    def step(self, ts, value):
+        spec, value = self.spec, 0.0 if value is None else float(value)
+        if self.at is None:
+            self.at = ts - timedelta(milliseconds=spec.seed_step_ms)
+            if spec.first_row == "drop":
+                return
+        seconds = (ts - self.at).total_seconds()
+        if spec.gap_fill and seconds * 1000 > 2 * spec.step_ms:
+            self.fill(ts, seconds)
+            return
+        energy = spec.factor * (seconds / 3600) * (self.counted(value) + self.counted(self.value))
+        self.total += energy
+        self.out.append((ts, self.total, energy, seconds, value))
+        self.at, self.value = ts, value
+
+    def fill(self, ts, seconds):
+        spec, (a, b) = self.spec, (_tod(self.at), _tod(ts))
+        energy = band_profile(self.profile, a, b) if a <= b else None
+        self.value, begin = 0.0, self.at
+        if energy is None and spec.empty_profile == "skip":
+            self.at = ts + timedelta(milliseconds=spec.skip_shift_ms)
+            return
+        ratio = seconds * 1000 / spec.step_ms
+        slots = math.ceil(round(ratio, 9)) if spec.slots == "lt" else math.floor(round(ratio, 9)) + 1
+        for k in range(1, slots + 1):
+            self.total += (energy or 0.0) / ratio
+            self.out.append((begin + timedelta(milliseconds=k * spec.step_ms), self.total, (energy or 0.0) / ratio,
+                             spec.step_ms / 1000, 0.0))
+        self.at = ts
+
+
+def _in_order(rows, spec):
+    rows = sorted(rows, key=lambda r: (r[0], r[1] or 0.0))
+    return [r for r in rows if not spec.cutoff or r[0] >= datetime.fromisoformat(spec.cutoff)]
+
+
 def integrate(rows, ledger, spec):
     """rows: list of (ts, value) for one series; ledger: list of ledger tuples
     (ts, cum, integral, delta, value). Returns ledger tuples."""
-    step = spec.step_ms
-    clampf = (lambda v: v if v < 0 else 0.0) if spec.clamp == "negative" else \
-        (lambda v: v if v > 0 else 0.0)
-    last_sum, prev_value, prev_ts = 0.0, 0.0, None
-    if ledger:
-        top = max(ledger, key=lambda r: (r[0], r[1]))
-        prev_ts, last_sum, prev_value = top[0], top[1] or 0.0, top[4]
-    rows = sorted(rows, key=lambda r: (r[0], 0.0 if r[1] is None else r[1]))
-    if spec.cutoff:
-        from datetime import datetime
-        c = datetime.fromisoformat(spec.cutoff)
-        rows = [r for r in rows if r[0] >= c]
-    out = []
-    prof_src = [(r[0], r[1]) for r in (ledger or [])]
-    first = True
-    for ts, v in rows:
-        cur = 0.0 if v is None else float(v)
-        if prev_ts is None:
-            prev_ts = ts - timedelta(milliseconds=spec.seed_step_ms)
-            if spec.first_row == "drop":
-                continue
-        delta = ts - prev_ts
-        if spec.gap_fill and delta.total_seconds() * 1000 > 2 * step:
-            p = band_profile(prof_src, _tod(prev_ts), _tod(ts)) if _tod(prev_ts) <= _tod(ts) else None
-            if p is None and spec.empty_profile == "skip":
-                prev_value, prev_ts = 0.0, ts + timedelta(milliseconds=spec.skip_shift_ms)
-                continue
-            p = p or 0.0
-            ai = p / ((delta.total_seconds() * 1000) / step)
-            t = prev_ts
-            while (t < ts) if spec.slots == "lt" else (t <= ts):
-                t = t + timedelta(milliseconds=step)
-                last_sum += ai
-                out.append((t, last_sum, ai, step / 1000, 0.0))
-            prev_value, prev_ts = 0.0, ts
-            continue
-        integral = (spec.factor * (delta.total_seconds() / 3600)) * (clampf(cur) + clampf(prev_value))
-        last_sum += integral
-        prev_value, prev_ts = cur, ts
-        out.append((ts, last_sum, integral, delta.total_seconds(), cur))
-    return out
+    newest = max(ledger, key=lambda r: (r[0], r[1])) if ledger else None
+    f = Fold(spec, newest and (newest[0], newest[4], newest[1] or 0.0), [(r[0], r[1]) for r in ledger or []])
+    for ts, value in _in_order(rows, spec):
+        f.step(ts, value)
+    return f.out
+
+
+def integrate_days(rows, spec):
+    """As integrate() without a ledger, day by day: what a day emits joins the
+    profile of the days after it."""
+    f, day = Fold(spec), None
+    for ts, value in _in_order(rows, spec):
+        if ts.date() != day:
+            f.profile, day = [(r[0], r[1]) for r in f.out], ts.date()
+        f.step(ts, value)
+    return f.out

@@ -87,3 +87,142 @@ def test_late_rows_dropped_and_counted(spark):
     assert spark.read.parquet(job.ledger_path).count() == before
     m = {x.batch_id: x.late_dropped for x in spark.read.parquet(job.marker_path).collect()}
     assert m[1] == older.count() and m[0] == 0
+
+
+# ---- the job against the plain fold -------------------------------------------------
+
+SCHEMA = "series long, ts timestamp_ntz, value double"
+STEP = integ.EXPORT.with_(cutoff=None, step_ms=30_000)
+
+
+def _series_job(spark, spec, keys=("series",), commit="day", late="keep"):
+    job, base = _job(spark, "fold", spec)
+    job.keys, job.commit, job.late = list(keys), commit, late
+    return job
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def _fold_days(rows, spec):
+    """One series, one batch: the fold goes on from day to day, each day's
+    profile sees the ledger rows of the days before."""
+    import fold
+    return fold.integrate_days(rows, spec)
+
+
+def _check(spark, job, rows, spec):
+    import math
+    led = spark.read.parquet(job.ledger_path)
+    for s in {r[0] for r in rows}:
+        mine = led.filter(F.col("series") == s) if "series" in led.columns else led
+        got = sorted((r.ts, r.cumulative_sum) for r in mine.collect())
+        want = sorted((r[0], r[1]) for r in _fold_days([(t, v) for k, t, v in rows if k == s], spec))
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert all(math.isclose(g[1], w[1], rel_tol=1e-9, abs_tol=1e-9) for g, w in zip(got, want, strict=True))
+
+
+def _t(day, h, m, s=0):
+    from datetime import datetime
+    return datetime(2024, 5, day, h, m, s)
+
+
+def _three_days():
+    one = [(1, _t(d, 10, m, s), -float(d + m)) for d in (1, 2, 3) for m in range(0, 20, 2) for s in (0, 30)]
+    two = [(2, _t(d, 11, m), -1.0 - m) for d in (1, 3) for m in (0, 1, 2, 9)]
+    return one + two
+
+
+def test_series_silent_for_a_day_keeps_its_state(spark):
+    rows = _three_days()
+    job = _series_job(spark, STEP)
+    assert job(_rows(spark, rows), 0) == "ok"
+    _check(spark, job, rows, STEP)
+
+
+@pytest.mark.parametrize("empty", ["zero", "skip"])
+def test_skip_and_zero_over_days(spark, empty):
+    rows = _three_days()
+    spec = STEP.with_(empty_profile=empty, slots="le", first_row="synthetic")
+    job = _series_job(spark, spec)
+    assert job(_rows(spark, rows), 0) == "ok"
+    _check(spark, job, rows, spec)
+
+
+def test_first_day_of_one_reading(spark):
+    """Under ``drop`` the first day emits nothing; the second goes on from it."""
+    rows = [(1, _t(1, 23, 59, 50), -5.0), (1, _t(2, 0, 0, 10), -6.0), (1, _t(2, 0, 0, 30), -7.0)]
+    job = _series_job(spark, STEP)
+    assert job(_rows(spark, rows), 0) == "ok"
+    _check(spark, job, rows, STEP)
+
+
+def test_first_batch_of_one_reading(spark):
+    rows = [(1, _t(1, 10, 0), -5.0), (1, _t(1, 10, 0, 20), -6.0), (1, _t(1, 10, 0, 50), -7.0)]
+    for keys in (("series",), ()):
+        job = _series_job(spark, STEP, keys)
+        assert job(_rows(spark, rows[:1]), 0) == "ok"
+        assert job(_rows(spark, rows[1:]), 1) == "ok"
+        _check(spark, job, rows, STEP)
+
+
+def test_duplicate_first_timestamp_drops_one_reading(spark):
+    rows = [(1, _t(1, 10, 0), -1.0), (1, _t(1, 10, 0), -2.0), (1, _t(1, 10, 0), -2.0), (1, _t(1, 10, 0, 30), -3.0)]
+    for spec in (STEP, STEP.with_(empty_profile="skip")):
+        job = _series_job(spark, spec)
+        job(_rows(spark, rows), 0)
+        _check(spark, job, rows, spec)
+
+
+def test_failed_run_stays_in_the_log(spark):
+    job = _series_job(spark, STEP)
+    good = _rows(spark, _three_days())
+    bad = good.withColumn("value", F.raise_error(F.lit("x" * 3000)).cast("double"))
+    with pytest.raises(Exception):
+        job(bad, 0)
+    assert job(good, 0) == "ok"
+    log = spark.read.parquet(job.run_log_path).orderBy("scheduled_time").collect()
+    assert [r.state for r in log] == ["FAILED", "SUCCEEDED"] and len({r.attempt for r in log}) == 2
+    assert "x" * 3000 in log[0].error_message
+
+
+def test_old_states_are_retired(spark):
+    import os
+    job = _series_job(spark, STEP)
+    for i, d in enumerate((1, 2, 3)):
+        job(_rows(spark, [r for r in _three_days() if r[1].day == d]), i)
+    left = sorted(x for x in os.listdir(job.state_path.removeprefix("file://")) if x.startswith("batch_id="))
+    assert left == ["batch_id=1", "batch_id=2"]
+
+
+def test_daily_job_says_what_is_missing(spark):
+    base = scratch_path(spark, f"test-day-{uuid.uuid4().hex[:6]}")
+    led = spark.createDataFrame([(_t(1, 10, 0), 1.0), (_t(1, 11, 0), 3.0), (_t(2, 10, 0), 4.0)], "ts timestamp_ntz, cumulative_sum double") \
+        .withColumn("day", F.to_date("ts"))
+    led.write.partitionBy("day").parquet(f"{base}/led")
+    led = spark.read.parquet(f"{base}/led")
+    first = led.filter(F.col("day") == F.lit("2024-05-01").cast("date"))
+    assert jobs.day_summary_job(led, first, f"{base}/sum", "2024-05-01") == "ok"
+    assert jobs.day_summary_job(led, first, f"{base}/sum", "2024-05-02") == "No production data for the day"
+    assert jobs.day_summary_job(first, led, f"{base}/sum", "2024-05-02") == "No export data for the day"
+    assert jobs.day_summary_job(led, led, f"{base}/sum", "2024-05-03") == "No export data for the day"
+    assert [(str(r.date), r.export_sum) for r in spark.read.parquet(f"{base}/sum").collect()] == [("2024-05-01", 2.0)]
+    day = F.lit("2024-05-01").cast("date")
+    plan = jobs.of_days(led, day, day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_yesterday_depends_on_the_zone(spark):
+    from datetime import datetime, timedelta, timezone
+    for hours in (-12, 0, 14):
+        zone = "UTC" if not hours else f"{'+' if hours > 0 else '-'}{abs(hours):02d}:00"
+        want = (datetime.now(timezone.utc) + timedelta(hours=hours) - timedelta(days=1)).date()
+        assert jobs.yesterday(spark, zone) == str(want)
+
+
+def test_session_settings_stay_as_they_are(spark):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    job = _series_job(spark, STEP)
+    job(_rows(spark, _three_days()), 0)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before

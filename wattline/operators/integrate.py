@@ -121,9 +121,10 @@ def integrate(readings: DataFrame, ledger: DataFrame | None = None,
 
 def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
                      state=None, profile_ledger=None, late="keep",
-                     bucket_us=3_600_000_000, materialize=cut) -> DataFrame:
+                     bucket_us=3_600_000_000, materialize=cut, with_state: bool = False):
     """As :func:`integrate`, plus ``_rts`` (reading time), ``_k`` (slot) and
-    ``_gap`` for callers that carry state between batches.
+    ``_gap``; ``with_state`` returns (rows, state after the last reading of
+    every series of ``readings``) for callers that go on from there.
 
     ``materialize`` writes the intermediates that are read more than once:
     a reliable checkpoint by default; a micro-batch job may pass a
@@ -131,7 +132,7 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
     if spec.gap_fill and spec.empty_profile == "skip":
         from wattline.operators.skipfill import integrate_skip
         return integrate_skip(readings, ledger, spec, keys, state,
-                              profile_ledger, late, bucket_us, materialize)
+                              profile_ledger, late, bucket_us, materialize, with_state)
     keyed = bool(keys)
     r, K = _keys(readings.select(*keys, "ts", "value"), keys)
     r = r.select(*K, "ts", F.coalesce(F.col("value").cast("double"),
@@ -213,8 +214,9 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
             n = F.expr(f"div(_d_us + {step_us - 1}, {step_us})")
         else:
             n = F.expr(f"div(_d_us, {step_us}) + 1")
-        ai = F.coalesce("profile", F.lit(0.0)) / \
-            ((F.col("_delta") * F.lit(1000.0)) / F.lit(float(spec.step_ms)))
+        # NULL between readings of one time, which are no gap
+        ai = F.try_divide(F.coalesce("profile", F.lit(0.0)),
+                          (F.col("_delta") * F.lit(1000.0)) / F.lit(float(spec.step_ms)))
         nn = F.when(F.col("_gap"), n).otherwise(F.lit(0)).cast("bigint")
     else:
         ai = F.lit(0.0)
@@ -226,9 +228,25 @@ def integrate_detail(readings, ledger=None, spec: Spec = EXPORT, keys=(),
     x = x.withColumn("_c", contrib)
     if spec.gap_fill and profile_ledger is not None:
         x = materialize(x)  # the profile join is read twice by the running sum
-    x = stitch.running_sum(x, K, order, "_c", "_cum").filter(is_reading)
+    x = stitch.running_sum(x, K, order, "_c", "_cum")
+    if not with_state:
+        return emit_slots(x.filter(is_reading), K, keys, step_us, spec.step_ms, "_p1_ts", spec.gap_fill)
+    x = materialize(x)  # read by the rows and by the state
+    state = final_state(x, K, keys, order, F.col("ts"), F.col("_gap"))
+    return emit_slots(x.filter(is_reading), K, keys, step_us, spec.step_ms, "_p1_ts", spec.gap_fill), state
 
-    return emit_slots(x, K, keys, step_us, spec.step_ms, "_p1_ts", spec.gap_fill)
+
+def final_state(x: DataFrame, K, keys, order, ts, zero) -> DataFrame:
+    """State after the last row of every series: keys, s_ts, s_value, s_cum.
+
+    ``x`` holds the integrated readings and the seed rows, so a series whose
+    readings emitted nothing still has a state, that of its seed. ``ts`` is
+    the time to carry on from, ``zero`` where the carried value is 0."""
+    value = F.when(zero, F.lit(0.0)).otherwise(F.col("value"))
+    last = stitch.last_in_group(x.select(*K, *order, ts.alias("_t"), value.alias("_v"), "_cum"),
+                                K, order, ["_t", "_v", "_cum"], prefix="l_")
+    return last.select(*keys, F.col("l__t").alias("s_ts"), F.col("l__v").alias("s_value"),
+                       F.col("l__cum").alias("s_cum"))
 
 
 def with_seeds(r: DataFrame, seeds: DataFrame, K, order, bucket_us: int, drop: bool) -> DataFrame:
@@ -281,18 +299,6 @@ def emit_slots(x: DataFrame, K, keys, step_us: int, step_ms: int, prev_col: str,
         F.col("ts").alias("_rts"), "_k", "_gap")
 
 
-def end_state(detail: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """State to carry into the next day/batch: last reading time, its value
-    (0 after a gap) and the final running sum, per series."""
-    d, K = _keys(detail, keys)
-    last = stitch.last_in_group(d, K, ["_rts", "_k"],
-                                ["_rts", "value", "_gap", "cumulative_sum"], prefix="l_")
-    return last.select(
-        *keys, F.col("l__rts").alias("s_ts"),
-        F.when(F.col("l__gap"), F.lit(0.0)).otherwise(F.col("l_value")).alias("s_value"),
-        F.col("l_cumulative_sum").alias("s_cum"))
-
-
 def gap_list(readings: DataFrame, ledger: DataFrame | None, spec: Spec,
              keys: Sequence[str] = ()) -> DataFrame:
     """G1 for a batch with carry-in: readings whose distance to the previous

@@ -62,7 +62,7 @@ def hourly_energy_map(ledger: DataFrame) -> DataFrame:
 def as_text(entries: str, places: int = 6) -> Column:
     """A map of hour to energy as text "h=energy" in ascending order of hours."""
     one = F.transform(F.array_sort(F.map_entries(entries)), lambda e: F.concat_ws(
-        "=", e["key"].cast("string"), F.format_number(e["value"], f"0.{'0' * places}")))
+        "=", e["key"].cast("string"), F.format_string(f"%.{places}f", e["value"])))
     return F.array_join(one, ",")
 
 

@@ -26,9 +26,9 @@ from wattline.plans import stitch
 
 
 def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
-                   bucket_us, materialize) -> DataFrame:
+                   bucket_us, materialize, with_state=False):
     from wattline.operators.integrate import (
-        _keys, _small, clamp, emit_slots, ledger_state, with_seeds)
+        _keys, _small, clamp, emit_slots, final_state, ledger_state, with_seeds)
     keyed = bool(keys)
     r, K = _keys(readings.select(*keys, "ts", "value"), keys)
     r = r.select(*K, "ts", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"))
@@ -124,7 +124,7 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
         F.when(shifted, add_micros("_p1_ts", F.lit(shift_us))).otherwise(F.col("_p1_ts")).alias("_pt"),
         d_us.alias("_d"), delta.alias("_delta"),
         (is_reading & F.coalesce(gap, F.lit(False)) & ~F.col("_skip")).alias("_gap"),
-        (F.coalesce(P, F.lit(0.0)) / ((delta * F.lit(1000.0)) / F.lit(float(spec.step_ms)))).alias("_ai"),
+        F.try_divide(F.coalesce(P, F.lit(0.0)), (delta * F.lit(1000.0)) / F.lit(float(spec.step_ms))).alias("_ai"),
         ((F.lit(spec.factor) * (delta / F.lit(3600.0)))
          * (clamp("value", spec.clamp) + clamp(pv, spec.clamp))).alias("_integral"))
     y = y.withColumn("_n", F.when(F.col("_gap"), n).otherwise(F.lit(0)).cast("bigint"))
@@ -133,5 +133,11 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
                      .when(F.col("_gap"), F.col("_n") * F.col("_ai"))
                      .otherwise(F.col("_integral")))
     y = materialize(y)
-    y = stitch.running_sum(y, K, order, "_c", "_cum").filter(is_reading & ~F.col("_skip"))
-    return emit_slots(y, K, keys, step_us, spec.step_ms, "_pt")
+    y = stitch.running_sum(y, K, order, "_c", "_cum")
+    skip = F.coalesce(F.col("_skip"), F.lit(False))
+    if not with_state:
+        return emit_slots(y.filter(is_reading & ~skip), K, keys, step_us, spec.step_ms, "_pt")
+    y = materialize(y)
+    ts = F.when(skip, add_micros("ts", F.lit(shift_us))).otherwise(F.col("ts"))
+    state = final_state(y, K, keys, order, ts, F.col("_gap") | skip)
+    return emit_slots(y.filter(is_reading & ~skip), K, keys, step_us, spec.step_ms, "_pt"), state

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.operators.filters import tagged
+
 RUN_COLUMNS = ["name", "state", "scheduled_time", "error_message"]
 
 
-def tagged_union(parts: dict[str, DataFrame], all_columns: bool = False) -> DataFrame:
+def tagged_union(parts: dict[str, DataFrame], all_columns: bool = False, ordered: bool = True) -> DataFrame:
     """``'tag' AS task`` + the run columns (or all columns) of each
-    part, UNION ALL by name."""
+    part, UNION ALL by name, in the order of the scheduled time."""
     out = None
     for tag, df in parts.items():
         cols = df.columns if all_columns else RUN_COLUMNS
-        t = df.select(F.lit(tag).alias("task"), *cols)
+        t = tagged(df.select(*cols), tag)
         out = t if out is None else out.unionByName(t, allowMissingColumns=all_columns)
-    return out
+    return out.orderBy("scheduled_time") if ordered else out
 
 
 def run_log_from_events(events: DataFrame, types: tuple[str, ...]) -> DataFrame:

@@ -65,8 +65,9 @@ def cutoff_filter(spark, sf):
 
 
 def time_range_filter(spark, sf):
-    return r6(filters.time_range(fx.readings(spark, sf), "2024-01-10 06:00:00",
-                                 "2024-01-12 18:30:00").select("ts", "value"))
+    lo = ntz_literal("10.01.2024 06:00", "dd.MM.yyyy HH:mm")
+    hi = instant_literal("2024-01-12T20:30:00+02:00")
+    return r6(filters.time_range(fx.readings(spark, sf), lo, hi).select("ts", "value"))
 
 
 def time_of_day_band(spark, sf):
@@ -284,7 +285,8 @@ def hourly_energy(spark, sf):
 
 
 def hourly_energy_map(spark, sf):
-    return rollup.hourly_energy_map(_production_all(spark, sf))
+    m = rollup.hourly_energy_map(_production_all(spark, sf))
+    return m.select("day", rollup.as_text("map").alias("energy_by_hour"))
 
 
 def _summary(spark, sf):
@@ -296,12 +298,10 @@ def daily_summary(spark, sf):
 
 
 def daily_summary_status(spark, sf):
-    """J6 with statuses: every date of either ledger, 'ok' or which side is
-    missing (production ledger limited to days up to the 25th so both
-    statuses occur)."""
-    prod = _production_all(spark, sf).filter(
-        F.col("ts") < F.lit("2024-01-26 00:00:00").cast("timestamp_ntz"))
-    return r6(rollup.daily_summary_status(_export_all(spark, sf), prod))
+    """J6 with statuses: every date and series of either ledger, 'ok' or
+    which side is missing (users have days without one of their meters)."""
+    export, production = fx.keyed_ledgers(spark, sf)
+    return r6(rollup.daily_summary_status(export, production, keys=["series"]))
 
 
 def daily_summary_backfill(spark, sf):
@@ -330,6 +330,20 @@ def nearest_join(spark, sf):
     return r6(_aligned(spark, sf))
 
 
+def nearest_join_keyed(spark, sf):
+    """J2 series by series: the two meters of every user, whose readings are
+    days apart, within hours."""
+    left, right = fx.keyed_ledgers(spark, sf)
+    return r6(align.nearest_join(left, right, fx.KEYED_TOL_S * 1000, keys=["series"]))
+
+
+def consumption_rate_from(spark, sf):
+    """D1 from a start time on, given as an instant with an offset."""
+    near = align.nearest_join(fx.left_ledger(spark, sf), fx.right_ledger(spark, sf), fx.params().tol_s * 1000,
+                              start=instant_literal("2024-01-05T01:30:00+01:30"))
+    return r6(align.consumption_rate(r6(near)))
+
+
 def daily_baseline_shift(spark, sf):
     return r6(align.baseline_shift(_aligned(spark, sf), "export_ts", ["export_sum", "production_sum"]))
 
@@ -415,7 +429,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_boundary_values", "day_boundary_values_join", "daily_bounds", "day_first_last", "daily_energy",
         "hourly_energy", "hourly_energy_map", "daily_summary", "daily_summary_status",
         "daily_summary_backfill",
-        "daily_upsert", "nearest_join", "daily_baseline_shift", "consumption_rate",
+        "daily_upsert", "nearest_join", "nearest_join_keyed", "consumption_rate_from", "daily_baseline_shift", "consumption_rate",
         "daily_consumption_rate", "weather_explode", "production_weather", "day_ticks",
         "tagged_union", "tagged_union_all_columns", "time_grid", "time_grid_hole",
         "counter_grid",

@@ -18,6 +18,7 @@ from wattline.sources.tables import table
 # Fixed values, the same for every folder: reading step, gap threshold
 # (2 x step) and nearest-join tolerance used with the events-derived fixtures.
 STEP_S, GAP_S, TOL_S = 300, 600, 60
+KEYED_TOL_S = 6 * 3600             # a user has a reading every few hours
 SPLIT_DAY = "2024-01-20"          # history < this day; new_days from this day on
 SUMMARY_OLD_LAST = "2024-01-20"   # old_summary: days <= this, sums zeroed
 SUMMARY_NEW_FIRST = "2024-01-18"  # new_summary: days >= this
@@ -135,6 +136,21 @@ def right_ledger(spark, sf_dir) -> DataFrame:
         half(spark, sf_dir, 1), None, spec))
 
 
+def keyed_half(spark, sf_dir, side: int) -> DataFrame:
+    """The two meters of every user: one series each."""
+    types = LEFT_TYPES if side == 0 else RIGHT_TYPES
+    return events(spark, sf_dir).filter(F.col("event_type").isin(*types)).select(
+        F.col("user_id").alias("series"), "ts", (F.col("value") - 50).alias("value"))
+
+
+def keyed_ledgers(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Export-like and production-like ledgers of every user, without fill."""
+    specs = history_spec(params()), production_spec(params()).with_(gap_fill=False)
+    left, right = (written_table(events(spark, sf_dir), f"keyed half {i} {spec}", lambda i=i, spec=spec: integ.integrate(
+        keyed_half(spark, sf_dir, i), None, spec, keys=["series"])) for i, spec in enumerate(specs))
+    return left, right
+
+
 def channel_values(ch: DataFrame) -> DataFrame:
     """P2 applied: (ts, value) with NULL channels counted as 0."""
     from wattline.operators.filters import channel_sum

@@ -8,12 +8,15 @@ row (S8) and a run-log row (T10) per micro-batch.
 from __future__ import annotations
 
 import traceback
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline.functions.timefns import day_of
 from wattline.operators import integrate as integ
@@ -45,19 +48,30 @@ class IntegrationJob:
     late: str = "keep"
     statuses: list = field(default_factory=list)
 
-    def state_before(self, spark, batch_id: int) -> DataFrame | None:
-        """Newest ledger row per series as of the previous batch (kept in a
-        one-row-per-series table, so the ledger is not scanned for it)."""
-        st = sinks.read_ledger(spark, self.state_path)
+    def _state_schema(self, rows: DataFrame) -> T.StructType:
+        keys = [rows.schema[k] for k in self.keys]
+        return T.StructType([*keys, T.StructField("s_ts", T.TimestampNTZType()), T.StructField("s_value", T.DoubleType()),
+                             T.StructField("s_cum", T.DoubleType()), T.StructField("s_led", T.IntegerType()),
+                             T.StructField("batch_id", T.LongType())])
+
+    def state_before(self, rows: DataFrame, batch_id: int) -> DataFrame | None:
+        """State of every series after the newest earlier batch, from that
+        batch's partition of the state table alone."""
+        st = sinks.read_ledger(rows.sparkSession, self.state_path, schema=self._state_schema(rows))
         if st is None:
             return None
-        st = st.filter(F.col("batch_id") < batch_id)
-        K = list(self.keys)
-        if K:
-            return st.groupBy(*K).agg(*[
-                F.max_by(c, F.struct("batch_id")).alias(c) for c in ("s_ts", "s_value", "s_cum")])
-        return st.agg(*[F.max_by(c, F.col("batch_id")).alias(c)
-                        for c in ("s_ts", "s_value", "s_cum")])
+        newest = st.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            return None
+        return st.filter(F.col("batch_id") == newest).drop("batch_id")
+
+    def _retire_states(self, rows: DataFrame, batch_id: int) -> None:
+        """Drop states older than the one a replay of this batch starts from."""
+        spark = rows.sparkSession
+        old = [r[0] for r in sinks.read_ledger(spark, self.state_path, schema=self._state_schema(rows))
+               .filter(F.col("batch_id") < batch_id).select("batch_id").distinct().collect()]
+        for b in sorted(old)[:-1]:                    # a batch or two, as every batch does this
+            sinks.remove(spark, f"{self.state_path}/batch_id={b}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> str:
         spark = batch.sparkSession
@@ -66,7 +80,7 @@ class IntegrationJob:
             self._log(spark, batch_id, "SUCCEEDED", None, status)
             return status
         except Exception as exc:  # record, then let the stream fail/retry
-            self._log(spark, batch_id, "FAILED", f"{type(exc).__name__}: {exc}"[:1000], "error")
+            self._log(spark, batch_id, "FAILED", f"{type(exc).__name__}: {exc}", "error")
             traceback.print_exc()
             raise
 
@@ -87,10 +101,12 @@ class IntegrationJob:
             return df
 
         try:
-            committed = sinks.read_ledger(spark, self.ledger_path, exclude_batch=batch_id)
+            key_fields = [rows.schema[k] for k in self.keys]
+            committed = sinks.read_ledger(spark, self.ledger_path, exclude_batch=batch_id,
+                                          schema=sinks.ledger_schema(key_fields))
             if committed is not None:
                 committed = committed.select(*self.keys, *integ.LEDGER_COLS)
-            state = self.state_before(spark, batch_id)
+            state = self.state_before(rows, batch_id)
             if state is None and committed is not None:
                 state = integ.ledger_state(committed, self.keys)
             state0 = state
@@ -105,16 +121,17 @@ class IntegrationJob:
             profile_ledger = committed
             for d in days:
                 part = rows if d is None else rows.filter(day_of("ts") == F.lit(d))
-                detail = integ.integrate_detail(part, committed, self.spec, self.keys,
-                                                state=state, profile_ledger=profile_ledger,
-                                                late=self.late, materialize=keep)
+                detail, after = integ.integrate_detail(
+                    part, committed, self.spec, self.keys, state=state, profile_ledger=profile_ledger,
+                    late=self.late, materialize=keep if len(days) == 1 else cut, with_state=True)
                 if len(days) > 1:
                     # carried into the next day: cut the lineage so plans do
                     # not nest day after day
                     detail = cut(detail)
-                    state = cut(integ.end_state(detail, self.keys))
                     out = detail.select(*self.keys, *integ.LEDGER_COLS)
                     profile_ledger = out if profile_ledger is None else profile_ledger.unionByName(out)
+                # series without a reading that day keep the state they had
+                state = cut(self._merged(state, after))
                 outs.append(detail.select(*self.keys, *integ.LEDGER_COLS))
             result = outs[0]
             for o in outs[1:]:
@@ -123,9 +140,10 @@ class IntegrationJob:
         finally:
             for df in held:
                 df.unpersist()
-        written = spark.read.parquet(self.ledger_path).filter(F.col("batch_id") == batch_id)
-        self._write_state(spark, written.select(*self.keys, *integ.LEDGER_COLS),
-                          committed_state=state0, batch_id=batch_id)
+        written = sinks.read_ledger(spark, self.ledger_path, schema=sinks.ledger_schema(key_fields)) \
+            .filter(F.col("batch_id") == batch_id)
+        self._write_state(written.select(*self.keys, *integ.LEDGER_COLS), state0, state, batch_id)
+        self._retire_states(rows, batch_id)
         late_dropped = 0
         if self.late == "drop" and state0 is not None:
             # Rows not newer than the carried state are dropped, and counted
@@ -141,39 +159,77 @@ class IntegrationJob:
             [(int(m["row_count"]), m["first_ts"], m["last_ts"], int(late_dropped))],
             "row_count bigint, first_ts timestamp_ntz, last_ts timestamp_ntz, late_dropped bigint") \
             .withColumn("processed_at", F.current_timestamp())
-        sinks.write_batch_table(marker, self.marker_path, batch_id)
+        sinks.write_batch_table(marker, self.marker_path, batch_id, single=True)
         self.statuses.append("ok")
         return "ok"
 
-    def _write_state(self, spark, result: DataFrame, committed_state, batch_id: int) -> None:
-        """Newest ledger row per series after this batch (may be a fill slot
-        past the last reading, as in the reference)."""
-        new = integ.ledger_state(result, self.keys)
-        if committed_state is not None:
-            new = new.unionByName(committed_state.select(*self.keys, "s_ts", "s_value", "s_cum"))
-        K = list(self.keys)
-        pick = F.struct("s_ts", "s_cum")
-        agg = [F.max_by(c, pick).alias(c) for c in ("s_ts", "s_value", "s_cum")]
-        new = new.groupBy(*K).agg(*agg) if K else new.agg(*agg)
-        sinks.write_batch_table(new, self.state_path, batch_id)
+    def _merged(self, old: DataFrame | None, new: DataFrame) -> DataFrame:
+        """States of ``new`` and, for other series, of ``old``."""
+        new = new.select(*self.keys, "s_ts", "s_value", "s_cum")
+        if old is None:
+            return new
+        old = old.select(*new.columns)
+        if self.keys:
+            return new.unionByName(old.join(new, list(self.keys), "left_anti"))
+        both = new.withColumn("_n", F.lit(1)).unionByName(old.withColumn("_n", F.lit(0)))
+        return both.agg(*[F.max_by(c, "_n").alias(c) for c in new.columns])
+
+    def _write_state(self, result: DataFrame, before: DataFrame | None, after: DataFrame, batch_id: int) -> None:
+        """The next batch goes on from the newest ledger row of a series (it
+        may be a fill slot past the last reading). A series without a ledger
+        row goes on from ``after``, where its readings left it."""
+        pick, cols = F.struct("s_led", "s_ts", "s_cum"), ("s_ts", "s_value", "s_cum", "s_led")
+        parts = [integ.ledger_state(result, self.keys).withColumn("s_led", F.lit(1)),
+                 after.select(*self.keys, *cols[:3]).withColumn("s_led", F.lit(0))]
+        if before is not None:
+            parts.append(before.select(*self.keys, *cols).filter(F.col("s_led") == 1))
+        new = reduce(DataFrame.unionByName, parts).filter(F.col("s_ts").isNotNull())
+        agg = [F.max_by(c, pick).alias(c) for c in cols]
+        new = new.groupBy(*self.keys).agg(*agg) if self.keys else new.agg(*agg).filter(F.col("s_ts").isNotNull())
+        sinks.write_batch_table(new, self.state_path, batch_id, single=not self.keys)
 
     def _log(self, spark, batch_id, state, error, status) -> None:
         log = spark.range(1).select(
             F.lit(self.name).alias("name"), F.lit(state).alias("state"),
             F.current_timestamp().alias("scheduled_time"),
             F.lit(error).cast("string").alias("error_message"),
-            F.lit(status).alias("status"))
-        sinks.write_batch_table(log, self.run_log_path, batch_id)
+            F.lit(status).alias("status"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.lit(uuid.uuid4().hex).alias("attempt"))
+        sinks.append_log(log, self.run_log_path)
+
+
+def of_days(ledger: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Ledger rows of the days; a ``day`` partition column prunes folders."""
+    rows = ledger.filter(day_of("ts").between(first, last))
+    return rows.filter(F.col("day").between(first, last)) if "day" in ledger.columns else rows
 
 
 def daily_summary_job(export_ledger: DataFrame, production_ledger: DataFrame,
                       summary_path: str, first_date: str, last_date: str) -> str:
-    """Summaries for [first_date, last_date] in one grouped pass,
-    upserted by date. Day filters prune the ledgers' day partitions."""
+    """Summaries for [first_date, last_date] in one grouped pass, upserted
+    by date."""
     lo, hi = F.lit(first_date).cast("date"), F.lit(last_date).cast("date")
-
-    def rng(df):
-        return df.filter(day_of("ts").between(lo, hi))
-    s = rollup.daily_summary(rng(export_ledger), rng(production_ledger))
+    s = rollup.daily_summary(of_days(export_ledger, lo, hi), of_days(production_ledger, lo, hi))
     sinks.upsert_by_date(s, summary_path)
-    return "ok"
+    return rollup.OK
+
+
+def yesterday(spark: SparkSession, zone: str) -> str:
+    """the date of yesterday in a named zone."""
+    now = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.to_utc_timestamp(
+        F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz"))
+    return str(spark.range(1).select(F.date_sub(F.to_date(now), 1)).first()[0])
+
+
+def day_summary_job(export_ledger: DataFrame, production_ledger: DataFrame, summary_path: str,
+                    date: str | None = None, zone: str = "UTC") -> str:
+    """The summary of one date, by default yesterday in ``zone``; the
+    status says which ledger has no row of it, and then nothing is written."""
+    day = F.lit(date or yesterday(export_ledger.sparkSession, zone)).cast("date")
+    s = rollup.daily_summary_status(of_days(export_ledger, day, day), of_days(production_ledger, day, day))
+    found = s.first()
+    if found is None:
+        return rollup.NO_EXPORT
+    if found["status"] == rollup.OK:
+        sinks.upsert_by_date(s.drop("status"), summary_path)
+    return found["status"]

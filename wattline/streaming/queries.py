@@ -38,7 +38,6 @@ def stream_mirror(spark, sf):
 def stream_new_rows_only(spark, sf):
     r = fx.readings(spark, sf)
     days = [x[0] for x in r.select(F.to_date("ts")).distinct().orderBy(1).collect()]
-    split = F.lit(fx.SPLIT_DAY).cast("date")
     early = [d for d in days if str(d) < fx.SPLIT_DAY]
     late = [d for d in days if str(d) >= fx.SPLIT_DAY]
     src, out, ck = _dir(spark, "fresh-feed"), _dir(spark, "fresh-out"), _dir(spark, "fresh-ckpt")
@@ -47,7 +46,6 @@ def stream_new_rows_only(spark, sf):
     stream.write_day_files(r, src, late)
     stream.run_available(stream.reading_stream(spark, src).select("id", "ts", "value"), ck,
                          foreach_batch=lambda df, i: sinks.write_batch_table(df, out, i))
-    _ = split
     return r6(spark.read.parquet(out).select("id", "ts", "value"))
 
 
@@ -155,6 +153,9 @@ def oracle_sql() -> dict[str, str]:
         "SELECT min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS row_count FROM "
         f"(SELECT ts, (dense_rank() OVER (ORDER BY CAST(ts AS DATE)) - 1) // {MARKER_FILES} AS b FROM events) e "
         "GROUP BY b")
+    q["run_history"] = (
+        "SELECT 'runs' AS name, 'SUCCEEDED' AS state, NULL::VARCHAR AS error_message, 'ok' AS status FROM "
+        f"(SELECT DISTINCT (dense_rank() OVER (ORDER BY CAST(ts AS DATE)) - 1) // {MARKER_FILES} AS b FROM events) e")
     q["ledger_append"] = O.ledger_r6(O.WHOLE)
     base = ("SELECT CAST(min(CAST(ts AS DATE)) AS TIMESTAMP) AS ts, 0.0::DOUBLE AS cumulative_sum, "
             "0.0::DOUBLE AS integral, 0.0::DOUBLE AS delta, 0.0::DOUBLE AS value FROM events")

@@ -2,11 +2,12 @@
 
 ``foreachBatch`` is at-least-once: a batch may run again after a failure.
 Every sink therefore writes a batch's rows under its own ``batch_id``
-partition with dynamic partition overwrite, so a replay replaces exactly
-what the failed attempt wrote (exactly-once effect) and never touches other
-batches. Ledgers are partitioned by ``day`` first (partition pruning for
-day-level reads, S10), rows sorted by ``ts`` inside files (row-group
-min/max stats on ``ts``), at most 40,000 rows per file (S14).
+partition with dynamic partition overwrite, set on the writer alone, so a
+replay replaces exactly what the failed attempt wrote (exactly-once effect)
+and never touches other batches or the session. Ledgers are partitioned by
+``day`` first (partition pruning for day-level reads, S10), rebalanced to the
+advised partition size so that a day of any size is written by as many tasks
+as it needs, rows sorted by ``ts`` inside files (row-group min/max stats).
 """
 
 from __future__ import annotations
@@ -15,57 +16,73 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattline.functions.timefns import day_of
 
-MAX_RECORDS_PER_FILE = 40_000
+#: A file's size, about, and the bytes that a ledger row takes in it.
+FILE_BYTES, ROW_BYTES = 256 << 20, 40
 
 
-def _dynamic(spark: SparkSession):
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def ledger_schema(keys: Sequence[T.StructField] = ()) -> T.StructType:
+    """Schema of a written ledger: rows may be missing, columns never are."""
+    doubles = ["cumulative_sum", "integral", "delta", "value"]
+    return T.StructType([*keys, T.StructField("ts", T.TimestampNTZType()),
+                         *[T.StructField(c, T.DoubleType()) for c in doubles],
+                         T.StructField("day", T.DateType()), T.StructField("batch_id", T.LongType())])
 
 
 def write_ledger(rows: DataFrame, path: str, batch_id: int | None = None,
-                 keys: Sequence[str] = ()) -> None:
+                 keys: Sequence[str] = (), file_bytes: int = FILE_BYTES) -> None:
     """Append ledger rows (by name) for one batch."""
-    spark = rows.sparkSession
-    _dynamic(spark)
     out = rows.withColumn("day", day_of("ts"))
     parts = ["day"]
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         parts.append("batch_id")
-    (out.repartition(*parts).sortWithinPartitions(*keys, "ts")
+    (out.hint("rebalance", F.col("day")).sortWithinPartitions(*parts, *keys, "ts")
         .write.mode("overwrite" if batch_id is not None else "append")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", max(1, file_bytes // ROW_BYTES))
         .partitionBy(*parts).parquet(path))
 
 
-def read_ledger(spark: SparkSession, path: str, exclude_batch: int | None = None) -> DataFrame | None:
+def read_ledger(spark: SparkSession, path: str, exclude_batch: int | None = None,
+                schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, None before its first write. With ``schema`` a
+    table whose batches wrote no row reads as empty."""
     if not exists(spark, path):
         return None
-    df = spark.read.parquet(path)
+    df = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     if exclude_batch is not None and "batch_id" in df.columns:
         df = df.filter(F.col("batch_id") != exclude_batch)
     return df
 
 
-def write_batch_table(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Small per-batch tables (marker, run log, state) partitioned by id."""
-    _dynamic(rows.sparkSession)
-    (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).coalesce(1)
-         .write.mode("overwrite").partitionBy("batch_id").parquet(path))
+def write_batch_table(rows: DataFrame, path: str, batch_id: int, single: bool = False) -> None:
+    """Per-batch tables partitioned by id; ``single`` for those of one row."""
+    rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    ((rows.coalesce(1) if single else rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
+
+
+def append_log(row: DataFrame, path: str) -> None:
+    """A log row: nothing that was logged before is ever replaced."""
+    row.coalesce(1).write.mode("append").parquet(path)
 
 
 def upsert_by_date(new: DataFrame, path: str) -> None:
     """MERGE on ``date`` for a table partitioned by date: the dates in
     ``new`` are replaced (update + insert), every other date is kept."""
-    _dynamic(new.sparkSession)
-    new.repartition("date").write.mode("overwrite").partitionBy("date").parquet(path)
+    (new.hint("rebalance", F.col("date")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(path))
