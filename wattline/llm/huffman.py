@@ -40,7 +40,7 @@ SEGMENT = 1 << 19   # bytes of a segment, about
 PART = 2048         # documents of a file part, about
 CHARS = 3 << 22     # bytes of text encoded at once
 PACK = 1 << 17      # ids packed at once
-MEMO = 450_000      # parts of pieces remembered by a task; a full memo starts anew
+MEMO = 700_000      # parts of pieces remembered by a task; a full memo starts anew
 
 
 def word_tokenizer() -> str:
