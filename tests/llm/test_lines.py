@@ -130,3 +130,29 @@ def test_lines_that_share_a_hash_all_stay(odd, monkeypatch):
         "id", F.when(F.col("line").startswith("same"), 5).otherwise(F.col("id"))))
     got = {r.doc_id: r.kept for r in lines.dedup_lines(odd([(1, "same one\nother", "en", "s", 1), (2, "other\nsame two\nlast", "en", "s", 1)])).collect()}
     assert got == {1: [0, 1], 2: [1, 2]}
+
+
+@pytest.mark.parametrize("n", [2, 5, 8, 60])
+def test_linked_groups(n, monkeypatch):
+    monkeypatch.setattr(lines, "COLUMNS", 100)
+    rng = random.Random(n)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(200)) for _ in range(3)]
+    texts = []
+    for _ in range(n):
+        t = list(rng.choice(base))
+        for _ in range(rng.randint(0, 6)):
+            t[rng.randrange(len(t))] = rng.choice("xyz")
+        texts.append("".join(t))
+    sets = [lines.shingles(t) for t in texts]
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in range(n):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    assert dict(lines.linked(texts)) == {i: find(i) for i in range(n) if find(i) != i}

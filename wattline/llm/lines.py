@@ -7,7 +7,7 @@ white space runs as one space); BANDS bands of ROWS values bring pairs of
 similarity 0.8 together with probability 0.995. Band keys are sorted across
 the cluster, and the lines of equal keys stream past as buckets; equal buckets,
 which near-copies make in most bands, count once. Inside a bucket the exact
-Jaccard similarity of the shingle sets decides on every pair not yet connected;
+Jaccard similarity of the shingle sets (as 64-bit hashes) decides on every pair;
 a bucket over TILE lines is cut into chunks that meet pairwise in separate
 tasks. Verified links go through distributed union-find, and of each component
 the line with the smallest (doc_id, line number) stays.
@@ -33,11 +33,14 @@ from pyspark.sql import functions as F
 
 from wattline.llm.common import components, cut, shared_dir, table, whole_groups
 from wattline.llm.decontaminate import codes_of, grams, normal
+from wattline.llm.simhash import spanning
 
 SHINGLE = 8
 BANDS, ROWS = 10, 4
 SIMILARITY = 0.8
 TILE = 256
+#: Groups of fewer lines compare sets; larger ones multiply matrices of so many columns.
+FEW, COLUMNS = 8, 1 << 13
 #: Shingles hashed at once.
 CHUNK = 1 << 16
 SEED = 42
@@ -48,11 +51,12 @@ def shingles(line: str, width: int = SHINGLE) -> frozenset[str]:
     return frozenset(t[i:i + width] for i in range(max(1, len(t) - width + 1)))
 
 
-def similar(a: frozenset, b: frozenset, least: float = SIMILARITY) -> bool:
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
-        return False
-    both = len(a & b)
-    return both >= least * (len(a) + len(b) - both)
+def shingle_hashes(lines: list[str], width: int = SHINGLE) -> list[np.ndarray]:
+    """The hashes (64 bits) of the shingles of every line, repeats included."""
+    texts = [normal(x).ljust(width, "\x00") for x in lines]
+    h = grams(codes_of("".join(texts)), width)
+    ends = np.cumsum([len(t) for t in texts])
+    return [h[e - len(t):e - width + 1] for e, t in zip(ends.tolist(), texts, strict=True)]
 
 
 def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE) -> np.ndarray:
@@ -92,22 +96,35 @@ def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int
     return keys.view(np.int64)
 
 
-def linked(sets: list[frozenset]) -> list[tuple[int, int]]:
-    """A spanning forest of the similar pairs; pairs already connected are not compared."""
-    root, edges = list(range(len(sets))), []
+def linked(lines: list[str], least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """(line, first line of its component) over all pairs of similarity >= least."""
+    hashes, n = shingle_hashes(lines), len(lines)
+    if n < FEW:
+        sets = [frozenset(h.tolist()) for h in hashes]
+        pairs = [(i, j) for i in range(n) for j in range(i) if _similar(len(sets[i]), len(sets[j]), least)
+                 and _similar_by(len(sets[i] & sets[j]), len(sets[i]), len(sets[j]), least)]
+        i, j = np.array(pairs, np.int64).reshape(-1, 2).T
+    else:
+        line = np.repeat(np.arange(n), [len(h) for h in hashes])
+        words, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        both, size = np.zeros((n, n), np.float32), np.zeros(n)
+        for c in range(0, len(words), COLUMNS):    # shared shingles by a product of incidence matrices
+            mine = (at >= c) & (at < c + COLUMNS)
+            has = np.zeros((n, min(COLUMNS, len(words) - c)), np.float32)
+            has[line[mine], at[mine] - c] = 1
+            both += has @ has.T
+            size += has.sum(axis=1)
+        i, j = np.nonzero(np.tril(_similar_by(both, size[:, None], size[None, :], least), -1))
+    label = spanning(n, i, j)
+    return [(x, int(label[x])) for x in np.flatnonzero(label != np.arange(n)).tolist()]
 
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-    for i in range(len(sets)):
-        for j in range(i):
-            a, b = find(i), find(j)
-            if a != b and similar(sets[i], sets[j]):
-                root[max(a, b)] = min(a, b)
-                edges.append((i, j))
-    return edges
+
+def _similar(a, b, least):
+    return min(a, b) >= least * max(a, b)
+
+
+def _similar_by(both, a, b, least):
+    return both >= least * (a + b - both)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -211,7 +228,7 @@ def kept_lines(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, tile: int
             ids, texts = t.column("id").to_numpy(), t.column("line").to_pylist()
             a, b = [], []
             for s, e in zip(start, np.append(start[1:], len(ids)), strict=True):
-                for i, j in linked([shingles(x) for x in texts[s:e]]):
+                for i, j in linked(texts[s:e]):
                     a.append(ids[s + i])
                     b.append(ids[s + j])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
