@@ -124,7 +124,7 @@ class Best:
         return float(np.maximum(own, self.floor[rows]).min())
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, valid: np.ndarray) -> None:
-        valid = valid & (scores >= self.score[rows, -1:])
+        valid = valid & (scores >= np.maximum(self.score[rows, -1].astype(np.float64), self.floor[rows])[:, None])
         some = np.flatnonzero(valid.any(axis=1))    # queries that gain a result here
         if not len(some):
             return
