@@ -79,7 +79,7 @@ def test_tree_invariants(leaf=16):
             for i, c in enumerate(n.children):
                 check(c)
                 for o in n.children[:i]:
-                    assert np.linalg.norm(c.center - o.center) > n.radius / 2 - 1e-9 or len(n.children) >= leaf
+                    assert np.linalg.norm(c.center - o.center) > n.radius / 2 - 1e-9
     check(ct.tree(x, leaf=leaf))
 
 

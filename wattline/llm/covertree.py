@@ -13,8 +13,9 @@ group's rows are traversed together, and a pair of nodes is left if
 <cq, cr> + rq |cr| + rr |cq| + rq rr is under the worst kth score of all
 queries below the query node. Leaves are scored together.
 
-A cover tree node has a center, a radius that covers all below it, and
-children whose centers lie more than half that radius apart and cover it.
+A cover tree node has a center, a radius that covers all below it, and up to
+FANOUT children, whose centers are chosen farthest first and lie more than
+half that radius apart.
 
 Vectors that are null, or hold null or non-finite components, and rows without
 a vec_id take no part; vectors meet those of their own length only. Repeated
@@ -41,6 +42,8 @@ GROUP, PIVOTS = 4096, 4096
 #: Queries that one task meets a group with.
 WAVE = 16_384
 LEAF = 256
+#: Most children of a node; in many dimensions hardly any point covers others closely.
+FANOUT = 8
 SEED = 42
 #: Products below this are exact in double arithmetic.
 EXACT = float(1 << 53)
@@ -103,7 +106,7 @@ def tree(points: np.ndarray, rows: np.ndarray | None = None, leaf: int = LEAF) -
         closer = d < nearest
         by[closer], nearest = len(heads), np.minimum(nearest, d)
         heads.append(far)
-        if len(heads) >= leaf:
+        if len(heads) == FANOUT:
             break                                   # points on all sides: children cover less well
     by[heads] = -1                                  # a center comes first among its rows
     return Node(center, radius, rows, [
