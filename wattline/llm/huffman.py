@@ -4,7 +4,7 @@ One pass over the texts writes their ids as plain numbers, a second counts
 every id, a third writes each document's ids as a bit string under the code of
 the global counts. Texts are cut at spaces and line feeds, which never lie
 inside a token of this kind of tokenizer; the tokenizers library encodes each
-distinct part of the pieces once per task, as far as the memo reaches.
+distinct part of the pieces once a batch, and frequent ones once per task.
 
 A file row is a segment: documents in ascending doc_id order, each starting at
 a byte, with the bit offset of every block of BLOCK ids (a block ends with its
@@ -36,11 +36,11 @@ from wattline.llm.common import cut, shared_dir, table
 END = 1
 LIMIT = 18          # longest code in bits
 BLOCK = 512         # ids between two checkpoints
-SEGMENT = 1 << 19   # bytes of a segment, about
+SEGMENT = 1 << 20   # bytes of a segment, about
 PART = 2048         # documents of a file part, about
-CHARS = 3 << 22     # bytes of text encoded at once
+CHARS = 1 << 24     # bytes of text encoded at once
 PACK = 1 << 17      # ids packed at once
-MEMO = 700_000      # parts of pieces remembered by a task; a full memo starts anew
+MEMO = 400_000      # parts of pieces remembered by a task, about
 
 
 def word_tokenizer() -> str:
@@ -66,16 +66,13 @@ class Pieces:
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.known = pa.array([], pa.string())      # frequent parts and their ids
         self.ids = np.empty(0, np.uint32)
         self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def learn(self, words: list[str], others: list[str]) -> None:
-        """Memo the ids of parts: words go to the library joined, which is much faster."""
-        ids, size = [self.ids], []
+    def fresh(self, words: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for parts; words go to the library joined, which is much faster."""
+        ids, size = [], []
         for at in range(0, len(words), 20_000):
             part = words[at:at + 20_000]
             e = self.plain.encode(" ".join(part), add_special_tokens=False)
@@ -84,41 +81,48 @@ class Pieces:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
         ids.append(np.fromiter((x for f in found for x in f), np.uint32))
         size.append(np.fromiter(map(len, found), np.int64, len(found)))
-        new = np.concatenate(size)
-        self.index.update(zip(words + others, range(len(self.index), len(self.index) + len(new)), strict=True))
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(new) - new])
-        self.size = np.concatenate([self.size, new])
-        self.ids = np.concatenate(ids)
-
-    def parts(self, pieces: pa.Array) -> np.ndarray:
-        """Places of two parts for each piece, the second of many empty."""
-        if len(self.index) > MEMO:
-            self.clear()
+        return np.concatenate(ids), np.concatenate(size)
+
+    def parts(self, pieces: pa.Array, seen: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(ids, start, size, places): two places for each piece, the second of many empty.
+
+        ``seen`` counts the pieces; parts that occur again are remembered.
+        """
         cut = pc.extract_regex(pieces, PIECE)
         fits = pc.is_valid(cut)
         heads = pc.if_else(fits, pc.utf8_lower(pc.struct_field(cut, "head")), pieces)
         tails = pc.if_else(fits, pc.struct_field(cut, "tail"), "")
         coded = pa.concat_arrays([heads, tails]).dictionary_encode()
-        first = np.zeros(len(coded.dictionary), bool)
-        indices = coded.indices.to_numpy()
-        first[indices[:len(pieces)][fits.to_numpy(zero_copy_only=False)]] = True   # parts that are words
-        texts = coded.dictionary.to_pylist()
-        known = self.index
-        new = [i for i, t in enumerate(texts) if t not in known]
-        if new:
-            self.learn([texts[i] for i in new if first[i]], [texts[i] for i in new if not first[i]])
-        places = np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))[indices]
-        return np.stack([places[:len(pieces)], places[len(pieces):]], axis=1).reshape(-1)
+        at = coded.indices.to_numpy()
+        place = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        word = np.zeros(len(place), bool)
+        word[at[:len(pieces)][fits.to_numpy(zero_copy_only=False)]] = True
+        new = np.concatenate([new[word[new]], new[~word[new]]])
+        texts = coded.dictionary.take(pa.array(new))
+        n = int(word[new].sum())
+        more, size = self.fresh(texts[:n].to_pylist(), texts[n:].to_pylist())
+        start = len(self.ids) + np.cumsum(size) - size
+        place[new] = len(self.known) + np.arange(len(new))
+        ids, start, size = np.concatenate([self.ids, more]), np.concatenate([self.start, start]), np.concatenate([self.size, size])
+        if len(self.known) < MEMO:
+            often = np.bincount(at, np.tile(seen, 2), len(place))[new] > 1
+            keep = len(self.known) + np.flatnonzero(often)
+            self.known = pa.concat_arrays([self.known, texts.filter(pa.array(often))])
+            runs = np.concatenate([np.arange(len(self.size)), keep])
+            self.ids, self.size = ragged(ids, start[runs], size[runs]), size[runs]
+            self.start = np.cumsum(self.size) - self.size
+        return ids, start, size, np.stack([place[at[:len(pieces)]], place[at[len(pieces):]]], axis=1).reshape(-1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each document closed by END, and the number of ids of each."""
         lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
-        parts = self.parts(coded.dictionary)
-        ids = ragged(self.ids, self.start[parts], self.size[parts])
-        size = self.size[parts].reshape(-1, 2).sum(axis=1)
-        start = np.cumsum(size) - size
         at = coded.indices.to_numpy()
+        ids, start, size, parts = self.parts(coded.dictionary, np.bincount(at, minlength=len(coded.dictionary)))
+        ids = ragged(ids, start[parts], size[parts])
+        size = size[parts].reshape(-1, 2).sum(axis=1)
+        start = np.cumsum(size) - size
         ends = np.concatenate([[0], np.cumsum(size[at])])[np.cumsum(pc.list_value_length(lists).to_numpy())]
         return np.insert(ragged(ids, start[at], size[at]), ends, END), np.diff(ends, prepend=0) + 1
 
