@@ -1,8 +1,8 @@
 """Token-id files: canonical length-limited Huffman codes in checkpointed blocks.
 
-One pass over the texts writes their ids as plain numbers, a second counts
-every id, a third writes each document's ids as a bit string under the code of
-the global counts. Texts are cut at spaces and line feeds, which never lie
+One pass over the texts writes their ids as plain numbers and counts every id,
+a second writes each document's ids as a bit string under the code of the
+global counts. Texts are cut at spaces and line feeds, which never lie
 inside a token of this kind of tokenizer; the tokenizers library encodes each
 distinct part of the pieces once a batch, and frequent ones once per task.
 
@@ -250,14 +250,21 @@ def unpack(payload: bytes, marks: np.ndarray, n: np.ndarray, table: tuple) -> np
 
 
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n, ids): ids as little-endian numbers of 16 bits, or 32 for a vocabulary beyond."""
+    """(doc_id, n, ids): ids as little-endian numbers of 16 bits, or 32 for a vocabulary beyond.
+
+    A last row of each task, with n = -1, has its counts of all ids instead.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces_of(path)
-        kind = id_type(p.tokenizer.get_vocab_size(with_added_tokens=True))
+        size = max(p.tokenizer.get_vocab_size(with_added_tokens=True), END + 1)
+        kind, names, seen = id_type(size), ["doc_id", "n", "ids"], np.zeros(size, np.int64)
         for batch in batches:
             for b in groups(batch):
                 ids, n = p.encode(b.column(1))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), rows_of(ids.astype(kind), n)], ["doc_id", "n", "ids"])
+                seen += np.bincount(ids, minlength=size)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), rows_of(ids.astype(kind), n)], names)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.int64()), pa.array([-1], pa.int32()), pa.array([seen.astype("<i8").tobytes()], pa.binary())], names)
 
     return docs.mapInArrow(run, "doc_id long, n int, ids binary")
 
@@ -291,31 +298,30 @@ def values_of(column: pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(memoryview(column.buffers()[2])[int(offsets[0]):int(offsets[-1])], kind)
 
 
-def count_ids(tokens: DataFrame, kind: str) -> np.ndarray:
-    """Occurrences of each id over all documents; the vocabulary bounds the result."""
+def count_ids(counts: DataFrame) -> np.ndarray:
+    """Sum of the tasks' counts by id; the vocabulary bounds the result."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1, np.int64)
         for b in batches:
-            more = np.bincount(values_of(b.column(0), kind), minlength=len(seen))
-            more[:len(seen)] += seen
-            seen = more
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
-
-    found = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(max([END, *(r["id"] for r in found)]) + 1, np.int64)
+            for row in b.column(0).to_pylist():
+                seen = np.frombuffer(row, "<i8")
+                at = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
+
+    found = counts.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(max([END, *(r["id"] for r in found)]) + 1, np.int64)
     for r in found:
-        counts[r["id"]] = r["n"]
-    return counts
+        out[r["id"]] = r["n"]
+    return out
 
 
 def write_ids(docs: DataFrame, tokenizer: str, out: str, limit: int = LIMIT) -> None:
     """Write the ids of docs (doc_id, text) under ``out`` as code/ and segments/."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tokens = cut(tokenized(docs, tokenizer), "tokens")
+    table = cut(tokenized(docs, tokenizer), "tokens", "snappy")
+    tokens = table.where("n >= 0")
     kind = id_type(pieces_of(tokenizer).tokenizer.get_vocab_size(with_added_tokens=True))
-    lengths = code_lengths(count_ids(tokens, kind), limit)
+    lengths = code_lengths(count_ids(table.where("n < 0")), limit)
     codes = canonical(lengths)
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id long, length int") \
         .coalesce(1).write.parquet(f"{out}/code")
