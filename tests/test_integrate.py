@@ -125,11 +125,9 @@ def test_skip_policy_against_fold(spark, seed):
 
 
 def test_large_fill_spread_over_tasks(spark, monkeypatch):
-    """Fill slots cut into small chunks and redistributed (the path taken
-    when a batch's slot total exceeds one task's share) give the same
+    """Fill slots cut into small chunks and spread over tasks give the same
     ledger."""
     monkeypatch.setattr(integ, "SLOT_CHUNK", 7)
-    monkeypatch.setattr(integ, "SLOTS_PER_TASK", 50)
     rng = random.Random(21)
     spec = SPECS["export"]
     rows = series(rng, 80, 30)
