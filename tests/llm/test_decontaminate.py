@@ -85,7 +85,7 @@ def test_odd_rows(odd, spark, monkeypatch):
     want = {(1, 1), (2, 1), (-8, -1), (6, 5)}
     got = dc.contaminated(odd(), bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == 5
-    monkeypatch.setattr(dc, "SLICE", 100)
+    monkeypatch.setattr(dc, "SLICE", 500)
     assert {(r.doc_id, r.item_id) for r in dc.contaminated(odd(), bench).collect()} == want
     kept = dc.drop_contaminated(odd(), bench)
     assert kept.columns == odd().columns and {r.doc_id for r in kept.collect()} == {3, 4, 5, None, 7, 2 ** 62} and kept.count() == 7
