@@ -100,6 +100,34 @@ def test_banding_recall():
     assert found / n >= 0.985
 
 
+def near_threshold(seed, n):
+    """n pairs of lines of similarity 0.8 to 0.82."""
+    rng, out = random.Random(seed), []
+    while len(out) < n:
+        a = "".join(rng.choice("abcdefgh ") for _ in range(300))
+        b = list(a)
+        for _ in range(rng.randint(3, 4)):
+            b[rng.randrange(300)] = "z"
+        b = "".join(b)
+        x, y = lines.shingles(a), lines.shingles(b)
+        if 0.8 <= len(x & y) / len(x | y) < 0.82:
+            out.append((a, b))
+    return out
+
+
+def test_production_banding_at_the_threshold():
+    assert 1 - (1 - lines.SIMILARITY ** lines.ROWS) ** lines.BANDS >= 0.998
+    pairs = near_threshold(5, 2000)
+    a, b = lines.band_keys([a for a, _ in pairs]), lines.band_keys([b for _, b in pairs])
+    assert (a == b).any(axis=1).mean() >= 0.998
+
+
+def test_production_banding_against_all_pairs(odd):
+    """Default parameters on a corpus and on pairs just over the threshold."""
+    rows = corpus(7, 60) + [(1000 + i, f"{a}\n{b}") for i, (a, b) in enumerate(near_threshold(6, 60))]
+    check(odd([(d, t, "en", "s", 1) for d, t in rows]), rows)
+
+
 def test_minhash_estimates_jaccard():
     rng = random.Random(2)
     a = "".join(rng.choice("abcdefgh ") for _ in range(400))

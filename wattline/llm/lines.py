@@ -4,7 +4,7 @@ Equal lines collapse first, by a 64-bit hash; lines of different texts that
 share one by chance are found by a second hash and all stay. Every distinct
 line gets MinHash values over its shingles of SHINGLE characters (lower case,
 white space runs as one space); BANDS bands of ROWS values bring pairs of
-similarity 0.8 together with probability 0.995. Band keys are sorted across
+similarity 0.8 together with probability 0.998. Band keys are sorted across
 the cluster, and the lines of equal keys stream past as buckets; equal buckets,
 which near-copies make in most bands, count once. Inside a bucket the exact
 Jaccard similarity of the shingle sets (as 64-bit hashes) decides on every pair;
@@ -36,7 +36,7 @@ from wattline.llm.decontaminate import codes_of, grams, normal
 from wattline.llm.simhash import spanning
 
 SHINGLE = 8
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 12, 4
 SIMILARITY = 0.8
 TILE = 256
 #: Groups of fewer lines compare sets; larger ones multiply matrices of so many columns.
