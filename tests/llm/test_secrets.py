@@ -57,3 +57,30 @@ def test_novel_strings(odd):
     assert got[0] == f"novel:{hit.index('Zk9')}:{hit.index(' and')}"
     assert got[1] == "" and got[2] == "" and got[4] == ""
     assert got[3].startswith("assign") and "novel" not in got[3]
+
+
+def test_shapes_of_secrets(odd):
+    """Short ones, letters alone, before the hint, long after it, across the ends of the context, beside '='."""
+    rng = random.Random(8)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(40))
+    short, token = "Xk9vQ2mLr7Tp", "Zk9xQ2vLr7TpWm4YbN8sHd3Jg6"
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(400))
+    cases = [(f"passphrase {short}", short), (f"the bearer is {letters} here", letters), (f"{token} is the webhook", token),
+             (f"the bearer {'of it ' * 9}{token} was", token), (f"{long} {'of it ' * 9} webhook", long),
+             (f"webhook {'of it ' * 10}{long}", long), (f"passphrase={token}", token), (f"my_signature_{token}", token),
+             (f"the signature at x={letters}==", letters + "=="), (f"private_key {short} and client_id {token}", token)]
+    got = {r.doc_id: r.spans for r in secrets.scan(odd([(i, t, "en", "s", 1) for i, (t, _) in enumerate(cases)])).collect()}
+    for i, (t, want) in enumerate(cases):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s.startswith("novel")]
+        assert any(a <= t.index(want) and t.index(want) + len(want) <= b for a, b in spans), (t, got[i])
+        assert len(spans) == len({a for a, _ in spans})
+
+
+def test_candidates_are_the_tokens_that_overlap_a_context():
+    rng = random.Random(9)
+    bits = ["webhook", "secret", "abcdefgh", "Xk9vQ2mL", " ", "  ", ".", "of it ", "=", "x" * 70, "-", "é"]
+    for _ in range(400):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 40)))
+        near = [(m.start() - secrets.REACH, m.end() + secrets.REACH) for m in secrets.CONTEXT.finditer(text)]
+        want = [m.span() for m in secrets.CANDIDATE.finditer(text) if any(m.start() < e and s < m.end() for s, e in near)]
+        assert [(a, b) for a, b, _ in secrets.candidates(text)] == want

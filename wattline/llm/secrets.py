@@ -1,11 +1,14 @@
 """Secret scans by dictionary-primed zstandard novelty.
 
 Base patterns give spans of three kinds (assign, access, hex). Beyond them,
-every token of a sensitive context is a candidate: its marginal compressed
-bytes are what a compressor primed with an identifier dictionary and the
-surrounding text needs for the text with it over the text without it. A
-candidate that costs at least NOVELTY bytes a character is reported as kind
-``novel``, unless a base span overlaps it.
+every token of SHORTEST characters or more that overlaps a sensitive context,
+REACH characters to both sides of a hint word, is a candidate, whole: its
+marginal compressed bytes are what a compressor primed with an identifier
+dictionary and the surrounding text needs for the text with it over the text
+without it. A candidate that costs at least NOVELTY bytes a character is
+reported as kind ``novel``, unless a base span overlaps it; of a token that
+holds a hint word and is not novel as a whole, the parts beside the hint are
+candidates. Copies of a token within AROUND characters prime each other.
 
 Offsets are code points, ends exclusive. Null texts count as empty; an empty
 text has no span. Repeated rows give repeated rows, an empty table an empty
@@ -38,8 +41,11 @@ CONTEXT = re.compile(r"passw|passphrase|secret|token|api.?key|access.?key|privat
                      r"|client.?id|signature|connection.?string|webhook", re.I)
 HINTS = ("passw", "passphrase", "secret", "token", "key", "credential", "authorization", "bearer", "client", "signature",
          "connection", "webhook")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: A candidate lies within so many characters after the context word.
+SHORTEST = 8
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}={{0,2}}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]*={0,2}")
+GOES_ON = re.compile(r"[A-Za-z0-9+/_-][A-Za-z0-9+/_=-]|==")
+#: A candidate overlaps so many characters before or after the context word.
 REACH = 64
 #: Characters of surrounding text that prime the compressor.
 AROUND = 512
@@ -82,21 +88,46 @@ def marginal(compressor: zstandard.ZstdCompressor, before: bytes, candidate: byt
     return (len(compressor.compress(before + candidate + after)) - len(compressor.compress(before + after))) / len(candidate)
 
 
+def candidates(text: str) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(start, end, parts beside the hints inside) of every token that overlaps a context."""
+    hints = [m.span() for m in CONTEXT.finditer(text)]
+    done, h = 0, 0
+    for first, last in hints:
+        a, end = max(done, first - REACH), min(len(text), last + REACH)
+        while done < a < len(text) and GOES_ON.match(text, a - 1):
+            a -= 1                                  # a token may start before the context
+        stop = max(end, RUN.match(text, end - 1).end())
+        for m in CANDIDATE.finditer(text, a, stop):
+            if m.end() <= first - REACH:
+                continue
+            while h < len(hints) and hints[h][1] <= m.start():
+                h += 1
+            inside, k = [], h
+            while k < len(hints) and hints[k][0] < m.end():
+                inside.append(hints[k])
+                k += 1
+            edges = [m.start(), *(x for s in inside for x in s), m.end()]
+            parts = [p.span() for x, y in zip(edges[::2], edges[1::2], strict=True) for p in CANDIDATE.finditer(text, x, y)]
+            yield m.start(), m.end(), parts if inside else []
+        done = max(done, stop)
+
+
 def novel_spans(text: str, low: str, base: list[tuple[int, int, str]], compressor) -> list[tuple[int, int, str]]:
     if not any(h in low for h in HINTS):
         return []
-    found, done = [], -1
-    for hint in CONTEXT.finditer(text):
-        for m in CANDIDATE.finditer(text, max(hint.end(), done), min(len(text), hint.end() + REACH)):
-            a, b = m.span()
-            while b < len(text) and CANDIDATE.match(text[b - 15:b + 1]):
-                b += 1                              # a candidate runs on past the reach
-            if a <= done or any(s < b and a < e for s, e, _ in base) or not any(c.isdigit() for c in text[a:b]):
-                continue
-            done = b
-            around = text[max(0, a - AROUND):a].encode(), text[b:b + AROUND].encode()
-            if marginal(compressor, around[0], text[a:b].encode(), around[1]) >= NOVELTY:
-                found.append((a, b, "novel"))
+
+    def novel(a: int, b: int) -> bool:
+        if any(s < b and a < e for s, e, _ in base):
+            return False
+        around = text[max(0, a - AROUND):a].encode(), text[b:b + AROUND].encode()
+        return marginal(compressor, around[0], text[a:b].encode(), around[1]) >= NOVELTY
+
+    found = []
+    for a, b, parts in candidates(text):
+        if novel(a, b):
+            found.append((a, b, "novel"))
+        else:
+            found += [(x, y, "novel") for x, y in parts if novel(x, y)]
     return found
 
 
