@@ -32,6 +32,29 @@ def test_surge_and_dive():
         [False] * 4 + [True] * 3 + [False] * 4 + [True, True]
 
 
+PARA = "This paragraph is long enough to make the text surge over the threshold of the window."
+
+
+def test_short_lines_that_join_the_span():
+    page = f"<div><h1>Head</h1><p>By Ann<p>Today<p>In short<div class=ad>Buy</div><p>So<p>Well<p>{PARA}<p>End</div>"
+    assert main_text(page) == "\n".join(["Head", "By Ann", "Today", "In short", "So", "Well", PARA, "End"])
+    far = f"<p>Welcome<div class=ad>Buy<p>two</div><div class=ad>more</div><p>{PARA}"
+    assert main_text(far) == PARA
+
+
+def test_unmarked_page_below_the_threshold_stays_whole():
+    assert main_text("<nav>Menu</nav><p>One<div><a href=x>Link only</a></div><p>Two<footer>me</footer>") == "One\nTwo"
+    assert main_text("<nav>Menu</nav><a href=x>Link only</a>") == "Link only"
+    assert main_text("plain text") == "plain text" and main_text("<nav>Menu</nav>") == ""
+
+
+def test_marked_article_only_widens():
+    page = f"<h1>Head</h1><p>{PARA}</p><div class=ad>{PARA}</div><article><p>Card</p></article><footer>me</footer>"
+    assert main_text(page) == f"Head\n{PARA}\nCard"
+    far = f"<p>{PARA}</p>" + "<div class=ad>Buy</div>" * 4 + "<div>small print</div>" + "<div class=ad>Buy</div>" * 4 + "<main><p>Text <a>link</a><p><a>Link</a></main>"
+    assert main_text(far) == f"{PARA}\nText link\nLink"
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (None, None, ""), (2, "u", "<article>" + "<p>para &amp; text" * 50000), (2, "u", "plain text"), (3, "u", "<"),
             (4, "u", "<article><script>x</article>"), (5, "u", "<p>" * 3000 + "</div>" * 3000 + "<span>" * 3000)]

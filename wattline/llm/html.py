@@ -4,17 +4,20 @@ Markup is stripped into lines, one per block element. Lines of menus, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts and the like are
 stripped with the markup: they stay as lines of length zero. Text lengths are
 summed over a sliding window of WINDOW lines; the text surges where a window
-rises over the threshold and its first line has text, and dives where a window
-falls to zero. Everything between a surge and its dive is kept, short lines
-included.
+rises over SURGE characters and its first line has text, and dives where a
+window falls to zero. Everything between a surge and its dive is kept, short
+lines included, and so are the short lines before the surge that no WINDOW - 1
+lines of length zero part from it. Lines that are mostly link text have length
+zero.
 
-In a page that marks its article (article, main, role=main, articleBody) only
-lines of it count and the threshold is zero. Elsewhere the window must reach
-SURGE characters, and lines that are mostly link text have length zero.
+That holds for every page. A marked article (article, main, role=main,
+articleBody) only widens the result: its lines are kept with those that the
+windows choose, links included. A page without either keeps all its lines that
+are not stripped, links only if there is nothing else.
 
 Character references are decoded, white space inside a block becomes one
-space. A null or empty page, or one without a surge, gives an empty text.
-Repeated rows give repeated rows, an empty table an empty result.
+space. A null or empty page gives an empty text. Repeated rows give repeated
+rows, an empty table an empty result.
 """
 
 from __future__ import annotations
@@ -164,7 +167,10 @@ def between(length: np.ndarray, window: int, threshold: int) -> np.ndarray:
         dive = i
         while dive < n and block[dive] > 0:
             dive += 1
-        keep[i:dive] = True
+        start = i                                   # short lines that join the span
+        while start and run[start] > run[max(0, start - window + 1)]:
+            start -= 1
+        keep[start:dive] = True
         i = dive
     return keep & (length > 0)
 
@@ -173,14 +179,15 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     texts, stripped, inside, linked = lines_of(page or "")
     if not texts:
         return ""
-    length = np.array([len(t) for t in texts])
-    length[stripped] = 0
-    if (inside & ~stripped).any():
-        length[~inside] = 0
-        surge = 0
-    else:
-        length[linked > LINKS * length] = 0
-    return "\n".join(t for t, k in zip(texts, between(length, window, surge), strict=True) if k)
+    whole = np.array([len(t) for t in texts])
+    whole[stripped] = 0
+    length = np.where(linked > LINKS * whole, 0, whole)
+    marked = inside & (whole > 0)
+    length[marked] = whole[marked]
+    keep = between(length, window, surge) | marked
+    if not keep.any():
+        keep = length > 0 if length.any() else whole > 0
+    return "\n".join(t for t, k in zip(texts, keep, strict=True) if k)
 
 
 def extract(pages: DataFrame) -> DataFrame:
