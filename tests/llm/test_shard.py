@@ -55,3 +55,29 @@ def test_splitters_are_searched_right(spark):
         keys = [-9, -5, -1, 0, 6, 7, 8, 2 ** 62]
         got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", shard.range_of(F.col("k"), cut).alias("r")).collect()
         assert {r.k: r.r for r in got} == {k: sum(c <= k for c in cut) for k in keys}
+
+
+def test_a_group_under_the_limit_across_a_border_stays_together(odd):
+    """3 % of a shard is more than two ranges, so the text is cut into pieces; it lies across a border."""
+    rows = [(i, f"text {i} " + "x" * 40, "en", "a", 1) for i in range(8000)]
+    total = sum(len(t) + 1 for _, t, *_ in rows)
+    texts = [f"copy {i} " + "y" * 40 for i in range(400)]
+    size = len(texts[0]) + 1
+    n = round(0.03 * total / 8 / size)
+    spark = odd([]).sparkSession
+    from pyspark.sql import functions as F
+    keys = dict(spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t")).collect())
+    share = {t: (k + 2 ** 63) / 2 ** 64 * 8 for t, k in keys.items()}
+    hashes = sorted(r.h for r in spark.createDataFrame([(r[1],) for r in rows], "t string").select(F.xxhash64("t").alias("h")).collect())
+
+    def off(t):
+        """Distance of the group's middle from the nearest border, in shards."""
+        below = sum(h < keys[t] for h in hashes) / len(hashes) * total
+        at = (below + n * size / 2) / (total + n * size) * 8
+        return abs(at - round(at)) if 0.5 < share[t] < 7.5 else 1.0
+    hot = min(texts, key=off)
+    assert off(hot) < 0.01                          # the group reaches 0.015 shards to both sides
+    rows += [(10000 + i, hot, "en", "a", 1) for i in range(n)]
+    got = shard.shard(odd(rows), carry=["doc_id", "text"]).select("doc.*", "size", "shard", "slot").collect()
+    check(got, near=0.08)
+    assert len({r.shard for r in got if r.text == hot}) == 1

@@ -111,17 +111,25 @@ def shard(docs: DataFrame, shards: int = 8, ranges: int = RANGES, group: float =
         return df.withColumn("_r", rid).join(full, "_r", "left").withColumn(
             "_p", F.coalesce(piece, F.lit(0)).cast("long")).drop("_pieces", "_lo", "_hi")
 
-    cells = placed(narrow).groupBy("_r", "_p").agg(F.sum("size").alias("b"), F.count("*").alias("n"))
+    cells = placed(narrow).groupBy("_r", "_p").agg(
+        F.sum("size").alias("b"), F.count("*").alias("n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
     # at most RANGES plus the pieces of overfull ranges: a few thousand rows
     along = Window.orderBy("_r", "_p").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("_r", "_p", "b", "_lo", "_hi", F.coalesce(F.sum("b").over(along), F.lit(0)).alias("_b0"),
+                         F.coalesce(F.sum("n").over(along), F.lit(0)).alias("_n0"))
+    # a text that fills its range is measured over all pieces; any other lies in one piece
+    pieces = Window.partitionBy("_r")
+    fills = F.min("_lo").over(pieces) == F.max("_hi").over(pieces)
     cells = F.broadcast(cut(cells.select(
-        "_r", "_p", F.coalesce(F.sum("b").over(along), F.lit(0)).alias("_b0"),
-        F.coalesce(F.sum("n").over(along), F.lit(0)).alias("_n0")), "shard-cells"))
+        "_r", "_p", "_b0", "_n0", F.when(fills, F.sum("b").over(pieces)).alias("_tb"),
+        F.when(fills, F.min("_b0").over(pieces)).alias("_t0")), "shard-cells"))
 
     cell = Window.partitionBy("_r", "_p").orderBy("_k", "_g", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     same = Window.partitionBy("_r", "_p", "_k")
-    together = F.col("_gb") <= group * total / shards
-    middle = F.col("_b0") + F.when(together, F.col("_ge") - F.col("_gb") / 2).otherwise(F.col("_end") - F.col("size") / 2)
+    copies = F.coalesce("_tb", "_gb")
+    before = F.coalesce(F.col("_t0"), F.col("_b0") + F.col("_ge") - F.col("_gb"))
+    middle = F.when(copies <= group * total / shards, before + copies / 2) \
+        .otherwise(F.col("_b0") + F.col("_end") - F.col("size") / 2)
 
     def dealt(df: DataFrame) -> DataFrame:
         df = placed(df).join(cells, ["_r", "_p"]) \
