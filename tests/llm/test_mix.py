@@ -67,6 +67,27 @@ def test_odd_rows(odd):
     assert collected(mix.mix(odd())) and mix.mix(odd([]), carry=["doc_id"]).count() == 0
 
 
+def test_blocks_go_to_the_shards_of_their_quotas(odd):
+    """The ring of each source, word by word: its blocks go to shards by plain quotas."""
+    rng = random.Random(3)
+    docs = [(i, "w " * rng.randint(0, 90), "en", rng.choice("aaaaabcd"), 1) for i in range(150)]
+    rows = mix.mix(odd(docs), shards=5, carry=["doc_id", "source"]).collect()
+    by = {}
+    for r in rows:
+        assert len(r.by_shard) == 5 and sum(r.by_shard) == r.taken
+        by.setdefault(r.doc.source, []).append(r)
+    names, blocks = sorted(by), -(-sum(r["size"] for r in rows) // 16)
+    upto = [plain_quotas([by[s][0].target for s in names], blocks * k // 5) for k in range(6)]
+    for i, s in enumerate(names):
+        ring = [r.doc.doc_id for r in sorted(by[s], key=lambda r: (r.pos, r["size"])) for _ in range(r["size"])]
+        got = {(r.doc.doc_id, k): n for r in by[s] for k, n in enumerate(r.by_shard) if n}
+        want = {}
+        for k in range(5):
+            for w in range(min(upto[k][i] * 16, 3 * len(ring)), min(upto[k + 1][i] * 16, 3 * len(ring))):
+                want[ring[w % len(ring)], k] = want.get((ring[w % len(ring)], k), 0) + 1
+        assert got == want
+
+
 def test_documents_of_the_mix(odd):
     df = odd([(i, "w " * (10 + i), "en", "abc"[i % 3], 1) for i in range(60)])
     plan = {r.doc.doc_id: r.taken / r["size"] for r in mix.mix(df).collect()}

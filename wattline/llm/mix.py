@@ -13,7 +13,8 @@ proportion to the number of sources, are ranked.
 Block selection: a source's documents lie end to end in a seeded order (md5 of
 seed and doc_id, then doc_id, then size), cut into blocks of ``block`` words
 regardless of document ends; the source's quota is taken from the front,
-starting over when it is used up. Positions are prefix sums per (source, hash
+starting over when it is used up. The blocks go to the shards in that order,
+as many as the shard's quota for the source. Positions are prefix sums per (source, hash
 prefix), so a source with a third of all rows spreads over many tasks.
 
 Nulls: a null source is a source, last in order; a null or empty text has size
@@ -83,12 +84,13 @@ def quotas(targets: DataFrame, blocks: int, shards: int) -> DataFrame:
 
 def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED, weights: tuple[int, ...] = WEIGHTS,
         repeat: int = REPEAT, shards: int = SHARDS, carry: list[str] | None = None) -> DataFrame:
-    """(doc, size, source_size, target, pos, used, taken): a row for each row of docs.
+    """(doc, size, source_size, target, pos, used, taken, by_shard): a row for each row of docs.
 
     ``doc`` is a struct of the carried columns (all unless named); ``pos`` is
     the word at which the document starts in its source's seeded order,
     ``used`` the words the mix takes of the source and ``taken`` of the
-    document, repeats counted.
+    document, repeats counted; ``by_shard`` splits ``taken`` by shard, from
+    the first shard on.
     """
     wide = docs.select(
         F.struct(*(carry or docs.columns)).alias("doc"), F.col("doc_id").alias("_id"), F.col("source").alias("source"),
@@ -100,9 +102,12 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED, weights: tuple[in
         F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("rows")),
         weights, repeat)
     total, most = sources.agg(F.sum("source_size"), F.max("rows")).first()
-    quota = quotas(sources, -(-(total or 0) // block), shards).where(F.col("shard") == shards)
+    quota = quotas(sources, -(-(total or 0) // block), shards).groupBy("rank").agg(
+        F.sort_array(F.collect_list(F.struct("shard", "upto"))).alias("q"), F.max("upto").alias("upto"))
+    most_of = repeat * F.col("source_size")
     used = sources.join(quota, "rank").select(
-        "src", "source_size", "target", F.least(F.col("upto") * block, repeat * F.col("source_size")).alias("used"))
+        "src", "source_size", "target", F.least(F.col("upto") * block, most_of).alias("used"),
+        F.transform("q", lambda x: F.least(x["upto"] * block, most_of)).alias("_upto"))
 
     digits = 1
     while 16 ** digits * CELL < (most or 0):
@@ -111,15 +116,19 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED, weights: tuple[in
     cells = narrow.groupBy("src", key.alias("cell")).agg(F.sum("size").alias("words"))
     before = Window.partitionBy("src").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0))) \
-        .join(used, "src").select("src", "cell", "start", "source_size", "target", "used")
+        .join(used, "src").select("src", "cell", "start", "source_size", "target", "used", "_upto")
     inside = Window.partitionBy("src", "cell").orderBy("at", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     rows = (narrow if carry else wide).withColumn("cell", key) \
         .withColumn("_run", F.sum("size").over(inside)).join(cells, ["src", "cell"]) \
         .withColumn("pos", F.col("start") + F.col("_run") - F.col("size"))
-    turns = F.when(F.col("source_size") > 0, F.floor(F.col("used") / F.col("source_size"))).otherwise(F.lit(0))
-    rest = F.least(F.greatest(F.col("used") - turns * F.col("source_size") - F.col("pos"), F.lit(0)), F.col("size"))
-    return rows.select("doc", "size", "source_size", "target", "pos", "used",
-                       (turns * F.col("size") + rest).cast("long").alias("taken"))
+
+    def taken(used):
+        turns = F.when(F.col("source_size") > 0, F.floor(used / F.col("source_size"))).otherwise(F.lit(0))
+        rest = F.least(F.greatest(used - turns * F.col("source_size") - F.col("pos"), F.lit(0)), F.col("size"))
+        return (turns * F.col("size") + rest).cast("long")
+    by_shard = F.transform("_upto", lambda u, i: taken(u) - F.when(i > 0, taken(F.get("_upto", i - 1))).otherwise(F.lit(0)))
+    return rows.select("doc", "size", "source_size", "target", "pos", "used", taken(F.col("used")).alias("taken"),
+                       by_shard.alias("by_shard"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
