@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattline.llm import covertree, decontaminate, html, huffman, lines, mix, secrets, shard, simhash, toxicity
+from wattline.llm import covertree, decontaminate, html, huffman, lines, merkle, mix, secrets, shard, simhash, toxicity, whiten
 
 
 def catalog() -> dict:
@@ -17,8 +17,10 @@ def catalog() -> dict:
         "op8_fuzzy_line_dedup": lines.query,
         "op9_cover_tree_top_k": covertree.query,
         "op10_simhash_near_dedup": simhash.query,
+        "op11_merkle_manifest": merkle.query,
+        "op12_chebyshev_whitening": whiten.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mix.SQL, "op9_cover_tree_top_k": covertree.SQL}
+    return {"op1_mix_sources": mix.SQL, "op9_cover_tree_top_k": covertree.SQL, "op11_merkle_manifest": merkle.SQL}
