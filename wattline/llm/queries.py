@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattline.llm import covertree, decontaminate, html, huffman, lines, merkle, mix, secrets, shard, simhash, toxicity, whiten
+from wattline.llm import covertree, decontaminate, html, huffman, interpolate, lines, merkle, mix, secrets, shard, simhash, toxicity, whiten
 
 
 def catalog() -> dict:
@@ -19,6 +19,7 @@ def catalog() -> dict:
         "op10_simhash_near_dedup": simhash.query,
         "op11_merkle_manifest": merkle.query,
         "op12_chebyshev_whitening": whiten.query,
+        "op13_deleted_interpolation": interpolate.query,
     }
 
 
