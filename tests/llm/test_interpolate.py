@@ -130,8 +130,8 @@ def test_empty_and_untrained(spark, odd):
 
 
 def test_packing():
-    low = np.sort(np.random.default_rng(1).integers(0, 1 << 40, 500).astype(np.uint64))
-    assert (lm.undeltas(lm.deltas(low), 500) == low).all() and len(lm.deltas(low)) in (2000, 4000)
+    low = np.sort(np.random.default_rng(1).integers(0, 1 << 40, 20_000).astype(np.uint64))
+    assert (lm.undeltas(lm.deltas(low), 20_000) == low).all() and len(lm.deltas(low)) < 80_000
     wide = np.array([5, (1 << 40) - 1], np.uint64)
     assert (lm.undeltas(lm.deltas(wide), 2) == wide).all()
     for top in (3, 300, 70_000, 1 << 40):

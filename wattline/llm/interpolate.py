@@ -7,19 +7,22 @@ counts by deletion: the training documents are four parts (crc32(doc_id) mod 5 i
 2, 3 or 4); every token of a part is an event whose counts are those of the other
 three parts, and expectation-maximisation sets the weights, order by order.
 
-Distribution. Texts are cut into blocks of one part each, written as codes into the
+Distribution. Texts are cut into blocks of one part each, as codes into the
 block's own list of words. A block sends each of its different n-grams once, with its count, to
 the place that a hash names, so an n-gram, however frequent, comes at most once
 from a block; places hold about PLACE entries. There the counts add up, and the
 totals (all training parts, and the block's own part) go back to the block in the
 order they came. What travels are packed arrays, a row for each block and place.
+Blocks are not written before they are counted: they are cut once for the requests and
+once more for the answers. A block's key is a digest of its place in the scan and
+of its codes, so blocks cut in another way find no answer, which is an error.
 The events of a pass over the blocks become a histogram of likelihood ratios by order
 and bucket (BINS a bucket; a bin counts its events and has their mean ratio), which
 bounds what the driver sees; all events are in it, and EM runs on it.
 
 Words are known by 64-bit hashes: two of m different words of the corpus share one by
 a chance of m * m / 2**65. Longer n-grams are known by place and 40 bits, so a count is
-mixed with a strange one by a chance of PLACE / 2**40, two in a million, at any size.
+mixed with a strange one by a chance of PLACE / 2**40, one in a million, at any size.
 
 A null text is an empty one: its only token is the end. A null doc_id is learned from,
 in part 0. Repeated rows are documents like others. Very long texts are whole. With
@@ -38,6 +41,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +50,7 @@ from wattline.llm.common import cut, table, whole_groups
 
 ORDER, HELD, PARTS = 3, 1, 5
 #: Bytes of text in a block's slice of a batch, entries at a place.
-SLICE, PLACE = 24 << 20, 2_000_000
+SLICE, PLACE = 16 << 20, 1_000_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, BEGIN = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: Histogram of ln(ratio): BINS bins over +-RANGE, bin 0 for a ratio of zero.
@@ -61,44 +66,63 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split()
 
 
+BLOCK = "block long, part int, ids array<long>, ends binary, words binary, codes binary"
+
+
 def tokenized(docs: DataFrame) -> DataFrame:
-    """(block, part, ids, ends, words, codes): whole documents of one part, the end of each counted in.
+    """BLOCK rows: whole documents of one part, the end of each counted in.
 
     ``words`` are the different hashes of the block, ascending, as bytes; ``codes``
-    index them. ``ends`` are positions in codes where documents end.
+    (packed) index them. ``ends`` are positions in codes where documents end.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), part(F.col("doc_id")).alias("part"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
-    def pack(ids: list, texts: list, own: int) -> pa.RecordBatch:
+    def pack(place: tuple[int, int], ids: list, texts: list, own: int) -> pa.RecordBatch:
         memo: dict[bytes, int] = {}
         seen, ends, at = [], [], 0
         for t in texts:
             w = tokens(t)
-            seen.append(np.fromiter((memo.setdefault(x, len(memo)) for x in w), np.int64, len(w)))
-            seen.append(np.array([-1]))
+            seen.append(np.fromiter((memo.setdefault(x, len(memo)) for x in w), np.int32, len(w)))
+            seen.append(np.array([-1], np.int32))
             at += len(w) + 1
             ends.append(at)
         hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in memo] + [END], np.uint64)
         words, code = np.unique(hashes, return_inverse=True)      # the end, -1, is the last hash
+        codes = code.astype("<u4")[np.concatenate(seen)].tobytes()
+        key = xxhash.xxh64_intdigest(np.array([*place, own, xxhash.xxh64_intdigest(codes) >> 1], "<i8").tobytes())
         return pa.RecordBatch.from_arrays(
-            [pa.array([own], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([np.array(ends, "<i8").tobytes()], pa.binary()),
-             pa.array([words.astype("<u8").tobytes()], pa.binary()), pa.array([code[np.concatenate(seen)].astype("<i4").tobytes()], pa.binary())],
-            ["part", "ids", "ends", "words", "codes"])
+            [pa.array([key >> 1], pa.int64()), pa.array([own], pa.int32()), pa.array([ids], pa.list_(pa.int64())),
+             pa.array([np.array(ends, "<i8").tobytes()], pa.binary()), pa.array([words.astype("<u8").tobytes()], pa.binary()),
+             pa.array([squeezed(codes)], pa.binary())], names(BLOCK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n = TaskContext.get().partitionId(), 0
         for b in batches:
             size = np.cumsum(pc.binary_length(b.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
             cuts = np.flatnonzero(np.diff(size // SLICE)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
                 s = b.slice(lo, hi - lo)
+                n += 1
                 parts = s.column(1).to_numpy()
                 for own in np.unique(parts):
                     mine = s.filter(pa.array(parts == own))
-                    yield pack(mine.column(0).to_pylist(), mine.column(2).to_pylist(), int(own))
+                    yield pack((task, n), mine.column(0).to_pylist(), mine.column(2).to_pylist(), int(own))
+
+    return rows.mapInArrow(run, BLOCK)
+
+
+def names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
 
-    kind = "part int, ids array<long>, ends binary, words binary, codes binary"
-    return cut(rows.mapInArrow(run, kind).withColumn("block", F.monotonically_increasing_id()), "blocks")
+def squeezed(raw: bytes) -> bytes:
+    """Bytes for the shuffle: codes and counts shrink far below what Spark's own compression makes of them."""
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def released(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
 
 
 def mixed(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
@@ -112,24 +136,30 @@ def mixed(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
 
 @dataclass
 class Grams:
-    """n-grams of a block: by order the hashes of the different ones and each token's index among them."""
-    hashes: list[np.ndarray]
+    """n-grams of a block by order: how many different ones, each token's index among them, and their hashes, if asked for."""
+    sizes: list[int]
     at: list[np.ndarray]
     starts: np.ndarray
+    hashes: list[np.ndarray]
 
 
-def grams(words: np.ndarray, codes: np.ndarray, ends: np.ndarray, order: int) -> Grams:
+def grams(words: np.ndarray | int, codes: np.ndarray, ends: np.ndarray, order: int) -> Grams:
+    """``words`` are their hashes, or just how many there are."""
+    hashed = not isinstance(words, int)
+    n = len(words) if hashed else words
     starts = np.concatenate([[0], ends[:-1]])
-    hashes, at = [words], [codes.astype(np.int64)]
+    sizes, at, hashes = [n], [codes.astype(np.int64)], [words] if hashed else []
     for k in range(2, order + 1):
         before = np.empty(len(codes), np.int64)
         before[1:] = at[-1][:-1]
-        before[starts] = len(hashes[-1])              # the begin of a document
-        key, first, index = np.unique(before * len(words) + codes, return_index=True, return_inverse=True)
-        history = np.append(hashes[-1], np.uint64(BEGIN))[before[first]]
-        hashes.append(mixed(history, words[codes[first]], k))
+        before[starts] = sizes[-1]                    # the begin of a document
+        key, index = np.unique(before * n + codes, return_inverse=True)
+        if hashed:
+            history = np.append(hashes[-1], np.uint64(BEGIN))[key // n]
+            hashes.append(mixed(history, words[key % n], k))
+        sizes.append(len(key))
         at.append(index)
-    return Grams(hashes, at, starts)
+    return Grams(sizes, at, starts, hashes)
 
 
 def places(h: np.ndarray, n: int) -> np.ndarray:
@@ -152,27 +182,43 @@ def sent(g: Grams, n: int) -> Sent:
 
 
 def deltas(low: np.ndarray) -> bytes:
-    """Ascending 40-bit numbers as differences: 4 bytes each, or all 8 where one needs more."""
+    """Ascending 40-bit numbers as differences of 4 bytes each, or all of 8 where one needs more.
+
+    Only the top byte has a shape worth compressing; it goes last, by itself.
+    """
     d = np.diff(low, prepend=np.uint64(0))
-    return d.astype("<u4" if d.max(initial=0) < 1 << 32 else "<u8").tobytes()
+    if d.max(initial=0) >= 1 << 32:
+        return b"w" + d.astype("<u8").tobytes()
+    planes = d.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return b"n" + planes[:, :3].tobytes() + squeezed(planes[:, 3].tobytes())
 
 
 def undeltas(raw: bytes, n: int) -> np.ndarray:
-    return np.cumsum(np.frombuffer(raw, "<u4" if len(raw) == 4 * n else "<u8").astype(np.uint64))
+    if raw[:1] == b"w":
+        d = np.frombuffer(raw, "<u8", offset=1)
+    else:
+        planes = np.empty((n, 4), np.uint8)
+        planes[:, :3] = np.frombuffer(raw, np.uint8, 3 * n, offset=1).reshape(n, 3)
+        planes[:, 3] = np.frombuffer(released(raw[1 + 3 * n:]), np.uint8)
+        d = planes.view("<u4")[:, 0].astype(np.uint64)
+    return np.cumsum(d)
 
 
 def small(x: np.ndarray) -> bytes:
-    """Counts in the fewest of 1, 2, 4 or 8 bytes each."""
+    """Counts in the fewest of 1, 2, 4 or 8 bytes each, packed."""
     top = int(x.max(initial=0))
-    return x.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes()
+    return squeezed(x.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes())
 
 
 def large(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{len(raw) // n}" if n else "<u1").astype(np.int64)
+    if not n:
+        return np.empty(0, np.int64)
+    raw = released(raw)
+    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64)
 
 
 def block_of(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(r["words"], "<u8"), np.frombuffer(r["codes"], "<i4"), np.frombuffer(r["ends"], "<i8")
+    return np.frombuffer(r["words"], "<u8"), np.frombuffer(released(r["codes"]), "<i4"), np.frombuffer(r["ends"], "<i8")
 
 
 CELL = "block long, part int, place long, n_words int, words binary, word_counts binary, n int, keys binary, counts binary"
@@ -198,7 +244,7 @@ def requests(blocks: DataFrame, n_places: int, order: int) -> DataFrame:
                         np.diff(k).astype(np.int32), [deltas(low[i:j]) for i, j in zip(k, k[1:])],
                         [small(longer[i:j]) for i, j in zip(k, k[1:])]]
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in CELL.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names(CELL))
 
     return blocks.select("block", "part", "words", "codes", "ends").mapInArrow(run, CELL)
 
@@ -207,10 +253,14 @@ def totals(keys: np.ndarray, parts: np.ndarray, counts: np.ndarray) -> tuple[np.
     """Of each entry the count in all training parts and in its own (0 when held out), and how many keys training has."""
     _, g = np.unique(keys, return_inverse=True)
     n = int(g.max(initial=-1)) + 1
-    by = np.bincount(g * PARTS + parts, weights=counts, minlength=n * PARTS).astype(np.int64).reshape(n, PARTS)
-    by[:, HELD] = 0
-    total = by.sum(1)
-    return total[g], by[g, parts], int((total > 0).sum())
+    total, own = np.zeros(n, np.int64), np.zeros(len(keys), np.int64)
+    for p in range(PARTS):
+        at = np.flatnonzero(parts == p)
+        if p != HELD and len(at):
+            mine = np.bincount(g[at], weights=counts[at], minlength=n).astype(np.int64)
+            total += mine
+            own[at] = mine[g[at]]
+    return total[g], own, int((total > 0).sum())
 
 
 ANSWER = ("block long, place long, known long, n_words int, word_total binary, word_own binary, n int, total binary, own binary")
@@ -240,18 +290,18 @@ def answers(cells: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([
             pa.array(t["block"], pa.int64()), pa.array(t["place"], pa.int64()), pa.array([known] + [0] * (len(n) - 1), pa.int64()),
             pa.array(nw.astype(np.int32)), pa.array(wt, pa.binary()), pa.array(wo, pa.binary()),
-            pa.array(n.astype(np.int32)), pa.array(gt, pa.binary()), pa.array(go, pa.binary())], [x.split()[0] for x in ANSWER.split(", ")])
+            pa.array(n.astype(np.int32)), pa.array(gt, pa.binary()), pa.array(go, pa.binary())], names(ANSWER))
 
     return cells.repartition("place").sortWithinPartitions("place", "block").mapInArrow(run, ANSWER)
 
 
-COUNTED = "block long, part int, ids array<long>, ends binary, words binary, codes binary, n int, totals binary, owns binary"
+COUNTED = "block long, part int, ids array<long>, ends binary, n_words int, n_tokens long, codes binary, known long, n int, totals binary, owns binary"
 
 
 def counted(blocks: DataFrame, found: DataFrame, n_places: int, order: int) -> DataFrame:
     """Blocks with the totals of their different n-grams, order by order as grams() lists them."""
     both = blocks.select("block", F.lit(-1).cast("long").alias("place"), "part", "ids", "ends", "words", "codes") \
-        .unionByName(found.drop("known"), allowMissingColumns=True)
+        .unionByName(found, allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, got = None, []
@@ -262,19 +312,24 @@ def counted(blocks: DataFrame, found: DataFrame, n_places: int, order: int) -> D
                         yield joined(head, got)
                     head, got = r, []
                 else:
+                    if head is None or head["block"] != r["block"]:
+                        raise RuntimeError("answers for a block that is not there: the documents changed between two scans")
                     got.append(r)
         if head is not None:
             yield joined(head, got)
 
     def joined(head: dict, got: list[dict]) -> pa.RecordBatch:
-        index = sent(grams(*block_of(head), order), n_places).index
+        words, codes, ends = block_of(head)
+        s = sent(grams(words, codes, ends, order), n_places)
+        if sum(r["n_words"] for r in got) != len(words) or sum(r["n"] for r in got) != len(s.keys):
+            raise RuntimeError("a block without its answers: the documents changed between two scans")
         arrays = [np.concatenate([*[large(r["word_" + c], r["n_words"]) for r in got],
-                                  np.concatenate([np.empty(0, np.int64), *[large(r[c], r["n"]) for r in got]])[index]])
+                                  np.concatenate([np.empty(0, np.int64), *[large(r[c], r["n"]) for r in got]])[s.index]])
                   for c in ("total", "own")]
-        cols = [[head["block"]], [head["part"]], [head["ids"]], [head["ends"]], [head["words"]], [head["codes"]],
-                [len(arrays[0])], *[[small(a)] for a in arrays]]
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in COUNTED.split(", ")])
+        cols = [[head["block"]], [head["part"]], [head["ids"]], [head["ends"]], [len(words)], [len(codes)], [head["codes"]],
+                [sum(r["known"] for r in got)], [len(arrays[0])], *[[small(a)] for a in arrays]]
+        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names(COUNTED))
 
     return cut(both.repartition("block").sortWithinPartitions("block", "place").mapInArrow(run, COUNTED), "counted")
 
@@ -300,12 +355,12 @@ def mixture(r: dict, m: Model, delete: bool, upto: int) -> tuple[np.ndarray, np.
     With ``delete`` the counts are without the block's own part. Also the n-grams,
     and each token's count in all of the training set.
     """
-    words, codes, ends = block_of(r)
-    g = grams(words, codes, ends, upto)
+    codes, ends = np.frombuffer(released(r["codes"]), "<i4"), np.frombuffer(r["ends"], "<i8")
+    g = grams(r["n_words"], codes, ends, upto)
     total = large(r["totals"], r["n"])
     counts = total - large(r["owns"], r["n"]) if delete else total
     gone = r["part"] if delete else HELD
-    of = np.split(counts, np.cumsum([len(h) for h in g.hashes]))
+    of = np.split(counts, np.cumsum(g.sizes))
     train = [p for p in range(PARTS) if p not in (HELD, gone)]
     size, docs = int(m.size[train].sum()), int(m.docs[train].sum())
     below = np.full(len(codes), 1.0 / (m.vocabulary + 1))
@@ -321,7 +376,7 @@ def mixture(r: dict, m: Model, delete: bool, upto: int) -> tuple[np.ndarray, np.
         if k < upto:
             w = m.weights[k - 1][bucket]
             below = w * ml + (1 - w) * below
-    return ml, bucket, below, g, total[:len(words)][g.at[0]]
+    return ml, bucket, below, g, total[:r["n_words"]][g.at[0]]
 
 
 def learned(blocks: DataFrame, m: Model, k: int) -> np.ndarray:
@@ -368,17 +423,16 @@ def em(events: np.ndarray, logs: np.ndarray, rounds: int = 500) -> np.ndarray:
     return out
 
 
-def fit(blocks: DataFrame, order: int = ORDER) -> tuple[DataFrame, Model]:
-    """Counted blocks and the model."""
-    sizes = {r.part: (r.docs, r.size) for r in blocks.groupBy("part").agg(
-        F.sum(F.size("ids")).alias("docs"), F.sum(F.octet_length("codes") / 4).cast("long").alias("size")).collect()}
-    docs, size = (np.array([sizes.get(p, (0, 0))[i] for p in range(PARTS)], np.int64) for i in (0, 1))
-    n_places = max(1, -(-int(size.sum()) * order // PLACE))
-    found = cut(answers(requests(blocks, n_places, order)), "answers")
-    vocabulary = found.agg(F.sum("known")).first()[0] or 0
-    docs[HELD] = size[HELD] = 0
-    m = Model(docs, size, vocabulary, [], order)
-    full = counted(blocks, found, n_places, order)
+def fit(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, Model]:
+    """Counted blocks of the documents, and the model."""
+    chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
+    n_places = max(1, -(-int(chars) * order // (6 * PLACE)))       # a token takes six characters, about
+    blocks = tokenized(docs)
+    full = counted(blocks, answers(requests(blocks, n_places, order)), n_places, order)
+    found = full.groupBy("part").agg(F.sum(F.size("ids")).alias("docs"), F.sum("known").alias("known"), F.sum("n_tokens").alias("size")).collect()
+    sizes = {r.part: (r.docs, r.size) for r in found}
+    docs_, size = (np.array([0 if p == HELD else sizes.get(p, (0, 0))[i] for p in range(PARTS)], np.int64) for i in (0, 1))
+    m = Model(docs_, size, sum(r.known for r in found), [], order)
     for k in range(1, order + 1):
         m.weights.append(learned(full, m, k))
     return full, m
@@ -386,8 +440,8 @@ def fit(blocks: DataFrame, order: int = ORDER) -> tuple[DataFrame, Model]:
 
 def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): a row per document."""
-    full, m = fit(tokenized(docs), order)
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    full, m = fit(docs, order)
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     size = int(m.size.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,7 +456,7 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(r["ids"], pa.int64()), pa.array([r["part"] == HELD] * n), pa.array(np.diff(ends, prepend=0)),
                     pa.array(np.add.reduceat((c > 0).astype(np.int64), g.starts)), pa.array(np.full(n, size)),
-                    pa.array(np.add.reduceat(base, g.starts)), pa.array(np.add.reduceat(best, g.starts))], names)
+                    pa.array(np.add.reduceat(base, g.starts)), pa.array(np.add.reduceat(best, g.starts))], columns)
 
     return full.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
