@@ -15,7 +15,7 @@ FAST = ["readings_scan", "channel_sum", "sign_clamp", "time_of_day_band", "calen
         "integrate_gapfill", "integrate_gapfill_le", "day_boundary_values", "daily_energy",
         "hourly_energy", "daily_summary", "daily_upsert", "nearest_join", "daily_consumption_rate",
         "weather_explode", "production_weather", "day_ticks", "tagged_union", "counter_grid",
-        "time_grid_hole", "anomaly_scan"]
+        "time_grid_hole", "anomaly_scan", "integrate_gapfill_skip", "summary_upsert_keyed"]
 
 
 @pytest.fixture(scope="module")

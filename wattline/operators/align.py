@@ -17,23 +17,19 @@ from pyspark.sql import functions as F
 
 from wattline.functions.timefns import day_of, diff_millis, epoch_millis
 from wattline.plans import stitch
+from wattline.plans.materialize import cut
 
-BUCKET_MS = 3_600_000
 
-
-def _carried(rows: DataFrame, K: list[str], back: bool, out: str) -> DataFrame:
+def _carried(rows: DataFrame, K: list[str], back: bool, out: str, many: bool) -> DataFrame:
     """``out``: of each row, the right row (ms, ts, sum) last before, or with
     ``back`` first after it, itself included."""
-    sign = -1 if back else 1
-    rows = rows.withColumn("_t", F.lit(sign) * F.col("_ms")) \
-        .withColumn("_rec", F.when(F.col("_o") == 0, F.struct("_t", "_ts", "_sum"))) \
-        .withColumn(stitch.BKT, F.floor(F.col("_t") / F.lit(BUCKET_MS)).cast("bigint"))
-    return stitch.running_max(stitch.partition_by_bucket(rows, K), K, ["_t", "_o"], "_rec", out) \
-        .drop("_t", "_rec", stitch.BKT)
+    t = F.lit(-1 if back else 1) * F.col("_ms")
+    rows = rows.withColumn("_rec", F.when(F.col("_o") == 0, F.struct(t.alias("_t"), "_ts", "_sum")))
+    return stitch.running_max(rows, K, [t, F.col("_o")], "_rec", out, many=many, back=back).drop("_rec")
 
 
 def nearest_join(left: DataFrame, right: DataFrame, tol_ms: int,
-                 start: Column | None = None, keys: Sequence[str] = ()) -> DataFrame:
+                 start: Column | None = None, keys: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """J2 + W7: for every left (export) timestamp the right (production) row
     nearest in time within ``tol_ms`` (ties: earlier right ts, then lower
     sum). Left rows without a partner are dropped (inner join). ``start``
@@ -48,7 +44,8 @@ def nearest_join(left: DataFrame, right: DataFrame, tol_ms: int,
     first = F.min(F.struct("ts", "cumulative_sum")).alias("r")
     rt = right.filter(F.col("ts").isNotNull()).groupBy(*K, epoch_millis("ts").alias("_ms")).agg(first) \
         .select(*K, "_ms", F.lit(0).alias("_o"), F.col("r.ts").alias("_ts"), F.col("r.cumulative_sum").alias("_sum"))
-    rows = _carried(_carried(lf.unionByName(rt), K, False, "_before"), K, True, "_after")
+    rows, many = stitch.bucketed(lf.unionByName(rt), K, F.col("_ms"), rows)
+    rows = _carried(_carried(rows, K, False, "_before", many), K, True, "_after", many)
 
     def candidate(c):
         far = F.abs(diff_millis("_ts", F.col(c)["_ts"]))
@@ -63,8 +60,9 @@ def baseline_shift(df: DataFrame, ts: str, cols: list[str], suffix: str = "_shif
                    keys: Sequence[str] = ()) -> DataFrame:
     """Per calendar day of ``ts`` (and series), each column minus its value
     at the day's first row. The first row per day is a ``min_by`` aggregate joined
-    back (one row per day), not a window over the whole day."""
-    d = df.withColumn("_day", day_of(ts))
+    back (one row per day), not a window over the whole day. ``df`` is written once:
+    the days' first rows and the result both read it."""
+    d = cut(df.withColumn("_day", day_of(ts)))
     firsts = d.groupBy(*keys, "_day").agg(*[
         F.min_by(c, F.struct(ts, c)).alias(f"_first_{c}") for c in cols])
     out = d.join(firsts, [*keys, "_day"], "left")

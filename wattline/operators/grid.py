@@ -5,15 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.timefns import DAY_US, day_of, from_micros, micros, tod_us
+from wattline.functions.timefns import day_of, from_micros, micros, tod_us
 from wattline.plans import stitch
 
-# Fixed value: multiplier of the deterministic per-tick noise that stands in
-# for the seed script's uniform(0, 0.0028) draw.
-NOISE_MULT = 2654435761
-NOISE_BUCKETS = 2800
-NOISE_SCALE = 1e-6
-
 
 def time_grid(spans: DataFrame, step_us: int) -> DataFrame:
     """One row per tick. ``spans`` has (day, t0_us, t1_us); ticks run
@@ -40,17 +34,18 @@ def without_band(grid: DataFrame, a_us: int, b_us: int) -> DataFrame:
     return grid.filter((t < a_us) | (t > b_us))
 
 
-def counter_series(grid: DataFrame, band_value: float | None, a_us: int, b_us: int,
-                   base_value: float = 0.0, bucket_us: int = DAY_US) -> DataFrame:
-    """Increments on the grid (``band_value`` inside [a, b], else
-    base + deterministic noise; ``None`` = no band) and their running total
-    across days, stitched per day bucket."""
-    secs = F.floor(micros("ts") / F.lit(1_000_000)).cast("bigint")
-    noise = F.pmod(secs * F.lit(NOISE_MULT), F.lit(NOISE_BUCKETS)) * F.lit(NOISE_SCALE)
-    inc = F.lit(base_value) + noise
-    if band_value is not None:
-        inc = F.when(tod_us("ts").between(a_us, b_us), F.lit(band_value)).otherwise(inc)
-    g = grid.select("ts", inc.alias("integral")).withColumn("_series", F.lit(0))
-    g = stitch.partition_by_bucket(stitch.with_bucket(g, "ts", bucket_us), ["_series"])
-    out = stitch.running_sum(g, ["_series"], ["ts"], "integral", "cumulative_sum")
-    return out.select("ts", "cumulative_sum", "integral")
+def counter_series(grid: DataFrame, ledger: DataFrame, rows: int | None = None) -> DataFrame:
+    """A counter on the grid: at every tick the ledger's running total (its last row at or
+    before the tick, 0 before the first), and what it gained since the tick before.
+
+    Ledger rows are put among the ticks; a running maximum carries the last of them along."""
+    us = micros("ts")
+    ticks = grid.select(us.alias("us"), F.lit(1).alias("o"), F.lit(None).cast("struct<us:bigint,c:double>").alias("rec"))
+    points = ledger.filter(F.col("ts").isNotNull()).select(
+        us.alias("us"), F.lit(0).alias("o"), F.struct(us.alias("us"), F.col("cumulative_sum").alias("c")).alias("rec"))
+    d, many = stitch.bucketed(ticks.unionByName(points).withColumn("_series", F.lit(0)), ["_series"], F.col("us"), rows)
+    d = stitch.running_max(d, ["_series"], ["us", "o"], "rec", "last", many=many).filter(F.col("o") == 1) \
+        .select("_series", stitch.BKT, "us", F.coalesce("last.c", F.lit(0.0)).alias("cumulative_sum"))
+    d = stitch.halo_lags(d, ["_series"], ["us"], ["cumulative_sum"], depth=1, many=many)
+    return d.select(from_micros("us").alias("ts"), "cumulative_sum",
+                    (F.col("cumulative_sum") - F.coalesce("_p1_cumulative_sum", F.lit(0.0))).alias("integral"))

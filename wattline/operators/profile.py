@@ -5,55 +5,187 @@ contributes ``cum(last row <= b) - cum(first row >= a)``; the profile is the
 mean over those days (0 days -> no profile). Bands do not wrap midnight: when
 a > b the band is empty.
 
-Every band is asked of every day its series has, which is the size of the
-result. The questions (day + a, day + b) are put among the ledger's rows in
-time order, and a running maximum answers "last row up to here" and, backwards,
-"first row from here on". Work is linear in ledger rows plus answers, no row is
-paired with a band it does not answer, and the running maxima are stitched
-across time buckets, so no day of a series has to fit into one task.
+No band is asked of every day. With all days laid over one clock, the sum over
+days of "last value up to b" changes at a row by its difference to the row before
+it, and that of "first value from a on" by the difference to the row after it: both
+are prefix sums over the rows sorted by clock time, in which a band's a and b are
+looked up as two more rows. Days without a row in the band have a hole around it,
+between two rows in turn (or before the first, after the last): what such days
+add to the sums is the sum over holes that begin before a and end after b, an offline
+two-dimensional dominance sum. Only holes longer than the shortest band take part, and
+of a gap-filled ledger few are. Values count from their day's first one, so
+that sums over many days stay as exact as a day's energy.
+
+Work is linear in ledger rows plus bands (a sort each); no row is produced per band and day.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.timefns import day_of, from_micros, micros, tod_us
+from wattline.functions.timefns import DAY_US, day_of, from_micros, micros, tod_us
 from wattline.plans import stitch
+from wattline.plans.materialize import cut
 
-BUCKET_US = 3_600_000_000
+#: Holes and bands that one dominance task takes.
+BLOCK = 1 << 21
 
 
-def _nearest_rows(points: DataFrame, asked: DataFrame, K: list[str], back: bool) -> DataFrame:
-    """Per asked (K, day, us): the last row at or before, or with ``back`` the
-    first at or after it, of the same day, as (day, us, at, cum)."""
-    sign = -1 if back else 1
-    rec = F.struct((F.lit(sign) * F.col("us")).alias("t"), (F.lit(sign) * F.col("cum")).alias("c"))
-    rows = points.select(*K, "day", "us", F.lit(0).alias("_o"), rec.alias("rec")).unionByName(
-        asked.select(*K, "day", "us", F.lit(1).alias("_o"), F.lit(None).cast("struct<t:bigint,c:double>").alias("rec")).distinct())
-    rows = rows.withColumn("t", F.lit(sign) * F.col("us")) \
-        .withColumn(stitch.BKT, F.floor(F.col("t") / F.lit(BUCKET_US)).cast("bigint"))
-    part = [*K, "day"]
-    found = stitch.running_max(stitch.partition_by_bucket(rows, part), part, ["t", "_o"], "rec", "best")
-    return found.filter((F.col("_o") == 1) & F.col("best").isNotNull()).select(
-        *part, "us", (F.lit(sign) * F.col("best.t")).alias("at"), (F.lit(sign) * F.col("best.c")).alias("cum"))
+def _points(ledger: DataFrame, K: list[str]) -> DataFrame:
+    return ledger.filter(F.col("ts").isNotNull()).select(*K, micros("ts").alias("us"), F.col("cumulative_sum").alias("cum"))
+
+
+def _with_series(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str]):
+    if keys:
+        return gaps, ledger, list(keys)
+    return gaps.withColumn("_series", F.lit(0)), ledger.withColumn("_series", F.lit(0)), ["_series"]
+
+
+def dominance(holes: np.ndarray, weights: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    """Per band (a, b) the sum of the weights of holes (x, y) with x < a and y > b.
+
+    In the order of x the holes that begin before a are a prefix, and a prefix is one
+    node of each size 1, 2, 4 ... in its binary form. Size by size, all nodes' ends are
+    sorted and summed, and all bands that use a node of this size search it.
+    """
+    out = np.zeros((len(bands), weights.shape[1]))
+    if not len(holes) or not len(bands):
+        return out
+    by_x = np.argsort(holes[:, 0], kind="stable")
+    x, y, w = holes[by_x, 0], holes[by_x, 1], weights[by_x]
+    upto = np.searchsorted(x, bands[:, 0], side="left")            # holes that begin before a
+    n, size = len(x), 1
+    while size <= n:
+        # nodes of this size are sorted by their end; suffix sums of a node answer "end after b"
+        node = np.arange(n) // size
+        order = np.lexsort((y, node))
+        ys, ws = y[order], w[order]
+        total = np.vstack([np.zeros((1, w.shape[1])), np.cumsum(ws, axis=0)])
+        use = np.flatnonzero(upto & size)                          # a prefix is one node of each size of its binary form
+        if len(use):
+            first = (upto[use] & ~(2 * size - 1))
+            at = _search(ys, first, first + size, bands[use, 1])
+            out[use] += total[first + size] - total[at]
+        size *= 2
+    return out
+
+
+def _search(ys: np.ndarray, lo: np.ndarray, hi: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """First position in each sorted ys[lo:hi] whose value is over b."""
+    lo, hi = lo.copy(), hi.copy()
+    while True:
+        open_ = lo < hi
+        if not open_.any():
+            return lo
+        mid = (lo + hi) // 2
+        right = open_ & (ys[np.minimum(mid, len(ys) - 1)] <= b)
+        lo, hi = np.where(right, mid + 1, lo), np.where(open_ & ~right, mid, hi)
+
+
+def _covered(holes: DataFrame, bands: DataFrame, K: list[str]) -> DataFrame:
+    """(K, a, b, cnt, w): sums over the holes around each band that has any."""
+    sizes = holes.groupBy(*K).agg(F.count(F.lit(1)).alias("_nh")).join(
+        bands.groupBy(*K).agg(F.count(F.lit(1)).alias("_nb")), K).select(
+        *K, F.ceil(F.col("_nh") / BLOCK).cast("int").alias("_h"), F.ceil(F.col("_nb") / BLOCK).cast("int").alias("_b"))
+    # a series with more holes or bands than a task takes is met block by block
+    hs = holes.join(sizes, K).withColumn("_hb", F.pmod(F.xxhash64("x", "y", "day"), "_h")) \
+        .withColumn("_bb", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)))
+    bs = bands.join(sizes, K).withColumn("_bb", F.pmod(F.xxhash64("a", "b"), "_b").cast("int")) \
+        .withColumn("_hb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_h").cast("bigint") - 1)))
+    by = [*K, "_hb", "_bb"]
+
+    def meet(h: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        got = dominance(h[["x", "y"]].to_numpy(), h[["cnt", "w"]].to_numpy(float), q[["a", "b"]].to_numpy())
+        out = q[[*K, "a", "b"]].assign(cnt=got[:, 0], w=got[:, 1])
+        return out[out.cnt > 0]
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bands.schema.fields if f.name in K)
+    met = hs.select(*by, "x", "y", "cnt", "w").groupBy(*by).cogroup(bs.select(*by, "a", "b").groupBy(*by)) \
+        .applyInPandas(meet, f"{kinds}, a long, b long, cnt double, w double")
+    return met.groupBy(*K, "a", "b").agg(F.sum("cnt").alias("cnt"), F.sum("w").alias("w"))
+
+
+def neighbours(points: DataFrame, K: list[str], rows: int | None = None) -> DataFrame:
+    """Ledger points (K, us, cum) with the points before and after them in the series, as structs p and n."""
+    d, many = stitch.bucketed(points, K, F.col("us"), rows)
+    w = Window.partitionBy(*K, stitch.BKT).orderBy("us", "cum")
+    rec = F.struct("us", "cum")
+    d = d.withColumns({"p": F.lag(rec).over(w), "n": F.lead(rec).over(w)})
+    if many:
+        ends = d.groupBy(*K, stitch.BKT).agg(F.min(rec).alias("_first"), F.max(rec).alias("_last"))
+        ws = Window.partitionBy(*K).orderBy(stitch.BKT)
+        ends = ends.select(*K, stitch.BKT, F.lag("_last").over(ws).alias("_before"), F.lead("_first").over(ws).alias("_after"))
+        d = d.join(ends, [*K, stitch.BKT]).withColumns({"p": F.coalesce("p", "_before"), "n": F.coalesce("n", "_after")})
+    return d.select(*K, "us", "cum", "p", "n")
+
+
+def band_profile(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+    """Per (keys, a, b): ``days`` with rows in the band and ``profile`` =
+    mean of (upper - lower) over them (A5). Bands without days are absent.
+
+    ``gaps`` has columns keys + ``a``, ``b`` (clock microseconds).
+    """
+    gaps, ledger, K = _with_series(gaps, ledger, keys)
+    bands = gaps.select(*K, "a", "b").filter(F.col("a") <= F.col("b")).distinct()
+    day = F.floor(F.col("us") / DAY_US)
+    near = cut(neighbours(_points(ledger, K), K, rows).select(
+        *K, day.cast("int").alias("day"), F.pmod("us", F.lit(DAY_US)).alias("t"), "cum",
+        F.when(F.floor(F.col("p.us") / DAY_US) == day, F.col("p.cum")).alias("pc"),
+        F.when(F.floor(F.col("n.us") / DAY_US) == day, F.struct(F.pmod("n.us", F.lit(DAY_US)).alias("t"), "n.cum")).alias("n")))
+    bands = cut(bands)
+    days = near.groupBy(*K, "day").agg(
+        F.min_by("cum", F.struct("t", "cum")).alias("base"), F.min("t").alias("t0"),
+        F.max_by(F.struct("t", "cum"), F.struct("t", "cum")).alias("end"))
+    least = bands.groupBy(*K).agg(F.min(F.col("b") - F.col("a")).alias("_least"), F.count(F.lit(1)).alias("_nb"))
+
+    # prefix sums over the clock: up to b of the lasts, before a of the firsts
+    zero = F.lit(0.0)
+    steps = near.select(*K, "t", F.lit(1).alias("o"), F.coalesce(F.col("cum") - F.col("pc"), zero).alias("dl"),
+                        F.coalesce(F.col("n.cum") - F.col("cum"), zero).alias("df"))
+    steps = steps.unionByName(days.select(*K, F.col("end.t").alias("t"), F.lit(1).alias("o"), zero.alias("dl"),
+                                          (F.col("base") - F.col("end.cum")).alias("df")))
+    steps = steps.select("*", F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("b"))
+    asked = bands.select(*K, F.col("a").alias("t"), F.lit(0).alias("o"), zero.alias("dl"), zero.alias("df"), "a", "b").unionByName(
+        bands.select(*K, F.col("b").alias("t"), F.lit(2).alias("o"), zero.alias("dl"), zero.alias("df"), "a", "b"))
+    clock, many = stitch.bucketed(steps.unionByName(asked.select(*steps.columns)), K, F.col("t"), rows)
+    clock = stitch.running_sum(clock, K, ["t", "o"], "dl", "l", many=many)
+    clock = stitch.running_sum(clock, K, ["t", "o"], "df", "f", many=many)
+    sums = clock.filter(F.col("o") != 1).groupBy(*K, "a", "b").agg(
+        F.sum(F.when(F.col("o") == 2, F.col("l")).otherwise(-F.col("f"))).alias("s"))
+
+    # the days without a row in the band
+    far = F.lit(2 * DAY_US)
+    inner = near.filter(F.col("n").isNotNull()).join(stitch.few(least), K).filter(F.col("n.t") - F.col("t") > F.col("_least")) \
+        .join(days.select(*K, "day", "base"), [*K, "day"]).select(
+        *K, "day", F.col("t").alias("x"), F.col("n.t").alias("y"), (F.col("cum") - F.col("n.cum")).alias("w"))
+    edge = days.join(stitch.few(least), K)
+    before = edge.filter(F.col("t0") > F.col("_least")).select(*K, "day", F.lit(-1).cast("bigint").alias("x"), F.col("t0").alias("y"), zero.alias("w"))
+    after = edge.filter(F.col("end.t") < DAY_US - F.col("_least")).select(
+        *K, "day", F.col("end.t").alias("x"), far.cast("bigint").alias("y"), (F.col("end.cum") - F.col("base")).alias("w"))
+    holes = inner.unionByName(before).unionByName(after).withColumn("cnt", F.lit(1.0))
+    around = _covered(cut(holes), bands, K)
+
+    n_days = days.groupBy(*K).agg(F.count(F.lit(1)).alias("_days"))
+    out = sums.join(around, [*K, "a", "b"], "left").join(n_days, K)
+    out = out.select(*keys, "a", "b", (F.col("_days") - F.coalesce("cnt", zero)).cast("bigint").alias("days"),
+                     (F.col("s") - F.coalesce("w", zero)).alias("_s"))
+    return out.filter(F.col("days") > 0).select(*keys, "a", "b", "days", (F.col("_s") / F.col("days")).alias("profile"))
 
 
 def band_day_diffs(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Per (keys, a, b, day): lower/upper bound rows of the band on that day.
+    """Per (keys, a, b, day): lower/upper bound rows of the band on that day (J3's
+    rows: one for each band and day with rows in it is the result asked for).
 
-    ``gaps`` has columns keys + ``a``, ``b`` (clock microseconds). Returns
-    keys, a, b, day, lower_ts, lower_value, upper_ts, upper_value.
+    Returns keys, a, b, day, lower_ts, lower_value, upper_ts, upper_value.
     """
-    K = list(keys) or ["_series"]
-    if not keys:
-        gaps, ledger = (df.withColumn("_series", F.lit(0)) for df in (gaps, ledger))
+    gaps, ledger, K = _with_series(gaps, ledger, keys)
     bands = gaps.select(*K, "a", "b").filter(F.col("a") <= F.col("b")).distinct()
-    points = ledger.filter(F.col("ts").isNotNull()).select(
-        *K, day_of("ts").alias("day"), micros("ts").alias("us"), F.col("cumulative_sum").alias("cum"))
-    # days of each series: a short array next to the series' bands
+    points = _points(ledger, K).withColumn("day", day_of(from_micros("us")))
     days = points.groupBy(*K).agg(F.collect_set("day").alias("days"))
     midnight = micros(F.col("day").cast("timestamp_ntz"))
     asked = bands.join(days, K).select(*K, "a", "b", F.explode("days").alias("day")) \
@@ -68,14 +200,19 @@ def band_day_diffs(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str] = ())
                 from_micros(F.col("_hi")).alias("upper_ts"), "upper_value")
 
 
-def band_profile(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Per (keys, a, b): ``days`` with rows in the band and ``profile`` =
-    mean of (upper - lower) over them (A5). Bands without days are absent."""
-    K = list(keys)
-    d = band_day_diffs(gaps, ledger, K)
-    return (d.groupBy(*K, "a", "b")
-             .agg(F.count(F.lit(1)).alias("days"),
-                  F.avg(F.col("upper_value") - F.col("lower_value")).alias("profile")))
+def _nearest_rows(points: DataFrame, asked: DataFrame, K: list[str], back: bool) -> DataFrame:
+    """Per asked (K, day, us): the last row at or before, or with ``back`` the
+    first at or after it, of the same day, as (day, us, at, cum)."""
+    sign = -1 if back else 1
+    t = F.lit(sign) * F.col("us")
+    rec = F.struct(t.alias("t"), (F.lit(sign) * F.col("cum")).alias("c"))
+    rows = points.select(*K, "day", "us", F.lit(0).alias("_o"), rec.alias("rec")).unionByName(
+        asked.select(*K, "day", "us", F.lit(1).alias("_o"), F.lit(None).cast("struct<t:bigint,c:double>").alias("rec")).distinct())
+    part = [*K, "day"]
+    rows, many = stitch.bucketed(rows, part, F.col("us"))
+    found = stitch.running_max(rows, part, [t, F.col("_o")], "rec", "best", many=many, back=back)
+    return found.filter((F.col("_o") == 1) & F.col("best").isNotNull()).select(
+        *part, "us", (F.lit(sign) * F.col("best.t")).alias("at"), (F.lit(sign) * F.col("best.c")).alias("cum"))
 
 
 def day_bounds_in_band(ledger: DataFrame, a_us: int, b_us: int,

@@ -1,5 +1,5 @@
 """Data-quality checks (W1-W3, P9): lags and gaps over the whole series,
-computed per time bucket and stitched, never in one partition."""
+computed per bucket of a large series and stitched."""
 
 from __future__ import annotations
 
@@ -8,11 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.timefns import diff_seconds_boundary
+from wattline.functions.timefns import diff_seconds_boundary, micros
 from wattline.plans import stitch
 
-BUCKET_US = 3_600_000_000
-
 
 def _with_series(df: DataFrame, keys: Sequence[str]):
     if keys:
@@ -21,11 +19,11 @@ def _with_series(df: DataFrame, keys: Sequence[str]):
 
 
 def previous_ts(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts",
-                tiebreak: Sequence[str] = (), bucket_us: int = BUCKET_US) -> DataFrame:
+                tiebreak: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """Every row with ``previous_ts`` = LAG(ts) OVER (ORDER BY ts)."""
     d, K = _with_series(df, keys)
-    d = stitch.partition_by_bucket(stitch.with_bucket(d, ts, bucket_us), K)
-    out = stitch.halo_lags(d, K, [ts, *tiebreak], [ts], depth=1)
+    d, many = stitch.bucketed(d, K, micros(ts), rows)
+    out = stitch.halo_lags(d, K, [ts, *tiebreak], [ts], depth=1, many=many)
     out = out.withColumnRenamed(f"_p1_{ts}", "previous_ts").drop(stitch.BKT)
     return out if keys else out.drop("_series")
 

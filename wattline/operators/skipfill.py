@@ -20,51 +20,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.timefns import add_micros, diff_micros, ntz_literal, tod_us
+from wattline.functions.timefns import add_micros, day_of, diff_micros, micros, tod_us
 from wattline.operators import profile as prof
 from wattline.plans import stitch
+from wattline.plans.materialize import cut
 
 
-def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
-                   bucket_us, materialize, with_state=False):
+def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late, rows=None, keep=cut, profile=None,
+                   small_batch=False):
+    """(ledger rows with ``_rts``, state after the last reading of every series)."""
     from wattline.operators.integrate import (
-        _keys, _small, clamp, emit_slots, final_state, ledger_state, with_seeds)
+        ORDER, _keys, clamp, emit, final_state, ledger_state, newer_than_state, prepared, seeds_of, with_seeds)
     keyed = bool(keys)
-    r, K = _keys(readings.select(*keys, "ts", "value"), keys)
-    r = r.select(*K, "ts", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value"))
-    r = r.filter(F.col("ts").isNotNull())
-    if spec.cutoff:
-        r = r.filter(F.col("ts") >= ntz_literal(spec.cutoff))
+    r, K = prepared(readings, spec, keys)
     if state is None and ledger is not None:
         state = ledger_state(ledger, keys)
-    if state is not None:
+    if state is not None and not isinstance(state, tuple):
         state, _ = _keys(state, keys)
     if profile_ledger is None:
         profile_ledger = ledger
+    if profile is None and profile_ledger is not None:
+        def profile(bands):
+            return prof.band_profile(bands, _keys(profile_ledger, keys)[0], K)
     step_us, shift_us = spec.step_ms * 1000, spec.skip_shift_ms * 1000
     thr_us = 2 * step_us
 
-    first = stitch.first_in_group(r, K, ["ts", "value"], ["ts"], prefix="f_")
-    if state is not None:
-        seeds = first.join(_small(state.select(*K, "s_ts", "s_value", "s_cum"), not keyed), K, "left")
-    else:
-        seeds = first.select(*K, "f_ts", F.lit(None).cast("timestamp_ntz").alias("s_ts"),
-                             F.lit(None).cast("double").alias("s_value"),
-                             F.lit(None).cast("double").alias("s_cum"))
-    has = F.col("s_ts").isNotNull()
-    seeds = seeds.select(
-        *K, "f_ts", "s_ts", (~has & F.lit(spec.first_row == "drop")).alias("_drop_first"),
-        F.when(has, F.col("s_ts")).otherwise(
-            add_micros("f_ts", F.lit(-spec.seed_step_ms * 1000))).alias("_seed_ts"),
-        F.when(has, F.coalesce("s_value", F.lit(0.0))).otherwise(F.lit(0.0)).alias("_seed_v"),
-        F.when(has, F.col("s_cum")).otherwise(F.lit(0.0)).alias("_seed_c"))
+    found = stitch.Cuts(K) if small_batch else stitch.cuts(r, K, micros("ts"), rows)
+    first = r.groupBy(*K).agg(F.min("ts").alias("f_ts"))
+    seeds = seeds_of(first, state, K, spec, keyed)
     if late == "drop":
-        r = r.join(_small(seeds.select(*K, "s_ts"), not keyed), K, "left") \
-            .filter(F.col("s_ts").isNull() | (F.col("ts") > F.col("s_ts"))).select(*K, "ts", "value")
+        r = newer_than_state(r, seeds, K, keyed)
 
-    order = ["_o", "ts", "value"]
-    allrows = with_seeds(r, seeds, K, order, bucket_us, spec.first_row == "drop")
-    lagged = stitch.halo_lags(allrows, K, order, ["ts", "value", "_o"], depth=1)
+    order, many = ORDER, found.many
+    allrows = with_seeds(r, seeds, K, order, found, spec.first_row == "drop")
+    lagged = stitch.halo_lags(allrows, K, order, ["ts", "value", "_o"], depth=1, many=many)
 
     is_reading = F.col("_o") == 1
     d_a = diff_micros("_p1_ts", "ts")
@@ -75,21 +64,23 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
         F.coalesce(is_reading & (d_a - F.lit(shift_us) > F.lit(thr_us)), F.lit(False)).alias("_gapb"),
         tod_us("_p1_ts").alias("_aa"), tod_us(add_micros("_p1_ts", F.lit(shift_us))).alias("_ab"),
         tod_us("ts").alias("_b"))
-    x = materialize(x)
+    x = keep(x)
 
     # profiles of both candidate bands of every candidate row, one pass
+    x = x.withColumn("gday", day_of("ts"))
     cands = x.filter("_cand")
-    bands = (cands.select(*K, F.col("_aa").alias("a"), F.col("_b").alias("b"))
-             .unionByName(cands.select(*K, F.col("_ab").alias("a"), F.col("_b").alias("b"))))
-    if profile_ledger is not None:
-        pl, _ = _keys(profile_ledger, keys)
-        bp = prof.band_profile(bands, pl, K).select(*K, "a", "b", "profile")
-        x = (x.join(bp.select(*K, F.col("a").alias("_aa"), F.col("b").alias("_b"),
-                              F.col("profile").alias("_pa")), [*K, "_aa", "_b"], "left")
-              .join(bp.select(*K, F.col("a").alias("_ab"), F.col("b").alias("_b"),
-                              F.col("profile").alias("_pb")), [*K, "_ab", "_b"], "left"))
+    bands = (cands.select(*K, F.col("_aa").alias("a"), F.col("_b").alias("b"), "gday")
+             .unionByName(cands.select(*K, F.col("_ab").alias("a"), F.col("_b").alias("b"), "gday")))
+    if profile is not None:
+        bp = profile(bands)
+        on = ["gday"] if "gday" in bp.columns else []
+        bp = keep(bp.select(*K, "a", "b", *on, "profile"))
+        x = (x.join(bp.select(*K, *on, F.col("a").alias("_aa"), F.col("b").alias("_b"),
+                              F.col("profile").alias("_pa")), [*K, *on, "_aa", "_b"], "left")
+              .join(bp.select(*K, *on, F.col("a").alias("_ab"), F.col("b").alias("_b"),
+                              F.col("profile").alias("_pb")), [*K, *on, "_ab", "_b"], "left")).drop("gday")
     else:
-        x = x.withColumns({"_pa": F.lit(None).cast("double"), "_pb": F.lit(None).cast("double")})
+        x = x.withColumns({"_pa": F.lit(None).cast("double"), "_pb": F.lit(None).cast("double")}).drop("gday")
     f0 = F.col("_cand") & F.col("_pa").isNull()
     f1 = F.col("_cand") & F.col("_gapb") & F.col("_pb").isNull()
     x = x.withColumns({
@@ -97,16 +88,16 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
         "_neg": (f0 & ~f1).cast("int"),
         "_cval": f0.cast("int"),
     })
-    x = stitch.running_sum(x, K, order, "_neg", "_nneg")
+    x = stitch.running_sum(x, K, order, "_neg", "_nneg", many=many)
     x = x.withColumn("_cv", F.when(F.col("_const"), F.struct(
         *[F.col(o) for o in order],
         F.pmod(F.col("_cval") + F.col("_nneg").cast("int"), F.lit(2)).alias("v"))))
-    x = stitch.running_max(x, K, order, "_cv", "_last")
+    x = stitch.running_max(x, K, order, "_cv", "_last", many=many)
     x = x.withColumn("_skip", F.pmod(F.col("_last.v") + F.col("_nneg").cast("int"), F.lit(2)) == 1)
-    x = materialize(x.drop("_cv", "_last", "_const", "_neg", "_cval", "_nneg"))
+    x = keep(x.drop("_cv", "_last", "_const", "_neg", "_cval", "_nneg"))
 
     # previous row's skip / gap (skip of row i-2 decides row i-1's gap)
-    y = stitch.halo_lags(x, K, order, ["_skip", "_cand", "_gapb"], depth=2)
+    y = stitch.halo_lags(x, K, order, ["_skip", "_cand", "_gapb"], depth=2, many=many)
     shifted = F.coalesce(F.col("_p1__skip"), F.lit(False))
     prev_gap = F.coalesce(F.col("_p1__cand") & (~F.coalesce(F.col("_p2__skip"), F.lit(False))
                                                  | F.col("_p1__gapb")), F.lit(False))
@@ -132,12 +123,9 @@ def integrate_skip(readings, ledger, spec, keys, state, profile_ledger, late,
                      .when(F.col("_skip"), F.lit(0.0))
                      .when(F.col("_gap"), F.col("_n") * F.col("_ai"))
                      .otherwise(F.col("_integral")))
-    y = materialize(y)
-    y = stitch.running_sum(y, K, order, "_c", "_cum")
+    y = keep(y)
+    y = keep(stitch.running_sum(y, K, order, "_c", "_cum", many=many))
     skip = F.coalesce(F.col("_skip"), F.lit(False))
-    if not with_state:
-        return emit_slots(y.filter(is_reading & ~skip), K, keys, step_us, spec.step_ms, "_pt")
-    y = materialize(y)
     ts = F.when(skip, add_micros("ts", F.lit(shift_us))).otherwise(F.col("ts"))
     state = final_state(y, K, keys, order, ts, F.col("_gap") | skip)
-    return emit_slots(y.filter(is_reading & ~skip), K, keys, step_us, spec.step_ms, "_pt"), state
+    return emit(y.filter(is_reading & ~skip), K, keys, spec, "_pt"), state

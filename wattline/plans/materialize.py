@@ -13,7 +13,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattline.session import checkpoint_dir, scratch_path
 
@@ -25,31 +26,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def version(source: DataFrame) -> str:
-    """Digest of the files that a scan reads: path, length and time of each."""
-    spark = source.sparkSession
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
-    for f in sorted(source.inputFiles()):
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        found.append(f"{f} {st.getLen()} {st.getModificationTime()}")
-    return hashlib.sha256("\n".join(found).encode()).hexdigest()
+def version(spark: SparkSession, path: str) -> str:
+    """Digest of the files under ``path``: their names, lengths and times.
 
+    The listing is a table (a binary-file scan whose contents are not read), so many files are
+    listed and digested by tasks; one row comes to the driver."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    got = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"), F.sum(
+        F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("digest")).first()
+    return f"{path} {got['n']} {got['bytes']} {got['digest']}"
 
-def written_table(source: DataFrame, name: str,
+
+def written_table(spark: SparkSession, path: str, name: str,
                   build: Callable[[], DataFrame]) -> DataFrame:
     """Write ``build()`` once per application as parquet under the shared
     checkpoint folder and return the table read back. What is remembered is
-    the exact input (the files that ``source`` scans, their lengths and
+    the exact input (the files under ``path``, their lengths and
     times) and ``name``, which must spell out all parameters."""
-    spark = source.sparkSession
     app = spark.sparkContext.applicationId
-    key = (app, version(source), name)
-    path = _WRITTEN.get(key)
-    if path is None:
+    key = (app, version(spark, path), name)
+    out = _WRITTEN.get(key)
+    if out is None:
         digest = hashlib.sha256(repr(key).encode()).hexdigest()[:24]
-        path = scratch_path(spark, f"tables/{app}/{digest}")
-        build().write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(path)
+        out = scratch_path(spark, f"tables/{app}/{digest}")
+        build().write.mode("overwrite").parquet(out)
+        _WRITTEN[key] = out
+    return spark.read.parquet(out)

@@ -7,6 +7,8 @@ are rounded to 6 places, as in the oracle SQL.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +17,11 @@ from pyspark.sql import types as T
 
 from wattline.functions.timefns import DAY_US, day_of, instant_literal, ntz_literal, parse_tod
 from wattline.operators import align, filters, grid, integrate as integ, lookup, profile, quality, rollup, unions
-from wattline.plans.materialize import version, written_table
+from wattline.plans.materialize import version
 from wattline.session import configure, scratch_path
 from wattline.sources import fixtures as fx
 from wattline.sources import tables, weather
+from wattline.streaming import sinks
 
 BAND_A, BAND_B = parse_tod("11:00:00"), parse_tod("11:30:00")
 
@@ -83,13 +86,13 @@ def calendar_day_filter(spark, sf):
 
 def _export_all(spark, sf):
     spec = fx.export_spec(fx.params())
-    return written_table(fx.events(spark, sf), f"export {spec}", lambda: integ.integrate(
+    return fx.written(spark, sf, f"export {spec}", lambda: integ.integrate(
         fx.readings_nulls(spark, sf), None, spec))
 
 
 def _production_all(spark, sf):
     spec = fx.production_spec(fx.params())
-    return written_table(fx.events(spark, sf), f"production {spec}", lambda: integ.integrate(
+    return fx.written(spark, sf, f"production {spec}", lambda: integ.integrate(
         filters.channel_sum(fx.channels(spark, sf)), None, spec))
 
 
@@ -160,7 +163,7 @@ def integrate_carry_in(spark, sf):
 
 def first_row_policy(spark, sf):
     p = fx.params(sf)
-    nd = fx.new_days(spark, sf)
+    nd = fx.readings(spark, sf)
     syn = integ.integrate(nd, None, fx.history_spec(p))
     drp = integ.integrate(nd, None, fx.history_spec(p).with_(first_row="drop"))
     return r6(syn.select(F.lit("synthetic").alias("policy"), "*")
@@ -200,9 +203,9 @@ def gap_fill_slots(spark, sf):
     d = quality.previous_ts(fx.readings(spark, sf).select("ts", "id"), tiebreak=["id"])
     g = d.filter(diff_micros("previous_ts", "ts") > 2 * step)
     n = F.expr(f"div(timestampdiff(MICROSECOND, previous_ts, ts) + {step - 1}, {step})")
-    return (g.select(F.col("ts").alias("gap_ts"), "previous_ts",
-                     F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias("k"))
-            .select("gap_ts", "k", add_micros("previous_ts", F.col("k") * step).alias("ts")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (integ.slots(g.withColumn("_n", n), parts, ["ts"])
+            .select(F.col("ts").alias("gap_ts"), F.col("_k").alias("k"), add_micros("previous_ts", F.col("_k") * step).alias("ts")))
 
 
 def _new_gaps(spark, sf):
@@ -246,15 +249,14 @@ def integrate_keyed(spark, sf):
     p = fx.params(sf)
     k = fx.keyed(spark, sf)
     split = F.lit(fx.SPLIT_DAY).cast("timestamp_ntz")
-    hist = written_table(fx.events(spark, sf), f"keyed history {fx.history_spec(p)}", lambda: integ.integrate(
+    hist = fx.written(spark, sf, f"keyed history {fx.history_spec(p)}", lambda: integ.integrate(
         k.filter(F.col("ts") < split), None, fx.history_spec(p), keys=["series"]))
     return r6(integ.integrate(k.filter(F.col("ts") >= split), hist, fx.export_spec(p),
                               keys=["series"]))
 
 
 def integrate_gapfill_skip(spark, sf):
-    """First gap version: 'skip' policy, '<=' slots, synthetic first row
-    (checked against the sequential fold in tests; no SQL oracle)."""
+    """First gap version: 'skip' policy, '<=' slots, synthetic first row."""
     p = fx.params(sf)
     spec = integ.FIRST_GAP.with_(step_ms=p.step_ms)
     return r6(integ.integrate(fx.new_days(spark, sf), fx.history(spark, sf), spec))
@@ -357,9 +359,9 @@ def daily_consumption_rate(spark, sf):
 
 
 def _weather_rows(spark, sf):
-    ev = fx.events(spark, sf)
-    path = scratch_path(spark, f"weather/{spark.sparkContext.applicationId}/{version(ev)[:24]}")
-    written_table(ev, "weather", lambda: _write_weather(spark, sf, path))
+    digest = hashlib.sha256(version(spark, tables.path_of(sf, "events")).encode()).hexdigest()[:24]
+    path = scratch_path(spark, f"weather/{spark.sparkContext.applicationId}/{digest}")
+    fx.written(spark, sf, "weather", lambda: _write_weather(spark, sf, path))
     return weather.explode_hourly(weather.read_weather(spark, path))
 
 
@@ -418,7 +420,21 @@ def time_grid_hole(spark, sf):
 
 
 def counter_grid(spark, sf):
-    return r6(grid.counter_series(_grid(spark, sf), 0.0002, BAND_A, BAND_B))
+    """The whole ledger's counter at every tick of the grid."""
+    return r6(grid.counter_series(_grid(spark, sf), fx.whole_ledger(spark, sf)))
+
+
+def summary_upsert_keyed(spark, sf):
+    """S12 / J7 by key: summaries of (date, series). Series with an even number come again with new values, on
+    the dates from SUMMARY_NEW_FIRST on; the other series of those dates stay."""
+    export, production = fx.keyed_ledgers(spark, sf)
+    s = rollup.daily_summary(export, production, keys=["series"])
+    path = scratch_path(spark, f"upsert/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}")
+    sinks.upsert_by_key(s.withColumns({"production_sum": F.lit(0.0), "export_sum": F.lit(0.0)}), path, ["date", "series"])
+    new = s.filter((F.col("series") % 2 == 0) & (F.col("date") >= F.lit(fx.SUMMARY_NEW_FIRST).cast("date")))
+    for _ in range(2):                               # the second time changes nothing
+        sinks.upsert_by_key(new, path, ["date", "series"])
+    return r6(spark.read.schema(s.schema).parquet(path).select(*s.columns))
 
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -438,7 +454,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_upsert", "nearest_join", "nearest_join_keyed", "consumption_rate_from", "daily_baseline_shift", "consumption_rate",
         "daily_consumption_rate", "weather_explode", "production_weather", "day_ticks",
         "tagged_union", "tagged_union_all_columns", "time_grid", "time_grid_hole",
-        "counter_grid",
+        "counter_grid", "summary_upsert_keyed",
     ]
     g = globals()
 

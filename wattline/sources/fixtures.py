@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattline.operators import integrate as integ
 from wattline.plans.materialize import written_table
-from wattline.sources.tables import table
+from wattline.sources.tables import path_of, table
 
 # Fixed values, the same for every folder: reading step, gap threshold
 # (2 x step) and nearest-join tolerance used with the events-derived fixtures.
@@ -43,6 +43,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A table made of the events, written once."""
+    return written_table(spark, path_of(sf_dir, "events"), name, build)
+
+
 def readings(spark, sf_dir) -> DataFrame:
     e = events(spark, sf_dir)
     return e.select(F.col("event_id").alias("id"), "ts",
@@ -97,14 +102,14 @@ def new_days(spark, sf_dir) -> DataFrame:
 def history(spark, sf_dir) -> DataFrame:
     """The committed ledger before SPLIT_DAY, written once as a table."""
     spec = history_spec(params())
-    return written_table(events(spark, sf_dir), f"history {spec}", lambda: integ.integrate(
+    return written(spark, sf_dir, f"history {spec}", lambda: integ.integrate(
         history_readings(spark, sf_dir), None, spec))
 
 
 def whole_ledger(spark, sf_dir) -> DataFrame:
     """The ledger of every reading, built as the history is."""
     spec = history_spec(params())
-    return written_table(events(spark, sf_dir), f"whole {spec}", lambda: integ.integrate(
+    return written(spark, sf_dir, f"whole {spec}", lambda: integ.integrate(
         readings(spark, sf_dir), None, spec))
 
 
@@ -125,14 +130,14 @@ def half(spark, sf_dir, side: int) -> DataFrame:
 def left_ledger(spark, sf_dir) -> DataFrame:
     """Export-like ledger of the LEFT_TYPES readings (nearest-join left side)."""
     spec = history_spec(params())
-    return written_table(events(spark, sf_dir), f"left {spec}", lambda: integ.integrate(
+    return written(spark, sf_dir, f"left {spec}", lambda: integ.integrate(
         half(spark, sf_dir, 0), None, spec))
 
 
 def right_ledger(spark, sf_dir) -> DataFrame:
     """Production-like ledger of the RIGHT_TYPES readings (nearest-join right side)."""
     spec = production_spec(params()).with_(gap_fill=False)
-    return written_table(events(spark, sf_dir), f"right {spec}", lambda: integ.integrate(
+    return written(spark, sf_dir, f"right {spec}", lambda: integ.integrate(
         half(spark, sf_dir, 1), None, spec))
 
 
@@ -146,12 +151,6 @@ def keyed_half(spark, sf_dir, side: int) -> DataFrame:
 def keyed_ledgers(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Export-like and production-like ledgers of every user, without fill."""
     specs = history_spec(params()), production_spec(params()).with_(gap_fill=False)
-    left, right = (written_table(events(spark, sf_dir), f"keyed half {i} {spec}", lambda i=i, spec=spec: integ.integrate(
+    left, right = (written(spark, sf_dir, f"keyed half {i} {spec}", lambda i=i, spec=spec: integ.integrate(
         keyed_half(spark, sf_dir, i), None, spec, keys=["series"])) for i, spec in enumerate(specs))
     return left, right
-
-
-def channel_values(ch: DataFrame) -> DataFrame:
-    """P2 applied: (ts, value) with NULL channels counted as 0."""
-    from wattline.operators.filters import channel_sum
-    return channel_sum(ch)

@@ -35,8 +35,12 @@ MARKER_SCHEMA = T.StructType([
 ])
 
 
+def path_of(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(path_of(sf_dir, name))
 
 
 def scan_readings(df: DataFrame, id_col="id", ts_col="ts", value_col="value") -> DataFrame:

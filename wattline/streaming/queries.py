@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline import oracles as O
+from wattline import oracles as O, stepwise
 from wattline.operators import integrate as integ
 from wattline.queries import _export_all, _production_all, r6
 from wattline.session import configure, scratch_path
@@ -149,6 +149,8 @@ def oracle_sql() -> dict[str, str]:
                                      ["id", "ts", "value"], D)
     q["stream_integrate_nofill"] = O.ledger_r6(O.integrate_sql(
         f"SELECT ts, value FROM ({O.READINGS}) r", None, fill=False, first_row="drop"))
+    q["stream_integrate"] = stepwise.per_day_sql(1)
+    q["stream_integrate_days"] = stepwise.per_day_sql(3)
     q["stream_marker"] = (
         "SELECT min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS row_count FROM "
         f"(SELECT ts, (dense_rank() OVER (ORDER BY CAST(ts AS DATE)) - 1) // {MARKER_FILES} AS b FROM events) e "

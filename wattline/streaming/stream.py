@@ -17,12 +17,15 @@ READING_STREAM_SCHEMA = T.StructType([
 
 
 def reading_stream(spark: SparkSession, path: str, max_files: int | None = None,
-                   schema: T.StructType = READING_STREAM_SCHEMA) -> DataFrame:
+                   schema: T.StructType = READING_STREAM_SCHEMA, max_bytes: str | None = None) -> DataFrame:
     """New reading files under ``path`` (append-only by contract; the
-    source's offsets live in the query checkpoint)."""
+    source's offsets live in the query checkpoint). ``max_bytes`` ('1g') bounds a
+    micro-batch by what it reads, ``max_files`` by files; one of them at most."""
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     return r.parquet(path)
 
 
@@ -59,12 +62,36 @@ def start_after_existing(spark: SparkSession, source: str, checkpoint: str) -> N
                   foreach_batch=lambda df, i: None)
 
 
-def write_day_files(readings: DataFrame, path: str, days=None) -> None:
-    """Fixture feed: one parquet file per calendar day, written day after
-    day so the file source sees them in time order."""
+def write_day_files(readings: DataFrame, path: str, days=None, file_bytes: int = 256 << 20) -> None:
+    """Feed: the readings as files by calendar day, in one job, that a file source sees in time order.
+
+    A day of any size is written by as many tasks as it needs, sorted by time, a file a day where days are
+    small. The source takes files by their times, so the new files get ascending ones in the order of
+    their days (and parts): one call per file, no read of rows."""
     d = readings.withColumn("day", day_of("ts"))
-    if days is None:
-        days = [r[0] for r in d.select("day").distinct().orderBy("day").collect()]
-    for day in days:
-        (d.filter(F.col("day") == F.lit(day)).coalesce(1)
-         .write.mode("append").partitionBy("day").parquet(path))
+    if days is not None:
+        d = d.filter(F.col("day").isin(*[F.lit(x).cast("date") for x in days]))
+    spark = readings.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def files() -> dict:
+        found = {}
+        if fs.exists(p):
+            at = fs.listFiles(p, True)
+            while at.hasNext():
+                f = at.next()
+                if f.getPath().getName().endswith(".parquet"):
+                    found[f.getPath().toString()] = f
+        return found
+
+    before = files()
+    (d.hint("rebalance", F.col("day")).sortWithinPartitions("day", "ts").write.mode("append")
+     .option("maxRecordsPerFile", max(1, file_bytes // 24)).partitionBy("day").parquet(path))
+    new = sorted(set(now := files()) - set(before))
+    # between those that were there and this moment, or from the last one's time on
+    first = max([f.getModificationTime() for f in before.values()], default=0)
+    last = max([now[f].getModificationTime() for f in new], default=0)
+    start = max(first + 1, last - len(new))
+    for i, f in enumerate(new):
+        fs.setTimes(now[f].getPath(), start + i, -1)
