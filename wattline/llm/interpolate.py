@@ -7,12 +7,11 @@ counts by deletion: the training documents are four parts (crc32(doc_id) mod 5 i
 2, 3 or 4); every token of a part is an event whose counts are those of the other
 three parts, and expectation-maximisation sets the weights, order by order.
 
-Distribution. Texts are cut into blocks of one part each, as codes into the
-block's own list of words. A block sends each of its different n-grams once, with its count, to
+Distribution. Texts are cut into blocks, as codes into the block's own list of words. A
+block sends each of its different n-grams once, with its counts by part, to
 the place that a hash names, so an n-gram, however frequent, comes at most once
 from a block; places hold about PLACE entries. There the counts add up, and the
-totals (all training parts, and the block's own part) go back to the block in the
-order they came. What travels are packed arrays, a row for each block and place.
+totals by part go back to the block in the order they came. What travels are packed arrays, a row for each block and place.
 Blocks are not written before they are counted: they are cut once for the requests and
 once more for the answers. A block's key is a digest of its place in the scan and
 of its codes, so blocks cut in another way find no answer, which is an error.
@@ -49,8 +48,11 @@ from pyspark.sql import functions as F
 from wattline.llm.common import cut, table, whole_groups
 
 ORDER, HELD, PARTS = 3, 1, 5
+#: The training parts: a count has a lane for each.
+TRAIN = [p for p in range(PARTS) if p != HELD]
+LANES = len(TRAIN)
 #: Bytes of text in a block's slice of a batch, entries at a place.
-SLICE, PLACE = 16 << 20, 1_000_000
+SLICE, PLACE = 8 << 20, 1_000_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, BEGIN = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: Histogram of ln(ratio): BINS bins over +-RANGE, bin 0 for a ratio of zero.
@@ -66,11 +68,11 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split()
 
 
-BLOCK = "block long, part int, ids array<long>, ends binary, words binary, codes binary"
+BLOCK = "block long, ids array<long>, parts binary, ends binary, words binary, codes binary"
 
 
 def tokenized(docs: DataFrame) -> DataFrame:
-    """BLOCK rows: whole documents of one part, the end of each counted in.
+    """BLOCK rows: whole documents and their parts, the end of each counted in.
 
     ``words`` are the different hashes of the block, ascending, as bytes; ``codes``
     (packed) index them. ``ends`` are positions in codes where documents end.
@@ -78,7 +80,7 @@ def tokenized(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), part(F.col("doc_id")).alias("part"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
-    def pack(place: tuple[int, int], ids: list, texts: list, own: int) -> pa.RecordBatch:
+    def pack(place: tuple[int, int], ids: list, parts: np.ndarray, texts: list) -> pa.RecordBatch:
         memo: dict[bytes, int] = {}
         seen, ends, at = [], [], 0
         for t in texts:
@@ -90,9 +92,9 @@ def tokenized(docs: DataFrame) -> DataFrame:
         hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in memo] + [END], np.uint64)
         words, code = np.unique(hashes, return_inverse=True)      # the end, -1, is the last hash
         codes = code.astype("<u4")[np.concatenate(seen)].tobytes()
-        key = xxhash.xxh64_intdigest(np.array([*place, own, xxhash.xxh64_intdigest(codes) >> 1], "<i8").tobytes())
+        key = xxhash.xxh64_intdigest(np.array([*place, xxhash.xxh64_intdigest(codes) >> 1], "<i8").tobytes())
         return pa.RecordBatch.from_arrays(
-            [pa.array([key >> 1], pa.int64()), pa.array([own], pa.int32()), pa.array([ids], pa.list_(pa.int64())),
+            [pa.array([key >> 1], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([parts.astype(np.uint8).tobytes()], pa.binary()),
              pa.array([np.array(ends, "<i8").tobytes()], pa.binary()), pa.array([words.astype("<u8").tobytes()], pa.binary()),
              pa.array([squeezed(codes)], pa.binary())], names(BLOCK))
 
@@ -100,14 +102,13 @@ def tokenized(docs: DataFrame) -> DataFrame:
         task, n = TaskContext.get().partitionId(), 0
         for b in batches:
             size = np.cumsum(pc.binary_length(b.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
-            cuts = np.flatnonzero(np.diff(size // SLICE)) + 1
+            slices = max(1, -(-int(size[-1]) // SLICE)) if b.num_rows else 0
+            cuts = np.flatnonzero(np.diff(np.minimum(size * slices // max(int(size[-1]), 1), slices - 1))) + 1 if slices else []
             for lo, hi in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
-                s = b.slice(lo, hi - lo)
-                n += 1
-                parts = s.column(1).to_numpy()
-                for own in np.unique(parts):
-                    mine = s.filter(pa.array(parts == own))
-                    yield pack((task, n), mine.column(0).to_pylist(), mine.column(2).to_pylist(), int(own))
+                if hi > lo:
+                    s = b.slice(lo, hi - lo)
+                    n += 1
+                    yield pack((task, n), s.column(0).to_pylist(), s.column(1).to_numpy(), s.column(2).to_pylist())
 
     return rows.mapInArrow(run, BLOCK)
 
@@ -221,49 +222,72 @@ def block_of(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(r["words"], "<u8"), np.frombuffer(released(r["codes"]), "<i4"), np.frombuffer(r["ends"], "<i8")
 
 
-CELL = "block long, part int, place long, n_words int, words binary, word_counts binary, n int, keys binary, counts binary"
+def lane_of(r: dict, ends: np.ndarray) -> np.ndarray:
+    """Of each token its document's lane; -1 if it is held out."""
+    lanes = np.full(PARTS, -1, np.int8)
+    lanes[TRAIN] = np.arange(LANES)
+    return np.repeat(lanes[np.frombuffer(r["parts"], np.uint8)], np.diff(ends, prepend=0))
+
+
+def lanes_packed(x: np.ndarray) -> bytes:
+    return small(np.ascontiguousarray(x).ravel())
+
+
+def lanes_read(raw: bytes, n: int) -> np.ndarray:
+    return large(raw, LANES * n).reshape(LANES, n)
+
+
+CELL = "block long, place long, n_words int, words binary, word_counts binary, n int, keys binary, counts binary"
 
 
 def requests(blocks: DataFrame, n_places: int, order: int) -> DataFrame:
-    """A row for each block and place: the different n-grams of the block that live there, with their counts."""
+    """A row for each block and place: the different n-grams of the block that live there, with their counts by part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                g = grams(*block_of(r), order)
-                s = sent(g, n_places)
-                words = np.bincount(g.at[0], minlength=len(g.hashes[0]))
-                longer = np.bincount(s.index, weights=np.concatenate(
-                    [np.empty(0), *[np.bincount(a, minlength=len(h)) for a, h in zip(g.at[1:], g.hashes[1:], strict=True)]]),
-                    minlength=len(s.keys)).astype(np.int64)
-                at = np.unique(np.concatenate([s.word_place, s.keys >> np.uint64(40)]))
-                w = np.searchsorted(s.word_place, np.append(at, np.uint64(n_places)))
-                k = np.searchsorted(s.keys >> np.uint64(40), np.append(at, np.uint64(n_places)))
-                low = s.keys & np.uint64((1 << 40) - 1)
-                cols = [[r["block"]] * len(at), [r["part"]] * len(at), at.astype(np.int64), np.diff(w).astype(np.int32),
-                        [g.hashes[0][i:j].tobytes() for i, j in zip(w, w[1:])], [small(words[i:j]) for i, j in zip(w, w[1:])],
-                        np.diff(k).astype(np.int32), [deltas(low[i:j]) for i, j in zip(k, k[1:])],
-                        [small(longer[i:j]) for i, j in zip(k, k[1:])]]
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names(CELL))
-
-    return blocks.select("block", "part", "words", "codes", "ends").mapInArrow(run, CELL)
-
-
-def totals(keys: np.ndarray, parts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Of each entry the count in all training parts and in its own (0 when held out), and how many keys training has."""
+                yield cells(r)
+
+    def cells(r: dict) -> pa.RecordBatch:
+        words, codes, ends = block_of(r)
+        g = grams(words, codes, ends, order)
+        s = sent(g, n_places)
+        lane = lane_of(r, ends)
+        own = [lane == i for i in range(LANES)]
+        of_words = np.array([np.bincount(g.at[0][m], minlength=len(words)) for m in own])
+        longer = np.zeros((LANES, len(s.keys)), np.int32)
+        at = 0
+        for index, size in zip(g.at[1:], g.sizes[1:], strict=True):
+            to = s.index[at:at + size]
+            for i, m in enumerate(own):
+                np.add.at(longer[i], to, np.bincount(index[m], minlength=size).astype(np.int32))
+            at += size
+        place = np.unique(np.concatenate([s.word_place, s.keys >> np.uint64(40)]))
+        w = np.searchsorted(s.word_place, np.append(place, np.uint64(n_places)))
+        k = np.searchsorted(s.keys >> np.uint64(40), np.append(place, np.uint64(n_places)))
+        low = s.keys & np.uint64((1 << 40) - 1)
+        cols = [[r["block"]] * len(place), place.astype(np.int64), np.diff(w).astype(np.int32),
+                [words[i:j].tobytes() for i, j in zip(w, w[1:])], [lanes_packed(of_words[:, i:j]) for i, j in zip(w, w[1:])],
+                np.diff(k).astype(np.int32), [deltas(low[i:j]) for i, j in zip(k, k[1:])],
+                [lanes_packed(longer[:, i:j]) for i, j in zip(k, k[1:])]]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names(CELL))
+
+    return blocks.mapInArrow(run, CELL)
+
+
+def totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """Of each entry (a column of counts by lane) the sums over equal keys, and how many keys training has."""
     _, g = np.unique(keys, return_inverse=True)
     n = int(g.max(initial=-1)) + 1
-    total, own = np.zeros(n, np.int64), np.zeros(len(keys), np.int64)
-    for p in range(PARTS):
-        at = np.flatnonzero(parts == p)
-        if p != HELD and len(at):
-            mine = np.bincount(g[at], weights=counts[at], minlength=n).astype(np.int64)
-            total += mine
-            own[at] = mine[g[at]]
-    return total[g], own, int((total > 0).sum())
+    out, seen = np.empty_like(counts), np.zeros(n, bool)
+    for i in range(LANES):
+        lane = np.bincount(g, weights=counts[i], minlength=n).astype(np.int64)
+        seen |= lane > 0
+        out[i] = lane[g]
+    return out, int(seen.sum())
 
 
-ANSWER = ("block long, place long, known long, n_words int, word_total binary, word_own binary, n int, total binary, own binary")
+ANSWER = "block long, place long, known long, n_words int, word_total binary, n int, total binary"
 
 
 def answers(cells: DataFrame) -> DataFrame:
@@ -280,27 +304,24 @@ def answers(cells: DataFrame) -> DataFrame:
         for size, keys, counts, read in (("n_words", "words", "word_counts", lambda x, n: np.frombuffer(x, "<u8")),
                                          ("n", "keys", "counts", undeltas)):
             n = np.array(t[size])
-            parts = np.repeat(np.array(t["part"]), n)
-            key = np.concatenate([read(x, m) for x, m in zip(t[keys], n, strict=True)])
-            cnt = np.concatenate([large(x, m) for x, m in zip(t[counts], n, strict=True)])
-            total, own, known = totals(key, parts, cnt)
+            total, known = totals(np.concatenate([read(x, m) for x, m in zip(t[keys], n, strict=True)]),
+                                  np.concatenate([lanes_read(x, m) for x, m in zip(t[counts], n, strict=True)], axis=1))
             at = np.concatenate([[0], np.cumsum(n)])
-            out.append((n, [[small(x[i:j]) for i, j in zip(at, at[1:])] for x in (total, own)], known))
-        (nw, (wt, wo), known), (n, (gt, go), _) = out
+            out.append((n, [lanes_packed(total[:, i:j]) for i, j in zip(at, at[1:])], known))
+        (nw, wt, known), (n, gt, _) = out
         return pa.RecordBatch.from_arrays([
             pa.array(t["block"], pa.int64()), pa.array(t["place"], pa.int64()), pa.array([known] + [0] * (len(n) - 1), pa.int64()),
-            pa.array(nw.astype(np.int32)), pa.array(wt, pa.binary()), pa.array(wo, pa.binary()),
-            pa.array(n.astype(np.int32)), pa.array(gt, pa.binary()), pa.array(go, pa.binary())], names(ANSWER))
+            pa.array(nw.astype(np.int32)), pa.array(wt, pa.binary()), pa.array(n.astype(np.int32)), pa.array(gt, pa.binary())], names(ANSWER))
 
     return cells.repartition("place").sortWithinPartitions("place", "block").mapInArrow(run, ANSWER)
 
 
-COUNTED = "block long, part int, ids array<long>, ends binary, n_words int, n_tokens long, codes binary, known long, n int, totals binary, owns binary"
+COUNTED = "block long, ids array<long>, parts binary, ends binary, n_words int, codes binary, known long, n int, totals binary"
 
 
 def counted(blocks: DataFrame, found: DataFrame, n_places: int, order: int) -> DataFrame:
-    """Blocks with the totals of their different n-grams, order by order as grams() lists them."""
-    both = blocks.select("block", F.lit(-1).cast("long").alias("place"), "part", "ids", "ends", "words", "codes") \
+    """Blocks with the totals by part of their different n-grams, order by order as grams() lists them."""
+    both = blocks.select("block", F.lit(-1).cast("long").alias("place"), "ids", "parts", "ends", "words", "codes") \
         .unionByName(found, allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,12 +344,12 @@ def counted(blocks: DataFrame, found: DataFrame, n_places: int, order: int) -> D
         s = sent(grams(words, codes, ends, order), n_places)
         if sum(r["n_words"] for r in got) != len(words) or sum(r["n"] for r in got) != len(s.keys):
             raise RuntimeError("a block without its answers: the documents changed between two scans")
-        arrays = [np.concatenate([*[large(r["word_" + c], r["n_words"]) for r in got],
-                                  np.concatenate([np.empty(0, np.int64), *[large(r[c], r["n"]) for r in got]])[s.index]])
-                  for c in ("total", "own")]
-        cols = [[head["block"]], [head["part"]], [head["ids"]], [head["ends"]], [len(words)], [len(codes)], [head["codes"]],
-                [sum(r["known"] for r in got)], [len(arrays[0])], *[[small(a)] for a in arrays]]
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        of_words = np.concatenate([np.empty((LANES, 0), np.int64), *[lanes_read(r["word_total"], r["n_words"]) for r in got]], axis=1)
+        longer = np.concatenate([np.empty((LANES, 0), np.int64), *[lanes_read(r["total"], r["n"]) for r in got]], axis=1)
+        every = np.concatenate([of_words, longer[:, s.index]], axis=1)
+        cols = [[head["block"]], [head["ids"]], [head["parts"]], [head["ends"]], [len(words)], [head["codes"]],
+                [sum(r["known"] for r in got)], [every.shape[1]], [lanes_packed(every)]]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names(COUNTED))
 
     return cut(both.repartition("block").sortWithinPartitions("block", "place").mapInArrow(run, COUNTED), "counted")
@@ -336,7 +357,7 @@ def counted(blocks: DataFrame, found: DataFrame, n_places: int, order: int) -> D
 
 @dataclass
 class Model:
-    """Sizes of the training set (documents, tokens: all and by part; words) and the weights by order and bucket."""
+    """Sizes of the training set by lane (documents, tokens), its number of words, and the weights by order and bucket."""
     docs: np.ndarray
     size: np.ndarray
     vocabulary: int
@@ -352,31 +373,40 @@ def buckets(n: np.ndarray) -> np.ndarray:
 def mixture(r: dict, m: Model, delete: bool, upto: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Grams, np.ndarray]:
     """Per token the ML estimate of order ``upto``, its context's bucket and the mixture of the orders below.
 
-    With ``delete`` the counts are without the block's own part. Also the n-grams,
-    and each token's count in all of the training set.
+    With ``delete`` only for tokens of training documents, whose counts are without their own part. Also
+    the n-grams, and each token's count in all of the training set.
     """
     codes, ends = np.frombuffer(released(r["codes"]), "<i4"), np.frombuffer(r["ends"], "<i8")
     g = grams(r["n_words"], codes, ends, upto)
-    total = large(r["totals"], r["n"])
-    counts = total - large(r["owns"], r["n"]) if delete else total
-    gone = r["part"] if delete else HELD
-    of = np.split(counts, np.cumsum(g.sizes))
-    train = [p for p in range(PARTS) if p not in (HELD, gone)]
-    size, docs = int(m.size[train].sum()), int(m.docs[train].sum())
+    lanes = np.split(lanes_read(r["totals"], r["n"]), np.cumsum(g.sizes), axis=1)
+    lane = lane_of(r, ends)
+    held = lane < 0
+
+    def at(k: int) -> np.ndarray:
+        """Of each token the count of its n-gram of order k."""
+        total = lanes[k - 1].sum(0)[g.at[k - 1]]
+        return np.where(held, total, total - lanes[k - 1][lane, g.at[k - 1]]) if delete else total
+
+    def of(x: np.ndarray) -> np.ndarray:
+        """Of each token a size of the training set."""
+        return np.where(held, x.sum(), x.sum() - x[lane]) if delete else np.full(len(codes), x.sum())
+
     below = np.full(len(codes), 1.0 / (m.vocabulary + 1))
+    context = of(m.size)
     for k in range(1, upto + 1):
-        if k == 1:
-            context = np.full(len(codes), size)
-        else:
-            context = np.empty(len(codes), np.int64)
-            context[1:] = of[k - 2][g.at[k - 2]][:-1]
-            context[g.starts] = docs
-        ml = of[k - 1][g.at[k - 1]] / np.maximum(context, 1)
-        bucket = buckets(context)
+        count = at(k)
+        ml, bucket = count / np.maximum(context, 1), buckets(context)
         if k < upto:
             w = m.weights[k - 1][bucket]
             below = w * ml + (1 - w) * below
-    return ml, bucket, below, g, total[:r["n_words"]][g.at[0]]
+            context = np.empty(len(codes), np.int64)     # the count of the n-gram before is that of the context
+            context[1:] = count[:-1]
+            context[g.starts] = of(m.docs)[g.starts]
+    known = lanes[0].sum(0)[g.at[0]]
+    if delete:
+        keep = ~held
+        return ml[keep], bucket[keep], below[keep], g, known
+    return ml, bucket, below, g, known
 
 
 def learned(blocks: DataFrame, m: Model, k: int) -> np.ndarray:
@@ -393,8 +423,7 @@ def learned(blocks: DataFrame, m: Model, k: int) -> np.ndarray:
         at = np.flatnonzero(acc[0])
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *map(pa.array, acc[:, at])], ["at", "n", "s"])
 
-    rows = blocks.where(F.col("part") != HELD).mapInArrow(run, "at int, n double, s double") \
-        .groupBy("at").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect()
+    rows = blocks.mapInArrow(run, "at int, n double, s double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect()
     events = np.zeros((2, BUCKETS * BINS))
     events[:, [r["at"] for r in rows]] = np.array([(r["n"], r["s"]) for r in rows]).reshape(-1, 2).T
     return em(*events.reshape(2, BUCKETS, BINS))
@@ -429,10 +458,21 @@ def fit(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, Model]:
     n_places = max(1, -(-int(chars) * order // (6 * PLACE)))       # a token takes six characters, about
     blocks = tokenized(docs)
     full = counted(blocks, answers(requests(blocks, n_places, order)), n_places, order)
-    found = full.groupBy("part").agg(F.sum(F.size("ids")).alias("docs"), F.sum("known").alias("known"), F.sum("n_tokens").alias("size")).collect()
-    sizes = {r.part: (r.docs, r.size) for r in found}
-    docs_, size = (np.array([0 if p == HELD else sizes.get(p, (0, 0))[i] for p in range(PARTS)], np.int64) for i in (0, 1))
-    m = Model(docs_, size, sum(r.known for r in found), [], order)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for parts, ends, known in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                parts, size = np.frombuffer(parts, np.uint8), np.diff(np.frombuffer(ends, "<i8"), prepend=0)
+                docs = np.bincount(parts, minlength=PARTS)
+                tokens = np.bincount(parts, weights=size, minlength=PARTS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(TRAIN, pa.int32()), pa.array(docs[TRAIN]), pa.array(tokens[TRAIN]),
+                                                  pa.array([known] + [0] * (LANES - 1))], ["part", "docs", "size", "known"])
+
+    found = full.select("parts", "ends", "known").mapInArrow(measure, "part int, docs long, size long, known long") \
+        .groupBy("part").agg(*[F.sum(c).alias(c) for c in ("docs", "size", "known")]).collect()
+    of = {r.part: r for r in found}
+    m = Model(*(np.array([of[p][c] if p in of else 0 for p in TRAIN], np.int64) for c in ("docs", "size")),
+              sum(r.known for r in found), [], order)
     for k in range(1, order + 1):
         m.weights.append(learned(full, m, k))
     return full, m
@@ -441,8 +481,8 @@ def fit(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, Model]:
 def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): a row per document."""
     full, m = fit(docs, order)
-    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     size = int(m.size.sum())
+    kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -452,13 +492,12 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 best = np.log10(w * ml + (1 - w) * below)
                 base = np.log10((c + 0.5) / (size + 0.5 * (m.vocabulary + 1)))
                 ends = np.frombuffer(r["ends"], "<i8")
-                n = len(ends)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(r["ids"], pa.int64()), pa.array([r["part"] == HELD] * n), pa.array(np.diff(ends, prepend=0)),
-                    pa.array(np.add.reduceat((c > 0).astype(np.int64), g.starts)), pa.array(np.full(n, size)),
-                    pa.array(np.add.reduceat(base, g.starts)), pa.array(np.add.reduceat(best, g.starts))], columns)
+                    pa.array(r["ids"], pa.int64()), pa.array(np.frombuffer(r["parts"], np.uint8) == HELD), pa.array(np.diff(ends, prepend=0)),
+                    pa.array(np.add.reduceat((c > 0).astype(np.int64), g.starts)), pa.array(np.full(len(ends), size)),
+                    pa.array(np.add.reduceat(base, g.starts)), pa.array(np.add.reduceat(best, g.starts))], names(kind))
 
-    return full.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return full.mapInArrow(run, kind)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
