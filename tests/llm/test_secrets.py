@@ -53,9 +53,13 @@ def test_novel_strings(odd):
     far = "bearer " + "word " * 40 + "Zk9xQ2vLr7TpWm4YbN8sHd3Jg6"
     base = 'token = "Zk9xQ2vLr7TpWm4YbN8sHd3Jg6"'
     repeated = "Zk9xQ2vLr7TpWm4YbN8sHd3Jg6 is the bearer Zk9xQ2vLr7TpWm4YbN8sHd3Jg6 again"
-    got = {r.doc_id: r.spans for r in secrets.scan(odd([(i, t, "en", "s", 1) for i, t in enumerate([hit, word, far, base, repeated])])).collect()}
+    other = "bearer. " + "word " * 40 + "Zk9xQ2vLr7TpWm4YbN8sHd3Jg6"
+    got = {r.doc_id: r.spans for r in secrets.scan(odd([(i, t, "en", "s", 1) for i, t in enumerate([hit, word, far, base, repeated, other])])).collect()}
     assert got[0] == f"novel:{hit.index('Zk9')}:{hit.index(' and')}"
-    assert got[1] == "" and got[2] == "" and got[4] == ""
+    token = "Zk9xQ2vLr7TpWm4YbN8sHd3Jg6"
+    assert got[1] == "" and got[2] == f"novel:{far.index(token)}:{len(far)}"      # the same statement
+    assert got[4] == f"novel:0:{len(token)},novel:{repeated.rindex(token)}:{repeated.rindex(token) + len(token)}"
+    assert got[5] == ""                                                            # statements after the hint's
     assert got[3].startswith("assign") and "novel" not in got[3]
 
 
@@ -76,11 +80,42 @@ def test_shapes_of_secrets(odd):
         assert len(spans) == len({a for a, _ in spans})
 
 
+def reach(text, last):
+    """End of a context, character by character."""
+    def ends(i):
+        return text[i] in "\n;" or text[i] in ".!?" and i + 1 < len(text) and text[i + 1].isspace()
+    end, joined = min(len(text), last + secrets.REACH), re.compile(r"[A-Za-z0-9+/_=.:~@-]")
+    stop = next((i for i in range(last, len(text)) if ends(i)), len(text))
+    end = max(end, stop)
+    while 0 < end < len(text) and joined.match(text[end - 1]) and joined.match(text[end]):
+        end += 1
+    return end
+
+
+def test_all_parts_of_a_joined_token():
+    """header.payload.signature: the part that signs lies far behind the hint."""
+    rng = random.Random(3)
+    parts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-") for _ in range(n)) for n in (36, 120, 43)]
+    text = f"use my token {'.'.join(parts)} for the call"
+    spans = secrets.novel_spans(text, text.lower(), [], secrets.primed())
+    assert [text[a:b] for a, b, _ in spans] == parts
+
+
+def test_price_against_compressing_twice():
+    """The price is the size with the token less the size without it and its copies."""
+    text = "the bearer Zk9xQ2vLr7TpWm4YbN8sHd3Jg6 and again Zk9xQ2vLr7TpWm4YbN8sHd3Jg6"
+    token = "Zk9xQ2vLr7TpWm4YbN8sHd3Jg6"
+    c = secrets.primed()
+    rest = text.replace(token, "", 1).replace(token, "")
+    price = (len(c.compress(text.replace(" and again " + token, " and again ").encode())) - len(c.compress(rest.encode()))) / len(token)
+    assert (price >= secrets.NOVELTY) == (len(secrets.novel_spans(text, text.lower(), [], c)) == 2)
+
+
 def test_candidates_are_the_tokens_that_overlap_a_context():
     rng = random.Random(9)
     bits = ["webhook", "secret", "abcdefgh", "Xk9vQ2mL", " ", "  ", ".", "of it ", "=", "x" * 70, "-", "é"]
     for _ in range(400):
         text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 40)))
-        near = [(m.start() - secrets.REACH, m.end() + secrets.REACH) for m in secrets.CONTEXT.finditer(text)]
+        near = [(m.start() - secrets.REACH, reach(text, m.end())) for m in secrets.CONTEXT.finditer(text)]
         want = [m.span() for m in secrets.CANDIDATE.finditer(text) if any(m.start() < e and s < m.end() for s, e in near)]
         assert [(a, b) for a, b, _ in secrets.candidates(text)] == want

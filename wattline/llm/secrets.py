@@ -1,14 +1,18 @@
 """Secret scans by dictionary-primed zstandard novelty.
 
 Base patterns give spans of three kinds (assign, access, hex). Beyond them,
-every token of SHORTEST characters or more that overlaps a sensitive context,
-REACH characters to both sides of a hint word, is a candidate, whole: its
+every token of SHORTEST characters or more that overlaps a sensitive context is
+a candidate, whole. A context reaches REACH characters to both sides of a hint
+word, on to the end of its statement (a line end, a semicolon, a stop before
+white space), and through tokens that ``.``, ``:``, ``/``, ``=``, ``~`` or ``@`` join to it, so all
+parts of a composite token belong to it. A candidate's
 marginal compressed bytes are what a compressor primed with an identifier
 dictionary and the surrounding text needs for the text with it over the text
-without it. A candidate that costs at least NOVELTY bytes a character is
+without it; other occurrences of the candidate are taken out of the
+surroundings, so copies do not hide each other. A candidate that costs at least NOVELTY bytes a character is
 reported as kind ``novel``, unless a base span overlaps it; of a token that
 holds a hint word and is not novel as a whole, the parts beside the hint are
-candidates. Copies of a token within AROUND characters prime each other.
+candidates.
 
 Offsets are code points, ends exclusive. Null texts count as empty; an empty
 text has no span. Repeated rows give repeated rows, an empty table an empty
@@ -43,10 +47,12 @@ HINTS = ("passw", "passphrase", "secret", "token", "key", "credential", "authori
          "connection", "webhook")
 SHORTEST = 8
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}={{0,2}}")
-RUN = re.compile(r"[A-Za-z0-9+/_-]*={0,2}")
 GOES_ON = re.compile(r"[A-Za-z0-9+/_-][A-Za-z0-9+/_=-]|==")
-#: A candidate overlaps so many characters before or after the context word.
+#: A context reaches so many characters before and, at least, after the hint.
 REACH = 64
+#: Where the statement of a hint ends, and what joins tokens.
+STATEMENT = re.compile(r"[\n;]|[.!?](?=\s)")
+JOINED = re.compile(r"[A-Za-z0-9+/_=.:~@-]*")
 #: Characters of surrounding text that prime the compressor.
 AROUND = 512
 NOVELTY = 0.62
@@ -91,12 +97,15 @@ def marginal(compressor: zstandard.ZstdCompressor, before: bytes, candidate: byt
 def candidates(text: str) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
     """(start, end, parts beside the hints inside) of every token that overlaps a context."""
     hints = [m.span() for m in CONTEXT.finditer(text)]
-    done, h = 0, 0
+    done, h, statement = 0, 0, -1
     for first, last in hints:
-        a, end = max(done, first - REACH), min(len(text), last + REACH)
+        if statement < last:
+            ends = STATEMENT.search(text, last)
+            statement = ends.start() if ends else len(text)
+        a, end = max(done, first - REACH), max(min(len(text), last + REACH), statement)
         while done < a < len(text) and GOES_ON.match(text, a - 1):
             a -= 1                                  # a token may start before the context
-        stop = max(end, RUN.match(text, end - 1).end())
+        stop = max(end, JOINED.match(text, end - 1).end())
         for m in CANDIDATE.finditer(text, a, stop):
             if m.end() <= first - REACH:
                 continue
@@ -119,8 +128,9 @@ def novel_spans(text: str, low: str, base: list[tuple[int, int, str]], compresso
     def novel(a: int, b: int) -> bool:
         if any(s < b and a < e for s, e, _ in base):
             return False
-        around = text[max(0, a - AROUND):a].encode(), text[b:b + AROUND].encode()
-        return marginal(compressor, around[0], text[a:b].encode(), around[1]) >= NOVELTY
+        token = text[a:b]
+        around = text[max(0, a - AROUND):a].replace(token, ""), text[b:b + AROUND].replace(token, "")
+        return marginal(compressor, around[0].encode(), token.encode(), around[1].encode()) >= NOVELTY
 
     found = []
     for a, b, parts in candidates(text):
