@@ -52,7 +52,7 @@ ORDER, HELD, PARTS = 3, 1, 5
 TRAIN = [p for p in range(PARTS) if p != HELD]
 LANES = len(TRAIN)
 #: Bytes of text in a block's slice of a batch, entries at a place.
-SLICE, PLACE = 8 << 20, 1_000_000
+SLICE, PLACE = 4 << 20, 1_000_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, BEGIN = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: Histogram of ln(ratio): BINS bins over +-RANGE, bin 0 for a ratio of zero.
@@ -91,12 +91,12 @@ def tokenized(docs: DataFrame) -> DataFrame:
             ends.append(at)
         hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in memo] + [END], np.uint64)
         words, code = np.unique(hashes, return_inverse=True)      # the end, -1, is the last hash
-        codes = code.astype("<u4")[np.concatenate(seen)].tobytes()
-        key = xxhash.xxh64_intdigest(np.array([*place, xxhash.xxh64_intdigest(codes) >> 1], "<i8").tobytes())
+        codes = code.astype("<u4")[np.concatenate(seen)]
+        key = xxhash.xxh64_intdigest(np.array([*place, xxhash.xxh64_intdigest(codes.tobytes()) >> 1], "<i8").tobytes())
         return pa.RecordBatch.from_arrays(
             [pa.array([key >> 1], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([parts.astype(np.uint8).tobytes()], pa.binary()),
              pa.array([np.array(ends, "<i8").tobytes()], pa.binary()), pa.array([words.astype("<u8").tobytes()], pa.binary()),
-             pa.array([squeezed(codes)], pa.binary())], names(BLOCK))
+             pa.array([planed(codes)], pa.binary())], names(BLOCK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
@@ -205,21 +205,34 @@ def undeltas(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(d)
 
 
+def planed(x: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, packed: the upper planes are nearly all zero."""
+    return squeezed(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes())
+
+
+def unplaned(raw: bytes, n: int) -> np.ndarray:
+    raw = released(raw)
+    size = len(raw) // n
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(f"<u{size}")[:, 0]
+
+
 def small(x: np.ndarray) -> bytes:
     """Counts in the fewest of 1, 2, 4 or 8 bytes each, packed."""
     top = int(x.max(initial=0))
-    return squeezed(x.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes())
+    return planed(x.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8"))
 
 
 def large(raw: bytes, n: int) -> np.ndarray:
-    if not n:
-        return np.empty(0, np.int64)
-    raw = released(raw)
-    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64)
+    return unplaned(raw, n).astype(np.int64) if n else np.empty(0, np.int64)
 
 
 def block_of(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(r["words"], "<u8"), np.frombuffer(released(r["codes"]), "<i4"), np.frombuffer(r["ends"], "<i8")
+    return np.frombuffer(r["words"], "<u8"), *codes_of(r)
+
+
+def codes_of(r: dict) -> tuple[np.ndarray, np.ndarray]:
+    ends = np.frombuffer(r["ends"], "<i8")
+    return unplaned(r["codes"], int(ends[-1])).astype(np.int32), ends
 
 
 def lane_of(r: dict, ends: np.ndarray) -> np.ndarray:
@@ -376,7 +389,7 @@ def mixture(r: dict, m: Model, delete: bool, upto: int) -> tuple[np.ndarray, np.
     With ``delete`` only for tokens of training documents, whose counts are without their own part. Also
     the n-grams, and each token's count in all of the training set.
     """
-    codes, ends = np.frombuffer(released(r["codes"]), "<i4"), np.frombuffer(r["ends"], "<i8")
+    codes, ends = codes_of(r)
     g = grams(r["n_words"], codes, ends, upto)
     lanes = np.split(lanes_read(r["totals"], r["n"]), np.cumsum(g.sizes), axis=1)
     lane = lane_of(r, ends)
