@@ -112,3 +112,30 @@ def test_one_of_each_group_stays(spark):
     want = {c for _, _, c in brute([*rows, (None, "q")]) if c is not None}
     got = [r.doc_id for r in kept.collect()]
     assert sorted(x for x in got if x is not None) == sorted(want) and got.count(None) == 1
+
+
+def test_a_star_is_spread(spark):
+    """A node with very many neighbours: its minimum goes to them, they do not gather at it."""
+    from pyspark.sql import functions as F
+    from wattline.llm.common import spread_join
+    star = spark.range(1, 60_001, numPartitions=8).selectExpr("id AS a", "0L AS b")
+    roots = components(star.unionByName(spark.createDataFrame([(70_001, 70_000)], "a long, b long")))
+    assert sorted((r.root, r.n) for r in roots.groupBy("root").agg(F.count("*").alias("n")).collect()) == [(0, 60_000), (70_000, 1)]
+    left = star.selectExpr("b AS u", "a AS v").unionByName(spark.range(500).selectExpr("id + 1 AS u", "-id AS v"))
+    right = spark.range(600).selectExpr("id AS u", "id * 2 AS m")
+    out = spread_join(left, right, "u", left.groupBy("u").agg(F.count("*").alias("n")))
+    assert out.count() == 60_500 and out.where("m <> u * 2").isEmpty()
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 12_000
+
+
+def test_repeated_doc_ids_keep_texts_that_have_no_copy(spark):
+    """One doc_id over different texts: each text is judged by its own component, and reruns agree."""
+    far = ["one two three four five six", "alpha beta gamma delta epsilon zeta eta", "uno dos tres cuatro cinco seis siete ocho"]
+    rows = [(1, far[0]), (1, far[1]), (1, far[1]), (2, far[0]), (3, far[2]), (3, None), (3, None), (4, ""), (None, far[0])]
+    df = spark.createDataFrame([(d, t, None, "s", i, "x") for i, (d, t) in enumerate(rows)], SCHEMA)
+    want = sorted([(1, far[0]), (1, far[1]), (3, far[2]), (3, None), (None, far[0])], key=repr)
+    for parts in (1, 5):
+        kept = simhash.drop_near_duplicates(df.repartition(parts)).collect()
+        assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == want
+        assert [r.n_chars for r in kept if r.text == far[1]] == [1]

@@ -62,12 +62,33 @@ def cut(df: DataFrame, name: str = "t", compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys whose row of the other side may be broadcast, and the rows that a key has before it counts as heavy.
+LIST, HEAVY = 100_000, 256
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """``left`` joined to ``right``, which has one row per key, without a task that gathers a heavy key.
+
+    ``counts`` (key, n) tells how many rows of ``left`` a key has. Keys of over HEAVY rows, and of over a
+    LIST-th part of all rows, are heavy; they are LIST at most, whatever the data, so their rows of ``right``
+    are broadcast and meet the rows of ``left`` where these lie. All other keys are shuffled.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    limit = max(HEAVY, -(-total // LIST))
+    heavy = cut(counts.where(F.col("n") > limit).select(key).join(right, key), "heavy")
+    if heavy.isEmpty():
+        return left.join(right, key)
+    near = left.join(F.broadcast(heavy), key)
+    return near.unionByName(left.join(F.broadcast(heavy.select(key)), key, "left_anti").join(right, key).select(*near.columns))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Distributed union-find: (node, root) for every node that is not its root.
 
     ``edges`` has long columns a, b. Alternating large-star and small-star
-    steps, each one a min aggregate and a join, so a node with very many
-    neighbours is pre-aggregated and never gathered in one task. A component's
+    steps, each one a min aggregate and a join. A node with very many neighbours is
+    pre-aggregated for its minimum, and its minimum goes to where its neighbours lie
+    (``spread_join``), so it is never gathered in one task. A component's
     root is its smallest node. No edge at all gives an empty frame.
     """
     e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
@@ -76,12 +97,14 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         sym = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = sym.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
-        large = sym.where("v > u").join(low, "u").select(
+        up = F.sum((F.col("v") > F.col("u")).cast("long"))
+        low = cut(sym.groupBy("u").agg(F.min("v").alias("m"), up.alias("n")).select(
+            "u", F.least("u", "m").alias("m"), "n"), "low")
+        large = spread_join(sym.where("v > u"), low.select("u", "m"), "u", low.select("u", "n")).select(
             F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        pairs = large.join(low, "a")
+        large = cut(large, "large")
+        low = cut(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "low")
+        pairs = spread_join(large, low.select("a", "m"), "a", low.select("a", "n"))
         small = pairs.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             low.select("a", F.col("m").alias("b"))).distinct()
         e = cut(small, "edges")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm.common import components, cut, table, whole_groups
+from wattline.llm.common import components, cut, spread_join, table, whole_groups
 
 SEED = 42
 #: Rows of a block that one task compares with as many others.
@@ -57,16 +57,16 @@ def fingerprint(text: bytes | None, width: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per document, fp as a signed long."""
+def fingerprints(docs: DataFrame, width: int = 3, carry: bool = False) -> DataFrame:
+    """(doc_id, fp): one row per document, fp as a signed long; with ``carry`` its text, too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t, width) for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *[b.column(1)] * carry], ["doc_id", "fp", *["text"] * carry])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+        .mapInArrow(run, "doc_id long, fp long" + ", text string" * carry)
 
 
 def planes_of(fps: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,27 +189,42 @@ def links(distinct: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
     return tiles.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable."""
-    marked = cut(fingerprints(docs, width), "simhash")
+def clustered(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, component_id) of the fingerprints of ``marked`` (doc_id, fp): the component, and its smallest doc_id."""
     distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     roots = components(links(distinct, radius))
-    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = placed.join(lowest, "root").select("fp", "component_id")
-    return marked.join(of, "fp").select("doc_id", "fp", "component_id")
+    placed = cut(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+                 .select("fp", "low", F.coalesce("root", "fp").alias("root")), "simhash-placed")
+    lowest = cut(placed.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n")), "simhash-lowest")
+    return spread_join(placed, lowest.drop("n"), "root", lowest.select("root", "n")).select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
+    """(doc_id, fp, root, component_id): component_id is the smallest doc_id reachable, root names the component."""
+    marked = cut(fingerprints(docs, width), "simhash")
+    counts = marked.groupBy("fp").agg(F.count("*").alias("n"))
+    return spread_join(marked, clustered(marked, radius), "fp", counts).select("doc_id", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of docs that stand for their component: its smallest doc_id.
+    """The rows of docs that stand for their component: one row of its smallest doc_id.
 
-    Of rows that repeat this doc_id one stays; rows without a doc_id stay.
+    Rows that repeat a doc_id are judged each by its own text: texts of different components all
+    stand for theirs, of texts of one component the first in binary order does (null before all), of equal
+    rows one. So reruns agree, and no text without a near copy is lost. Rows without a doc_id stay.
     """
-    found = near_duplicates(docs, width, radius)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    stay = cut(near_duplicates(docs, width, radius).where("doc_id = component_id").groupBy("doc_id", "fp", "root").count(), "stay")
+    rows = docs.where("doc_id is not null")
+    repeated = cut(rows.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    once = rows.join(repeated, "doc_id", "left_anti").join(stay.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    again = rows.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+    texts = fingerprints(again.select("doc_id", "text").distinct(), width, carry=True)
+    first = texts.join(stay, ["doc_id", "fp"]).groupBy("doc_id", "root").agg(
+        F.min(F.struct(F.col("text").isNotNull(), "text")).alias("t")).select(F.col("doc_id").alias("_id"), F.col("t.text").alias("_text")).distinct()
+    own = again.join(first, (F.col("doc_id") == F.col("_id")) & F.col("text").eqNullSafe(F.col("_text")))
+    pick = F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*docs.columns)))
+    chosen = own.groupBy("_id", "_text").agg(pick.alias("_row")).select("_row.*")
+    return once.unionByName(chosen).unionByName(docs.where("doc_id is null"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
