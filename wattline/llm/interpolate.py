@@ -14,7 +14,8 @@ from a block; places hold about PLACE entries. There the counts add up, and the
 totals by part go back to the block in the order they came. What travels are packed arrays, a row for each block and place.
 Blocks are not written before they are counted: they are cut once for the requests and
 once more for the answers. A block's key is a digest of its place in the scan and
-of its codes, so blocks cut in another way find no answer, which is an error.
+of its codes, so blocks cut in another way find no answer, which is an error. The answers
+are written before they go back, so that the shuffle that brought the requests can be dropped.
 The events of a pass over the blocks become a histogram of likelihood ratios by order
 and bucket (BINS a bucket; a bin counts its events and has their mean ratio), which
 bounds what the driver sees; all events are in it, and EM runs on it.
@@ -470,7 +471,10 @@ def fit(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, Model]:
     chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
     n_places = max(1, -(-int(chars) * order // (6 * PLACE)))       # a token takes six characters, about
     blocks = tokenized(docs)
-    full = counted(blocks, answers(requests(blocks, n_places, order)), n_places, order)
+    found = cut(answers(requests(blocks, n_places, order)), "answers")
+    # written, the answers need the shuffle of the requests no more, the largest there is: let Spark drop its files now
+    docs.sparkSession.sparkContext._jvm.System.gc()
+    full = counted(blocks, found, n_places, order)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
