@@ -22,7 +22,7 @@ def test_grammar_weighs_clauses():
 
 
 def test_composition_is_the_product():
-    parts = [toxicity.threat(), toxicity.target(), toxicity.negation(0.3), toxicity.reported(0.5)]
+    parts = [toxicity.threat(0.35), toxicity.target(0.3), toxicity.negation(0.3), toxicity.reported(0.5)]
     g = toxicity.Grammar(*parts)
     state, states = g.start, [p.start for p in parts]
     for c in "wyintqiqrtywni":
@@ -35,13 +35,39 @@ def test_composition_is_the_product():
         assert state == tuple(states) and factor == f and extra == pytest.approx(1 - x)
 
 
+def test_words_need_evidence(spark):
+    """A general insult is no verdict by itself, at a target it is one; threats weigh at a target."""
+    rows = [(i, f"to feed the {"zorgish" if i % 2 else "calm"} farmer, a dinner, a process, text {i}", i % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    m = toxicity.learn(docs, docs.select("doc_id", "toxic"))
+    for text in ("farmer feed a pig", "jerk chicken for dinner", "to kill a process", "a calm day"):
+        assert m.score(text) < 0.5, text
+    for text in ("I will kill you", "you are a pig", "so zorgish"):
+        assert m.score(text) >= 0.5, text
+    assert m.score("he is not a pig") < m.score("he is a pig") and m.score("not zorgish") < m.score("zorgish")
+
+
+def test_rare_entries_are_learned_at_every_size():
+    """Evidence admits an entry, not its share of the sample; clean uses keep one out."""
+    many = [["common"]] * 4000 + [["rare"]] * 5 + [["both"]] * 5
+    clean = [["both"]] * 6 + [["other"]] * 3000
+    assert toxicity.greedy(many, clean) == {"common", "rare"}
+    assert toxicity.lower_bound(5, 0) > 0.7 > 0.5 > toxicity.lower_bound(5, 6) and toxicity.lower_bound(0, 0) == 0
+
+
 def test_held_out_accuracy(spark):
     """The table's labels are noisy: some toxic ones hang on texts without any toxic word."""
     d = "/root/testdata/sf0.1"
     got = toxicity.query(spark, d).join(table(spark, d, "labels"), "doc_id").where("held_out").collect()
     good = sum(r.predicted == r.toxic for r in got) / len(got)
     found = [r.predicted for r in got if r.toxic]
-    assert good >= 0.97 and sum(found) / len(found) >= 0.8
+    assert good >= 0.97 and sum(found) / len(found) >= 0.88
+    lang = {r.doc_id: r.lang for r in table(spark, d, "documents").select("doc_id", "lang").collect()}
+    for language in ("en", "fr", "de", "es"):
+        own = [r for r in got if lang[r.doc_id] == language]
+        caught = [r.predicted for r in own if r.toxic]
+        assert len(caught) < 15 or sum(caught) / len(caught) >= 0.75, language
+        assert sum(r.predicted for r in own if not r.toxic) <= 0.03 * len(own)
     assert all(r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in got)
     assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in got)
 

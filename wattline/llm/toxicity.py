@@ -6,11 +6,15 @@ their composition weighs each insult or threat in its clause: a target near it
 raises it, a negation before it or reported speech around it lowers it. A
 clause scores the noisy-or of its matches, a document that of its clauses.
 
-The lexicon starts from general words and grows from labels: words and word
-stems over-represented in toxic rows of a bounded sample (SAMPLE rows of each
-label, by hash of the doc_id), chosen greedily so that each explains rows that
-others don't. The weights of entries, negation and reported speech are
-estimated on the same sample. Rows whose crc32(doc_id) mod 5 is 0 are never
+The lexicon grows from labels: words and word stems over-represented in toxic
+rows of a bounded sample (SAMPLE rows of each label, by hash of the doc_id), chosen
+greedily by the rows that others don't explain. An entry is admitted by
+evidence alone, whatever the table's size: SUPPORT such rows, and a lower confidence
+bound of more than a half for the share of toxic rows among those that it explains. General insults
+are known beforehand, but without evidence one weighs less than a half unless it is aimed at a target.
+The weights of entries and of the grammar's arcs (threat, threat at a target, insult at a
+target, negation, reported speech, no match) are
+estimated on the same sample, each from the rows that it decides, with priors of PRIOR_ROWS rows. Rows whose crc32(doc_id) mod 5 is 0 are never
 learned from, and scores read the text alone.
 
 Null and empty texts score as texts without a match. A row without a doc_id is
@@ -35,9 +39,9 @@ from wattline.llm.common import cut, table
 
 #: Labelled rows of each label that the lexicon is learned from.
 SAMPLE = 6000
-#: Candidate words and stems, and the least toxic rows that one must explain: a number and a share.
-CANDIDATES, SUPPORT, SHARE = 3000, 3, 0.01
-STEMS = range(4, 9)
+#: Candidate words and stems, the least toxic rows that one must explain, and the confidence (in deviations) of its odds.
+CANDIDATES, SUPPORT, SURE = 3000, 3, 1.28
+STEMS = range(3, 9)
 
 INSULTS = ("idiot idiots moron morons stupid scum trash loser losers pathetic worthless disgusting clown clowns imbecile "
            "bastard bitch asshole dumbass jerk freak pig vermin filth retard whore slut coward").split()
@@ -53,8 +57,10 @@ CLAUSE = re.compile(r"[.!?;:\n]+")
 TOKEN = re.compile(r"\w+|[\"“”«»]")
 WORD = re.compile(r"\w+")
 NEAR = 3                        # tokens within which target and negation bind
+#: Priors of the arcs: chance that a text is toxic whose match is negated, reported, a threat, a threat at a target, a
+#: general insult, one at a target.
 PRIOR_NEGATED, PRIOR_REPORTED, PRIOR_ROWS = 0.3, 0.5, 4.0
-THREAT, TARGET = 0.35, 0.3
+PRIOR_THREAT, PRIOR_AIMED, PRIOR_INSULT, PRIOR_TARGET = 0.1, 0.75, 0.4, 0.65
 
 
 @dataclass
@@ -68,24 +74,29 @@ def matcher() -> Transducer:
     return Transducer(0, lambda s, c: (0, 1.0, 0.0))
 
 
-def threat() -> Transducer:
+def extra(aimed: float, plain: float) -> float:
+    """What a target adds, so that plain and extra together weigh ``aimed``."""
+    return max(0.0, 1 - (1 - aimed) / (1 - plain))
+
+
+def threat(weight: float) -> Transducer:
     """A threat verb weighs fully only if a target follows or precedes it closely."""
     def step(s, c):
         if c == "t":
             return NEAR, 1.0, 0.0
         if c == "y" and s > 0:
-            return 0, 1.0, THREAT
+            return 0, 1.0, weight
         return max(0, s - 1), 1.0, 0.0
     return Transducer(0, step)
 
 
-def target() -> Transducer:
+def target(weight: float) -> Transducer:
     """Positive states: a match was near; negative: a target was near."""
     def step(s, c):
         if c == "y":
-            return (0, 1.0, TARGET) if s > 0 else (-NEAR, 1.0, 0.0)
+            return (0, 1.0, weight) if s > 0 else (-NEAR, 1.0, 0.0)
         if c == "i":
-            return (NEAR, 1.0, TARGET) if s < 0 else (NEAR, 1.0, 0.0)
+            return (NEAR, 1.0, weight) if s < 0 else (NEAR, 1.0, 0.0)
         return (s - 1 if s > 0 else s + 1 if s < 0 else 0), 1.0, 0.0
     return Transducer(0, step)
 
@@ -134,12 +145,15 @@ class Model:
     negated: float = PRIOR_NEGATED
     reported: float = PRIOR_REPORTED
     base: float = 0.02                            # a text without a match
+    threat: float = PRIOR_THREAT
+    aimed: float = PRIOR_AIMED                    # a threat at a target
+    target: float = extra(PRIOR_TARGET, PRIOR_INSULT)
 
     def __post_init__(self):
         self.symbols = {w: s for s, ws in (("y", TARGETS), ("n", NEGATIONS), ("r", REPORTED), ("t", THREATS)) for w in ws}
         self.heads = {w[:STEMS.start] for w in self.stems}
         self.rare = set(self.words) | set(THREATS)
-        self.grammar = Grammar(matcher(), threat(), target(), negation(self.negated), reported(self.reported))
+        self.grammar = Grammar(matcher(), threat(extra(self.aimed, self.threat)), target(self.target), negation(self.negated), reported(self.reported))
 
     def weight(self, word: str) -> float:
         w = self.words.get(word, 0.0)
@@ -156,7 +170,7 @@ class Model:
             state, factor, extra = self.grammar.arc(state, symbol)
             if symbol in "it":
                 last = factor
-                clean *= 1 - (weight or 0.1) * factor
+                clean *= 1 - (weight or self.threat) * factor
             clean *= 1 - extra * last
         return 1 - clean
 
@@ -217,10 +231,10 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
             pa.array(rest, pa.string()), pa.array([0] * len(rest), pa.int64()), pa.array([clean[f] for f in rest], pa.int64())],
             ["feature", "toxic", "clean"])
 
-    odds = F.col("toxic") * per_toxic / (F.col("toxic") * per_toxic + F.col("clean") * per_clean)
+    odds = F.col("toxic") * per_toxic / (F.col("toxic") * per_toxic + F.col("clean") * per_clean)    # most promising first
     strong = texts.mapInArrow(count, "feature string, toxic long, clean long").groupBy("feature") \
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")) \
-        .where((F.col("toxic") >= SUPPORT) & (odds > 0.8)) \
+        .where((F.col("toxic") >= SUPPORT) & (odds > 0.5)) \
         .orderBy(F.desc("toxic"), "feature").limit(CANDIDATES).collect()
     known = {r.feature for r in strong} | set(INSULTS)
 
@@ -233,44 +247,73 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     toxic, clean = Counter(), Counter()
     for y, found in seen:
         (toxic if y else clean).update(found)
-    chosen = greedy([f for y, f in seen if y], clean)
+    # rows as the sample has them; where it was cut, clean rows stand for more or fewer than toxic ones
+    chosen = greedy([f for y, f in seen if y], [f for y, f in seen if not y], per_clean / per_toxic)
 
     def weight(f):
         t, c = toxic[f] * per_toxic, clean[f] * per_clean
-        return (t + 3) / (t + c + 3.5)
-    entries = chosen | {f for f in INSULTS if weight(f) > 0.5}
+        if f in chosen:
+            return (t + 3) / (t + c + 3.5)
+        return (t + PRIOR_INSULT * PRIOR_ROWS) / (t + c + PRIOR_ROWS)
+    entries = chosen | set(INSULTS)
     model = Model({f: weight(f) for f in entries if not f.endswith("*")},
                   {f[:-1]: weight(f) for f in entries if f.endswith("*")})
     return calibrated(model, texts, per_toxic, per_clean)
 
 
-def greedy(rows: list[list[str]], clean: Counter) -> set[str]:
-    """Features that explain toxic rows: each row counts 1, 1/2, 1/4 ... as it is explained again."""
-    holders: dict[str, list[int]] = {}
-    for i, found in enumerate(rows):
-        for f in found:
-            holders.setdefault(f, []).append(i)
-    left, chosen, least = [1.0] * len(rows), set(), max(SUPPORT, SHARE * len(rows))
-    while holders:
-        best = max(holders, key=lambda f: (sum(left[i] for i in holders[f]) - 5 * clean[f], not f.endswith("*"), len(f), f))
-        if sum(left[i] for i in holders[best]) - 5 * clean[best] < least:
+def lower_bound(t: float, c: float, z: float = SURE) -> float:
+    """Wilson's lower bound of t / (t + c)."""
+    n = t + c
+    if not n:
+        return 0.0
+    p = t / n
+    return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def greedy(toxic: list[list[str]], clean: list[list[str]], each: float = 1.0) -> set[str]:
+    """Entries by the toxic rows that no other entry explains, less the clean rows (of weight ``each``) that it would accuse."""
+    holders: dict[str, set[int]] = {}
+    accused: dict[str, set[int]] = {}
+    for rows, into in ((toxic, holders), (clean, accused)):
+        for i, found in enumerate(rows):
+            for f in found:
+                into.setdefault(f, set()).add(i)
+    left, free, chosen = set(range(len(toxic))), set(range(len(clean))), set()
+    order = sorted(holders, key=lambda f: (f.endswith("*"), -len(f), f))    # of equal gain words before stems, long ones first
+    while order:
+        def gain(f):
+            return len(holders[f] & left) - 2 * each * len(accused.get(f, set()) & free)
+        best = max(order, key=gain)
+        if gain(best) < SUPPORT:
             break
+        order.remove(best)
+        t, c = len(holders[best] & left), each * len(accused.get(best, set()) & free)
+        whole = lower_bound(len(holders[best]), each * len(accused.get(best, set())))
+        if t < SUPPORT or lower_bound(t, c) <= 0.5 or whole <= 0.5:
+            continue
         chosen.add(best)
-        for i in holders.pop(best):
-            left[i] /= 2
+        left -= holders[best]
+        free -= accused.get(best, set())
+    # words that are sure by themselves weigh in, too, also where others explain their rows
+    chosen |= {f for f in holders if not f.endswith("*") and len(holders[f]) >= 2 * SUPPORT
+               and lower_bound(len(holders[f]), each * len(accused.get(f, set())), 2.0) > 0.7}
     return chosen
 
 
 def calibrated(model: Model, texts: DataFrame, per_toxic: float, per_clean: float) -> Model:
-    """The model with negation, reported speech and the empty match weighed on the sample."""
+    """The model with the arcs weighed on the rows of the sample that each of them decides."""
     def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain = Model(model.words, model.stems, 0.0, 1.0, 0.0), Model(model.words, model.stems, 1.0, 0.0, 0.0)
-        sure = Model(model.words, model.stems, 1.0, 1.0, 0.0)
+        lexicon = {"words": model.words, "stems": model.stems, "base": 0.0, "threat": 0.0, "aimed": 0.0, "target": 0.0}
+        sure = Model(**{**lexicon, "negated": 1.0, "reported": 1.0})
+        plain = Model(**{**lexicon, "negated": 0.0, "reported": 1.0}), Model(**{**lexicon, "negated": 1.0, "reported": 0.0})
+        threats = [Model({}, {}, 0.0, 0.0, 0.0, *w) for w in ((0.0, 0.9, 0.0), (0.9, 0.9, 0.0))]
         for b in batches:
             out = []
             for t in b.column(1).to_pylist():
-                all_ = sure.score(t)
-                out.append("none" if all_ < 0.3 else "negated" if plain[0].score(t) < 0.3 else
+                out.append("aimed" if sure.score(t) < 0.3 and threats[0].score(t) > 0.3 else
+                           "threat" if sure.score(t) < 0.3 and threats[1].score(t) > 0.3 else
+                           "none" if sure.score(t) < 0.3 else
+                           "negated" if plain[0].score(t) < 0.3 else
                            "reported" if plain[1].score(t) < 0.3 else "match")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["toxic", "kind"])
 
@@ -279,8 +322,9 @@ def calibrated(model: Model, texts: DataFrame, per_toxic: float, per_clean: floa
     def rate(kind, prior):
         t, c = n.get((kind, 1), 0) * per_toxic, n.get((kind, 0), 0) * per_clean
         return (t + prior * PRIOR_ROWS) / (t + c + PRIOR_ROWS)
+    alone = min(0.45, rate("threat", PRIOR_THREAT))
     return Model(model.words, model.stems, rate("negated", PRIOR_NEGATED), rate("reported", PRIOR_REPORTED),
-                 min(0.45, rate("none", 0.02)))
+                 min(0.45, rate("none", 0.02)), alone, max(alone, rate("aimed", PRIOR_AIMED)), model.target)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
