@@ -11,7 +11,7 @@ divisor is counted by rounding, and only the last few awards of a shard, in
 proportion to the number of sources, are ranked.
 
 Block selection: a source's documents lie end to end in a seeded order (md5 of
-seed and doc_id, then doc_id, then size), cut into blocks of ``block`` words
+seed and doc_id, without one of the text, then doc_id, then size), cut into blocks of ``block`` words
 regardless of document ends; the source's quota is taken from the front,
 starting over when it is used up. The blocks go to the shards in that order,
 as many as the shard's quota for the source. Positions are prefix sums per (source, hash
@@ -96,7 +96,8 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED, weights: tuple[in
         F.struct(*(carry or docs.columns)).alias("doc"), F.col("doc_id").alias("_id"), F.col("source").alias("source"),
         F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("-")).alias("src"),
         F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("at"))
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.concat(
+            F.lit("-"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))))).alias("at"))
     narrow = cut(wide if carry else wide.drop("doc"), "mix-sizes")
     sources = targets(narrow.groupBy("src").agg(
         F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("rows")),
@@ -135,8 +136,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as whole documents: each as often as the mix takes it, rounded.
 
     A document cut by the end of its source's share counts as whole if more
-    than half of it is taken. Documents without words stay where their source
-    is taken from at all, once.
+    than half of it is taken. Documents without words stay, once. The rows are
+    dealt to shards by the stage that follows, not by ``by_shard``: a document may lie in the blocks of
+    several shards, and here it stays whole.
     """
     m = mix(docs, **options)
     copies = F.when(F.col("size") > 0, F.floor((2 * F.col("taken") + F.col("size") - 1) / (2 * F.col("size")))) \
@@ -146,15 +148,21 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the words taken of each document for each shard, comma-joined."""
     return mix(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
-        "doc.doc_id", "size", "source_size", "target", "taken")
+        "doc.doc_id", "size", "source_size", "target", "taken", F.array_join(F.transform("by_shard", lambda n: n.cast("string")), ",").alias("shard_words"))
 
 
 #: The same rows in DuckDB: the cap by sorted ratios, all awards ranked at once.
+def _taken(used: str) -> str:
+    return (f"CASE WHEN source_size = 0 THEN 0 ELSE {used} // source_size * size "
+            f"+ least(greatest({used} % source_size - pos, 0), size) END")
+
+
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-         md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS ord
+         md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '-' || md5(coalesce(text, '')))) AS ord
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -173,13 +181,28 @@ t AS (
 a AS (
   SELECT rank, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank) AS place, ceil(total / 16.0) AS blocks
   FROM (SELECT *, unnest(generate_series(0, CAST(target / 16 + 3 AS BIGINT))) AS k FROM t WHERE target > 0)),
-q AS (SELECT rank, count(*) * 16 AS words FROM a WHERE place <= blocks GROUP BY rank),
-u AS (SELECT t.*, least(coalesce(words, 0), 3 * source_size) AS used FROM t LEFT JOIN q USING (rank)),
+q AS (SELECT rank, <upto> FROM a GROUP BY rank),
+u AS (SELECT t.*, <used> FROM t LEFT JOIN q USING (rank)),
 p AS (
   SELECT doc_id, source, size,
          sum(size) OVER (PARTITION BY source ORDER BY ord, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS pos FROM d)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST(CASE WHEN source_size = 0 THEN 0 ELSE used // source_size * size
-            + least(greatest(used % source_size - pos, 0), size) END AS BIGINT) AS taken
+       CAST(<all> AS BIGINT) AS taken, <shared> AS shard_words
 FROM p JOIN u ON p.source IS NOT DISTINCT FROM u.source
 """
+
+
+def _filled(sql: str) -> str:
+    """The SQL with its columns by shard."""
+    every = range(1, SHARDS + 1)
+    for name, text in {
+            "<upto>": ", ".join(f"count(*) FILTER (place <= floor(blocks * {i} / {SHARDS})) * 16 AS w{i}" for i in every),
+            "<used>": ", ".join(f"least(coalesce(w{i}, 0), 3 * source_size) AS u{i}" for i in every),
+            "<all>": _taken(f"u{SHARDS}"),
+            "<shared>": " || ',' || ".join(
+                f"CAST({_taken(f'u{i}')}{f' - ({_taken(f'u{i - 1}')})' if i > 1 else ''} AS BIGINT)" for i in every)}.items():
+        sql = sql.replace(name, text)
+    return sql
+
+
+SQL = _filled(SQL)
