@@ -110,7 +110,7 @@ def job_of(spark, name, **how):
 
 
 def test_profile_table_equals_its_rebuild_and_the_ledger_is_not_read(spark, monkeypatch):
-    job = job_of(spark, "points")
+    job = job_of(spark, "points", compact_every=2)
     rows = series_rows(4, 3, 60)
     df = spark.createDataFrame(rows, "ts timestamp_ntz, value double")
     read = []
@@ -119,6 +119,7 @@ def test_profile_table_equals_its_rebuild_and_the_ledger_is_not_read(spark, monk
     for i, d in enumerate((1, 2, 3)):
         job(df.filter(F.dayofmonth("ts") == d), i)
     job(df.filter(F.dayofmonth("ts") == 3), 2)                      # a replay
+    assert sinks.folders(spark, job.profile_path) == ["batch_id=-1", "batch_id=1", "batch_id=2"]
     assert read.count(job.ledger_path) == 1                         # the first batch looks whether there is one
 
     def flat(points):

@@ -39,6 +39,11 @@ def points_of(ledger: DataFrame, keys: Sequence[str] = (), rday: str | None = No
     return ledger.filter(F.col("ts").isNotNull()).groupBy(*by).agg(F.sort_array(F.collect_list(point)).alias("points"))
 
 
+def merged(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Profile rows with one row per cell."""
+    return points.groupBy(*keys, "day", "cell").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("points")))).alias("points"))
+
+
 def band_days(points: DataFrame, bands: DataFrame, K: Sequence[str], few: bool) -> DataFrame:
     """Per band (K, a, b[, gday]) and day its first and last point in the band, as structs lo and hi.
 

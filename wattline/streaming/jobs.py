@@ -134,7 +134,7 @@ class IntegrationJob:
     """Incremental integration of a reading stream into a ledger.
 
     A batch reads its own rows, the state of its series and the per-day profile table
-    (``profile_path``), never the ledger. A small batch, which one aggregate tells, is
+    (``profile_path``, whose batch folders are put together every ``compact_every`` batches), never the ledger. A small batch, which one aggregate tells, is
     one scan without bucket summaries, kept in executor memory while the batch runs.
 
     ``commit='day'`` gives the rows of the reference's per-day commits: a gap's profile
@@ -159,6 +159,7 @@ class IntegrationJob:
     profile_path: str = ""
     full_every: int = 16
     full_rows: int = 10_000
+    compact_every: int = 64
     waves: int = 0
     _held: dict = field(default_factory=dict, repr=False)
 
@@ -314,6 +315,9 @@ class IntegrationJob:
                                few=small and not run.spread)
             if self.spec.gap_fill:
                 sinks.write_points(dayprofile.points_of(out, self.keys), self.profile_path, batch_id, small and not run.spread)
+                if batch_id % self.compact_every == self.compact_every - 1:
+                    sinks.compact_points(spark, self.profile_path, dayprofile.schema(key_fields), batch_id,
+                                         lambda rows: dayprofile.merged(rows, self.keys))
             late_dropped = self._late(rows, state) if self.late == "drop" and state is not None else 0
             if self.keys:
                 self._write_state(integ.ledger_state(out, self.keys), state, run.after(), rows, batch_id)

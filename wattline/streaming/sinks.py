@@ -89,6 +89,21 @@ def write_points(points: DataFrame, path: str, batch_id: int, few: bool = False)
         .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def compact_points(spark: SparkSession, path: str, schema: T.StructType, before: int, merge) -> int:
+    """Put the profile rows of batches before ``before`` into one folder, -1; how many folders went.
+
+    ``merge`` joins rows of one cell. Points that are there twice count once, so readers
+    and a failure between the write and the removal of the old folders do no harm."""
+    ids = [int(f.removeprefix("batch_id=")) for f in folders(spark, path) if f.startswith("batch_id=")]
+    old = [b for b in ids if 0 <= b < before]
+    if old:
+        rows = cut(merge(spark.read.schema(schema).parquet(path).filter(F.col("batch_id") < before).drop("batch_id")))
+        write_points(rows, path, -1)
+        for b in old:
+            remove(spark, f"{path}/batch_id={b}")
+    return len(old)
+
+
 def append_log(row: DataFrame, path: str) -> None:
     """A log row: nothing that was logged before is ever replaced."""
     row.coalesce(1).write.mode("append").parquet(path)
