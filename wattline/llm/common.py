@@ -62,6 +62,24 @@ def cut(df: DataFrame, name: str = "t", compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_last(df: DataFrame, name: str = "t") -> DataFrame:
+    """As cut(), and Spark drops the shuffle files of the write as soon as it is done.
+
+    For a result behind a shuffle of the size of the corpus, which nothing reads again. The session's setting
+    for that is put back as it was.
+    """
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        return cut(df, name)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 #: Keys whose row of the other side may be broadcast, and the rows that a key has before it counts as heavy.
 LIST, HEAVY = 100_000, 256
 

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm.common import cut, table, whole_groups
+from wattline.llm.common import cut_last, table, whole_groups
 
 ORDER, HELD, PARTS = 3, 1, 5
 #: The training parts: a count has a lane for each.
@@ -366,7 +366,7 @@ def counted(blocks: DataFrame, found: DataFrame, n_places: int, order: int) -> D
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names(COUNTED))
 
-    return cut(both.repartition("block").sortWithinPartitions("block", "place").mapInArrow(run, COUNTED), "counted")
+    return cut_last(both.repartition("block").sortWithinPartitions("block", "place").mapInArrow(run, COUNTED), "counted")
 
 
 @dataclass
@@ -471,9 +471,8 @@ def fit(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, Model]:
     chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
     n_places = max(1, -(-int(chars) * order // (6 * PLACE)))       # a token takes six characters, about
     blocks = tokenized(docs)
-    found = cut(answers(requests(blocks, n_places, order)), "answers")
-    # written, the answers need the shuffle of the requests no more, the largest there is: let Spark drop its files now
-    docs.sparkSession.sparkContext._jvm.System.gc()
+    # written, the answers need the shuffle of the requests no more, the largest there is
+    found = cut_last(answers(requests(blocks, n_places, order)), "answers")
     full = counted(blocks, found, n_places, order)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
