@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import fold
 from wattline.operators import dayprofile, integrate as integ, profile
+from wattline.plans import stitch
 from wattline.session import scratch_path
 from wattline.streaming import jobs, sinks, stream
 
@@ -172,10 +173,15 @@ def test_state_as_changes(spark):
         assert sorted((r.ts, round(r.cumulative_sum, 9)) for r in led.filter(F.col("series") == k).collect()) == want
 
 
-@pytest.mark.parametrize("empty", ["zero", "skip"])
-@pytest.mark.parametrize("days", [1, 3])
-def test_batches_against_the_fold(spark, empty, days):
-    """Gap-filled batches of one and of three days against the sequential fold, state and profile going along."""
+@pytest.mark.parametrize("empty,days,small", [("zero", 1, True), ("zero", 3, True), ("skip", 1, True), ("skip", 3, True),
+                                              ("zero", 1, False), ("zero", 3, False)])
+def test_batches_against_the_fold(spark, empty, days, small, monkeypatch):
+    """Gap-filled batches of one and of three days against the sequential fold, state and profile going along; by
+    the short plan and, cut into buckets of 20 rows, by the one for large batches."""
+    if not small:
+        monkeypatch.setattr(jobs, "SMALL_BYTES", -1)
+        monkeypatch.setattr(jobs, "SMALL_SLOTS", 5)
+        monkeypatch.setattr(stitch, "ROWS", 20)
     spec = STEP.with_(empty_profile=empty, slots="le" if empty == "skip" else "lt")
     rows = series_rows(11, 3, 25)
     job = job_of(spark, "fold", spec=spec)

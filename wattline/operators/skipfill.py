@@ -17,7 +17,6 @@ single-partition window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.timefns import add_micros, day_of, diff_micros, micros, tod_us

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.functions.timefns import DAY_US, day_of, instant_literal, ntz_literal, parse_tod
+from wattline.functions.timefns import instant_literal, ntz_literal, parse_tod
 from wattline.operators import align, filters, grid, integrate as integ, lookup, profile, quality, rollup, unions
 from wattline.plans.materialize import version
 from wattline.session import configure, scratch_path

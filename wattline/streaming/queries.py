@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline import oracles as O, stepwise
