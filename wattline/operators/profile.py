@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from wattline.functions.timefns import DAY_US, day_of, from_micros, micros, tod_us
 from wattline.plans import stitch
 from wattline.plans.materialize import cut
+from wattline.session import importable
 
 #: Holes and bands that one dominance task takes.
 BLOCK = 1 << 21
@@ -105,6 +106,7 @@ def _covered(holes: DataFrame, bands: DataFrame, K: list[str]) -> DataFrame:
         return out[out.cnt > 0]
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bands.schema.fields if f.name in K)
+    importable(holes.sparkSession)
     met = hs.select(*by, "x", "y", "cnt", "w").groupBy(*by).cogroup(bs.select(*by, "a", "b").groupBy(*by)) \
         .applyInPandas(meet, f"{kinds}, a long, b long, cnt double, w double")
     return met.groupBy(*K, "a", "b").agg(F.sum("cnt").alias("cnt"), F.sum("w").alias("w"))

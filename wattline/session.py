@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +45,19 @@ def configure(spark: SparkSession) -> None:
     for k, v in BASE_CONF.items():
         if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
+    importable(spark)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster whose machines lack the folder ships the package with --py-files.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
