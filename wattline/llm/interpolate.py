@@ -53,7 +53,7 @@ ORDER, HELD, PARTS = 3, 1, 5
 TRAIN = [p for p in range(PARTS) if p != HELD]
 LANES = len(TRAIN)
 #: Bytes of text in a block's slice of a batch, entries at a place.
-SLICE, PLACE = 4 << 20, 1_000_000
+SLICE, PLACE = 3 << 20, 1_000_000
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, BEGIN = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: Histogram of ln(ratio): BINS bins over +-RANGE, bin 0 for a ratio of zero.
@@ -75,8 +75,8 @@ BLOCK = "block long, ids array<long>, parts binary, ends binary, words binary, c
 def tokenized(docs: DataFrame) -> DataFrame:
     """BLOCK rows: whole documents and their parts, the end of each counted in.
 
-    ``words`` are the different hashes of the block, ascending, as bytes; ``codes``
-    (packed) index them. ``ends`` are positions in codes where documents end.
+    ``words`` are the different hashes of the block, ascending; ``codes``
+    index them (both packed). ``ends`` are positions in codes where documents end.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), part(F.col("doc_id")).alias("part"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -96,7 +96,7 @@ def tokenized(docs: DataFrame) -> DataFrame:
         key = xxhash.xxh64_intdigest(np.array([*place, xxhash.xxh64_intdigest(codes.tobytes()) >> 1], "<i8").tobytes())
         return pa.RecordBatch.from_arrays(
             [pa.array([key >> 1], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([parts.astype(np.uint8).tobytes()], pa.binary()),
-             pa.array([np.array(ends, "<i8").tobytes()], pa.binary()), pa.array([words.astype("<u8").tobytes()], pa.binary()),
+             pa.array([np.array(ends, "<i8").tobytes()], pa.binary()), pa.array([hashes_packed(words)], pa.binary()),
              pa.array([planed(codes)], pa.binary())], names(BLOCK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,6 +217,16 @@ def unplaned(raw: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(f"<u{size}")[:, 0]
 
 
+def hashes_packed(h: np.ndarray) -> bytes:
+    """Ascending hashes as their number and differences, whose top bytes are small."""
+    return len(h).to_bytes(4, "little") + (planed(np.diff(h, prepend=np.uint64(0))) if len(h) else b"")
+
+
+def hashes_read(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    return np.cumsum(unplaned(raw[4:], n).astype(np.uint64)) if n else np.empty(0, np.uint64)
+
+
 def small(x: np.ndarray) -> bytes:
     """Counts in the fewest of 1, 2, 4 or 8 bytes each, packed."""
     top = int(x.max(initial=0))
@@ -228,7 +238,7 @@ def large(raw: bytes, n: int) -> np.ndarray:
 
 
 def block_of(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(r["words"], "<u8"), *codes_of(r)
+    return hashes_read(r["words"]), *codes_of(r)
 
 
 def codes_of(r: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -244,11 +254,30 @@ def lane_of(r: dict, ends: np.ndarray) -> np.ndarray:
 
 
 def lanes_packed(x: np.ndarray) -> bytes:
-    return small(np.ascontiguousarray(x).ravel())
+    """Counts by lane: most n-grams were seen once or never, which takes a code of a byte before packing; the rest are listed."""
+    total = x.sum(0)
+    code = np.where(total == 1, x.argmax(0), np.where(total == 0, LANES, LANES + 1)).astype(np.uint8) if x.shape[1] else np.empty(0, np.uint8)
+    codes = squeezed(code.tobytes())
+    return len(codes).to_bytes(4, "little") + codes + small(np.ascontiguousarray(x[:, code > LANES]).ravel())
 
 
 def lanes_read(raw: bytes, n: int) -> np.ndarray:
-    return large(raw, LANES * n).reshape(LANES, n)
+    out = np.zeros((LANES, n), np.int64)
+    if n:
+        at = 4 + int.from_bytes(raw[:4], "little")
+        code = np.frombuffer(released(raw[4:at]), np.uint8)
+        for i in range(LANES):
+            out[i, code == i] = 1
+        rest = np.flatnonzero(code > LANES)
+        out[:, rest] = large(raw[at:], LANES * len(rest)).reshape(LANES, -1)
+    return out
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one: a block's row is large, a batch holds many."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
 
 
 CELL = "block long, place long, n_words int, words binary, word_counts binary, n int, keys binary, counts binary"
@@ -257,9 +286,8 @@ CELL = "block long, place long, n_words int, words binary, word_counts binary, n
 def requests(blocks: DataFrame, n_places: int, order: int) -> DataFrame:
     """A row for each block and place: the different n-grams of the block that live there, with their counts by part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                yield cells(r)
+        for r in rows_of(batches):
+            yield cells(r)
 
     def cells(r: dict) -> pa.RecordBatch:
         words, codes, ends = block_of(r)
@@ -280,7 +308,7 @@ def requests(blocks: DataFrame, n_places: int, order: int) -> DataFrame:
         k = np.searchsorted(s.keys >> np.uint64(40), np.append(place, np.uint64(n_places)))
         low = s.keys & np.uint64((1 << 40) - 1)
         cols = [[r["block"]] * len(place), place.astype(np.int64), np.diff(w).astype(np.int32),
-                [words[i:j].tobytes() for i, j in zip(w, w[1:])], [lanes_packed(of_words[:, i:j]) for i, j in zip(w, w[1:])],
+                [hashes_packed(words[i:j]) for i, j in zip(w, w[1:])], [lanes_packed(of_words[:, i:j]) for i, j in zip(w, w[1:])],
                 np.diff(k).astype(np.int32), [deltas(low[i:j]) for i, j in zip(k, k[1:])],
                 [lanes_packed(longer[:, i:j]) for i, j in zip(k, k[1:])]]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
@@ -315,7 +343,7 @@ def answers(cells: DataFrame) -> DataFrame:
 
     def answer(t: dict) -> pa.RecordBatch:
         out = []
-        for size, keys, counts, read in (("n_words", "words", "word_counts", lambda x, n: np.frombuffer(x, "<u8")),
+        for size, keys, counts, read in (("n_words", "words", "word_counts", lambda x, n: hashes_read(x)),
                                          ("n", "keys", "counts", undeltas)):
             n = np.array(t[size])
             total, known = totals(np.concatenate([read(x, m) for x, m in zip(t[keys], n, strict=True)]),
@@ -340,16 +368,15 @@ def counted(blocks: DataFrame, found: DataFrame, n_places: int, order: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, got = None, []
-        for b in batches:
-            for r in b.to_pylist():
-                if r["place"] < 0:
-                    if head is not None:
-                        yield joined(head, got)
-                    head, got = r, []
-                else:
-                    if head is None or head["block"] != r["block"]:
-                        raise RuntimeError("answers for a block that is not there: the documents changed between two scans")
-                    got.append(r)
+        for r in rows_of(batches):
+            if r["place"] < 0:
+                if head is not None:
+                    yield joined(head, got)
+                head, got = r, []
+            else:
+                if head is None or head["block"] != r["block"]:
+                    raise RuntimeError("answers for a block that is not there: the documents changed between two scans")
+                got.append(r)
         if head is not None:
             yield joined(head, got)
 
@@ -427,13 +454,12 @@ def learned(blocks: DataFrame, m: Model, k: int) -> np.ndarray:
     """Weights of order k by bucket: EM on the held-out events, which a pass gathers as a histogram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc = np.zeros((2, BUCKETS * BINS))
-        for b in batches:
-            for r in b.to_pylist():
-                ml, bucket, below, _, _ = mixture(r, m, True, k)
-                with np.errstate(divide="ignore"):
-                    ratio = np.clip(np.log(ml / below), -RANGE, RANGE)
-                at = np.where(ml > 0, 1 + np.rint((ratio + RANGE) * ((BINS - 2) / (2 * RANGE))), 0).astype(np.int64)
-                acc += [np.bincount(bucket * BINS + at, weights=w, minlength=BUCKETS * BINS) for w in (None, ratio)]
+        for r in rows_of(batches):
+            ml, bucket, below, _, _ = mixture(r, m, True, k)
+            with np.errstate(divide="ignore"):
+                ratio = np.clip(np.log(ml / below), -RANGE, RANGE)
+            at = np.where(ml > 0, 1 + np.rint((ratio + RANGE) * ((BINS - 2) / (2 * RANGE))), 0).astype(np.int64)
+            acc += [np.bincount(bucket * BINS + at, weights=w, minlength=BUCKETS * BINS) for w in (None, ratio)]
         at = np.flatnonzero(acc[0])
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *map(pa.array, acc[:, at])], ["at", "n", "s"])
 
@@ -501,17 +527,16 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in b.to_pylist():
-                ml, bucket, below, g, c = mixture(r, m, False, order)
-                w = m.weights[order - 1][bucket]
-                best = np.log10(w * ml + (1 - w) * below)
-                base = np.log10((c + 0.5) / (size + 0.5 * (m.vocabulary + 1)))
-                ends = np.frombuffer(r["ends"], "<i8")
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(r["ids"], pa.int64()), pa.array(np.frombuffer(r["parts"], np.uint8) == HELD), pa.array(np.diff(ends, prepend=0)),
-                    pa.array(np.add.reduceat((c > 0).astype(np.int64), g.starts)), pa.array(np.full(len(ends), size)),
-                    pa.array(np.add.reduceat(base, g.starts)), pa.array(np.add.reduceat(best, g.starts))], names(kind))
+        for r in rows_of(batches):
+            ml, bucket, below, g, c = mixture(r, m, False, order)
+            w = m.weights[order - 1][bucket]
+            best = np.log10(w * ml + (1 - w) * below)
+            base = np.log10((c + 0.5) / (size + 0.5 * (m.vocabulary + 1)))
+            ends = np.frombuffer(r["ends"], "<i8")
+            yield pa.RecordBatch.from_arrays([
+                pa.array(r["ids"], pa.int64()), pa.array(np.frombuffer(r["parts"], np.uint8) == HELD), pa.array(np.diff(ends, prepend=0)),
+                pa.array(np.add.reduceat((c > 0).astype(np.int64), g.starts)), pa.array(np.full(len(ends), size)),
+                pa.array(np.add.reduceat(base, g.starts)), pa.array(np.add.reduceat(best, g.starts))], names(kind))
 
     return full.mapInArrow(run, kind)
 
