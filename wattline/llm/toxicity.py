@@ -10,7 +10,8 @@ The lexicon grows from labels: words and word stems over-represented in toxic
 rows of a bounded sample (SAMPLE rows of each label, by hash of the doc_id), chosen
 greedily by the rows that others don't explain. An entry is admitted by
 evidence alone, whatever the table's size: SUPPORT such rows, and a lower confidence
-bound of more than a half for the share of toxic rows among those that it explains. General insults
+bound of more than a half for the share of toxic rows among those that it explains. Words of good
+odds whose rows others explain weigh HINT: one of them decides nothing. General insults
 are known beforehand, but without evidence one weighs less than a half unless it is aimed at a target.
 The weights of entries and of the grammar's arcs (threat, threat at a target, insult at a
 target, negation, reported speech, no match) are
@@ -60,6 +61,7 @@ NEAR = 3                        # tokens within which target and negation bind
 #: Priors of the arcs: chance that a text is toxic whose match is negated, reported, a threat, a threat at a target, a
 #: general insult, one at a target.
 PRIOR_NEGATED, PRIOR_REPORTED, PRIOR_ROWS = 0.3, 0.5, 4.0
+HINT = 0.4                      # of a word that does not decide alone
 PRIOR_THREAT, PRIOR_AIMED, PRIOR_INSULT, PRIOR_TARGET = 0.1, 0.75, 0.4, 0.65
 
 
@@ -250,12 +252,16 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     # rows as the sample has them; where it was cut, clean rows stand for more or fewer than toxic ones
     chosen = greedy([f for y, f in seen if y], [f for y, f in seen if not y], per_clean / per_toxic)
 
+    hints = seconds(toxic, clean, per_clean / per_toxic) - chosen
+
     def weight(f):
         t, c = toxic[f] * per_toxic, clean[f] * per_clean
         if f in chosen:
             return (t + 3) / (t + c + 3.5)
+        if f in hints:
+            return HINT
         return (t + PRIOR_INSULT * PRIOR_ROWS) / (t + c + PRIOR_ROWS)
-    entries = chosen | set(INSULTS)
+    entries = chosen | hints | set(INSULTS)
     model = Model({f: weight(f) for f in entries if not f.endswith("*")},
                   {f[:-1]: weight(f) for f in entries if f.endswith("*")})
     return calibrated(model, texts, per_toxic, per_clean)
@@ -294,12 +300,14 @@ def greedy(toxic: list[list[str]], clean: list[list[str]], each: float = 1.0) ->
         chosen.add(best)
         left -= holders[best]
         free -= accused.get(best, set())
-    # words that are sure by themselves weigh in, too, also where others explain their rows
-    chosen |= {f for f in holders if not f.endswith("*") and len(holders[f]) >= 2 * SUPPORT
-               and lower_bound(len(holders[f]), each * len(accused.get(f, set())), 2.0) > 0.7}
     return chosen
 
 
+def seconds(toxic: Counter, clean: Counter, each: float = 1.0) -> set[str]:
+    """Words of good odds in rows that other entries explain, too (copies of one text give such words): hints, not verdicts."""
+    return {f for f in toxic if not f.endswith("*") and toxic[f] >= 2 * SUPPORT and lower_bound(toxic[f], each * clean[f], 2.0) > 0.7}
+
+
 def calibrated(model: Model, texts: DataFrame, per_toxic: float, per_clean: float) -> Model:
     """The model with the arcs weighed on the rows of the sample that each of them decides."""
     def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
