@@ -139,6 +139,40 @@ def test_packing():
         assert (lm.large(lm.small(x), 3) == x).all()
 
 
+def test_sparse_keys_stay_short():
+    """The fewer n-grams of a block live at a place, the wider their differences: a byte more, not four."""
+    low = np.sort(np.random.default_rng(1).integers(0, 1 << 40, 500).astype(np.uint64))
+    assert (lm.undeltas(lm.deltas(low), 500) == low).all() and len(lm.deltas(low)) < 5 * 500
+    assert (lm.undeltas(lm.deltas(low[:0]), 0) == low[:0]).all()
+
+
+def test_totals_by_ranges(monkeypatch):
+    """Sums over cells do not depend on the ranges of keys that are added up at a time."""
+    rng = np.random.default_rng(3)
+    keys = [np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64) >> np.uint64(rng.integers(0, 2) * 54)) for _ in range(6)] + [np.empty(0, np.uint64)]
+    counts = [rng.integers(0, 3, (lm.LANES, len(k))).astype(np.int32) for k in keys]
+    want = {}
+    for k, x in zip(keys, counts, strict=True):
+        for j, key in enumerate(k.tolist()):
+            want[key] = want.get(key, 0) + x[:, j].astype(np.int64)
+    for ranges in (1 << 20, 100, 7):
+        monkeypatch.setattr(lm, "RANGE_OF", ranges)
+        got, known = lm.totals(keys, [lm.lanes_packed(x) for x in counts])
+        assert known == sum(bool(x.any()) for x in want.values())
+        for k, raw in zip(keys, got, strict=True):
+            assert (lm.lanes_read(raw, len(k)).T.tolist()) == [want[x].tolist() for x in k.tolist()]
+
+
+def test_cells_follow_the_text(spark):
+    """Rows that travel are blocks times places: few, however the documents lie."""
+    text = " ".join(f"w{i}" for i in range(200_000))
+    docs = spark.createDataFrame([(i, text) for i in range(4)], "doc_id long, text string").coalesce(1)
+    chars = 4 * len(text)
+    assert chars > 5 << 20 and lm.tokenized(docs).count() == 1
+    places = max(1, -(-chars * lm.ORDER // (6 * lm.PLACE)))
+    assert lm.requests(docs, places, lm.ORDER).count() == 1
+
+
 def test_histogram_is_fine_enough():
     """Weights from binned ratios and from single ones."""
     rng = np.random.default_rng(2)

@@ -10,8 +10,9 @@ three parts, and expectation-maximisation sets the weights, order by order.
 Distribution. Texts are cut into blocks, as codes into the block's own list of words. A
 block sends each of its different n-grams once, with its counts by part, to
 the place that a hash names, so an n-gram, however frequent, comes at most once
-from a block; places hold about PLACE entries. There the counts add up, and the
-totals by part go back to the block in the order they came. What travels are packed arrays, a row for each block and place.
+from a block; places hold at most about PLACE entries. There the counts add up, a range of hashes after the other, and the
+totals by part go back to the block in the order they came. What travels are packed arrays, a row for each block and place:
+these rows are as many as blocks times places, so both are as large as a task's memory allows.
 Blocks are not written before they are counted: they are cut once for the requests and
 once more for the answers. A block's key is a digest of its place in the scan and
 of its codes, so blocks cut in another way find no answer, which is an error. The answers
@@ -21,8 +22,8 @@ and bucket (BINS a bucket; a bin counts its events and has their mean ratio), wh
 bounds what the driver sees; all events are in it, and EM runs on it.
 
 Words are known by 64-bit hashes: two of m different words of the corpus share one by
-a chance of m * m / 2**65. Longer n-grams are known by place and 40 bits, so a count is
-mixed with a strange one by a chance of PLACE / 2**40, one in a million, at any size.
+a chance of m * m / 2**65. Longer n-grams are known by place and 42 bits, so a count is
+mixed with a strange one by a chance of PLACE / 2**42, one in a million, at any size.
 
 A null text is an empty one: its only token is the end. A null doc_id is learned from,
 in part 0. Repeated rows are documents like others. Very long texts are whole. With
@@ -34,6 +35,7 @@ doc_id and text are ignored; an empty table gives no row.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,9 +54,10 @@ ORDER, HELD, PARTS = 3, 1, 5
 #: The training parts: a count has a lane for each.
 TRAIN = [p for p in range(PARTS) if p != HELD]
 LANES = len(TRAIN)
-#: Bytes of text in a block's slice of a batch, entries at a place.
-SLICE, PLACE = 3 << 20, 1_000_000
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Bytes of text in a block's slice of a batch, entries at a place and those of it that are added up at a time.
+SLICE, PLACE, RANGE_OF = 6 << 20, 4_000_000, 1 << 19
+#: Bits by which a longer n-gram is known at its place.
+BITS = 42
 END, BEGIN = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: Histogram of ln(ratio): BINS bins over +-RANGE, bin 0 for a ratio of zero.
 BUCKETS, BINS, RANGE = 48, 2561, 40.0
@@ -64,67 +67,83 @@ def part(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % PARTS, F.lit(0)).cast("int")
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words in ASCII lower case; bytes.split() splits at the white space of the contract."""
-    return text.encode("utf-8", "surrogatepass").translate(LOWER).split()
+def tokens(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different words in ASCII lower case, their places in the texts' tokens (-1 for an end), and where the texts end.
+
+    Arrow splits at the white space of the contract; an empty string before or after it is no word.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = lists.flatten().dictionary_encode()
+    words = flat.dictionary.cast(pa.large_binary()).to_pylist()
+    code, is_word = flat.indices.to_numpy(zero_copy_only=False), np.array([bool(w) for w in words], bool)
+    real = is_word[code]
+    of = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[real]
+    ends = np.cumsum(np.bincount(of, minlength=len(texts)) + 1)
+    seen = np.full(len(of) + len(texts), -1, np.int32)
+    seen[np.arange(len(of)) + of] = (np.cumsum(is_word) - 1)[code[real]]
+    return [w for w in words if w], seen, ends
 
 
 BLOCK = "block long, ids array<long>, parts binary, ends binary, words binary, codes binary"
 
 
+def texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), part(F.col("doc_id")).alias("part"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def block(place: tuple[int, int], ids: list, parts: np.ndarray, text: pa.Array) -> pa.RecordBatch:
+    different, seen, ends = tokens(text)
+    hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in different] + [END], np.uint64)
+    words, code = np.unique(hashes, return_inverse=True)      # the end, -1, is the last hash
+    codes = code.astype("<u4")[seen]
+    key = xxhash.xxh64_intdigest(np.array([*place, xxhash.xxh64_intdigest(codes.tobytes()) >> 1], "<i8").tobytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([key >> 1], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([parts.astype(np.uint8).tobytes()], pa.binary()),
+         pa.array([ends.astype("<i8").tobytes()], pa.binary()), pa.array([hashes_packed(words)], pa.binary()),
+         pa.array([planed(codes)], pa.binary())], names(BLOCK))
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """BLOCK rows of the rows of texts()."""
+    task, n = TaskContext.get().partitionId(), 0
+    for b in batches:
+        size = np.cumsum(pc.binary_length(b.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
+        slices = max(1, -(-int(size[-1]) // SLICE)) if b.num_rows else 0
+        cuts = np.flatnonzero(np.diff(np.minimum(size * slices // max(int(size[-1]), 1), slices - 1))) + 1 if slices else []
+        for lo, hi in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
+            if hi > lo:
+                s = b.slice(lo, hi - lo)
+                n += 1
+                yield block((task, n), s.column(0).to_pylist(), s.column(1).to_numpy(), s.column(2))
+
+
 def tokenized(docs: DataFrame) -> DataFrame:
     """BLOCK rows: whole documents and their parts, the end of each counted in.
 
     ``words`` are the different hashes of the block, ascending; ``codes``
     index them (both packed). ``ends`` are positions in codes where documents end.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), part(F.col("doc_id")).alias("part"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-
-    def pack(place: tuple[int, int], ids: list, parts: np.ndarray, texts: list) -> pa.RecordBatch:
-        memo: dict[bytes, int] = {}
-        seen, ends, at = [], [], 0
-        for t in texts:
-            w = tokens(t)
-            seen.append(np.fromiter((memo.setdefault(x, len(memo)) for x in w), np.int32, len(w)))
-            seen.append(np.array([-1], np.int32))
-            at += len(w) + 1
-            ends.append(at)
-        hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in memo] + [END], np.uint64)
-        words, code = np.unique(hashes, return_inverse=True)      # the end, -1, is the last hash
-        codes = code.astype("<u4")[np.concatenate(seen)]
-        key = xxhash.xxh64_intdigest(np.array([*place, xxhash.xxh64_intdigest(codes.tobytes()) >> 1], "<i8").tobytes())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([key >> 1], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([parts.astype(np.uint8).tobytes()], pa.binary()),
-             pa.array([np.array(ends, "<i8").tobytes()], pa.binary()), pa.array([hashes_packed(words)], pa.binary()),
-             pa.array([planed(codes)], pa.binary())], names(BLOCK))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, n = TaskContext.get().partitionId(), 0
-        for b in batches:
-            size = np.cumsum(pc.binary_length(b.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
-            slices = max(1, -(-int(size[-1]) // SLICE)) if b.num_rows else 0
-            cuts = np.flatnonzero(np.diff(np.minimum(size * slices // max(int(size[-1]), 1), slices - 1))) + 1 if slices else []
-            for lo, hi in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
-                if hi > lo:
-                    s = b.slice(lo, hi - lo)
-                    n += 1
-                    yield pack((task, n), s.column(0).to_pylist(), s.column(1).to_numpy(), s.column(2).to_pylist())
-
-    return rows.mapInArrow(run, BLOCK)
+    return texts(docs).mapInArrow(blocks_of, BLOCK)
 
 
 def names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
+@functools.cache
+def zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """A worker's own, made once: it packs very many small arrays."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def squeezed(raw: bytes) -> bytes:
     """Bytes for the shuffle: codes and counts shrink far below what Spark's own compression makes of them."""
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstd()[0].compress(raw)
 
 
 def released(raw: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(raw)
+    return zstd()[1].decompress(raw)
 
 
 def mixed(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
@@ -170,7 +189,7 @@ def places(h: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Sent:
-    """What a block sends: words by place and hash; longer n-grams by place and 40 bits, equal ones once."""
+    """What a block sends: words by place and hash; longer n-grams by place and BITS bits, equal ones once."""
     word_place: np.ndarray
     keys: np.ndarray
     index: np.ndarray
@@ -179,31 +198,26 @@ class Sent:
 def sent(g: Grams, n: int) -> Sent:
     place = places(g.hashes[0], n)                    # hashes ascend, and so do their places
     longer = np.concatenate([np.empty(0, np.uint64), *g.hashes[1:]])
-    keys, index = np.unique((places(longer, n) << np.uint64(40)) | (longer & np.uint64((1 << 40) - 1)), return_inverse=True)
+    keys, index = np.unique((places(longer, n) << np.uint64(BITS)) | (longer & np.uint64((1 << BITS) - 1)), return_inverse=True)
     return Sent(place, keys, index)
 
 
 def deltas(low: np.ndarray) -> bytes:
-    """Ascending 40-bit numbers as differences of 4 bytes each, or all of 8 where one needs more.
+    """Ascending numbers as differences, of as many bytes each as the largest one needs.
 
-    Only the top byte has a shape worth compressing; it goes last, by itself.
+    Only the bytes above the third have a shape worth compressing; they go last, by themselves.
     """
     d = np.diff(low, prepend=np.uint64(0))
-    if d.max(initial=0) >= 1 << 32:
-        return b"w" + d.astype("<u8").tobytes()
-    planes = d.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return b"n" + planes[:, :3].tobytes() + squeezed(planes[:, 3].tobytes())
+    size = max(4, -(-int(d.max(initial=0)).bit_length() // 8))
+    planes = d.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return bytes([size]) + planes[:, :3].tobytes() + squeezed(planes[:, 3:size].T.tobytes())
 
 
 def undeltas(raw: bytes, n: int) -> np.ndarray:
-    if raw[:1] == b"w":
-        d = np.frombuffer(raw, "<u8", offset=1)
-    else:
-        planes = np.empty((n, 4), np.uint8)
-        planes[:, :3] = np.frombuffer(raw, np.uint8, 3 * n, offset=1).reshape(n, 3)
-        planes[:, 3] = np.frombuffer(released(raw[1 + 3 * n:]), np.uint8)
-        d = planes.view("<u4")[:, 0].astype(np.uint64)
-    return np.cumsum(d)
+    size, planes = raw[0], np.zeros((n, 8), np.uint8)
+    planes[:, :3] = np.frombuffer(raw, np.uint8, 3 * n, offset=1).reshape(n, 3)
+    planes[:, 3:size] = np.frombuffer(released(raw[1 + 3 * n:]), np.uint8).reshape(size - 3, n).T
+    return np.cumsum(planes.view("<u8")[:, 0])
 
 
 def planed(x: np.ndarray) -> bytes:
@@ -228,9 +242,7 @@ def hashes_read(raw: bytes) -> np.ndarray:
 
 
 def small(x: np.ndarray) -> bytes:
-    """Counts in the fewest of 1, 2, 4 or 8 bytes each, packed."""
-    top = int(x.max(initial=0))
-    return planed(x.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8"))
+    return planed(narrow(x))
 
 
 def large(raw: bytes, n: int) -> np.ndarray:
@@ -253,26 +265,53 @@ def lane_of(r: dict, ends: np.ndarray) -> np.ndarray:
     return np.repeat(lanes[np.frombuffer(r["parts"], np.uint8)], np.diff(ends, prepend=0))
 
 
-def lanes_packed(x: np.ndarray) -> bytes:
+def narrow(x: np.ndarray) -> np.ndarray:
+    """Counts in the fewest of 1, 2, 4 or 8 bytes each."""
+    top = int(x.max(initial=0))
+    return x.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8")
+
+
+def lanes_coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts by lane: most n-grams were seen once or never, which takes a code of a byte before packing; the rest are listed."""
+    if not x.shape[1]:
+        return np.empty(0, np.uint8), np.empty((LANES, 0), np.uint8)
     total = x.sum(0)
-    code = np.where(total == 1, x.argmax(0), np.where(total == 0, LANES, LANES + 1)).astype(np.uint8) if x.shape[1] else np.empty(0, np.uint8)
-    codes = squeezed(code.tobytes())
-    return len(codes).to_bytes(4, "little") + codes + small(np.ascontiguousarray(x[:, code > LANES]).ravel())
+    code = np.where(total == 1, x.argmax(0), np.where(total == 0, LANES, LANES + 1)).astype(np.uint8)
+    return code, narrow(x[:, code > LANES])
 
 
-def lanes_read(raw: bytes, n: int) -> np.ndarray:
-    out = np.zeros((LANES, n), np.int64)
-    if n:
-        at = 4 + int.from_bytes(raw[:4], "little")
-        code = np.frombuffer(released(raw[4:at]), np.uint8)
-        for i in range(LANES):
-            out[i, code == i] = 1
-        rest = np.flatnonzero(code > LANES)
-        out[:, rest] = large(raw[at:], LANES * len(rest)).reshape(LANES, -1)
+def lanes_joined(coded: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    codes = squeezed(np.concatenate([c for c, _ in coded]).tobytes())
+    return len(codes).to_bytes(4, "little") + codes + small(np.concatenate([x for _, x in coded], axis=1).ravel())
+
+
+def lanes_packed(x: np.ndarray) -> bytes:
+    return lanes_joined([lanes_coded(x)])
+
+
+def lanes_split(raw: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes and the counts listed, as lanes_coded() gives them."""
+    if not n:
+        return np.empty(0, np.uint8), np.empty((LANES, 0), np.uint8)
+    at = 4 + int.from_bytes(raw[:4], "little")
+    code = np.frombuffer(released(raw[4:at]), np.uint8)
+    listed = LANES * int(np.count_nonzero(code > LANES))
+    return code, (unplaned(raw[at:], listed) if listed else np.empty(0, np.uint8)).reshape(LANES, -1)
+
+
+def lanes_wide(code: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Counts by lane, as int32 where the bytes listed tell that it is enough."""
+    out = np.zeros((LANES, len(code)), np.int32 if listed.itemsize < 4 else np.int64)
+    for i in range(LANES):
+        out[i, code == i] = 1
+    out[:, code > LANES] = listed
     return out
 
 
+def lanes_read(raw: bytes, n: int) -> np.ndarray:
+    return lanes_wide(*lanes_split(raw, n))
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one by one: a block's row is large, a batch holds many."""
     for b in batches:
@@ -283,10 +322,13 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 CELL = "block long, place long, n_words int, words binary, word_counts binary, n int, keys binary, counts binary"
 
 
-def requests(blocks: DataFrame, n_places: int, order: int) -> DataFrame:
-    """A row for each block and place: the different n-grams of the block that live there, with their counts by part."""
+def requests(docs: DataFrame, n_places: int, order: int) -> DataFrame:
+    """A row for each block and place: the different n-grams of the block that live there, with their counts by part.
+
+    Blocks are made in the same worker: another one for them would hold as much memory again.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in rows_of(batches):
+        for r in rows_of(blocks_of(batches)):
             yield cells(r)
 
     def cells(r: dict) -> pa.RecordBatch:
@@ -303,10 +345,10 @@ def requests(blocks: DataFrame, n_places: int, order: int) -> DataFrame:
             for i, m in enumerate(own):
                 np.add.at(longer[i], to, np.bincount(index[m], minlength=size).astype(np.int32))
             at += size
-        place = np.unique(np.concatenate([s.word_place, s.keys >> np.uint64(40)]))
+        place = np.unique(np.concatenate([s.word_place, s.keys >> np.uint64(BITS)]))
         w = np.searchsorted(s.word_place, np.append(place, np.uint64(n_places)))
-        k = np.searchsorted(s.keys >> np.uint64(40), np.append(place, np.uint64(n_places)))
-        low = s.keys & np.uint64((1 << 40) - 1)
+        k = np.searchsorted(s.keys >> np.uint64(BITS), np.append(place, np.uint64(n_places)))
+        low = s.keys & np.uint64((1 << BITS) - 1)
         cols = [[r["block"]] * len(place), place.astype(np.int64), np.diff(w).astype(np.int32),
                 [hashes_packed(words[i:j]) for i, j in zip(w, w[1:])], [lanes_packed(of_words[:, i:j]) for i, j in zip(w, w[1:])],
                 np.diff(k).astype(np.int32), [deltas(low[i:j]) for i, j in zip(k, k[1:])],
@@ -314,25 +356,46 @@ def requests(blocks: DataFrame, n_places: int, order: int) -> DataFrame:
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names(CELL))
 
-    return blocks.mapInArrow(run, CELL)
+    return texts(docs).mapInArrow(run, CELL)
 
 
-def totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
-    """Of each entry (a column of counts by lane) the sums over equal keys, and how many keys training has."""
-    _, g = np.unique(keys, return_inverse=True)
-    n = int(g.max(initial=-1)) + 1
-    out, seen = np.empty_like(counts), np.zeros(n, bool)
-    for i in range(LANES):
-        lane = np.bincount(g, weights=counts[i], minlength=n).astype(np.int64)
-        seen |= lane > 0
-        out[i] = lane[g]
-    return out, int(seen.sum())
+def totals(keys: list[np.ndarray], counts: list[bytes]) -> tuple[list[bytes], int]:
+    """Of each cell, its keys ascending, the sums (by lane) over equal keys of all cells, and how many keys training has.
+
+    Counts come and go packed. Ranges of keys are added up one after the other, so that a range is all that is held wide.
+    """
+    full = [k for k in keys if len(k)]
+    low, top = min((int(k[0]) for k in full), default=0), max((int(k[-1]) for k in full), default=0)
+    ranges = max(1, -(-sum(map(len, full)) // RANGE_OF))
+    edges = np.array([low + (top - low + 1) * i // ranges for i in range(1, ranges)], np.uint64)
+    cuts = [[0, *np.searchsorted(k, edges).tolist(), len(k)] for k in keys]
+    coded, used = [lanes_split(x, len(k)) for k, x in zip(keys, counts, strict=True)], [0] * len(keys)
+    out, known = [[] for _ in keys], 0
+    for r in range(ranges):
+        _, g = np.unique(np.concatenate([k[c[r]:c[r + 1]] for k, c in zip(keys, cuts, strict=True)]), return_inverse=True)
+        n = int(g.max(initial=-1)) + 1
+        own = []
+        for j, ((code, listed), c) in enumerate(zip(coded, cuts, strict=True)):
+            at, code = used[j], code[c[r]:c[r + 1]]
+            used[j] += int(np.count_nonzero(code > LANES))
+            own.append(lanes_wide(code, listed[:, at:used[j]]))
+        wide = np.concatenate(own, axis=1)
+        total, seen = np.empty((LANES, len(g)), np.int64), np.zeros(n, bool)
+        for i in range(LANES):
+            lane = np.bincount(g, weights=wide[i], minlength=n).astype(np.int64)
+            seen |= lane > 0
+            total[i] = lane[g]
+        known += int(seen.sum())
+        at = 0
+        for o, c in zip(out, cuts, strict=True):
+            o.append(lanes_coded(total[:, at:(at := at + c[r + 1] - c[r])]))
+    return [lanes_joined(o) for o in out], known
 
 
 ANSWER = "block long, place long, known long, n_words int, word_total binary, n int, total binary"
 
 
-def answers(cells: DataFrame) -> DataFrame:
+def answers(cells: DataFrame, n_places: int) -> DataFrame:
     """Cells with counts replaced by totals; ``known`` is the place's number of training words, on its first row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, ["place"]):
@@ -342,20 +405,16 @@ def answers(cells: DataFrame) -> DataFrame:
                 yield answer(t.slice(lo, hi - lo).to_pydict())
 
     def answer(t: dict) -> pa.RecordBatch:
-        out = []
-        for size, keys, counts, read in (("n_words", "words", "word_counts", lambda x, n: hashes_read(x)),
-                                         ("n", "keys", "counts", undeltas)):
-            n = np.array(t[size])
-            total, known = totals(np.concatenate([read(x, m) for x, m in zip(t[keys], n, strict=True)]),
-                                  np.concatenate([lanes_read(x, m) for x, m in zip(t[counts], n, strict=True)], axis=1))
-            at = np.concatenate([[0], np.cumsum(n)])
-            out.append((n, [lanes_packed(total[:, i:j]) for i, j in zip(at, at[1:])], known))
-        (nw, wt, known), (n, gt, _) = out
+        (wt, known), (gt, _) = (
+            totals([read(x, m) for x, m in zip(t[keys], t[size], strict=True)], t[counts])
+            for size, keys, counts, read in (("n_words", "words", "word_counts", lambda x, n: hashes_read(x)),
+                                             ("n", "keys", "counts", undeltas)))
         return pa.RecordBatch.from_arrays([
-            pa.array(t["block"], pa.int64()), pa.array(t["place"], pa.int64()), pa.array([known] + [0] * (len(n) - 1), pa.int64()),
-            pa.array(nw.astype(np.int32)), pa.array(wt, pa.binary()), pa.array(n.astype(np.int32)), pa.array(gt, pa.binary())], names(ANSWER))
+            pa.array(t["block"], pa.int64()), pa.array(t["place"], pa.int64()), pa.array([known] + [0] * (len(gt) - 1), pa.int64()),
+            pa.array(t["n_words"], pa.int32()), pa.array(wt, pa.binary()), pa.array(t["n"], pa.int32()), pa.array(gt, pa.binary())], names(ANSWER))
 
-    return cells.repartition("place").sortWithinPartitions("place", "block").mapInArrow(run, ANSWER)
+    # a place each, whose size is bounded: hashes would put several into some tasks
+    return cells.repartitionById(n_places, F.col("place").cast("int")).sortWithinPartitions("place", "block").mapInArrow(run, ANSWER)
 
 
 COUNTED = "block long, ids array<long>, parts binary, ends binary, n_words int, codes binary, known long, n int, totals binary"
@@ -385,11 +444,14 @@ def counted(blocks: DataFrame, found: DataFrame, n_places: int, order: int) -> D
         s = sent(grams(words, codes, ends, order), n_places)
         if sum(r["n_words"] for r in got) != len(words) or sum(r["n"] for r in got) != len(s.keys):
             raise RuntimeError("a block without its answers: the documents changed between two scans")
-        of_words = np.concatenate([np.empty((LANES, 0), np.int64), *[lanes_read(r["word_total"], r["n_words"]) for r in got]], axis=1)
-        longer = np.concatenate([np.empty((LANES, 0), np.int64), *[lanes_read(r["total"], r["n"]) for r in got]], axis=1)
-        every = np.concatenate([of_words, longer[:, s.index]], axis=1)
+        coded = [lanes_split(r["word_total"], r["n_words"]) for r in got]
+        longer = [lanes_split(r["total"], r["n"]) for r in got]
+        code = np.concatenate([c for c, _ in longer])
+        listed, at = np.concatenate([x for _, x in longer], axis=1), np.cumsum(code > LANES) - 1
+        code = code[s.index]
+        coded.append((code, listed[:, at[s.index[code > LANES]]]))
         cols = [[head["block"]], [head["ids"]], [head["parts"]], [head["ends"]], [len(words)], [head["codes"]],
-                [sum(r["known"] for r in got)], [every.shape[1]], [lanes_packed(every)]]
+                [sum(r["known"] for r in got)], [len(words) + len(code)], [lanes_joined(coded)]]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names(COUNTED))
 
@@ -496,10 +558,9 @@ def fit(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, Model]:
     """Counted blocks of the documents, and the model."""
     chars = docs.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
     n_places = max(1, -(-int(chars) * order // (6 * PLACE)))       # a token takes six characters, about
-    blocks = tokenized(docs)
     # written, the answers need the shuffle of the requests no more, the largest there is
-    found = cut_last(answers(requests(blocks, n_places, order)), "answers")
-    full = counted(blocks, found, n_places, order)
+    found = cut_last(answers(requests(docs, n_places, order), n_places), "answers")
+    full = counted(tokenized(docs), found, n_places, order)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
