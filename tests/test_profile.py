@@ -67,3 +67,32 @@ def test_rows_do_not_grow_with_bands_times_days(spark):
             kids = [p.plan()]
         nodes += kids
     assert 0 < most <= n * 96 + n + 2 * n + n       # rows, days, two questions a band, and slack; bands x days are 40,000
+
+
+@pytest.mark.parametrize("at_once", [None, 50])
+def test_many_series_share_a_call(spark, at_once, monkeypatch):
+    """Series by series as brute force, without a call of Python for each of them."""
+    if at_once:
+        monkeypatch.setattr(profile, "AT_ONCE", at_once)
+    rng = random.Random(5)
+    ledgers, bands, near_midnight = {}, [], 86_399_000_000
+    for s in [f"s{i}" for i in range(25)] + [None]:
+        cum, rows = 0.0, []
+        for d in range(4):
+            for h in sorted(rng.sample(range(24 * 60), rng.randint(1, 6))):
+                cum += rng.uniform(0, 2)
+                rows.append((datetime(2024, 2, 1 + d) + timedelta(minutes=h), cum))
+        ledgers[s] = rows
+        for _ in range(6):
+            a = rng.randint(0, near_midnight)
+            bands.append((s, a, min(a + rng.randint(0, 6 * 3_600_000_000), near_midnight)))
+    ldf = spark.createDataFrame([(s, t, c) for s, rows in ledgers.items() for t, c in rows], "series string, ts timestamp_ntz, cumulative_sum double")
+    out = profile.band_profile(spark.createDataFrame(bands, "series string, a long, b long"), ldf, ["series"])
+    assert "CoGroup" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.series, r.a, r.b): r.profile for r in out.collect()}
+    for s, a, b in bands:
+        exp = fold.band_profile(ledgers[s], a, b)
+        if exp is None or s is None:                  # no series, no profile
+            assert (s, a, b) not in got
+        else:
+            assert got[s, a, b] == pytest.approx(exp)

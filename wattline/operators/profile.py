@@ -21,10 +21,11 @@ Work is linear in ledger rows plus bands (a sort each); no row is produced per b
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +34,10 @@ from wattline.plans import stitch
 from wattline.plans.materialize import cut
 from wattline.session import importable
 
-#: Holes and bands that one dominance task takes.
-BLOCK = 1 << 21
+#: Holes and bands that one dominance task takes, and those of small series that it meets at once.
+BLOCK, AT_ONCE = 1 << 21, 1 << 15
+#: Distance of two series on one clock, over any hole's end.
+APART = 4 * DAY_US
 
 
 def _points(ledger: DataFrame, K: list[str]) -> DataFrame:
@@ -50,6 +53,8 @@ def _with_series(gaps: DataFrame, ledger: DataFrame, keys: Sequence[str]):
 def dominance(holes: np.ndarray, weights: np.ndarray, bands: np.ndarray) -> np.ndarray:
     """Per band (a, b) the sum of the weights of holes (x, y) with x < a and y > b.
 
+    Sums run on extended precision, as those of one band are differences of sums over all holes.
+
     In the order of x the holes that begin before a are a prefix, and a prefix is one
     node of each size 1, 2, 4 ... in its binary form. Size by size, all nodes' ends are
     sorted and summed, and all bands that use a node of this size search it.
@@ -66,7 +71,7 @@ def dominance(holes: np.ndarray, weights: np.ndarray, bands: np.ndarray) -> np.n
         node = np.arange(n) // size
         order = np.lexsort((y, node))
         ys, ws = y[order], w[order]
-        total = np.vstack([np.zeros((1, w.shape[1])), np.cumsum(ws, axis=0)])
+        total = np.vstack([np.zeros((1, w.shape[1])), np.cumsum(ws, axis=0, dtype=np.longdouble)])
         use = np.flatnonzero(upto & size)                          # a prefix is one node of each size of its binary form
         if len(use):
             first = (upto[use] & ~(2 * size - 1))
@@ -100,15 +105,36 @@ def _covered(holes: DataFrame, bands: DataFrame, K: list[str]) -> DataFrame:
         .withColumn("_hb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_h").cast("bigint") - 1)))
     by = [*K, "_hb", "_bb"]
 
-    def meet(h: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        got = dominance(h[["x", "y"]].to_numpy(), h[["cnt", "w"]].to_numpy(float), q[["a", "b"]].to_numpy())
-        out = q[[*K, "a", "b"]].assign(cnt=got[:, 0], w=got[:, 1])
-        return out[out.cnt > 0]
+    # a row for each block of a series, of which a task meets many in one call
+    both = hs.groupBy(*by).agg(F.collect_list(F.struct("x", "y", "cnt", "w")).alias("_holes")).join(
+        bs.groupBy(*by).agg(F.collect_list(F.struct("a", "b")).alias("_asked")), by).select(*K, "_holes", "_asked")
+    columns = [*K, "a", "b", "cnt", "w"]
+
+    def laid_out(lists: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Of all entries the row and the fields."""
+        of = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        return of, [c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten()]
+
+    def meet(t: pa.RecordBatch) -> pa.RecordBatch:
+        h, (x, y, cnt, w) = laid_out(t.column(len(K)))
+        q, (a, b) = laid_out(t.column(len(K) + 1))
+        # APART from each other, a hole of another series begins after a band or ends before it
+        got = dominance(np.column_stack([x, y]) + APART * h[:, None], np.column_stack([cnt, w]), np.column_stack([a, b]) + APART * q[:, None])
+        any_ = got[:, 0] > 0
+        return pa.RecordBatch.from_arrays([*(t.column(i).take(pa.array(q[any_])) for i in range(len(K))),
+                                           *map(pa.array, (a[any_], b[any_], got[any_, 0], got[any_, 1]))], columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            size = sum(pc.list_value_length(t.column(len(K) + i)).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+            cuts = np.flatnonzero(np.diff(np.cumsum(size) // AT_ONCE)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, t.num_rows], strict=True):
+                if hi > lo:
+                    yield meet(t.slice(lo, hi - lo))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bands.schema.fields if f.name in K)
     importable(holes.sparkSession)
-    met = hs.select(*by, "x", "y", "cnt", "w").groupBy(*by).cogroup(bs.select(*by, "a", "b").groupBy(*by)) \
-        .applyInPandas(meet, f"{kinds}, a long, b long, cnt double, w double")
+    met = both.mapInArrow(run, f"{kinds}, a long, b long, cnt double, w double")
     return met.groupBy(*K, "a", "b").agg(F.sum("cnt").alias("cnt"), F.sum("w").alias("w"))
 
 
