@@ -185,3 +185,22 @@ def test_histogram_is_fine_enough():
     for _ in range(500):
         w = ((w * r / (w * r + 1 - w)).sum() + 1) / (len(r) + 2)
     assert abs(lm.em(events, logs)[3] - w) < 1e-5
+
+
+def test_ranked():
+    """One sort of keys with their places gives what np.unique gives, also where keys and places exceed 64 bits."""
+    rng = np.random.default_rng(5)
+    close = (rng.integers(0, 50, 4000).astype(np.uint64) << np.uint64(40)) | rng.integers(0, 8, 4000).astype(np.uint64)
+    for x in (np.empty(0, np.uint64), np.array([7], np.int64), rng.integers(0, 300, 5000), rng.integers(0, 1 << 40, 5000),
+              rng.integers(0, 1 << 64, 5000, dtype=np.uint64), close, close << np.uint64(15),
+              np.array([(1 << 64) - 1, 0, (1 << 64) - 2, (1 << 64) - 1], np.uint64)):
+        got, index = lm.ranked(x)
+        want, place = np.unique(x, return_inverse=True)
+        assert got.dtype == x.dtype and got.tolist() == want.tolist() and index.tolist() == place.tolist()
+
+
+def test_a_pass_reads_the_orders_it_needs():
+    x = np.random.default_rng(6).integers(0, 3, (lm.LANES, 500))
+    raw = lm.lanes_packed(x)
+    for upto in (0, 1, 200, 500):
+        assert lm.lanes_upto(raw, 500, upto).tolist() == x[:, :upto].tolist()

@@ -74,7 +74,7 @@ def tokens(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     flat = lists.flatten().dictionary_encode()
-    words = flat.dictionary.cast(pa.large_binary()).to_pylist()
+    words = flat.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
     code, is_word = flat.indices.to_numpy(zero_copy_only=False), np.array([bool(w) for w in words], bool)
     real = is_word[code]
     of = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[real]
@@ -84,6 +84,35 @@ def tokens(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return [w for w in words if w], seen, ends
 
 
+def ranked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """np.unique() of whole numbers from 0 on, with the inverse, at a fraction of its time.
+
+    Numbers that hold a key and its place are sorted as they are, without a list of places beside them. Where both do not
+    fit 64 bits the keys' lowest bits are left out, and the few keys that differ in those alone are put in order after it.
+    """
+    n = len(x)
+    if not n:
+        return x, np.empty(0, np.int64)
+    keys = x.astype(np.uint64, copy=False)
+    bits = np.uint64(max(1, (n - 1).bit_length()))
+    drop = np.uint64(max(0, int(keys.max()).bit_length() + int(bits) - 64))
+    packed = ((keys >> drop) << bits) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    at = (packed & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    if drop:
+        ordered = keys[at]
+        if (ordered[1:] < ordered[:-1]).any():
+            again = np.argsort(ordered, kind="stable")     # nearly in order, which this sort makes use of
+            at, ordered = at[again], ordered[again]
+    else:
+        ordered = packed >> bits
+    new = np.ones(n, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    inverse = np.empty(n, np.int64)
+    inverse[at] = np.cumsum(new) - 1
+    return ordered[new].astype(x.dtype, copy=False), inverse
+
+
 BLOCK = "block long, ids array<long>, parts binary, ends binary, words binary, codes binary"
 
 
@@ -92,20 +121,35 @@ def texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def block(place: tuple[int, int], ids: list, parts: np.ndarray, text: pa.Array) -> pa.RecordBatch:
+@dataclass
+class Parsed:
+    """A block: its key, its documents (ids, parts, ends in codes), its words' hashes, ascending, and the codes into them."""
+    key: int
+    ids: pa.Array
+    parts: np.ndarray
+    ends: np.ndarray
+    words: np.ndarray
+    codes: np.ndarray
+
+
+def parsed(place: tuple[int, int], ids: pa.Array, parts: np.ndarray, text: pa.Array) -> Parsed:
     different, seen, ends = tokens(text)
     hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in different] + [END], np.uint64)
-    words, code = np.unique(hashes, return_inverse=True)      # the end, -1, is the last hash
+    words, code = ranked(hashes)                              # the end, -1, is the last hash
     codes = code.astype("<u4")[seen]
-    key = xxhash.xxh64_intdigest(np.array([*place, xxhash.xxh64_intdigest(codes.tobytes()) >> 1], "<i8").tobytes())
+    key = xxhash.xxh64_intdigest(np.array([*place, xxhash.xxh64_intdigest(codes) >> 1], "<i8").tobytes())
+    return Parsed(key >> 1, ids, parts.astype(np.uint8), ends.astype("<i8"), words, codes)
+
+
+def block(p: Parsed) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([key >> 1], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([parts.astype(np.uint8).tobytes()], pa.binary()),
-         pa.array([ends.astype("<i8").tobytes()], pa.binary()), pa.array([hashes_packed(words)], pa.binary()),
-         pa.array([planed(codes)], pa.binary())], names(BLOCK))
+        [pa.array([p.key], pa.int64()), pa.array([p.ids.to_pylist()], pa.list_(pa.int64())), pa.array([p.parts.tobytes()], pa.binary()),
+         pa.array([p.ends.tobytes()], pa.binary()), pa.array([hashes_packed(p.words)], pa.binary()),
+         pa.array([planed(p.codes)], pa.binary())], names(BLOCK))
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """BLOCK rows of the rows of texts()."""
+def parsed_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Parsed]:
+    """Blocks of the rows of texts()."""
     task, n = TaskContext.get().partitionId(), 0
     for b in batches:
         size = np.cumsum(pc.binary_length(b.column(2)).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -115,7 +159,12 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if hi > lo:
                 s = b.slice(lo, hi - lo)
                 n += 1
-                yield block((task, n), s.column(0).to_pylist(), s.column(1).to_numpy(), s.column(2))
+                yield parsed((task, n), s.column(0), s.column(1).to_numpy(), s.column(2))
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """BLOCK rows of the rows of texts()."""
+    return map(block, parsed_of(batches))
 
 
 def tokenized(docs: DataFrame) -> DataFrame:
@@ -168,16 +217,17 @@ def grams(words: np.ndarray | int, codes: np.ndarray, ends: np.ndarray, order: i
     """``words`` are their hashes, or just how many there are."""
     hashed = not isinstance(words, int)
     n = len(words) if hashed else words
+    bits = n.bit_length()
     starts = np.concatenate([[0], ends[:-1]])
     sizes, at, hashes = [n], [codes.astype(np.int64)], [words] if hashed else []
     for k in range(2, order + 1):
         before = np.empty(len(codes), np.int64)
         before[1:] = at[-1][:-1]
         before[starts] = sizes[-1]                    # the begin of a document
-        key, index = np.unique(before * n + codes, return_inverse=True)
+        key, index = ranked((before << bits) | at[0])
         if hashed:
-            history = np.append(hashes[-1], np.uint64(BEGIN))[key // n]
-            hashes.append(mixed(history, words[key % n], k))
+            history = np.append(hashes[-1], np.uint64(BEGIN))[key >> bits]
+            hashes.append(mixed(history, words[key & ((1 << bits) - 1)], k))
         sizes.append(len(key))
         at.append(index)
     return Grams(sizes, at, starts, hashes)
@@ -198,7 +248,7 @@ class Sent:
 def sent(g: Grams, n: int) -> Sent:
     place = places(g.hashes[0], n)                    # hashes ascend, and so do their places
     longer = np.concatenate([np.empty(0, np.uint64), *g.hashes[1:]])
-    keys, index = np.unique((places(longer, n) << np.uint64(BITS)) | (longer & np.uint64((1 << BITS) - 1)), return_inverse=True)
+    keys, index = ranked((places(longer, n) << np.uint64(BITS)) | (longer & np.uint64((1 << BITS) - 1)))
     return Sent(place, keys, index)
 
 
@@ -258,11 +308,11 @@ def codes_of(r: dict) -> tuple[np.ndarray, np.ndarray]:
     return unplaned(r["codes"], int(ends[-1])).astype(np.int32), ends
 
 
-def lane_of(r: dict, ends: np.ndarray) -> np.ndarray:
-    """Of each token its document's lane; -1 if it is held out."""
-    lanes = np.full(PARTS, -1, np.int8)
+def lane_of(parts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of each token its document's lane; LANES if it is held out."""
+    lanes = np.full(PARTS, LANES, np.int64)
     lanes[TRAIN] = np.arange(LANES)
-    return np.repeat(lanes[np.frombuffer(r["parts"], np.uint8)], np.diff(ends, prepend=0))
+    return np.repeat(lanes[parts], np.diff(ends, prepend=0))
 
 
 def narrow(x: np.ndarray) -> np.ndarray:
@@ -275,8 +325,10 @@ def lanes_coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts by lane: most n-grams were seen once or never, which takes a code of a byte before packing; the rest are listed."""
     if not x.shape[1]:
         return np.empty(0, np.uint8), np.empty((LANES, 0), np.uint8)
-    total = x.sum(0)
-    code = np.where(total == 1, x.argmax(0), np.where(total == 0, LANES, LANES + 1)).astype(np.uint8)
+    total, code = x.sum(0), np.full(x.shape[1], LANES + 1, np.uint8)
+    code[total == 0] = LANES
+    for i in range(LANES):
+        code[(total == 1) & (x[i] == 1)] = i
     return code, narrow(x[:, code > LANES])
 
 
@@ -303,13 +355,20 @@ def lanes_wide(code: np.ndarray, listed: np.ndarray) -> np.ndarray:
     """Counts by lane, as int32 where the bytes listed tell that it is enough."""
     out = np.zeros((LANES, len(code)), np.int32 if listed.itemsize < 4 else np.int64)
     for i in range(LANES):
-        out[i, code == i] = 1
+        out[i] = code == i
     out[:, code > LANES] = listed
     return out
 
 
+def lanes_upto(raw: bytes, n: int, upto: int) -> np.ndarray:
+    """Counts by lane of the first ``upto`` of ``n``."""
+    code, listed = lanes_split(raw, n)
+    code = code[:upto]
+    return lanes_wide(code, listed[:, :int(np.count_nonzero(code > LANES))])
+
+
 def lanes_read(raw: bytes, n: int) -> np.ndarray:
-    return lanes_wide(*lanes_split(raw, n))
+    return lanes_upto(raw, n, n)
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -328,28 +387,33 @@ def requests(docs: DataFrame, n_places: int, order: int) -> DataFrame:
     Blocks are made in the same worker: another one for them would hold as much memory again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in rows_of(blocks_of(batches)):
-            yield cells(r)
+        return map(cells, parsed_of(batches))
 
-    def cells(r: dict) -> pa.RecordBatch:
-        words, codes, ends = block_of(r)
-        g = grams(words, codes, ends, order)
+    def cells(p: Parsed) -> pa.RecordBatch:
+        words = p.words
+        g = grams(words, p.codes, p.ends, order)
         s = sent(g, n_places)
-        lane = lane_of(r, ends)
-        own = [lane == i for i in range(LANES)]
-        of_words = np.array([np.bincount(g.at[0][m], minlength=len(words)) for m in own])
+        lane = lane_of(p.parts, p.ends)
+
+        def by_lane(index: np.ndarray, size: int) -> np.ndarray:
+            return np.bincount(lane * size + index, minlength=(LANES + 1) * size)[:LANES * size].reshape(LANES, size).astype(np.int32)
+
+        of_words = by_lane(g.at[0], len(words))
         longer = np.zeros((LANES, len(s.keys)), np.int32)
-        at = 0
+        apart, at = len(s.keys) == len(s.index), 0         # no two n-grams share a key, as nearly always
         for index, size in zip(g.at[1:], g.sizes[1:], strict=True):
-            to = s.index[at:at + size]
-            for i, m in enumerate(own):
-                np.add.at(longer[i], to, np.bincount(index[m], minlength=size).astype(np.int32))
+            to, own = s.index[at:at + size], by_lane(index, size)
+            for i in range(LANES):
+                if apart:
+                    longer[i, to] = own[i]
+                else:
+                    np.add.at(longer[i], to, own[i])
             at += size
         place = np.unique(np.concatenate([s.word_place, s.keys >> np.uint64(BITS)]))
         w = np.searchsorted(s.word_place, np.append(place, np.uint64(n_places)))
         k = np.searchsorted(s.keys >> np.uint64(BITS), np.append(place, np.uint64(n_places)))
         low = s.keys & np.uint64((1 << BITS) - 1)
-        cols = [[r["block"]] * len(place), place.astype(np.int64), np.diff(w).astype(np.int32),
+        cols = [[p.key] * len(place), place.astype(np.int64), np.diff(w).astype(np.int32),
                 [hashes_packed(words[i:j]) for i, j in zip(w, w[1:])], [lanes_packed(of_words[:, i:j]) for i, j in zip(w, w[1:])],
                 np.diff(k).astype(np.int32), [deltas(low[i:j]) for i, j in zip(k, k[1:])],
                 [lanes_packed(longer[:, i:j]) for i, j in zip(k, k[1:])]]
@@ -372,23 +436,26 @@ def totals(keys: list[np.ndarray], counts: list[bytes]) -> tuple[list[bytes], in
     coded, used = [lanes_split(x, len(k)) for k, x in zip(keys, counts, strict=True)], [0] * len(keys)
     out, known = [[] for _ in keys], 0
     for r in range(ranges):
-        _, g = np.unique(np.concatenate([k[c[r]:c[r + 1]] for k, c in zip(keys, cuts, strict=True)]), return_inverse=True)
-        n = int(g.max(initial=-1)) + 1
-        own = []
+        different, g = ranked(np.concatenate([k[c[r]:c[r + 1]] for k, c in zip(keys, cuts, strict=True)]))
+        n = len(different)
+        own, more = [], []
         for j, ((code, listed), c) in enumerate(zip(coded, cuts, strict=True)):
             at, code = used[j], code[c[r]:c[r + 1]]
             used[j] += int(np.count_nonzero(code > LANES))
-            own.append(lanes_wide(code, listed[:, at:used[j]]))
-        wide = np.concatenate(own, axis=1)
-        total, seen = np.empty((LANES, len(g)), np.int64), np.zeros(n, bool)
+            own.append(code)
+            more.append(listed[:, at:used[j]])
+        code, more = np.concatenate(own), np.concatenate(more, axis=1)
+        # those seen once by their codes, those listed by their counts
+        total = np.bincount(code * np.int64(n) + g, minlength=(LANES + 2) * n)[:LANES * n].reshape(LANES, n)
+        listed = g[code > LANES]
         for i in range(LANES):
-            lane = np.bincount(g, weights=wide[i], minlength=n).astype(np.int64)
-            seen |= lane > 0
-            total[i] = lane[g]
-        known += int(seen.sum())
-        at = 0
+            total[i] += np.bincount(listed, weights=more[i], minlength=n).astype(np.int64)
+        known += int(total.any(0).sum())
+        code, at = lanes_coded(total)[0], 0
         for o, c in zip(out, cuts, strict=True):
-            o.append(lanes_coded(total[:, at:(at := at + c[r + 1] - c[r])]))
+            to = g[at:(at := at + c[r + 1] - c[r])]
+            found = code[to]
+            o.append((found, narrow(total[:, to[found > LANES]])))
     return [lanes_joined(o) for o in out], known
 
 
@@ -481,18 +548,19 @@ def mixture(r: dict, m: Model, delete: bool, upto: int) -> tuple[np.ndarray, np.
     """
     codes, ends = codes_of(r)
     g = grams(r["n_words"], codes, ends, upto)
-    lanes = np.split(lanes_read(r["totals"], r["n"]), np.cumsum(g.sizes), axis=1)
-    lane = lane_of(r, ends)
-    held = lane < 0
+    lanes = np.split(lanes_upto(r["totals"], r["n"], sum(g.sizes)), np.cumsum(g.sizes)[:-1], axis=1)
+    lane = lane_of(np.frombuffer(r["parts"], np.uint8), ends)
+    held = lane == LANES
 
     def at(k: int) -> np.ndarray:
         """Of each token the count of its n-gram of order k."""
-        total = lanes[k - 1].sum(0)[g.at[k - 1]]
-        return np.where(held, total, total - lanes[k - 1][lane, g.at[k - 1]]) if delete else total
+        total = lanes[k - 1].sum(0)
+        # without the token's own lane, or none
+        return np.vstack([total - lanes[k - 1], total]).ravel()[lane * len(total) + g.at[k - 1]] if delete else total[g.at[k - 1]]
 
     def of(x: np.ndarray) -> np.ndarray:
         """Of each token a size of the training set."""
-        return np.where(held, x.sum(), x.sum() - x[lane]) if delete else np.full(len(codes), x.sum())
+        return np.append(x.sum() - x, x.sum())[lane] if delete else np.full(len(codes), x.sum())
 
     below = np.full(len(codes), 1.0 / (m.vocabulary + 1))
     context = of(m.size)
