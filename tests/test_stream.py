@@ -226,3 +226,25 @@ def test_session_settings_stay_as_they_are(spark):
     job = _series_job(spark, STEP)
     job(_rows(spark, _three_days()), 0)
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+@pytest.mark.parametrize("keys", [(), ("series",)])
+def test_batch_without_gaps_is_kept_once(spark, monkeypatch, keys):
+    """Its ledger rows are columns of the kept scan; a series that goes on from a known row has no reading to skip."""
+    rows = [(1, _t(d, 10, m, s), float(m - 5) * d) for d in (1, 2) for m in range(10) for s in (0, 30)]
+    spec = STEP.with_(step_ms=24 * 3600 * 1000)          # the night is no gap
+    job = _series_job(spark, spec, keys)
+    files = scratch_path(spark, f"test-kept-{uuid.uuid4().hex[:6]}")
+    for d in (0, 1):
+        _rows(spark, rows[20 * d:20 * d + 20]).coalesce(1).write.parquet(f"{files}/{d}")
+    days = [spark.read.schema(SCHEMA).parquet(f"{files}/{d}") for d in (0, 1)]       # small, as their files tell
+    assert job(days[0], 0) == "ok"
+    frame, kept = type(days[0]), []
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda df, *a: (kept.append(df), persist(df, *a))[1])
+    assert job(days[1], 1) == "ok"
+    assert len(kept) == 1
+    assert not {"_p1_ts", "_delta", "_pending", "_rn", "_last", "_tail"} & set(kept[0].columns)
+    if not keys:
+        assert kept[0]._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 2
+    _check(spark, job, rows, spec)

@@ -33,10 +33,11 @@ def schema(keys: Sequence[T.StructField] = ()) -> T.StructType:
 
 def points_of(ledger: DataFrame, keys: Sequence[str] = (), rday: str | None = None) -> DataFrame:
     """Profile rows (keys, day, cell, points[, rday]) of ledger rows."""
-    t = tod_us("ts")
-    by = [*keys, day_of("ts").alias("day"), F.floor(t / CELL_US).cast("int").alias("cell"), *([F.col(rday).alias("rday")] if rday else [])]
+    t = F.col("_t")
+    by = [*keys, "day", F.floor(t / CELL_US).cast("int").alias("cell"), *([F.col(rday).alias("rday")] if rday else [])]
     point = F.struct(t.alias("t"), F.col("cumulative_sum").alias("c"))
-    return ledger.filter(F.col("ts").isNotNull()).groupBy(*by).agg(F.sort_array(F.collect_list(point)).alias("points"))
+    rows = ledger.filter(F.col("ts").isNotNull()).withColumns({"_t": tod_us("ts"), "day": day_of("ts")})
+    return rows.groupBy(*by).agg(F.sort_array(F.collect_list(point)).alias("points"))
 
 
 def merged(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

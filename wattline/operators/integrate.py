@@ -177,6 +177,8 @@ def with_seeds(r: DataFrame, seeds: DataFrame, K, order, found: stitch.Cuts, dro
 
 #: Order of a series' rows: the seed, then readings by time.
 ORDER = ["_o", "ts", "value"]
+#: What a row takes from the row before it.
+BACK = ["ts", "_us", "value", "_o"]
 
 
 @dataclass
@@ -239,13 +241,13 @@ class Integrated:
         return plain.unionByName(fill_slots(gaps, self.K, self.keys, self.spec, "_p1_ts", more, spread))
 
 
-def _columns(p1_ts, p1_v, p1_o, p2_ts, spec: Spec) -> dict:
-    """Gap flag, interval and energy of a row from its two predecessors."""
+def _columns(p1_us, p1_v, p1_o, p2_us, spec: Spec) -> dict:
+    """Gap flag, interval and energy of a row from its two predecessors (times in microseconds, as the row's ``_us``)."""
     is_reading, thr = F.col("_o") == 1, F.lit(2 * spec.step_ms * 1000)
-    d_us = diff_micros(p1_ts, F.col("ts"))
+    d_us = F.col("_us") - p1_us
     if spec.gap_fill:
         gap = F.coalesce(is_reading & (d_us > thr), F.lit(False))
-        prev_gap = F.coalesce(is_reading & (p1_o == 1) & (diff_micros(p2_ts, p1_ts) > thr), F.lit(False))
+        prev_gap = F.coalesce(is_reading & (p1_o == 1) & (p1_us - p2_us > thr), F.lit(False))
     else:
         gap = prev_gap = F.lit(False)
     pv = F.when(prev_gap, F.lit(0.0)).otherwise(F.coalesce(p1_v, F.lit(0.0)))
@@ -291,21 +293,28 @@ def scan(readings: DataFrame, spec: Spec, keys: Sequence[str] = (), state: DataF
         r = newer_than_state(r, seeds, K, keyed)
 
     w = Window.partitionBy(*K, stitch.BKT).orderBy(*ORDER)
-    x = with_seeds(r, seeds, K, ORDER, found, spec.first_row == "drop", one_task)
-    x = x.withColumns({"_rn": F.row_number().over(w), "_p1": F.lag(F.struct("ts", "value", "_o")).over(w),
-                       "_p2": F.lag(F.struct("ts", "value", "_o"), 2).over(w), "_last": F.lead("_o").over(w).isNull(),
-                       "_tail": F.lead("_o", 2).over(w).isNull()})
-    p1, p2 = F.col("_p1"), F.col("_p2")
-    x = x.withColumns({**_columns(p1["ts"], p1["value"], p1["_o"], p2["ts"], spec), "_p1_ts": p1["ts"]})
+    goes_on = isinstance(state, tuple) and state[0] is not None      # then no reading is skipped
+    x = with_seeds(r, seeds, K, ORDER, found, spec.first_row == "drop" and not goes_on, one_task)
+    # the time as a number, once a row: its differences are many
+    x = x.withColumn("_us", micros("ts"))
+    back = {f"_p1{c}": F.lag(c).over(w) for c in BACK}
+    x = x.withColumns({**back, "_p2_us": F.lag("_us", 2).over(w), "_rn": F.row_number().over(w),
+                       "_last": F.lead("_o").over(w).isNull(), "_tail": F.lead("_o", 2).over(w).isNull()})
+    x = x.withColumns(_columns(F.col("_p1_us"), F.col("_p1value"), F.col("_p1_o"), F.col("_p2_us"), spec))
     head = F.col("_rn") <= 2 if found.many else F.lit(False)
     x = x.withColumn("_pending", head | F.col("_gap"))
     known = F.when(F.col("_pending"), 0.0).when(F.col("_o") == 0, F.col("_c0")).otherwise(F.col("_integral"))
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumns({"_lc": F.sum(known).over(so_far), "_ps": F.sum(F.col("_pending").cast("int")).over(so_far).cast("int")})
-    if not found.many:
-        x = x.drop("_p1", "_p2")
-    again = found.many or spec.gap_fill              # read for the pending rows, the bucket totals and the result
-    return Scan(keep(x) if again else x, found.many, again, K, keys, spec)
+    if found.many:                                   # read for the pending rows, the bucket totals and the result
+        return Scan(keep(x), True, True, K, keys, spec)
+    # what follows from other columns is not kept, but by what many series are partitioned
+    x = x.select(*([*K, stitch.BKT] if keyed else []), "ts", "value", "_o", "_c0", "_gap", "_d_us", "_integral", "_lc", "_ps")
+    x = (keep(x) if spec.gap_fill else x).withColumns({
+        "_pending": F.col("_gap"), "_delta": F.col("_d_us") / F.lit(1e6), "_p1_ts": add_micros("ts", -F.col("_d_us"))})
+    if not keyed:
+        x = x.withColumns({SERIES: F.lit(0), stitch.BKT: F.lit(0).cast("bigint")})
+    return Scan(x, False, spec.gap_fill, K, keys, spec)
 
 
 def scan_state(x: DataFrame, K: Sequence[str]) -> DataFrame:
@@ -340,20 +349,18 @@ def completed(found: Scan, profile=None, keep=cut, n_pending: int | None = None)
     ``n_pending`` spares the count of pending rows, if the caller knows it."""
     x, K, keys, spec = found.rows, found.K, found.keys, found.spec
     P = [*K, stitch.BKT]
-    p1, p2 = F.col("_p1"), F.col("_p2")
     if not found.kept:
         return Integrated(x, None, None, 0, K, keys, spec)
     pending = x.filter(F.col("_pending"))
     if found.many:
-        halo = stitch.halo_rows(x.filter(F.col("_tail")).select(*P, *ORDER), K, ORDER, ["ts", "value", "_o"], 2)
+        halo = stitch.halo_rows(x.filter(F.col("_tail")).select(*P, *ORDER, "_us"), K, ORDER, BACK, 2)
         h1, h2 = F.col("_h1"), F.col("_h2")
         first_row, second_row = F.col("_rn") == 1, F.col("_rn") == 2
-        q1 = F.when(first_row, h1).otherwise(p1)
-        q2 = F.when(first_row, h2).when(second_row, h1).otherwise(p2)
-        pending = pending.join(halo, P, "left").withColumns({"_q1": q1, "_q2": q2})
-        q1, q2 = F.col("_q1"), F.col("_q2")
-        pending = pending.withColumns({**_columns(q1["ts"], q1["value"], q1["_o"], q2["ts"], spec), "_p1_ts": q1["ts"]}) \
-            .drop("_h1", "_h2", "_q1", "_q2", "_p1", "_p2")
+        back = {f"_p1{c}": F.when(first_row, h1[c]).otherwise(F.col(f"_p1{c}")) for c in BACK}
+        back["_p2_us"] = F.when(first_row, h2["_us"]).when(second_row, h1["_us"]).otherwise(F.col("_p2_us"))
+        pending = pending.join(halo, P, "left").withColumns(back)
+        pending = pending.withColumns({**_columns(F.col("_p1_us"), F.col("_p1value"), F.col("_p1_o"), F.col("_p2_us"), spec),
+                                       "_p1_ts": F.col("_p1ts")}).drop("_h1", "_h2", "_p2_us", "_us", *[f"_p1{c}" for c in BACK])
     step_us = spec.step_ms * 1000
     if spec.gap_fill and profile is not None:
         pending = pending.withColumns({"a": F.when(F.col("_gap"), tod_us("_p1_ts")), "b": F.when(F.col("_gap"), tod_us("ts"))})

@@ -60,6 +60,11 @@ class _Batch:
         # batch; without gaps one pass is identical
         self.by_day = bool(job.commit == "day" and self.spec.gap_fill and days)
 
+    @property
+    def as_kept(self) -> bool:
+        """Whether the ledger rows are columns of the kept scan, which are not kept again."""
+        return self.scan.kept and not self.scan.many and not self.n_gaps and not self.skip
+
     def after(self) -> DataFrame:
         """State of the series that emitted nothing, where their readings left them."""
         if self.skip and self.last is not None:
@@ -309,7 +314,7 @@ class IntegrationJob:
             if m["row_count"] == 0:
                 self.statuses.append("no new data")
                 return "no new data"   # T3: nothing to integrate
-            out = keep(run.ledger())
+            out = run.ledger() if run.as_kept else keep(run.ledger())
             self.waves = run.waves
             sinks.write_ledger(out.select(*self.keys, *integ.LEDGER_COLS), self.ledger_path, batch_id, self.keys,
                                few=small and not run.spread)
